@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrisk.session import settle
+from windrisk.session import store
 
 # Up to this many zones one aggregate holds all pairs; beyond, partial products per task.
 PIVOT_ZONES = 24
@@ -67,7 +67,7 @@ def _pivoted(rows: DataFrame, n: int) -> DataFrame:
 def _partial_products(rows: DataFrame, n: int) -> DataFrame:
     """Many zones: each task adds up its own centred products; only zone-by-zone sums are shuffled."""
     columns = [f"z{i}" for i in range(n)]
-    rows = settle(rows)
+    rows = store(rows)
     means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
     center = np.array([0.0 if means[c] is None else means[c] for c in columns])
     up_i, up_j = np.triu_indices(n)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from windrisk.operators import ranks
 from windrisk.operators.spatial import frobenius
-from windrisk.session import settle, small_side
+from windrisk.session import settle, small_side, store
 
 # Convergence windows, thresholds and quality gates.
 ELBO_WINDOW = 500
@@ -117,7 +117,7 @@ def rhat(chains: DataFrame, method: str = "rank") -> DataFrame:
     split = split_chains(chains)
     if method == "split":
         return _rhat(split, "r_hat")
-    split = settle(split)
+    split = store(split)
     bulk = _rhat(normal_scores(split), "bulk")
     median = small_side(ranks.quantiles(split, ["param"], "value", [0.5]))
     folded = split.join(median, "param").withColumn("value", F.abs(F.col("value") - F.col("p50"))).drop("p50")
@@ -125,93 +125,110 @@ def rhat(chains: DataFrame, method: str = "rank") -> DataFrame:
             .select("param", F.greatest("bulk", "folded").alias("r_hat")))
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _lag_products(series: pd.Series, own: pd.Series, lags: pd.Series) -> pd.Series:
+    """Sums x[i] x[i + k] over the block's own i, for k = 0 .. lags, by Fourier transform."""
+    out = []
+    for x, own_count, top in zip(series, own, lags):
+        size = 1 << int(np.ceil(np.log2(len(x) + own_count + 1)))
+        products = np.fft.irfft(np.conj(np.fft.rfft(x[:own_count], size)) * np.fft.rfft(x, size), size)
+        padded = np.zeros(top + 1)
+        usable = min(top + 1, len(x))
+        padded[:usable] = products[:usable]
+        out.append(padded)
+    return pd.Series(out)
+
+
 def autocovariance(split: DataFrame, max_lag: int, block: int = 50_000) -> DataFrame:
-    """Biased autocovariance of every (param, seq) at lags 0 .. max_lag.
+    """Biased autocovariance at lags 0 .. max_lag, averaged over the sequences of a param.
 
-    A sequence is cut into blocks of consecutive positions, each with the `max_lag` values
-    that follow it, so one long sequence is shared among many tasks and sums are exact.
+    Gives (param, lag, acov) plus per param the sequence length `n`, their number `m`, and
+    the variance `between` of their means. A sequence is cut into blocks of consecutive
+    positions, each with the `max_lag` values that follow it, so one long sequence is
+    shared among many tasks, no task holds more than a block, and the sums are exact.
     """
+    block = max(block, max_lag)
     center = split.groupBy("param", "seq").agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
-    centred = split.join(small_side(center), ["param", "seq"]).select(
+    center = small_side(center)
+    shape = center.groupBy("param").agg(
+        F.min("n").alias("n"), F.count(F.lit(1)).alias("m"), F.coalesce(F.var_samp("mean"), F.lit(0.0)).alias("between"))
+    centred = split.join(center, ["param", "seq"]).select(
         "param", "seq", "n", F.col("pos").cast("long").alias("pos"), (F.col("value") - F.col("mean")).alias("x"))
-    own = F.floor(F.col("pos") / block)
-    # A position also follows the blocks that end up to max_lag before it.
+    # A position belongs to its own block and follows those that end up to max_lag before it.
     first = F.greatest(F.lit(0), F.floor((F.col("pos") - max_lag) / block))
-    spread = centred.withColumn("block", F.explode(F.sequence(first, own)))
-
-    def lagged(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        start = int(pdf["block"].iloc[0]) * block
-        x = pdf["x"].to_numpy()
-        own_count = int((pdf["pos"] < start + block).sum())
-        head = x[:own_count]
-        size = 1 << int(np.ceil(np.log2(len(x) + own_count + 1)))
-        products = np.fft.irfft(np.conj(np.fft.rfft(head, size)) * np.fft.rfft(x, size), size)
-        lags = np.arange(min(max_lag, len(x) - 1) + 1)
-        return pd.DataFrame({"param": pdf["param"].iloc[0], "seq": pdf["seq"].iloc[0],
-                             "lag": lags.astype("int32"), "n": pdf["n"].iloc[0], "s": products[lags]})
-
-    return (spread.groupBy("param", "seq", "block")
-            .applyInPandas(lagged, "param string, seq long, lag int, n long, s double")
-            .groupBy("param", "seq", "lag")
-            .agg((F.sum("s") / F.max("n")).alias("acov"), F.max("n").alias("n")))
-
-
-def effective_size(acov: np.ndarray, means: np.ndarray, n: int) -> tuple[float, bool]:
-    """Effective sample size from (sequences x lags) autocovariances of sequences of length n.
+    blocks = F.explode(F.sequence(first, F.floor(F.col("pos") / block)))
+    packed = (centred.withColumn("block", blocks)
+              .groupBy("param", "seq", "block")
+              .agg(F.max("n").alias("n"), F.count_if(F.floor(F.col("pos") / block) == F.col("block")).cast("int").alias("own"),
+                   F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("rows")))
+    sums = packed.select(
+        "param", "seq", "n", F.posexplode(_lag_products(F.col("rows")["x"], "own", F.lit(max_lag))).alias("lag", "s"))
+    # Sequences of a param have equal length, so the mean over them is one more sum.
+    return (sums.groupBy("param", "lag").agg(F.sum(F.col("s") / F.col("n")).alias("acov"))
+            .join(shape, "param")
+            .select("param", "lag", (F.col("acov") / F.col("m")).alias("acov"), "n", "m", "between"))
+
+
+def effective_size(acov: np.ndarray, n: int, m: int, between: float) -> tuple[float, bool]:
+    """Effective sample size of m sequences of length n from their mean autocovariances.
 
     Autocorrelations are added in pairs up to the first negative pair, never rising. The
     flag is False if the given lags end before that pair is met.
     """
-    m = len(acov)
-    within = acov[:, 0].mean() * n / (n - 1.0)
-    total = acov[:, 0].mean() + (means.var(ddof=1) if m > 1 else 0.0)
+    size = m * n
+    within = acov[0] * n / (n - 1.0)
+    total = acov[0] + between
     if not total > 0.0:
-        return float(m * n), True
-    rho = 1.0 - (within - acov.mean(axis=0)) / total
+        return float(size), True
+    rho = 1.0 - (within - acov[:n]) / total
     rho[0] = 1.0
     pairs = rho[:len(rho) // 2 * 2].reshape(-1, 2).sum(axis=1)
     negative = np.flatnonzero(pairs < 0.0)
     count = int(negative[0]) if len(negative) else max(len(pairs) - 1, 0)
     tau = -1.0 + 2.0 * np.minimum.accumulate(pairs[:count]).sum() if count else -1.0
     tau += max(rho[2 * count], 0.0)
-    size = m * n
     return size / max(tau, 1.0 / np.log10(size)), bool(len(negative)) or len(rho) >= n - 1
 
 
-def _ess(split: DataFrame, name: str, lags: int = 128) -> DataFrame:
-    """ESS per param; the lag range grows until every param has met its last positive pair."""
-    split = settle(split)
-    means = split.groupBy("param", "seq").agg(F.avg("value").alias("mean"))
+@F.pandas_udf(T.StructType([T.StructField("size", T.DoubleType()), T.StructField("ended", T.BooleanType())]))
+def _sizes(acov: pd.Series, n: pd.Series, m: pd.Series, between: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([effective_size(np.array(a), int(i), int(j), b) for a, i, j, b in zip(acov, n, m, between)],
+                        columns=["size", "ended"])
 
-    def per_param(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pdf.pivot(index="seq", columns="lag", values="acov").sort_index(axis=1).dropna(axis=1)
-        mean = pdf.drop_duplicates("seq").set_index("seq")["mean"].loc[table.index]
-        size, ended = effective_size(table.to_numpy(), mean.to_numpy(), int(pdf["n"].min()))
-        return pd.DataFrame({"param": [pdf["param"].iloc[0]], name: [size], "ended": [ended]})
 
+def _ess(split: DataFrame, lags: int = 128) -> DataFrame:
+    """(param, ess); the lag range grows until every param has met its last positive pair."""
     while True:
-        sums = autocovariance(split, lags).join(means, ["param", "seq"])
-        found = settle(sums.groupBy("param").applyInPandas(per_param, f"param string, {name} double, ended boolean"))
-        if found.where(~F.col("ended")).limit(1).count() == 0:
-            return found.drop("ended")
+        table = (autocovariance(split, lags).groupBy("param", "n", "m", "between")
+                 .agg(F.array_sort(F.collect_list(F.struct("lag", "acov"))).alias("rows")))
+        found = settle(table.select("param", _sizes(F.col("rows")["acov"], "n", "m", "between").alias("e")))
+        if found.where(~F.col("e.ended")).limit(1).count() == 0:
+            return found.select("param", F.col("e.size").alias("ess"))
         lags *= 4
 
 
-def ess_bulk(chains: DataFrame) -> DataFrame:
-    """ESS of the rank-normalised split chains."""
-    return _ess(normal_scores(settle(split_chains(chains))), "ess_bulk")
+def ess(chains: DataFrame) -> DataFrame:
+    """Bulk and tail ESS per param.
 
-
-def ess_tail(chains: DataFrame) -> DataFrame:
-    """The smaller ESS of the two indicators 'at or below the 5 % / 95 % quantile'."""
+    Bulk: of the rank-normalised split chains. Tail: the smaller one of the two indicators
+    'at or below the 5 % / 95 % quantile'. The three series of a param go through as one job.
+    """
     ends = small_side(ranks.quantiles(chains, ["param"], "value", [0.05, 0.95]))
-    with_ends = chains.join(ends, "param")
-    def indicator(name: str) -> DataFrame:
-        flag = (F.col("value") <= F.col(name)).cast("double")
-        return split_chains(with_ends.select("param", "chain", "draw", flag.alias("value")))
-    low, high = _ess(indicator("p5"), "ess_low"), _ess(indicator("p95"), "ess_high")
-    return low.join(high, "param").select("param", F.least("ess_low", "ess_high").alias("ess_tail"))
+    split = store(split_chains(chains))
+    with_ends = split.join(ends, "param")
+    def series(rows: DataFrame, kind: str, value: Column) -> DataFrame:
+        return rows.select(F.concat(F.lit(f"{kind}|"), "param").alias("param"), "seq", "pos", value.alias("value"))
+    def indicator(end: str) -> Column:
+        return (F.col("value") <= F.col(end)).cast("double")
+    every = (series(normal_scores(split), "bulk", F.col("value"))
+             .unionByName(series(with_ends, "low", indicator("p5")))
+             .unionByName(series(with_ends, "high", indicator("p95"))))
+    found = _ess(store(every))
+    kind, name = F.substring_index("param", "|", 1), F.expr("substring(param, instr(param, '|') + 1)")
+    def of(label: str) -> Column:
+        return F.max(F.when(F.col("kind") == label, F.col("ess")))
+    return (found.select(kind.alias("kind"), name.alias("param"), "ess").groupBy("param")
+            .agg(of("bulk").alias("ess_bulk"), F.least(of("low"), of("high")).alias("ess_tail")))
 
 
 def _metric(df: DataFrame, value: Column, key: str) -> DataFrame:
@@ -220,10 +237,11 @@ def _metric(df: DataFrame, value: Column, key: str) -> DataFrame:
 
 def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None) -> DataFrame:
     """Number of divergent draws, worst R-hat, smallest ESS, as (key, value) rows."""
-    chains = settle(chains)
+    chains = store(chains)
     out = _metric(rhat(chains).agg(F.max("r_hat").alias("v")), F.col("v"), "max_r_hat")
-    out = out.unionByName(_metric(ess_bulk(chains).agg(F.min("ess_bulk").alias("v")), F.col("v"), "min_ess_bulk"))
-    out = out.unionByName(_metric(ess_tail(chains).agg(F.min("ess_tail").alias("v")), F.col("v"), "min_ess_tail"))
+    sizes = settle(ess(chains))
+    for name in ("ess_bulk", "ess_tail"):
+        out = out.unionByName(_metric(sizes.agg(F.min(name).alias("v")), F.col("v"), f"min_{name}"))
     if sampler_stats is not None:
         count = sampler_stats.agg(F.count_if("diverging").alias("v"))
         out = out.unionByName(_metric(count, F.col("v"), "n_divergences"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions.basis import phase
-from windrisk.session import settle
+from windrisk.session import settle, store
 
 # Basis size, boundary factor, minimum rows, and the priors
 # ell_spatial ~ InvGamma(3, 0.5), ell_temporal ~ InvGamma(3, 1), eta ~ HalfNormal(3), sigma ~ HalfNormal(2).
@@ -33,8 +33,9 @@ PRIORS = {
 }
 PARAMS = list(PRIORS)
 
-# First quadrature box, natural scale; later rounds move and shrink it.
-FIRST_BOX = {"ell_spatial": (0.02, 8.0), "ell_temporal": (0.02, 16.0), "eta": (0.02, 16.0), "sigma": (0.005, 12.0)}
+# First quadrature box; later rounds move and shrink it. The scales are multiples of the
+# root mean square of the data, kept where the priors have mass.
+FIRST_BOX = {"ell_spatial": (0.02, 8.0), "ell_temporal": (0.02, 16.0), "eta": (0.05, 16.0), "sigma": (0.02, 2.0)}
 GRID_POINTS = 16
 MAX_ROUNDS = 10
 # A dimension is resolved once this many of its grid values carry visible weight.
@@ -208,57 +209,84 @@ def log_evidence(model: Fit, ell_s: float, ell_t: float, eta: np.ndarray, sigma:
                    + 2.0 * model.n * np.log(sigma) + model.n * math.log(2.0 * math.pi))
 
 
-def _grid(spark: SparkSession, model: Fit, box: dict[str, tuple[float, float]], points: int) -> DataFrame:
-    """Log posterior weight at every node of a log-spaced grid, one row per node."""
+def _node_batches(model: Fit, box: dict[str, tuple[float, float]], points: int):
+    """Function from batches of lengthscale pairs to frames of grid nodes with their log posterior."""
     axes = {p: np.exp(np.linspace(math.log(box[p][0]), math.log(box[p][1]), points)) for p in PARAMS}
+    # Nodes are equally spaced in log scale, hence the Jacobian x of each parameter.
+    weight = {p: _log_prior(p, axes[p]) + np.log(axes[p]) for p in PARAMS}
 
     def evaluate(batches):
         eta, sigma = (g.ravel() for g in np.meshgrid(axes["eta"], axes["sigma"], indexing="ij"))
-        # Nodes are equally spaced in log scale, hence the Jacobian x of each parameter.
-        scale_part = (_log_prior("eta", eta) + np.log(eta) + _log_prior("sigma", sigma) + np.log(sigma))
+        scales = (weight["eta"][:, None] + weight["sigma"][None, :]).ravel()
         for batch in batches:
-            for pair in batch["id"]:
-                ell_s, ell_t = axes["ell_spatial"][pair // points], axes["ell_temporal"][pair % points]
-                length_part = sum(float(_log_prior(p, np.array(x)) + np.log(x))
-                                  for p, x in (("ell_spatial", ell_s), ("ell_temporal", ell_t)))
-                yield pd.DataFrame({
-                    "pair": pair, "node": np.arange(len(eta)), "ell_spatial": ell_s, "ell_temporal": ell_t,
-                    "eta": eta, "sigma": sigma,
-                    "log_post": log_evidence(model, ell_s, ell_t, eta, sigma) + scale_part + length_part})
+            s, t = batch["id"].to_numpy() // points, batch["id"].to_numpy() % points
+            log_post = [log_evidence(model, axes["ell_spatial"][a], axes["ell_temporal"][b], eta, sigma)
+                        + scales + weight["ell_spatial"][a] + weight["ell_temporal"][b] for a, b in zip(s, t)]
+            nodes, pairs = len(eta), len(batch)
+            yield pd.DataFrame({
+                "pair": np.repeat(batch["id"].to_numpy(), nodes), "node": np.tile(np.arange(nodes), pairs),
+                "ell_spatial": np.repeat(axes["ell_spatial"][s], nodes),
+                "ell_temporal": np.repeat(axes["ell_temporal"][t], nodes),
+                "eta": np.tile(eta, pairs), "sigma": np.tile(sigma, pairs), "log_post": np.concatenate(log_post)})
 
-    slices = max(1, min(points, 4 * spark.sparkContext.defaultParallelism))
-    return spark.range(0, points * points, 1, slices).mapInPandas(
-        evaluate, "pair long, node long, ell_spatial double, ell_temporal double, eta double, sigma double, log_post double")
+    return evaluate
 
 
-def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Weighted grid over the hyper-parameters; weights sum to one.
+def _pairs(spark: SparkSession, points: int) -> DataFrame:
+    slices = max(1, min(points * points, spark.sparkContext.defaultParallelism))
+    return spark.range(0, points * points, 1, slices)
+
+
+def _profiles(spark: SparkSession, model: Fit, box: dict[str, tuple[float, float]], points: int) -> dict[str, dict[float, float]]:
+    """Best log posterior at every grid value of every parameter: 4 * points numbers."""
+    evaluate = _node_batches(model, box, points)
+
+    def best(batches):
+        for nodes in evaluate(batches):
+            yield pd.concat([nodes.groupby(p)["log_post"].max().rename_axis("x").reset_index().assign(param=p)
+                             for p in PARAMS])[["param", "x", "log_post"]]
+
+    rows = (_pairs(spark, points).mapInPandas(best, "param string, x double, log_post double")
+            .groupBy("param", "x").agg(F.max("log_post").alias("log_post")).collect())
+    return {p: {r.x: r.log_post for r in rows if r.param == p} for p in PARAMS}
 
-    A precise posterior falls between the nodes of a wide grid, so the box is narrowed to
-    the visible weight until it is resolved. Each round brings back one row of bounds.
+
+def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS,
+                 max_rounds: int = MAX_ROUNDS) -> dict[str, tuple[float, float]]:
+    """Bounds in which the posterior spans several grid values in every dimension.
+
+    A precise posterior falls between the nodes of a wide grid, so the box is moved to the
+    visible weight until it is resolved. Each round brings back one profile per parameter.
     """
+    scale = max(math.sqrt(model.yy / max(model.n, 1)), 1e-6)
     box = dict(FIRST_BOX)
+    box["sigma"] = tuple(min(b * scale, 12.0 * b) for b in FIRST_BOX["sigma"])
+    box["eta"] = tuple(min(b * scale, b) for b in FIRST_BOX["eta"])
     for _ in range(max_rounds):
-        nodes = settle(_grid(spark, model, box, points))
-        top = nodes.agg(F.max("log_post").alias("m")).first().m
-        seen = F.col("log_post") >= F.lit(top + math.log(VISIBLE))
-        kept = F.col("log_post") >= F.lit(top + math.log(KEEP))
-        row = nodes.agg(*[e for p in PARAMS for e in (
-            F.count_distinct(F.when(seen, F.col(p))).alias(f"n_{p}"),
-            F.min(F.when(kept, F.col(p))).alias(f"lo_{p}"),
-            F.max(F.when(kept, F.col(p))).alias(f"hi_{p}"))]).first()
-        if all(row[f"n_{p}"] >= RESOLVED_VALUES for p in PARAMS):
+        profiles = _profiles(spark, model, box, points)
+        top = max(v for profile in profiles.values() for v in profile.values())
+        seen = {p: [x for x, v in profiles[p].items() if v >= top + math.log(VISIBLE)] for p in PARAMS}
+        if all(len(xs) >= RESOLVED_VALUES for xs in seen.values()):
             break
-        new_box = {}
-        for p in PARAMS:
-            step = (box[p][1] / box[p][0]) ** (1.0 / (points - 1))
-            new_box[p] = (row[f"lo_{p}"] / step, row[f"hi_{p}"] * step)
-        if new_box == box:
+        kept = {p: [x for x, v in profiles[p].items() if v >= top + math.log(KEEP)] for p in PARAMS}
+        step = {p: (box[p][1] / box[p][0]) ** (1.0 / (points - 1)) for p in PARAMS}
+        moved = {p: (min(kept[p]) / step[p], max(kept[p]) * step[p]) for p in PARAMS}
+        if moved == box:
             break
-        box = new_box
-    weight = F.exp(F.col("log_post") - F.lit(top))
-    total = nodes.agg(F.sum(weight)).first()[0]
-    return nodes.withColumn("weight", weight / F.lit(total))
+        box = moved
+    return box
+
+
+def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """Weighted grid over the hyper-parameters, one row per node; weights sum to one."""
+    box = resolved_box(spark, model, points, max_rounds)
+    nodes = store(_pairs(spark, points).mapInPandas(
+        _node_batches(model, box, points),
+        "pair long, node long, ell_spatial double, ell_temporal double, eta double, sigma double, log_post double"), "nodes")
+    top = nodes.agg(F.max("log_post").alias("top")).scalar()
+    weight = F.exp(F.col("log_post") - top)
+    total = nodes.select(F.exp(F.col("log_post") - top).alias("w")).agg(F.sum("w").alias("total")).scalar()
+    return nodes.withColumn("weight", weight / total)
 
 
 def hyper_draws(posterior: DataFrame, n_samples: int, seed: int = 42) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from windrisk.functions import basis, geo, timefn
 from windrisk.operators import correlation, diagnostics, energy, features, hsgp, ranks, risk, snapshots, spatial
 from windrisk.plans import adapters, forecasting, serve
-from windrisk.session import configure, settle, work_path
+from windrisk.session import configure, store, work_path
 from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks
 from windrisk.streaming import jobs
 
@@ -275,7 +275,7 @@ def i1_freshness(spark, sf_dir):
 def i2_content_gate(spark, sf_dir):
     """The fit is repeated only if the snapshots changed or its result is gone."""
     folder = work_path(spark, "gold")
-    snaps = settle(_hourly(spark, sf_dir))
+    snaps = store(_hourly(spark, sf_dir))
     first = sinks.retrain_needed(snaps, folder, "model")
     sinks.mark_trained(snaps, folder, "model")
     no_result = sinks.retrain_needed(snaps, folder, "model")
@@ -290,7 +290,8 @@ def i2_content_gate(spark, sf_dir):
 @query("i3_missing_keys")
 def i3_missing_keys(spark, sf_dir):
     manifest = adapters.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
-    existing = adapters.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
+    urgent = adapters.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    existing = urgent.select(F.col("o_custkey").alias("key"))
     return gates.missing_keys(manifest, existing)
 
 
@@ -678,8 +679,8 @@ def a17_average_ranks(spark, sf_dir):
 
 @query("a17_ess")
 def a17_ess(spark, sf_dir):
-    chains = settle(adapters.chains(spark, sf_dir))
-    return diagnostics.ess_bulk(chains).join(diagnostics.ess_tail(chains), "param")
+    chains = store(adapters.chains(spark, sf_dir))
+    return diagnostics.ess(chains)
 
 
 @query("a17_divergences")
@@ -721,21 +722,21 @@ def a21_share_below(spark, sf_dir):
 
 @query("a23_sufficient_statistics", places=4)
 def a23_sufficient_statistics(spark, sf_dir):
-    rows = settle(features.features(_hourly(spark, sf_dir)))
+    rows = store(features.features(_hourly(spark, sf_dir)))
     stats = hsgp.sufficient_statistics(rows, hsgp.domain_of(rows))
     return stats
 
 
 @query("a24_hyper_posterior")
 def a24_hyper_posterior(spark, sf_dir):
-    model = hsgp.fit(settle(features.features(_hourly(spark, sf_dir))))
+    model = hsgp.fit(store(features.features(_hourly(spark, sf_dir))))
     nodes = hsgp.hyper_posterior(spark, model)
     return nodes.agg(*[F.sum(F.col(p) * F.col("weight")).alias(p) for p in hsgp.PARAMS], F.sum("weight").alias("weight"))
 
 
 @query("a25_predictive_draws")
 def a25_predictive_draws(spark, sf_dir):
-    snaps = settle(_hourly(spark, sf_dir))
+    snaps = store(_hourly(spark, sf_dir))
     return forecasting.predictive_draws(snaps, forecasting.train(snaps))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from windrisk.operators import features as feat
 from windrisk.operators import hsgp, risk, snapshots
 from windrisk.schemas import HORIZONS
-from windrisk.session import settle, small_side
+from windrisk.session import settle, small_side, store
 from windrisk.sources.files import empty_forecasts
 
 
@@ -26,7 +26,7 @@ def train(snaps: DataFrame, n_samples: int = 500, m_spatial: int = hsgp.M_SPATIA
     if not hsgp.enough_rows(snaps):
         return None
     index = feat.zone_index(snaps)
-    rows = feat.features(snaps, index=index)
+    rows = store(feat.features(snaps, index=index))
     model = hsgp.fit(rows, m_spatial, m_temporal, center_y=center_y)
     posterior = hsgp.hyper_posterior(snaps.sparkSession, model, points=grid_points)
     return Trained(model, settle(hsgp.hyper_draws(posterior, n_samples, seed)), index)
@@ -43,7 +43,7 @@ def forecast_table(snaps: DataFrame, trained: Trained | None, horizons=HORIZONS,
     """The forecast table; empty without a model."""
     if trained is None:
         return empty_forecasts(snaps.sparkSession)
-    draws = settle(predictive_draws(snaps, trained, horizons, seed))
+    draws = store(predictive_draws(snaps, trained, horizons, seed))
     stamps = small_side(draws.select("horizon_h", F.col("timestamp").alias("issued_for")).distinct())
     table = risk.forecasts(draws.drop("timestamp"))
     return (table.drop("timestamp").join(stamps, "horizon_h")
@@ -52,5 +52,5 @@ def forecast_table(snaps: DataFrame, trained: Trained | None, horizons=HORIZONS,
 
 def raw_to_forecasts(obs: DataFrame, n_samples: int = 500, hourly: bool = True, seed: int = 42) -> DataFrame:
     """Observations to forecasts: snapshots, model, draws, risk measures."""
-    snaps = settle(snapshots.snapshots(obs, hourly=hourly))
+    snaps = store(snapshots.snapshots(obs, hourly=hourly))
     return forecast_table(snaps, train(snaps, n_samples, seed=seed), seed=seed)

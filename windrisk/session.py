@@ -1,4 +1,8 @@
-"""Session settings, the shared work folder, and size-checked broadcasts."""
+"""Session settings, the shared work folder, and size-checked broadcasts.
+
+Work tables stay in the shared folder under `windrisk/`; like checkpoint files they are
+left for the cluster's own retention rule.
+"""
 
 import tempfile
 import uuid
@@ -37,11 +41,26 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so a lost executor costs no recompute."""
+    """Checkpoint a small or already shuffled result, so that it is computed once.
+
+    A checkpoint runs the last stage twice; for results that are large or costly to
+    compute in that stage, `store` is the better choice.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    A lost executor costs no recompute, every reader sees the same bits, and the planner
+    knows the true size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast `df` only if it has at most `max_rows` rows; else leave it to a shuffle join."""
     kept = settle(df)

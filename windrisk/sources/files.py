@@ -51,13 +51,17 @@ def energy_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """Long energy CSV under one or more prefixes, with `file_id`; malformed lines are kept apart.
 
     The schema is fixed, nothing is inferred. A line that does not fit keeps its text in
-    `_corrupt_record`; `good_rows` and `bad_rows` tell the two apart.
+    `_corrupt_record`; `good_rows` and `bad_rows` tell the two apart. All columns are parsed
+    whatever a query selects, or else a line would be good or bad depending on the query.
     """
     schema = T.StructType([*ENERGY_LONG.fields, T.StructField(CORRUPT, T.StringType())])
     frames = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True)
               .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(list(paths)))
-    return frames.select(F.col("_metadata.file_path").alias("file_id"), *schema.names)
+    # The CSV reader only checks the columns a plan asks for; the guard asks for all of them.
+    every_column = F.concat_ws("", *[F.col(c).cast("string") for c in schema.names])
+    guarded = F.when(F.length(every_column) >= 0, F.col(CORRUPT))
+    return frames.select(F.col("_metadata.file_path").alias("file_id"), *ENERGY_LONG.names, guarded.alias(CORRUPT))
 
 
 def good_rows(energy: DataFrame) -> DataFrame:

@@ -84,13 +84,17 @@ def _correlate(windows: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=CORRELATION_EVENT.names)
 
 
+def _by_time(a, b):
+    return F.when(a["at"] < b["at"], F.lit(-1)).when(a["at"] > b["at"], F.lit(1)).otherwise(F.lit(0))
+
+
 def window_correlations(snapshots: DataFrame) -> DataFrame:
     """Correlation event of every six-hour window, sliding by the hour; windows without a result are dropped."""
     hour_end = F.window_time("window")
     entry = F.struct("at", "timestamp", "regions")
     gathered = (snapshots.withColumn("at", hour_end)
                 .groupBy(F.window(hour_end, CORRELATION_WINDOW, CORRELATION_SLIDE).alias("w6"))
-                .agg(F.array_sort(F.collect_list(entry)).alias("snapshots")))
+                .agg(F.array_sort(F.collect_list(entry), _by_time).alias("snapshots")))
     events = gathered.select(F.col("w6.start").alias("window_start"), F.col("w6.end").alias("window_end"),
                              _correlate("snapshots").alias("event"))
     return events.select("window_start", "window_end", "event.*").where(F.col("zone_ids").isNotNull())
