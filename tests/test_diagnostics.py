@@ -37,7 +37,10 @@ def scores(x):
 
 
 def direct_ess(split):
-    """Loop form: pairs of autocorrelations up to the first negative pair, made non-increasing."""
+    """Loop form: pairs of autocorrelations up to the first negative pair, made non-increasing.
+
+    The last pair looked at, (n - 3) // 2 at most, counts by its even member only.
+    """
     m, n = split.shape
     centred = split - split.mean(axis=1, keepdims=True)
     acov = np.array([[(c[:n - k] * c[k:]).sum() / n for k in range(n)] for c in centred]).mean(axis=0)
@@ -45,11 +48,11 @@ def direct_ess(split):
     within = acov[0] * n / (n - 1)
     rho = [1.0] + [1 - (within - acov[k]) / total for k in range(1, n)]
     tau, ceiling, k = -1.0, np.inf, 0
-    while k + 1 < n and rho[k] + rho[k + 1] >= 0:
+    while k // 2 < (n - 3) // 2 and rho[k] + rho[k + 1] > 0:
         ceiling = min(ceiling, rho[k] + rho[k + 1])
         tau += 2 * ceiling
         k += 2
-    if k < n and rho[k] > 0:
+    if rho[k] > 0:
         tau += rho[k]
     return m * n / max(tau, 1 / np.log10(m * n))
 

@@ -27,15 +27,21 @@ def complete_timesteps(snaps: DataFrame, zones: Sequence[str]) -> DataFrame:
 
 def _pearson(covariance: Column, sd_a: Column, sd_b: Column) -> Column:
     """NULL, not an error, for a constant series; within [-1, 1]."""
-    raw = F.try_divide(covariance, sd_a * sd_b)
-    return F.least(F.greatest(raw, F.lit(-1.0)), F.lit(1.0))
+    scale = sd_a * sd_b
+    # `greatest` and `least` skip NULLs, so the constant case is decided first.
+    return F.when(scale > 0.0, F.least(F.greatest(covariance / scale, F.lit(-1.0)), F.lit(1.0)))
+
+
+def _cell(i: Column, j: Column, covariance: Column, sd_a: Column, sd_b: Column) -> Column:
+    """A series that varies is fully correlated with itself, without rounding."""
+    return F.when((i == j) & (sd_a > 0.0), F.lit(1.0)).otherwise(_pearson(covariance, sd_a, sd_b))
 
 
 def correlation_matrix(snaps: DataFrame, zones: Sequence[str] | None = None,
                        pivot_zones: int = PIVOT_ZONES) -> DataFrame:
     """(zone_a, zone_b, value) for all ordered pairs, over timesteps where every zone reports.
 
-    No self-join on the timestamp: a row holds all zones of a timestep, so all pairs come out
+    Fewer than two such timesteps give no rows. No self-join on the timestamp: a row holds all zones of a timestep, so all pairs come out
     of a single map-side aggregate.
     """
     zones = list(zones) if zones is not None else _zones_of(snaps)
@@ -56,12 +62,11 @@ def _pivoted(rows: DataFrame, n: int) -> DataFrame:
     sums = rows.agg(F.count(F.lit(1)).alias("n"),
                     *[F.stddev_pop(f"z{i}").alias(f"s{i}") for i in range(n)],
                     *[F.covar_pop(f"z{i}", f"z{j}").alias(f"c{i}_{j}") for i, j in pairs])
-    # Fewer than two timesteps give no correlation.
     cells = F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                 F.when(F.col("n") >= 2, _pearson(F.col(f"c{i}_{j}"), F.col(f"s{i}"), F.col(f"s{j}"))).alias("value"))
+                 _cell(F.lit(i), F.lit(j), F.col(f"c{i}_{j}"), F.col(f"s{i}"), F.col(f"s{j}")).alias("value"))
         for i, j in pairs])
-    return sums.select(F.inline(cells))
+    return sums.where(F.col("n") >= 2).select(F.inline(cells))
 
 
 def _partial_products(rows: DataFrame, n: int) -> DataFrame:
@@ -86,7 +91,8 @@ def _partial_products(rows: DataFrame, n: int) -> DataFrame:
     spread = sums.where("i = j").select(F.col("i").alias("k"), F.sqrt("s").alias("sd"))
     return (sums.join(spread.select(F.col("k").alias("i"), F.col("sd").alias("sd_i")), "i")
             .join(spread.select(F.col("k").alias("j"), F.col("sd").alias("sd_j")), "j")
-            .select("i", "j", F.when(F.col("n") >= 2, _pearson(F.col("s"), F.col("sd_i"), F.col("sd_j"))).alias("value")))
+            .where(F.col("n") >= 2)
+            .select("i", "j", _cell(F.col("i"), F.col("j"), F.col("s"), F.col("sd_i"), F.col("sd_j")).alias("value")))
 
 
 def zone_means(snaps: DataFrame) -> DataFrame:

@@ -182,12 +182,15 @@ def effective_size(acov: np.ndarray, n: int, m: int, between: float) -> tuple[fl
         return float(size), True
     rho = 1.0 - (within - acov[:n]) / total
     rho[0] = 1.0
-    pairs = rho[:len(rho) // 2 * 2].reshape(-1, 2).sum(axis=1)
-    negative = np.flatnonzero(pairs < 0.0)
-    count = int(negative[0]) if len(negative) else max(len(pairs) - 1, 0)
-    tau = -1.0 + 2.0 * np.minimum.accumulate(pairs[:count]).sum() if count else -1.0
-    tau += max(rho[2 * count], 0.0)
-    return size / max(tau, 1.0 / np.log10(size)), bool(len(negative)) or len(rho) >= n - 1
+    # The pair at which the sum ends counts by its even member only; the last lags have
+    # too few terms to be looked at.
+    last = max((n - 3) // 2, 0)
+    pairs = rho[:len(rho) // 2 * 2].reshape(-1, 2).sum(axis=1)[:last + 1]
+    stops = np.flatnonzero(pairs <= 0.0)
+    stop = int(stops[0]) if len(stops) else len(pairs) - 1
+    tau = -1.0 + 2.0 * np.minimum.accumulate(pairs[:stop]).sum() if stop else -1.0
+    tau += max(rho[2 * stop], 0.0)
+    return size / max(tau, 1.0 / np.log10(size)), bool(len(stops)) or len(pairs) == last + 1
 
 
 @F.pandas_udf(T.StructType([T.StructField("size", T.DoubleType()), T.StructField("ended", T.BooleanType())]))

@@ -17,8 +17,8 @@ SCENARIO = ["horizon_h", "sample_id"]
 
 
 def shortfall(value: Column, threshold: float = THRESHOLD_MPS) -> Column:
-    """How far below the threshold; never negative."""
-    return F.greatest(F.lit(threshold) - value, F.lit(0.0))
+    """How far below the threshold; never negative; NULL for a missing draw."""
+    return F.when(value < F.lit(threshold), F.lit(threshold) - value).when(value.isNotNull(), F.lit(0.0))
 
 
 def tail_risk(draws: DataFrame, threshold: float = THRESHOLD_MPS) -> DataFrame:

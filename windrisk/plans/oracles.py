@@ -93,7 +93,7 @@ complete AS (SELECT timestamp FROM hourly GROUP BY timestamp HAVING count(*) = (
 kept AS (SELECT * FROM hourly SEMI JOIN complete USING (timestamp)),
 corr AS (SELECT a.region_id AS zone_a, b.region_id AS zone_b,
     covar_pop(a.wind_speed_mps, b.wind_speed_mps) / nullif(stddev_pop(a.wind_speed_mps) * stddev_pop(b.wind_speed_mps), 0) AS value
-    FROM kept a JOIN kept b USING (timestamp) GROUP BY ALL)"""
+    FROM kept a JOIN kept b USING (timestamp) GROUP BY ALL HAVING count(*) >= 2)"""
 FEATURES = HOURLY + """,
 zone_index AS (SELECT region_id, row_number() OVER (ORDER BY region_id) - 1 AS zone_idx, count(*) OVER () AS n_zones
                FROM (SELECT DISTINCT region_id FROM hourly)),

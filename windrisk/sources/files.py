@@ -5,14 +5,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrisk.schemas import ENERGY_LONG, FORECAST, WEATHER
+from windrisk.schemas import ENERGY_LONG, FORECAST, GRID, WEATHER
 
 CORRUPT = "_corrupt_record"
 
 
+# Fixed value: newer grids name the time column `valid_time`, older ones `time`.
+TIME_COLUMNS = ("valid_time", "time", "timestamp")
+
+
 def rename_time(df: DataFrame) -> DataFrame:
-    """Newer grids name the time column `valid_time`, older ones `time`."""
-    for name in ("valid_time", "time"):
+    """The time column under its common name."""
+    for name in TIME_COLUMNS[:2]:
         if name in df.columns and "timestamp" not in df.columns:
             return df.withColumnRenamed(name, "timestamp")
     return df
@@ -28,13 +32,15 @@ def wind_alias(df: DataFrame) -> DataFrame:
 def weather_grid(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Every grid file under a prefix as (file_id, timestamp, latitude, longitude, u10, v10).
 
-    An unreadable file is skipped; the time column is the one the files carry.
+    An unreadable file is skipped. The schema is given, so no file is opened to infer it;
+    it names every known time column, those a file does not have read as NULL.
     """
-    reader = (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-              .option("ignoreCorruptFiles", True))
-    grid = rename_time(reader.parquet(path))
-    cells = [F.col(c).cast("double").alias(c) for c in ("latitude", "longitude", "u10", "v10")]
-    return grid.select(F.col("_metadata.file_path").alias("file_id"), F.col("timestamp").cast("timestamp"), *cells)
+    times = [T.StructField(name, T.TimestampType()) for name in TIME_COLUMNS]
+    schema = T.StructType([*times, *[f for f in GRID.fields if f.name != "timestamp"]])
+    grid = (spark.read.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+            .option("ignoreCorruptFiles", True).parquet(path))
+    return grid.select(F.col("_metadata.file_path").alias("file_id"),
+                       F.coalesce(*TIME_COLUMNS).alias("timestamp"), "latitude", "longitude", "u10", "v10")
 
 
 def skipped_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:

@@ -78,8 +78,10 @@ def _correlate(windows: pd.Series) -> pd.DataFrame:
         products = centred.T @ centred
         spread = np.sqrt(np.diag(products))
         scale = np.outer(spread, spread)
-        matrix = [[float(np.clip(p / s, -1.0, 1.0)) if s > 0 else None for p, s in zip(ps, ss)]
-                  for ps, ss in zip(products, scale)]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            ratio = np.clip(products / scale, -1.0, 1.0)
+        np.fill_diagonal(ratio, np.where(spread > 0, 1.0, np.nan))
+        matrix = [[None if np.isnan(c) else float(c) for c in row] for row in np.where(scale > 0, ratio, np.nan)]
         out.append((snapshots[-1]["timestamp"], zones, matrix, dict(zip(zones, values.mean(axis=0).tolist()))))
     return pd.DataFrame(out, columns=CORRELATION_EVENT.names)
 
