@@ -98,6 +98,18 @@ def test_hot_group_with_heavy_ties_by_bracket(spark):
     assert kth.loc["small", "cutoff"] == small.max()
 
 
+def test_narrow_buckets_and_outliers_are_cut_again(spark, monkeypatch):
+    """Far outliers put nearly all values into one bucket; it is cut until small, or sorted as it is."""
+    values = np.concatenate([np.random.default_rng(5).normal(0, 1, 20_000), [1e9, -1e12, 1e15]])
+    df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": values})).repartition(4)
+    want = np.quantile(values, [0.0, 0.3, 0.5, 0.99, 1.0])
+    for limit, cuts in ((100, 6), (100, 1)):
+        monkeypatch.setattr(ranks, "BUCKET_ROWS", limit)
+        monkeypatch.setattr(ranks, "MAX_CUTS", cuts)
+        got = ranks.quantiles(df, ["k"], "v", [0.0, 0.3, 0.5, 0.99, 1.0], in_memory_rows=0).drop("k").first()
+        assert np.allclose(list(got)[:4], want[:4], rtol=1e-12) and got[4] == want[4]
+
+
 def test_average_ranks_with_ties(spark):
     rng = np.random.default_rng(4)
     values = np.round(rng.normal(0, 1, 5000), 1)

@@ -37,7 +37,7 @@ def test_tie_goes_to_the_first_zone_and_far_cells_are_kept(spark):
     one = spatial.assign_zone(cells, {"ONLY": (1.0, 1.0)})
     assert one.count() == 2
     with pytest.raises(ValueError):
-        geo.nearest_zone(F.col("a"), F.col("b"), metric="miles")
+        spatial.assign_zone(cells, metric="miles")
 
 
 def test_no_join_and_no_python_in_the_zone_assignment(spark):

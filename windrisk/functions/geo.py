@@ -25,28 +25,19 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
 
 
-def nearest_zone(lat: Column, lon: Column, zones: Mapping[str, tuple[float, float]] = ZONES,
-                 metric: str = "degrees") -> Column:
-    """Id of the closest centroid; on a tie the zone listed first wins.
-
-    The zone list is configuration, so each centroid becomes a pair of literals
-    and the whole search is one projection: no join, no shuffle, one scan.
-    """
+def zone_distances(lat: Column, lon: Column, zones: Mapping[str, tuple[float, float]] = ZONES,
+                   metric: str = "degrees") -> list[Column]:
+    """One distance column per centroid: squared degrees, or km."""
     if metric not in ("degrees", "haversine"):
         raise ValueError(f"metric must be 'degrees' or 'haversine', got {metric!r}")
-    names = list(zones)
-    distances = []
+    out = []
     for zone_lat, zone_lon in zones.values():
         if metric == "degrees":
             dlat, dlon = lat - F.lit(float(zone_lat)), lon - F.lit(float(zone_lon))
-            distances.append(dlat * dlat + dlon * dlon)
+            out.append(dlat * dlat + dlon * dlon)
         else:
-            distances.append(haversine_km(lat, lon, F.lit(float(zone_lat)), F.lit(float(zone_lon))))
-    if len(names) == 1:
-        return F.when(lat.isNotNull() & lon.isNotNull(), F.lit(names[0]))
-    ranked = F.least(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(distances)])
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), ranked["i"] + 1)
-    return F.when(lat.isNotNull() & lon.isNotNull(), name)
+            out.append(haversine_km(lat, lon, F.lit(float(zone_lat)), F.lit(float(zone_lon))))
+    return out
 
 
 def _bessel_kernel(nu: float):

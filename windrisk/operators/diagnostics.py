@@ -54,12 +54,12 @@ def elbo_drift(history: DataFrame, in_memory_rows: int = ranks.IN_MEMORY_ROWS) -
     """
     tail = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(DRIFT_SHARE)))
     cuts = small_side(ranks.pick_ranks(history, ["run_id"], "iter", [
-        ranks.Pick("last_from", 1.0 - DRIFT_SHARE, lambda n: n - tail(n)),
-        ranks.Pick("prev_from", 1.0 - 2 * DRIFT_SHARE, lambda n: F.greatest(n - 2 * tail(n), F.lit(0))),
+        ranks.Pick("last", lambda n: n - tail(n), lambda n: n - tail(n)),
+        ranks.Pick("previous", lambda n: F.greatest(n - 2 * tail(n), F.lit(0)), lambda n: F.greatest(n - 2 * tail(n), F.lit(0))),
     ], in_memory_rows))
-    newest = F.col("iter") >= F.col("last_from")
+    newest = F.col("iter") >= F.col("last_lo")
     means = (history.join(cuts, "run_id")
-             .where((F.col("iter") >= F.col("prev_from")) & (F.col("n") >= DRIFT_MIN_POINTS))
+             .where((F.col("iter") >= F.col("previous_lo")) & (F.col("n") >= DRIFT_MIN_POINTS))
              .groupBy("run_id")
              .agg(F.avg(F.when(newest, F.col("elbo"))).alias("last_mean"),
                   F.avg(F.when(~newest, F.col("elbo"))).alias("prev_mean")))

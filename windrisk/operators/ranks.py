@@ -1,87 +1,120 @@
 """Exact order statistics, quantiles and ranks inside groups of any size.
 
 A group may hold a third of all rows, so no group is ever sorted whole in one task. Where
-every group is known to be small the plain aggregates are used; beyond that a mergeable
-sketch brackets each wanted rank, one counting pass finds how many values lie under the
-bracket, and only the values inside it (about 0.2 % of the group) are ordered.
+every group is known to be small the plain aggregates are used. Beyond that each group's
+range is cut into equal buckets and counted, which tells exactly which bucket holds a wanted
+rank; only the values of that bucket are looked at again. All passes are hash aggregates
+that combine before the shuffle.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrisk.schemas import QUANTILES
-from windrisk.session import small_side
-
-IN_MEMORY_ROWS = 200_000
-# The sketch is off by at most n / ACCURACY ranks; brackets are ten times as wide.
-ACCURACY = 10_000
-SLACK = 1e-3
-# Up to here the bracket is simply the whole group.
-WHOLE_GROUP = 10_000
+from windrisk.session import settle, small_side
+
+# Groups up to this size may be held in memory by an aggregate.
+IN_MEMORY_ROWS = 50_000
+BUCKETS = 1024
+# Buckets are cut again while one holds more distinct places than a task should order ...
+BUCKET_ROWS = 1_000_000
+# ... but not for ever: a sort with spilling handles whatever is left.
+MAX_CUTS = 4
 RANK_BUCKETS = 64
+SKETCH_ACCURACY = 10_000
+# A group's cut points are RANK_BUCKETS numbers, so this bounds the broadcast to a few MB.
+CUT_GROUPS = 10_000
+
+Rank = Callable[[Column], Column]
 
 
 @dataclass(frozen=True)
 class Pick:
-    """One wanted order statistic: its name, its fraction of the group, its 0-based ascending rank."""
+    """Wanted order statistics `<name>_lo` and `<name>_hi` at two near 0-based ascending ranks, given n."""
     name: str
-    fraction: float
-    rank: Callable[[Column], Column]
+    low: Rank
+    high: Rank
 
 
 def _values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Keys and value; rows with a missing key, a NULL or a NaN are left out."""
     return df.select(*keys, F.col(value).cast("double").alias("v")).dropna()
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+def _sizes(rows: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> tuple[DataFrame, int]:
+    """Size and range of every group, and the size of the largest one."""
+    sizes = settle(rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), *extra))
+    return sizes, sizes.agg(F.max("n")).first()[0] or 0
+
+
+def _narrowed(rows: DataFrame, by: Sequence[str], keys: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """Brackets reduced to the bucket, or the few buckets, that hold their ranks.
+
+    `by` is the key of a histogram: the group as long as all its brackets are the same,
+    then group and pick. Buckets follow the value monotonically, so the counts are exact
+    whatever the rounding; the new ends are values that occur.
+    """
+    bounds = small_side(brackets.groupBy(*by).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    width = F.col("hi") - F.col("lo")
+    bucket = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1))).otherwise(F.lit(0))
+    histogram = (rows.join(bounds, list(keys)).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                 .groupBy(*by, bucket.alias("bucket"))
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("last")))
+    running = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    placed = histogram.withColumn("upto", F.sum("c").over(running))
+    start, end = F.col("below") + F.col("upto") - F.col("c"), F.col("below") + F.col("upto")
+    return (placed.join(brackets.drop("lo", "hi"), list(by))
+            .where((end > F.col("low")) & (start <= F.col("high")))
+            .groupBy(*keys, "pick", "low", "high")
+            .agg(F.min("first").alias("lo"), F.max("last").alias("hi"),
+                 F.min(start).alias("below"), F.sum("c").alias("inside")))
+
+
+def _picked(rows: DataFrame, keys: Sequence[str], sizes: DataFrame, picks: Sequence[Pick]) -> DataFrame:
+    """(keys, pick columns) without ever ordering a whole group."""
+    n = F.col("n")
+    wanted = F.array(*[F.struct(F.lit(i).alias("pick"), p.low(n).cast("bigint").alias("low"), p.high(n).cast("bigint").alias("high"))
+                       for i, p in enumerate(picks)])
+    brackets = (sizes.select(*keys, F.col("least").alias("lo"), F.col("most").alias("hi"), F.lit(0).cast("bigint").alias("below"),
+                             n.alias("inside"), F.explode(wanted).alias("w"))
+                .select(*keys, "lo", "hi", "below", "inside", "w.*"))
+    by = list(keys)
+    for _ in range(MAX_CUTS):
+        brackets = settle(_narrowed(rows, by, keys, brackets))
+        by = [*keys, "pick"]
+        widest = brackets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0] or 0
+        if widest <= BUCKET_ROWS:
+            break
+    # The shuffle key holds the value, so a hot group spreads over all tasks; equal values fold.
+    inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+    counts = (rows.join(small_side(brackets), list(keys)).where(inside)
+              .groupBy(*keys, "pick", "low", "high", "below", "v").agg(F.count(F.lit(1)).alias("c")))
+    running = Window.partitionBy(*keys, "pick").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (counts.withColumn("end", F.col("below") + F.sum("c").over(running))
+              .withColumn("start", F.col("end") - F.col("c")))
+    def at(i: int, rank: str) -> Column:
+        here = (F.col("pick") == i) & (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
+        return F.max(F.when(here, F.col("v")))
+    return placed.groupBy(*keys).agg(*[e for i, p in enumerate(picks) for e in (
+        at(i, "low").alias(f"{p.name}_lo"), at(i, "high").alias(f"{p.name}_hi"))])
 
 
 def pick_ranks(df: DataFrame, keys: Sequence[str], value: str, picks: Sequence[Pick],
                in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
-    """One row per group: its size `n` and the value at each wanted rank."""
+    """One row per group: its size `n` and the values at the wanted ranks."""
     rows = _values(df, keys, value)
-    if largest_group(rows, keys) <= in_memory_rows:
-        sorted_groups = rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("v")).alias("vs"))
-        return sorted_groups.select(*keys, "n", *[
-            F.element_at("vs", (p.rank(F.col("n")) + 1).cast("int")).alias(p.name) for p in picks])
-    return _picked_by_bracket(rows, keys, picks)
-
-
-def _picked_by_bracket(rows: DataFrame, keys: Sequence[str], picks: Sequence[Pick]) -> DataFrame:
-    marks = [f for p in picks for f in (max(p.fraction - SLACK, 0.0), min(p.fraction + SLACK, 1.0))]
-    sketch = small_side(rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
-        F.percentile_approx("v", marks, ACCURACY).alias("marks")))
-    n = F.col("n")
-    wanted = F.array(*[
-        F.struct(
-            F.lit(i).alias("pick"),
-            p.rank(n).cast("bigint").alias("rank"),
-            F.when(n <= WHOLE_GROUP, F.col("least")).otherwise(F.col("marks")[2 * i]).alias("lo"),
-            F.when(n <= WHOLE_GROUP, F.col("most")).otherwise(F.col("marks")[2 * i + 1]).alias("hi"))
-        for i, p in enumerate(picks)])
-    # Values under the bracket fold into one NULL row per task before the shuffle; values in
-    # it keep their identity, and equal ones fold. The shuffle key holds the value, so a hot
-    # group spreads over all tasks.
-    counts = (rows.join(sketch.select(*keys, wanted.alias("wanted")), list(keys))
-              .select(*keys, "v", F.explode("wanted").alias("w"))
-              .where(F.col("v") <= F.col("w.hi"))
-              .select(*keys, "w.pick", "w.rank", F.when(F.col("v") >= F.col("w.lo"), F.col("v")).alias("v"))
-              .groupBy(*keys, "pick", "rank", "v").agg(F.count(F.lit(1)).alias("c")))
-    upto = Window.partitionBy(*keys, "pick").orderBy(F.col("v").asc_nulls_first())
-    placed = counts.withColumn("upto", F.sum("c").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    hit = placed.where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("c") <= F.col("rank")))
-    found = hit.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("pick") == i, F.col("v"))).alias(p.name) for i, p in enumerate(picks)])
-    def certain(name: str) -> Column:
-        outside = F.raise_error(F.lit("order statistic outside its bracket"))
-        return F.when(F.col(name).isNull(), outside.cast("double")).otherwise(F.col(name)).alias(name)
-    return found.join(sketch.select(*keys, "n"), list(keys)).select(*keys, "n", *[certain(p.name) for p in picks])
+    sizes, largest = _sizes(rows, keys)
+    if largest > in_memory_rows:
+        return _picked(rows, keys, sizes, picks).join(sizes.select(*keys, "n"), list(keys))
+    ordered = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("v")).alias("vs"))
+    def at(rank: Rank) -> Column:
+        return F.element_at("vs", (rank(F.col("n")) + 1).cast("int"))
+    return ordered.select(*keys, "n", *[e for p in picks for e in (
+        at(p.low).alias(f"{p.name}_lo"), at(p.high).alias(f"{p.name}_hi"))])
 
 
 def quantile_label(q: float, prefix: str = "p") -> str:
@@ -89,34 +122,43 @@ def quantile_label(q: float, prefix: str = "p") -> str:
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float] = QUANTILES,
-              prefix: str = "p", in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per probability (`p10`, `p50`, ...)."""
+              prefix: str = "p", in_memory_rows: int = IN_MEMORY_ROWS,
+              extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation, one column per probability (`p10`, `p50`, ...).
+
+    `extra` names further aggregates of the value, here called `v`; they ride along on a
+    pass that is made anyway.
+    """
     rows = _values(df, keys, value)
     names = [quantile_label(q, prefix) for q in probabilities]
-    if largest_group(rows, keys) <= in_memory_rows:
+    if len(set(names)) < len(names):
+        raise ValueError(f"probabilities {list(probabilities)} share a label: {names}")
+    more = [column.alias(name) for name, column in (extra or {}).items()]
+    more_names = list(extra or {})
+    sizes, largest = _sizes(rows, keys, more)
+    if largest <= in_memory_rows:
         packed = rows.groupBy(*keys).agg(
-            F.percentile("v", F.array(*[F.lit(float(q)) for q in probabilities])).alias("q"))
-        return packed.select(*keys, *[F.col("q")[i].alias(name) for i, name in enumerate(names)])
-    def position(q: float) -> Callable[[Column], Column]:
-        return lambda n: (n - 1) * F.lit(float(q))
-    picks = []
-    for q, name in zip(probabilities, names):
-        at = position(q)
-        picks.append(Pick(f"{name}_lo", q, lambda n, at=at: F.floor(at(n))))
-        picks.append(Pick(f"{name}_hi", q, lambda n, at=at: F.ceil(at(n))))
-    ends = _picked_by_bracket(rows, keys, picks)
+            F.percentile("v", F.array(*[F.lit(float(q)) for q in probabilities])).alias("q"), *more)
+        return packed.select(*keys, *[F.col("q")[i].alias(name) for i, name in enumerate(names)], *more_names)
+    def position(q: float) -> Column:
+        return (F.col("n") - 1) * F.lit(float(q))
+    def at(q: float, rounded) -> Rank:
+        return lambda n: rounded((n - 1) * F.lit(float(q)))
+    picks = [Pick(name, at(q, F.floor), at(q, F.ceil)) for q, name in zip(probabilities, names)]
+    ends = _picked(rows, keys, sizes, picks).join(sizes.select(*keys, "n", *more_names), list(keys))
     def blended(q: float, name: str) -> Column:
-        spot = position(q)(F.col("n"))
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        low, high, spot = F.col(f"{name}_lo"), F.col(f"{name}_hi"), position(q)
         return (low + (high - low) * (spot - F.floor(spot))).alias(name)
-    return ends.select(*keys, *[blended(q, name) for q, name in zip(probabilities, names)])
+    return ends.select(*keys, *[blended(q, name) for q, name in zip(probabilities, names)], *more_names)
 
 
 def kth_largest(df: DataFrame, keys: Sequence[str], value: str, fraction: float, name: str = "cutoff",
                 in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
     """Per group the k-th largest value with k = max(1, ceil(fraction * n)), and n."""
-    k = lambda n: F.greatest(F.lit(1), F.ceil(F.lit(float(fraction)) * n))
-    return pick_ranks(df, keys, value, [Pick(name, 1.0 - fraction, lambda n: n - k(n))], in_memory_rows)
+    def rank(n: Column) -> Column:
+        return n - F.greatest(F.lit(1), F.ceil(F.lit(float(fraction)) * n))
+    found = pick_ranks(df, keys, value, [Pick(name, rank, rank)], in_memory_rows)
+    return found.select(*keys, "n", F.col(f"{name}_lo").alias(name))
 
 
 def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -127,7 +169,7 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     rows = _values(df, keys, value)
     fractions = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
-    cuts = small_side(rows.groupBy(*keys).agg(F.percentile_approx("v", fractions, ACCURACY).alias("cuts")))
+    cuts = small_side(rows.groupBy(*keys).agg(F.percentile_approx("v", fractions, SKETCH_ACCURACY).alias("cuts")), CUT_GROUPS)
     bucket = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
     counts = (rows.join(cuts, list(keys))
               .groupBy(*keys, bucket.alias("bucket"), "v").agg(F.count(F.lit(1)).alias("c")))

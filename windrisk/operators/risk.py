@@ -66,9 +66,10 @@ def forecasts(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: float =
 
     `issued_for` gives the forecast timestamp, e.g. the last observation plus the horizon.
     """
-    out = (tail_risk(draws, threshold)
-           .join(cvar(draws, threshold, alpha), ZONE)
-           .join(quantiles(draws), ZONE))
+    # Tail risk rides along on the pass for the quantiles.
+    below = F.avg((F.col("v") < F.lit(threshold)).cast("double"))
+    bands = ranks.quantiles(draws, ZONE, "value", QUANTILES, "wind_p", extra={"p_shortfall": below})
+    out = bands.join(cvar(draws, threshold, alpha), ZONE)
     stamp = F.lit(None).cast("timestamp") if issued_for is None else issued_for
     typed = out.withColumn("timestamp", stamp)
     return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST])

@@ -12,9 +12,21 @@ from windrisk.schemas import ZONES
 
 def assign_zone(grid: DataFrame, zones: Mapping[str, tuple[float, float]] = ZONES,
                 metric: str = "degrees") -> DataFrame:
-    """Every cell goes to its nearest zone, however far away. Cells without a position are left out."""
-    zone = geo.nearest_zone(F.col("latitude"), F.col("longitude"), zones, metric)
-    return grid.withColumn("region_id", zone).where(F.col("region_id").isNotNull())
+    """Every cell goes to its nearest zone, however far away; on a tie the zone listed first wins.
+
+    The zone list is configuration, so each centroid is a pair of literals and the search is
+    a projection in generated code: no join, no shuffle. Cells without a position are left out.
+    """
+    names, columns = list(zones), grid.columns
+    lat, lon = F.col("latitude"), F.col("longitude")
+    distances = [d.alias(f"__d{i}") for i, d in enumerate(geo.zone_distances(lat, lon, zones, metric))]
+    placed = grid.where(lat.isNotNull() & lon.isNotNull()).select("*", *distances)
+    closest = F.least(*[F.col(f"__d{i}") for i in range(len(names))]) if len(names) > 1 else F.col("__d0")
+    placed = placed.select("*", closest.alias("__closest"))
+    zone = F.lit(names[-1])
+    for i in range(len(names) - 2, -1, -1):
+        zone = F.when(F.col(f"__d{i}") == F.col("__closest"), F.lit(names[i])).otherwise(zone)
+    return placed.select(*columns, zone.alias("region_id"))
 
 
 def zone_means_per_file(grid: DataFrame, zones: Mapping[str, tuple[float, float]] = ZONES,

@@ -18,6 +18,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Ranking filters `rn <= n` drop surplus rows before the shuffle for n up to this.
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
     return spark
 
 
