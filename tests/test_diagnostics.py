@@ -96,6 +96,15 @@ def test_ess(spark, arrays):
     assert got.loc["walk", "ess_bulk"] < 0.3 * got.loc["white", "ess_bulk"]
 
 
+def test_normal_scores_of_large_groups(spark, arrays):
+    split = diag.split_chains(chain_table(spark, {"ties": arrays["ties"], "walk": arrays["walk"]}))
+    order = ["param", "seq", "pos"]
+    small = diag.normal_scores(split).toPandas().sort_values(order)
+    large = diag.normal_scores(split, in_memory_rows=0).toPandas().sort_values(order)
+    assert list(small.columns) == list(large.columns) == ["param", "seq", "pos", "value"]
+    assert np.allclose(small.value, large.value) and list(small.seq) == list(large.seq)
+
+
 def test_autocovariance_blocks_change_nothing(spark, arrays):
     split = diag.split_chains(chain_table(spark, {"walk": arrays["walk"]}))
     whole = diag.autocovariance(split, 20).orderBy("lag").toPandas()

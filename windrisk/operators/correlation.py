@@ -7,19 +7,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrisk.session import store
+from windrisk.operators.features import zone_index
+from windrisk.session import settle, small_side, store
 
 # Up to this many zones one aggregate holds all pairs; beyond, partial products per task.
 PIVOT_ZONES = 24
 
 
-def _zones_of(snaps: DataFrame) -> list[str]:
-    """The zone list: a dimension, one short string per zone."""
-    return sorted(r.region_id for r in snaps.select("region_id").dropna().distinct().collect())
-
-
 def complete_timesteps(snaps: DataFrame, zones: Sequence[str]) -> DataFrame:
-    """One row per timestamp with the values of all zones as an array; incomplete ones are left out."""
+    """One row per timestamp with one column per zone; incomplete timesteps are left out."""
     values = snaps.where(F.col("region_id").isin(list(zones))).groupBy("timestamp").agg(*[
         F.avg(F.when(F.col("region_id") == z, F.col("wind_speed_mps"))).alias(f"z{i}") for i, z in enumerate(zones)])
     return values.dropna()
@@ -41,20 +37,31 @@ def correlation_matrix(snaps: DataFrame, zones: Sequence[str] | None = None,
                        pivot_zones: int = PIVOT_ZONES) -> DataFrame:
     """(zone_a, zone_b, value) for all ordered pairs, over timesteps where every zone reports.
 
-    Fewer than two such timesteps give no rows. No self-join on the timestamp: a row holds all zones of a timestep, so all pairs come out
-    of a single map-side aggregate.
+    Fewer than two such timesteps give no rows. No self-join on the timestamp: a row holds
+    all zones of a timestep, so all pairs come out of a single map-side aggregate.
     """
-    zones = list(zones) if zones is not None else _zones_of(snaps)
+    if zones is None:
+        some = snaps.select("region_id").dropna().distinct().limit(pivot_zones + 1).collect()
+        zones = sorted(r.region_id for r in some)
+        known = None
+    else:
+        known = list(zones)
+        snaps = snaps.where(F.col("region_id").isin(known))
+    if len(zones) > pivot_zones:
+        return _partial_products(snaps, known)
     if not zones:
         return snaps.sparkSession.createDataFrame([], "zone_a string, zone_b string, value double")
-    rows = complete_timesteps(snaps, zones)
-    upper = _pivoted(rows, len(zones)) if len(zones) <= pivot_zones else _partial_products(rows, len(zones))
+    upper = _pivoted(complete_timesteps(snaps, zones), len(zones))
     names = F.array(*[F.lit(z) for z in zones])
-    both = upper.select(F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j")))
-                                  .otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))))
-                        .alias("p"), "value")
-    return both.select(F.element_at(names, F.col("p.i") + 1).alias("zone_a"),
-                       F.element_at(names, F.col("p.j") + 1).alias("zone_b"), "value")
+    return _mirrored(upper).select(F.element_at(names, F.col("i") + 1).alias("zone_a"),
+                                   F.element_at(names, F.col("j") + 1).alias("zone_b"), "value")
+
+
+def _mirrored(upper: DataFrame) -> DataFrame:
+    """The upper triangle (i <= j) to the whole matrix."""
+    cell, turned = F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
+    places = F.when(F.col("i") == F.col("j"), F.array(cell)).otherwise(F.array(cell, turned))
+    return upper.select(F.explode(places).alias("p"), "value").select("p.i", "p.j", "value")
 
 
 def _pivoted(rows: DataFrame, n: int) -> DataFrame:
@@ -69,30 +76,44 @@ def _pivoted(rows: DataFrame, n: int) -> DataFrame:
     return sums.where(F.col("n") >= 2).select(F.inline(cells))
 
 
-def _partial_products(rows: DataFrame, n: int) -> DataFrame:
-    """Many zones: each task adds up its own centred products; only zone-by-zone sums are shuffled."""
-    columns = [f"z{i}" for i in range(n)]
-    rows = store(rows)
-    means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    center = np.array([0.0 if means[c] is None else means[c] for c in columns])
+def _partial_products(snaps: DataFrame, known: Sequence[str] | None = None) -> DataFrame:
+    """Many zones (all in the data, or the known ones): a timestep is one array, each task adds up products of centred arrays.
+
+    What is shuffled is one zone-by-zone triangle per task, the size of the result.
+    """
+    index = zone_index(snaps)
+    present = index.agg(F.count(F.lit(1))).first()[0]
+    n = present if known is None else len(set(known))
+    per_zone = (snaps.join(index.select("region_id", "zone_idx"), "region_id")
+                .groupBy("timestamp", "zone_idx").agg(F.avg("wind_speed_mps").alias("v")).dropna())
+    cells = F.array_sort(F.collect_list(F.struct("zone_idx", "v")))
+    rows = store(per_zone.groupBy("timestamp").agg(cells.alias("cells")).where(F.size("cells") == n)
+                 .select(F.transform("cells", lambda c: c["v"]).alias("v")), "timesteps")
+    # A known zone without data leaves no complete timestep.
+    center = np.zeros(n)
+    for place, mean in rows.select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.avg("v")).collect():
+        center[place] = mean
     up_i, up_j = np.triu_indices(n)
 
     def products(batches):
         total, count = np.zeros((n, n)), 0
         for batch in batches:
-            x = batch[columns].to_numpy(dtype=float) - center
+            x = np.stack(batch["v"].to_numpy()) - center
             total += x.T @ x
             count += len(x)
-        yield pd.DataFrame({"i": up_i.astype("int32"), "j": up_j.astype("int32"),
-                            "s": total[up_i, up_j], "n": count})
-
-    sums = (rows.mapInPandas(products, "i int, j int, s double, n long")
-            .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
-    spread = sums.where("i = j").select(F.col("i").alias("k"), F.sqrt("s").alias("sd"))
-    return (sums.join(spread.select(F.col("k").alias("i"), F.col("sd").alias("sd_i")), "i")
-            .join(spread.select(F.col("k").alias("j"), F.col("sd").alias("sd_j")), "j")
-            .where(F.col("n") >= 2)
-            .select("i", "j", _cell(F.col("i"), F.col("j"), F.col("s"), F.col("sd_i"), F.col("sd_j")).alias("value")))
+        yield pd.DataFrame({"i": up_i.astype("int32"), "j": up_j.astype("int32"), "s": total[up_i, up_j], "n": count})
+
+    sums = settle(rows.mapInPandas(products, "i int, j int, s double, n long")
+                  .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).where(F.col("n") >= 2))
+    spread = small_side(sums.where("i = j").select(F.col("i").alias("k"), F.sqrt("s").alias("sd")))
+    def sd_of(side: str) -> DataFrame:
+        return spread.select(F.col("k").alias(side), F.col("sd").alias(f"sd_{side}"))
+    upper = (sums.join(sd_of("i"), "i").join(sd_of("j"), "j")
+             .select("i", "j", _cell(F.col("i"), F.col("j"), F.col("s"), F.col("sd_i"), F.col("sd_j")).alias("value")))
+    def name_of(side: str, zone: str) -> DataFrame:
+        return index.select(F.col("zone_idx").alias(side), F.col("region_id").alias(zone))
+    return (_mirrored(upper).join(name_of("i", "zone_a"), "i").join(name_of("j", "zone_b"), "j")
+            .select("zone_a", "zone_b", "value"))
 
 
 def zone_means(snaps: DataFrame) -> DataFrame:

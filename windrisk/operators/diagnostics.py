@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from windrisk.operators import ranks
 from windrisk.operators.spatial import frobenius
-from windrisk.session import settle, small_side, store
+from windrisk.session import keep, small_side, store
 
 # Convergence windows, thresholds and quality gates.
 ELBO_WINDOW = 500
@@ -102,12 +102,11 @@ def _normal_score(p: pd.Series) -> pd.Series:
     return p.map(inverse)
 
 
-def normal_scores(values: DataFrame) -> DataFrame:
+def normal_scores(values: DataFrame, in_memory_rows: int = ranks.IN_MEMORY_ROWS) -> DataFrame:
     """`value` replaced by the normal quantile of its pooled average rank within the param."""
-    ranked = ranks.average_ranks(values, ["param"], "value")
-    scored = ranked.select("param", "value", _normal_score((F.col("rank") - 0.375) / (F.col("n") + 0.25)).alias("score"))
-    others = [c for c in values.columns if c != "value"]
-    return values.join(scored, ["param", "value"]).select(*others, F.col("score").alias("value"))
+    ranked = ranks.with_average_ranks(values, ["param"], "value", in_memory_rows)
+    score = _normal_score((F.col("rank") - 0.375) / (F.col("n") + 0.25))
+    return ranked.select(*[score.alias("value") if c == "value" else c for c in values.columns])
 
 
 def rhat(chains: DataFrame, method: str = "rank") -> DataFrame:
@@ -204,7 +203,7 @@ def _ess(split: DataFrame, lags: int = 128) -> DataFrame:
     while True:
         table = (autocovariance(split, lags).groupBy("param", "n", "m", "between")
                  .agg(F.array_sort(F.collect_list(F.struct("lag", "acov"))).alias("rows")))
-        found = settle(table.select("param", _sizes(F.col("rows")["acov"], "n", "m", "between").alias("e")))
+        found = keep(table.select("param", _sizes(F.col("rows")["acov"], "n", "m", "between").alias("e")))
         if found.where(~F.col("e.ended")).limit(1).count() == 0:
             return found.select("param", F.col("e.size").alias("ess"))
         lags *= 4
@@ -242,7 +241,7 @@ def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None) ->
     """Number of divergent draws, worst R-hat, smallest ESS, as (key, value) rows."""
     chains = store(chains)
     out = _metric(rhat(chains).agg(F.max("r_hat").alias("v")), F.col("v"), "max_r_hat")
-    sizes = settle(ess(chains))
+    sizes = keep(ess(chains))
     for name in ("ess_bulk", "ess_tail"):
         out = out.unionByName(_metric(sizes.agg(F.min(name).alias("v")), F.col("v"), f"min_{name}"))
     if sampler_stats is not None:

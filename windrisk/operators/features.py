@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from windrisk.functions.timefn import hours_between
 from windrisk.schemas import HORIZONS, TEMPORAL_SCALE_H
-from windrisk.session import settle, small_side
+from windrisk.session import keep, small_side
 
 
 def zone_index(snaps: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def zone_index(snaps: DataFrame) -> DataFrame:
 
     The global window runs over the distinct zones only, never over observations.
     """
-    zones = settle(snaps.select("region_id").dropna().distinct())
+    zones = keep(snaps.select("region_id").dropna().distinct())
     order = Window.orderBy("region_id")
     return small_side(zones.select(
         "region_id",

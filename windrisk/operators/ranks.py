@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrisk.schemas import QUANTILES
-from windrisk.session import settle, small_side
+from windrisk.session import keep, small_side
 
 # Groups up to this size may be held in memory by an aggregate.
 IN_MEMORY_ROWS = 50_000
@@ -44,9 +44,13 @@ def _values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.select(*keys, F.col(value).cast("double").alias("v")).dropna()
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def _sizes(rows: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> tuple[DataFrame, int]:
     """Size and range of every group, and the size of the largest one."""
-    sizes = settle(rows.groupBy(*keys).agg(
+    sizes = keep(rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), *extra))
     return sizes, sizes.agg(F.max("n")).first()[0] or 0
 
@@ -84,7 +88,7 @@ def _picked(rows: DataFrame, keys: Sequence[str], sizes: DataFrame, picks: Seque
                 .select(*keys, "lo", "hi", "below", "inside", "w.*"))
     by = list(keys)
     for _ in range(MAX_CUTS):
-        brackets = settle(_narrowed(rows, by, keys, brackets))
+        brackets = keep(_narrowed(rows, by, keys, brackets))
         by = [*keys, "pick"]
         widest = brackets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0] or 0
         if widest <= BUCKET_ROWS:
@@ -185,3 +189,12 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
             .select(*keys, F.col("v").alias(value),
                     (F.col("shift") + F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0).alias("rank"),
                     "n"))
+
+
+def with_average_ranks(df: DataFrame, keys: Sequence[str], value: str, in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
+    """`df` with the average rank of the value in its group, and the group's size `n`."""
+    if largest_group(df, keys) > in_memory_rows:
+        return df.join(average_ranks(df, keys, value), [*keys, value])
+    order, ties, group = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys, value), Window.partitionBy(*keys)
+    shared = (F.count(F.lit(1)).over(ties) - 1) / 2.0
+    return df.select("*", (F.rank().over(order) + shared).alias("rank"), F.count(F.lit(1)).over(group).alias("n"))

@@ -1,5 +1,6 @@
 """Grid cells to zones, zone-hour means and zone-pair matrices."""
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,9 @@ from windrisk.functions import geo
 from windrisk.functions.timefn import not_nan
 from windrisk.schemas import ZONES
 
+# Zones per slice of a pair matrix: a tile is at most about TILE * TILE rows.
+TILE = 256
+
 
 def assign_zone(grid: DataFrame, zones: Mapping[str, tuple[float, float]] = ZONES,
                 metric: str = "degrees") -> DataFrame:
@@ -55,13 +59,16 @@ def silver_weather(grid: DataFrame, zones: Mapping[str, tuple[float, float]] = Z
     return mean_of_files(zone_means_per_file(grid, zones, metric))
 
 
-def zone_pairs(zones: DataFrame, blocks: int = 1, columns: tuple[str, ...] = ("lat", "lon")) -> DataFrame:
+def zone_pairs(zones: DataFrame, blocks: int | None = None, columns: tuple[str, ...] = ("lat", "lon")) -> DataFrame:
     """Every ordered pair of zones, the full square matrix in long form.
 
     The matrix itself is the result, so its size is n * n. The zone list is cut into
-    `blocks` slices and the pairing is an equi-join on the (row slice, column slice)
-    of each tile: no task ever holds more than one tile, whatever the list's length.
+    slices and the pairing is an equi-join on the (row slice, column slice) of each tile,
+    so the work spreads over tasks however long the list is. `blocks` is the number of
+    slices; by default slices have about TILE zones.
     """
+    if blocks is None:
+        blocks = max(1, math.ceil(zones.count() / TILE))
     slice_of = F.pmod(F.xxhash64("region_id"), F.lit(blocks)).cast("int")
     every_slice = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     def side(suffix: str, own: str, other: str) -> DataFrame:
@@ -73,7 +80,7 @@ def zone_pairs(zones: DataFrame, blocks: int = 1, columns: tuple[str, ...] = ("l
             .drop("tile_row", "tile_col"))
 
 
-def distance_matrix(zones: DataFrame, blocks: int = 1) -> DataFrame:
+def distance_matrix(zones: DataFrame, blocks: int | None = None) -> DataFrame:
     """Great-circle km between all zones; symmetric, zero diagonal; an unplaced zone sits at (0, 0)."""
     placed = zones.select(
         "region_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from windrisk.operators import features as feat
 from windrisk.operators import hsgp, risk, snapshots
 from windrisk.schemas import HORIZONS
-from windrisk.session import settle, small_side, store
+from windrisk.session import keep, small_side, store
 from windrisk.sources.files import empty_forecasts
 
 
@@ -29,7 +29,7 @@ def train(snaps: DataFrame, n_samples: int = 500, m_spatial: int = hsgp.M_SPATIA
     rows = store(feat.features(snaps, index=index))
     model = hsgp.fit(rows, m_spatial, m_temporal, center_y=center_y)
     posterior = hsgp.hyper_posterior(snaps.sparkSession, model, points=grid_points)
-    return Trained(model, settle(hsgp.hyper_draws(posterior, n_samples, seed)), index)
+    return Trained(model, keep(hsgp.hyper_draws(posterior, n_samples, seed)), index)
 
 
 def predictive_draws(snaps: DataFrame, trained: Trained, horizons=HORIZONS, seed: int = 42) -> DataFrame:
