@@ -1,7 +1,8 @@
 """The registered queries: every operator on the shared test tables, whole tables throughout.
 
-Each query takes (spark, sf_dir). Results carry doubles rounded to six places and
-timestamps without zone, so that they can be compared with SQL on the same tables.
+Each query takes (spark, sf_dir). Results carry rounded doubles (six places unless the
+values often end just there) and timestamps without zone, so that they can be compared
+with SQL on the same tables.
 """
 
 import datetime as dt
@@ -197,7 +198,7 @@ def k3_bulk_append(spark, sf_dir):
     return total("weather_obs", "wind_speed_mps").unionByName(total("spot_prices", "price_eur_mwh"))
 
 
-@query("k4_replace_table")
+@query("k4_replace_table", places=8)
 def k4_replace_table(spark, sf_dir):
     asset = ["gold", "snapshots", uuid.uuid4().hex]
     place = work_path(spark, "table")
@@ -376,12 +377,12 @@ def p7_matern_any_nu(spark, sf_dir):
     return distances.select("zone_a", "zone_b", value.alias("value"))
 
 
-@query("p8_elapsed_hours")
+@query("p8_elapsed_hours", places=4)
 def p8_elapsed_hours(spark, sf_dir):
     return features.elapsed_hours(adapters.obs(spark, sf_dir)).select("timestamp", "region_id", "hours")
 
 
-@query("p9_features")
+@query("p9_features", places=8)
 def p9_features(spark, sf_dir):
     return features.features(_hourly(spark, sf_dir))
 
@@ -472,7 +473,7 @@ def f8_minimum_rows(spark, sf_dir):
         F.lit(hsgp.enough_rows(rows.where("region_id = 'none'"))).alias("empty_is_enough"))
 
 
-@query("f9_null_keys_dropped")
+@query("f9_null_keys_dropped", places=8)
 def f9_null_keys_dropped(spark, sf_dir):
     rows = adapters.obs(spark, sf_dir).withColumn("region_id", F.nullif(F.col("region_id"), F.lit("error")))
     return snapshots.snapshots(rows, hourly=True)
@@ -507,7 +508,7 @@ def j4_zones_by_horizon(spark, sf_dir):
     return features.horizon_points(adapters.zone_obs(spark, sf_dir)).select("region_id", "horizon_h")
 
 
-@query("j5_hour_scaffold")
+@query("j5_hour_scaffold", places=8)
 def j5_hour_scaffold(spark, sf_dir):
     rows = adapters.obs(spark, sf_dir)
     return snapshots.fill_scaffold(snapshots.hour_scaffold(rows), snapshots.snapshots(rows, hourly=True))
@@ -573,7 +574,7 @@ def a4_energy_wide(spark, sf_dir):
     return energy.wide(energy.normalise(adapters.energy(spark, sf_dir)))
 
 
-@query("a4_energy_wide_hourly")
+@query("a4_energy_wide_hourly", places=8)
 def a4_energy_wide_hourly(spark, sf_dir):
     """Points of an hour averaged before they are set side by side."""
     docs = adapters.xml_docs(spark, sf_dir)
@@ -582,12 +583,12 @@ def a4_energy_wide_hourly(spark, sf_dir):
     return energy.wide(energy.normalise(points), hourly=True)
 
 
-@query("a5_snapshots")
+@query("a5_snapshots", places=8)
 def a5_snapshots(spark, sf_dir):
     return snapshots.snapshots(adapters.obs(spark, sf_dir))
 
 
-@query("a5_snapshots_hourly")
+@query("a5_snapshots_hourly", places=8)
 def a5_snapshots_hourly(spark, sf_dir):
     return _hourly(spark, sf_dir)
 

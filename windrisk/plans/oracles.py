@@ -161,7 +161,7 @@ ORACLES = {
         FROM raw_energy WHERE timestamp >= TIMESTAMP '1996-07-01' AND timestamp < TIMESTAMP '1998-02-15' GROUP BY ALL""",
     "k3_bulk_append": f"""WITH {OBS}, {PRICES} SELECT 'weather_obs' AS table_name, region_id, 2 * count(*) AS n_rows, {r('2 * sum(wind_speed_mps)', 'total')} FROM obs GROUP BY ALL
         UNION ALL SELECT 'spot_prices', region_id, 2 * count(*), {r('2 * sum(price_eur_mwh)', 'total')} FROM prices GROUP BY ALL""",
-    "k4_replace_table": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps')} FROM hourly",
+    "k4_replace_table": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps', 8)} FROM hourly",
     "k5_write_if_changed": "SELECT event_type AS region_id, 2 * count(*) AS n_rows, true AS first, false AS again, true AS changed, false AS nothing FROM events GROUP BY ALL",
     "k6_noop_with_count": f"WITH {NEAREST} SELECT count(*) AS n_rows FROM silver",
     "k7_csv_round_trip": f"WITH {RAW_ENERGY} SELECT strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, code AS region_id, variable, {r('sum(value_mwh)', 'value_mwh')} FROM raw_energy GROUP BY ALL",
@@ -192,8 +192,8 @@ ORACLES = {
     "p7_matern": f"""WITH {ZONES25} SELECT zone_a, zone_b, {r(f"4 * ({matern('1.5')})", 'nu_1_5')},
         {r(f"4 * ({matern('0.5')})", 'nu_0_5')}, {r(f"4 * ({matern('2.5')})", 'nu_2_5')} FROM km""",
     "p7_matern_any_nu": f"WITH {ZONES25} SELECT zone_a, zone_b, {r(matern('1.5'), 'value')} FROM km",
-    "p8_elapsed_hours": f"WITH {OBS} SELECT timestamp, region_id, {r('epoch(timestamp - (SELECT min(timestamp) FROM obs)) / 3600.0', 'hours')} FROM obs",
-    "p9_features": f"WITH {FEATURES} SELECT timestamp, region_id, {r('x_s', 'x_s')}, {r('x_t', 'x_t')}, {r('y', 'y')} FROM features",
+    "p8_elapsed_hours": f"WITH {OBS} SELECT timestamp, region_id, {r('(epoch_us(timestamp) - (SELECT min(epoch_us(timestamp)) FROM obs)) / CAST(3.6e9 AS DOUBLE)', 'hours', 4)} FROM obs",
+    "p9_features": f"WITH {FEATURES} SELECT timestamp, region_id, {r('x_s', 'x_s', 8)}, {r('x_t', 'x_t', 8)}, {r('y', 'y', 8)} FROM features",
     "p11_rounding": f"SELECT l_quantity, {r('max(round(l_quantity / 4, 1))', 'half_up')}, {r('max(round_even(l_quantity / 4, 1))', 'half_even')}, {r('max(round(l_quantity / 7, 4))', 'four_places')} FROM lineitem GROUP BY l_quantity",
     "p12_iso_text": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS text FROM events",
     "p13_shortfall": f"WITH {DRAWS} SELECT horizon_h, region_id, {r('sum(greatest(3.0 - value, 0.0))', 'shortfall')}, {r('max(greatest(3.0 - value, 0.0))', 'worst')} FROM draws GROUP BY ALL",
@@ -213,7 +213,7 @@ ORACLES = {
     "f5_alerts": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall', 'p_shortfall')} FROM tail_risk WHERE p_shortfall >= 0.2",
     "f6_at_risk": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall', 'p_shortfall')}, region_id || ' @ +' || horizon_h || 'h' AS label FROM tail_risk WHERE p_shortfall > 0.1",
     "f8_minimum_rows": "SELECT count(*) AS n_rows, count(*) >= 10 AS enough, false AS empty_is_enough FROM events",
-    "f9_null_keys_dropped": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps')} FROM hourly WHERE region_id <> 'error'",
+    "f9_null_keys_dropped": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps', 8)} FROM hourly WHERE region_id <> 'error'",
     "j1_nearest_zone": f"WITH {NEAREST} SELECT latitude, longitude, region_id, count(*) AS n_rows FROM grid JOIN nearest USING (latitude, longitude) GROUP BY ALL",
     "j1_nearest_zone_km": f"""WITH {GRID}, {ZONES}, cells AS (SELECT DISTINCT latitude, longitude FROM grid),
         halves AS (SELECT c.*, z.idx, z.region_id, pow(sin(radians(z.lat - c.latitude) / 2), 2)
@@ -225,7 +225,7 @@ ORACLES = {
     "j4_zones_by_horizon": """SELECT region_id, CAST(horizon_h AS INTEGER) AS horizon_h FROM (SELECT DISTINCT CASE event_type WHEN 'view' THEN 'SE1' WHEN 'click' THEN 'SE3'
         WHEN 'purchase' THEN 'NO1' WHEN 'signup' THEN 'DK1' ELSE 'FI' END AS region_id FROM events), (VALUES (24), (48), (72)) h(horizon_h)""",
     "j5_hour_scaffold": f"""WITH {HOURLY}, hours AS (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp FROM hourly)
-        SELECT h.timestamp, z.region_id, {r('s.wind_speed_mps', 'wind_speed_mps')} FROM hours h CROSS JOIN (SELECT DISTINCT region_id FROM hourly) z
+        SELECT h.timestamp, z.region_id, {r('s.wind_speed_mps', 'wind_speed_mps', 8)} FROM hours h CROSS JOIN (SELECT DISTINCT region_id FROM hourly) z
         LEFT JOIN hourly s ON s.timestamp = h.timestamp AND s.region_id = z.region_id""",
     "j6_zone_index": "SELECT region_id, CAST(row_number() OVER (ORDER BY region_id) - 1 AS INTEGER) AS zone_idx, CAST(count(*) OVER () AS INTEGER) AS n_zones FROM (SELECT DISTINCT event_type AS region_id FROM events)",
     "j8_in_drought": f"WITH {HOURLY}, {FLAGS}, {PRICES} SELECT timestamp, region_id, {r('price_eur_mwh', 'price_eur_mwh')} FROM prices WHERE timestamp IN (SELECT timestamp FROM flags WHERE is_drought)",
@@ -247,10 +247,10 @@ ORACLES = {
     "a4_energy_wide_hourly": f"""WITH {POINTS}, per_hour AS (SELECT date_trunc('hour', timestamp) AS timestamp,
             CASE region_id WHEN 'view' THEN 'SE1' WHEN 'click' THEN 'SE3' ELSE 'NO1' END AS region_id, variable, avg(value_mwh) AS v
             FROM points WHERE variable <> 'load_mwh' GROUP BY ALL)
-        SELECT timestamp, region_id, {r("coalesce(sum(v) FILTER (variable = 'B19'), 0)", 'wind_onshore_mwh')},
-        {r("coalesce(sum(v) FILTER (variable = 'B18'), 0)", 'wind_offshore_mwh')}, CAST(NULL AS DOUBLE) AS total_load_mwh FROM per_hour GROUP BY ALL""",
-    "a5_snapshots": f"WITH {OBS} SELECT timestamp, region_id, {r('avg(wind_speed_mps)', 'wind_speed_mps')} FROM obs GROUP BY ALL",
-    "a5_snapshots_hourly": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps')} FROM hourly",
+        SELECT timestamp, region_id, {r("coalesce(sum(v) FILTER (variable = 'B19'), 0)", 'wind_onshore_mwh', 8)},
+        {r("coalesce(sum(v) FILTER (variable = 'B18'), 0)", 'wind_offshore_mwh', 8)}, CAST(NULL AS DOUBLE) AS total_load_mwh FROM per_hour GROUP BY ALL""",
+    "a5_snapshots": f"WITH {OBS} SELECT timestamp, region_id, {r('avg(wind_speed_mps)', 'wind_speed_mps', 8)} FROM obs GROUP BY ALL",
+    "a5_snapshots_hourly": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps', 8)} FROM hourly",
     "a6_extent": f"WITH {OBS} SELECT count(*) AS n_rows, count(DISTINCT region_id) AS n_zones, count(DISTINCT timestamp) AS n_timesteps FROM obs",
     "a7_span": f"WITH {OBS} SELECT min(timestamp) AS t_min, max(timestamp) AS t_max, {r('epoch(max(timestamp) - min(timestamp)) / 3600.0', 'span_hours')} FROM obs",
     "a8_droughts": f"WITH {HOURLY}, {FLAGS} SELECT * FROM flags",
