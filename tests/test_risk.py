@@ -98,6 +98,30 @@ def test_hot_group_with_heavy_ties_by_bracket(spark):
     assert kth.loc["small", "cutoff"] == small.max()
 
 
+def test_cvar_with_a_hot_horizon(spark):
+    """Nearly all scenarios belong to one horizon, and half of its totals are equal."""
+    rng = np.random.default_rng(11)
+    hot = rng.normal(3, 1, (6000, 2))
+    hot[:3000] = 9.0
+    draws = long(spark, hot, 24).unionByName(long(spark, rng.normal(4, 2, (30, 2)), 48)).repartition(5)
+    for alpha in (0.05, 0.7):
+        got = risk.cvar(draws, alpha=alpha, in_memory_rows=0).orderBy("horizon_h", "region_id").toPandas()
+        again = risk.cvar(draws, alpha=alpha).orderBy("horizon_h", "region_id").toPandas()
+        assert np.allclose(got[got.horizon_h == 24].cvar_shortfall, expected_cvar(hot, alpha=alpha), atol=1e-12)
+        assert np.allclose(got.cvar_shortfall, again.cvar_shortfall, atol=1e-12)
+
+
+def test_missing_draws_are_skipped(spark):
+    df = spark.createDataFrame([(24, 0, "a", None), (24, 1, "a", 1.0)], "horizon_h int, sample_id int, region_id string, value double")
+    assert df.select(risk.shortfall(F.col("value")).alias("s")).where("s IS NULL").count() == 1
+    assert risk.tail_risk(df).first().p_shortfall == 1.0
+
+
+def test_shared_labels_are_refused(spark):
+    with pytest.raises(ValueError):
+        ranks.quantiles(long(spark, np.ones((3, 1))), ["region_id"], "value", [0.5, 0.501])
+
+
 def test_narrow_buckets_and_outliers_are_cut_again(spark, monkeypatch):
     """Far outliers put nearly all values into one bucket; it is cut until small, or sorted as it is."""
     values = np.concatenate([np.random.default_rng(5).normal(0, 1, 20_000), [1e9, -1e12, 1e15]])

@@ -237,8 +237,14 @@ def _metric(df: DataFrame, value: Column, key: str) -> DataFrame:
     return df.select(F.lit(key).alias("key"), value.cast("double").alias("value"))
 
 
-def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None) -> DataFrame:
-    """Number of divergent draws, worst R-hat, smallest ESS, as (key, value) rows."""
+def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None,
+                  params: Sequence[str] | None = None) -> DataFrame:
+    """Number of divergent draws, worst R-hat, smallest ESS, as (key, value) rows.
+
+    `params` limits R-hat and ESS to the named parameters.
+    """
+    if params is not None:
+        chains = chains.where(F.col("param").isin(list(params)))
     chains = store(chains)
     out = _metric(rhat(chains).agg(F.max("r_hat").alias("v")), F.col("v"), "max_r_hat")
     sizes = keep(ess(chains))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions.basis import phase
-from windrisk.session import settle, store
+from windrisk.session import keep, small_side, store
 
 # Basis size, boundary factor, minimum rows, and the priors
 # ell_spatial ~ InvGamma(3, 0.5), ell_temporal ~ InvGamma(3, 1), eta ~ HalfNormal(3), sigma ~ HalfNormal(2).
@@ -33,8 +33,8 @@ PRIORS = {
 }
 PARAMS = list(PRIORS)
 
-# First quadrature box; later rounds move and shrink it. The scales are multiples of the
-# root mean square of the data, kept where the priors have mass.
+# First quadrature box; later rounds move and shrink it. eta and sigma are scaled by the
+# root mean square of the data, but never beyond what the priors allow.
 FIRST_BOX = {"ell_spatial": (0.02, 8.0), "ell_temporal": (0.02, 16.0), "eta": (0.05, 16.0), "sigma": (0.02, 2.0)}
 GRID_POINTS = 16
 MAX_ROUNDS = 10
@@ -401,13 +401,14 @@ def fixed_count(draws: DataFrame, n_samples: int, group: str = "horizon_h", seed
     scenarios = draws.select(group, "sample_id").distinct()
     order = Window.partitionBy(group).orderBy("sample_id")
     # A literal limit on row_number lets every task drop surplus ids before the shuffle.
-    first = settle(scenarios.withColumn("slot", F.row_number().over(order)).where(F.col("slot") <= n_samples))
+    first = keep(scenarios.withColumn("slot", F.row_number().over(order)).where(F.col("slot") <= n_samples))
     have = first.groupBy(group).agg(F.count(F.lit(1)).alias("have"))
     slots = have.select(group, "have", F.explode(F.sequence(F.lit(1), F.lit(n_samples))).alias("new_id"))
     picked = slots.select(
         group, (F.col("new_id") - 1).alias("new_id"),
         F.when(F.col("have") == n_samples, F.col("new_id"))
         .otherwise(F.pmod(F.xxhash64(group, "new_id", F.lit(seed)), F.col("have")) + 1).alias("slot"))
-    chosen = picked.join(first, [group, "slot"]).select(group, "sample_id", "new_id")
+    # n_samples rows per group: with few groups the draws are not shuffled at all.
+    chosen = small_side(picked.join(first, [group, "slot"]).select(group, "sample_id", "new_id"))
     others = [c for c in draws.columns if c not in (group, "sample_id")]
     return draws.join(chosen, [group, "sample_id"]).select(group, F.col("new_id").alias("sample_id"), *others)

@@ -49,8 +49,9 @@ def tail_scenarios(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: fl
 def cvar(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: float = CVAR_ALPHA,
          in_memory_rows: int = ranks.IN_MEMORY_ROWS) -> DataFrame:
     """Mean zone shortfall over the tail scenarios."""
-    tail = tail_scenarios(draws, threshold, alpha, in_memory_rows)
-    return (draws.join(tail.select(*SCENARIO), SCENARIO, "left_semi")
+    # A short tail is broadcast, and the draws are only scanned; a long one is shuffled.
+    tail = small_side(tail_scenarios(draws, threshold, alpha, in_memory_rows).select(*SCENARIO))
+    return (draws.join(tail, SCENARIO, "left_semi")
             .groupBy(*ZONE)
             .agg(F.avg(shortfall(F.col("value"), threshold)).alias("cvar_shortfall")))
 
