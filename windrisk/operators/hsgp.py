@@ -252,8 +252,8 @@ def _profiles(spark: SparkSession, model: Fit, box: dict[str, tuple[float, float
 
 
 def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS,
-                 max_rounds: int = MAX_ROUNDS) -> dict[str, tuple[float, float]]:
-    """Bounds in which the posterior spans several grid values in every dimension.
+                 max_rounds: int = MAX_ROUNDS) -> tuple[dict[str, tuple[float, float]], float]:
+    """Bounds in which the posterior spans several grid values in every dimension, and its top there.
 
     A precise posterior falls between the nodes of a wide grid, so the box is moved to the
     visible weight until it is resolved. Each round brings back one profile per parameter.
@@ -262,31 +262,29 @@ def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS,
     box = dict(FIRST_BOX)
     box["sigma"] = tuple(min(b * scale, 12.0 * b) for b in FIRST_BOX["sigma"])
     box["eta"] = tuple(min(b * scale, b) for b in FIRST_BOX["eta"])
-    for _ in range(max_rounds):
+    for attempt in range(max_rounds):
         profiles = _profiles(spark, model, box, points)
         top = max(v for profile in profiles.values() for v in profile.values())
         seen = {p: [x for x, v in profiles[p].items() if v >= top + math.log(VISIBLE)] for p in PARAMS}
-        if all(len(xs) >= RESOLVED_VALUES for xs in seen.values()):
-            break
         kept = {p: [x for x, v in profiles[p].items() if v >= top + math.log(KEEP)] for p in PARAMS}
         step = {p: (box[p][1] / box[p][0]) ** (1.0 / (points - 1)) for p in PARAMS}
         moved = {p: (min(kept[p]) / step[p], max(kept[p]) * step[p]) for p in PARAMS}
-        if moved == box:
-            break
+        resolved = all(len(xs) >= RESOLVED_VALUES for xs in seen.values())
+        if resolved or moved == box or attempt == max_rounds - 1:
+            return box, top
         box = moved
-    return box
+    raise ValueError("max_rounds must be at least 1")
 
 
 def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Weighted grid over the hyper-parameters, one row per node; weights sum to one."""
-    box = resolved_box(spark, model, points, max_rounds)
+    box, top = resolved_box(spark, model, points, max_rounds)
     nodes = store(_pairs(spark, points).mapInPandas(
         _node_batches(model, box, points),
         "pair long, node long, ell_spatial double, ell_temporal double, eta double, sigma double, log_post double"), "nodes")
-    top = nodes.agg(F.max("log_post").alias("top")).scalar()
-    weight = F.exp(F.col("log_post") - top)
-    total = nodes.select(F.exp(F.col("log_post") - top).alias("w")).agg(F.sum("w").alias("total")).scalar()
-    return nodes.withColumn("weight", weight / total)
+    weight = F.exp(F.col("log_post") - F.lit(top))
+    total = nodes.agg(F.sum(weight)).first()[0]
+    return nodes.withColumn("weight", weight / F.lit(total))
 
 
 def hyper_draws(posterior: DataFrame, n_samples: int, seed: int = 42) -> DataFrame:

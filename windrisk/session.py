@@ -64,20 +64,24 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _kept(df: DataFrame, local_rows: int) -> tuple[DataFrame, bool]:
+    table = df.limit(local_rows + 1).toArrow()
+    if table.num_rows <= local_rows:
+        return df.sparkSession.createDataFrame(table, schema=df.schema), True
+    return settle(df), False
+
+
 def keep(df: DataFrame, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """Compute a result once: held by the driver if it has at most `local_rows` rows, else checkpointed.
 
     Most kept results are a handful of groups, zones or runs; those cost one job and no file.
     """
-    table = df.limit(local_rows + 1).toArrow()
-    if table.num_rows <= local_rows:
-        return df.sparkSession.createDataFrame(table, schema=df.schema)
-    return settle(df)
+    return _kept(df, local_rows)[0]
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast `df` only if it has at most `max_rows` rows; else leave it to a shuffle join."""
-    kept = keep(df, min(LOCAL_ROWS, max_rows))
-    if kept.limit(max_rows + 1).count() <= max_rows:
+    kept, is_local = _kept(df, min(LOCAL_ROWS, max_rows))
+    if is_local or kept.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(kept)
     return kept
