@@ -1,15 +1,17 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import digest_merge, mixing, piece_bpe
+from windrisk.llm import digest_merge, mixing, piece_bpe, revisits
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op3_tree_merge_dedup": digest_merge.op3_tree_merge_dedup,
+    "op5_revisits": revisits.op5_revisits,
     "op7_epoch_mix": mixing.op7_epoch_mix,
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
 }
 
 ORACLES: dict[str, str] = {
     "op3_tree_merge_dedup": digest_merge.OP3_SQL,
+    "op5_revisits": revisits.OP5_SQL,
     "op7_epoch_mix": mixing.OP7_SQL,
 }
