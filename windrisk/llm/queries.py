@@ -1,10 +1,11 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import digest_merge, mixing, piece_bpe, revisits
+from windrisk.llm import circulant, digest_merge, mixing, piece_bpe, revisits
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op3_tree_merge_dedup": digest_merge.op3_tree_merge_dedup,
+    "op4_circulant_minhash": circulant.op4_circulant_minhash,
     "op5_revisits": revisits.op5_revisits,
     "op7_epoch_mix": mixing.op7_epoch_mix,
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
