@@ -1,6 +1,6 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import circulant, digest_merge, langid, mixing, piece_bpe, revisits
+from windrisk.llm import circulant, digest_merge, langid, mixing, piece_bpe, revisits, toxic
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -8,6 +8,7 @@ QUERIES: dict[str, Query] = {
     "op4_circulant_minhash": circulant.op4_circulant_minhash,
     "op5_revisits": revisits.op5_revisits,
     "op7_epoch_mix": mixing.op7_epoch_mix,
+    "op8_automata_toxicity": toxic.op8_automata_toxicity,
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
     "op10_kneser_ney": langid.op10_kneser_ney,
 }
