@@ -28,9 +28,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
     """Hashes of the words of a text, A-Z lower-cased. bytes.split() cuts at just the bytes 0x20 and 0x09-0x0D."""
-    words = text.encode().lower().split() if text else []
+    raw = text.encode() if text else b""
+    words = (raw.lower() if lower else raw).split()
     return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
