@@ -1,10 +1,11 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import circulant, digest_merge, langid, mixing, piece_bpe, repetition, revisits, toxic
+from windrisk.llm import circulant, digest_merge, langid, mixing, piece_bpe, repetition, revisits, template, toxic
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_repetition": repetition.op1_suffix_repetition,
+    "op2_class_templates": template.op2_class_templates,
     "op3_tree_merge_dedup": digest_merge.op3_tree_merge_dedup,
     "op4_circulant_minhash": circulant.op4_circulant_minhash,
     "op5_revisits": revisits.op5_revisits,
