@@ -1,6 +1,6 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import circulant, digest_merge, langid, mixing, piece_bpe, repetition, revisits, template, toxic
+from windrisk.llm import circulant, digest_merge, langid, line_templates, mixing, piece_bpe, repetition, revisits, template, toxic
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -9,6 +9,7 @@ QUERIES: dict[str, Query] = {
     "op3_tree_merge_dedup": digest_merge.op3_tree_merge_dedup,
     "op4_circulant_minhash": circulant.op4_circulant_minhash,
     "op5_revisits": revisits.op5_revisits,
+    "op6_line_templates": line_templates.op6_line_templates,
     "op7_epoch_mix": mixing.op7_epoch_mix,
     "op8_automata_toxicity": toxic.op8_automata_toxicity,
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
