@@ -67,15 +67,15 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         quality_col: str | None = None, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, key, taken (words, repeats counted).
+    """One row per document: id, text_hash (xxhash64), source, size, source_size, target, key, taken (words, repeats counted).
 
     `quality_col` names a column of positive weights; by default `quality` of the text.
     """
     text = F.col(text_col)
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text).alias("size"),
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("text_hash"),
                         (F.col(quality_col).cast("double") if quality_col else quality(text, n_words(text))).alias("quality"))
     worth = F.when(F.col("quality") > 0, F.col("quality")).otherwise(F.lit(1e-9))
-    keyed = stored(sized.select("id", "source", "size", (-F.log(uniform(F.col("id"), seed)) / worth).alias("key"),
+    keyed = stored(sized.select("id", "text_hash", "source", "size", (-F.log(uniform(F.col("id"), seed)) / worth).alias("key"),
                                 F.monotonically_increasing_id().alias("row")), "mix-keys")
     middle = keyed.groupBy(F.col("source").alias("ms")).agg(F.percentile_approx("key", 0.5).alias("middle"))
     targets = stored(source_targets(keyed, weights, share, max_epochs).join(middle, F.col("source").eqNullSafe(F.col("ms"))).drop("ms"),
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     cut = (placed.where(ends).withColumn("ahead", F.coalesce(F.sum("size").over(in_slot), F.lit(0)))
            .withColumn("drawn", F.least(F.col("size"), F.greatest(F.lit(0), room - F.col("ahead")))).drop("ahead"))
     return settled.unionByName(cut).select(
-        "id", "row", "source", "size", "source_size", "target", "key",
+        "id", "text_hash", "row", "source", "size", "source_size", "target", "key",
         (F.col("epochs") * F.col("size") + F.col("drawn")).cast("long").alias("taken"))
 
 

@@ -224,45 +224,60 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def scores(docs: DataFrame, labels: DataFrame, trained_on, id_col: str = "doc_id", text_col: str = "text",
-           label_id_col: str = "doc_id", toxic_col: str = "toxic", size: int = LEXICON, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """Per row of `docs`: id, score. `trained_on(id column)` tells which rows teach."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    marks = stored(labels.select(F.col(label_id_col).alias("l_id"), F.col(toxic_col).cast("int").alias("toxic"))
-                   .where(F.col("toxic").isin(0, 1) & F.col("l_id").isNotNull()).where(trained_on(F.col("l_id")))
-                   .groupBy("l_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
-    # Copies would make any word of theirs look like evidence.
-    labelled = (texts.join(marks, F.col("id") == F.col("l_id")).select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
-                .withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest", "toxic"]).drop("digest"))
-    lexicon = learn_lexicon(stored(labelled, "toxic-rows"), size)
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    names = [f"s{i}" for i in range(FEATURES)]
+_NAMES = [f"s{i}" for i in range(FEATURES)]
+
+
+def _sums(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """`row` (any type), `own`, `text` -> `row`, `own` and the sums."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
+    schema = T.StructType([rows.schema["row"], T.StructField("own", T.IntegerType()), *[T.StructField(n, T.DoubleType()) for n in _NAMES]])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
         for batch in batches:
             own = batch.column("own").to_pylist()
             rows = np.array([lexicon.sums(t.as_py(), o) for t, o in zip(batch.column("text"), own)]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), *[pa.array(rows[:, i]) for i in range(FEATURES)]],
-                                             names=["id", "own", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("own"), *[pa.array(rows[:, i]) for i in range(FEATURES)]],
+                                             names=["row", "own", *_NAMES])
+
+    return rows.mapInArrow(sums, schema)
 
-    schema = T.StructType([texts.schema["id"], T.StructField("own", T.IntegerType()), *[T.StructField(n, T.DoubleType()) for n in names]])
-    none = F.lit(None).cast("int")
-    measured = stored(texts.select("id", none.alias("own"), "text").mapInArrow(sums, schema).drop("own"), "toxic-sums")
+
+def learn(docs: DataFrame, labels: DataFrame, trained_on=None, id_col: str = "doc_id", text_col: str = "text",
+          label_id_col: str = "doc_id", toxic_col: str = "toxic", size: int = LEXICON, fit_rows: int = FIT_ROWS) -> tuple[Lexicon, np.ndarray | None]:
+    """Lexicon and weights (None if nothing toxic is labelled). `trained_on(id column)` tells which rows teach; by default all."""
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    marks = (labels.select(F.col(label_id_col).alias("l_id"), F.col(toxic_col).cast("int").alias("toxic"))
+             .where(F.col("toxic").isin(0, 1) & F.col("l_id").isNotNull()))
+    if trained_on is not None:
+        marks = marks.where(trained_on(F.col("l_id")))
+    marks = stored(marks.groupBy("l_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
+    # Copies would make any word of theirs look like evidence.
+    labelled = (texts.join(marks, F.col("id") == F.col("l_id")).select("text", "toxic")
+                .withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest", "toxic"]).drop("digest"))
+    lexicon = learn_lexicon(stored(labelled, "toxic-rows"), size)
     sample = marks.orderBy(F.xxhash64("l_id"), "l_id").limit(fit_rows)
-    taught = (texts.join(sample, F.col("id") == F.col("l_id")).select("id", F.col("toxic").alias("own"), "text")
-              .mapInArrow(sums, schema).select("own", *names).toPandas())
+    taught = _sums(texts.join(sample, F.col("id") == F.col("l_id")).select(F.col("id").alias("row"), F.col("toxic").alias("own"), "text"),
+                   lexicon).select("own", *_NAMES).toPandas()
     y = taught["own"].to_numpy(dtype=float)
-    if not len(y) or not y.sum():
-        return measured.select("id", F.lit(0.0).alias("score"))
-    weights = fit(taught[names].to_numpy(dtype=float), y)
+    return lexicon, fit(taught[_NAMES].to_numpy(dtype=float), y) if y.sum() else None
+
+
+def scored(docs: DataFrame, model: tuple[Lexicon, np.ndarray | None], text_col: str = "text") -> DataFrame:
+    """`row` (a struct of all columns of `docs`) and `score` for every row, without a shuffle."""
+    lexicon, weights = model
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(None).cast("int").alias("own"), F.col(text_col).alias("text"))
+    if weights is None:
+        return rows.select("row", F.lit(0.0).alias("score"))
     z = F.lit(float(weights[-1]))
-    for name, weight in zip(names, weights):
+    for name, weight in zip(_NAMES, weights):
         z = z + F.lit(float(weight)) * F.col(name)
-    return measured.select("id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score"))
+    return _sums(rows, lexicon).select("row", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score"))
 
 
 def op8_automata_toxicity(spark, sf_dir):
-    found = scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 5) != 0)
-    return found.select(F.col("id").alias("doc_id"), (remainder(F.col("id"), 5) == 0).alias("held_out"), "score",
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn(docs, table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 5) != 0)
+    found = scored(docs, model).select("row.doc_id", "score")
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
