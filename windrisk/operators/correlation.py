@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrisk.operators.features import zone_index
-from windrisk.session import settle, small_side, store
+from windrisk.session import keep, settle, small_side, store
 
 # Up to this many zones one aggregate holds all pairs; beyond, partial products per task.
 PIVOT_ZONES = 24
@@ -28,6 +28,11 @@ def _pearson(covariance: Column, sd_a: Column, sd_b: Column) -> Column:
     return F.when(scale > 0.0, F.least(F.greatest(covariance / scale, F.lit(-1.0)), F.lit(1.0)))
 
 
+def _spread(value: Column) -> Column:
+    """Standard deviation, exactly 0 for a series of one value: its mean may be rounded."""
+    return F.when(F.min(value) == F.max(value), F.lit(0.0)).otherwise(F.stddev_pop(value))
+
+
 def _cell(i: Column, j: Column, covariance: Column, sd_a: Column, sd_b: Column) -> Column:
     """A series that varies is fully correlated with itself, without rounding."""
     return F.when((i == j) & (sd_a > 0.0), F.lit(1.0)).otherwise(_pearson(covariance, sd_a, sd_b))
@@ -67,7 +72,7 @@ def _mirrored(upper: DataFrame) -> DataFrame:
 def _pivoted(rows: DataFrame, n: int) -> DataFrame:
     pairs = [(i, j) for i in range(n) for j in range(i, n)]
     sums = rows.agg(F.count(F.lit(1)).alias("n"),
-                    *[F.stddev_pop(f"z{i}").alias(f"s{i}") for i in range(n)],
+                    *[_spread(F.col(f"z{i}")).alias(f"s{i}") for i in range(n)],
                     *[F.covar_pop(f"z{i}", f"z{j}").alias(f"c{i}_{j}") for i, j in pairs])
     cells = F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
@@ -91,9 +96,10 @@ def _partial_products(snaps: DataFrame, known: Sequence[str] | None = None) -> D
                  .select(F.transform("cells", lambda c: c["v"]).alias("v")), "timesteps")
     # A known zone without data leaves no complete timestep.
     center = np.zeros(n)
-    for place, mean in rows.select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.avg("v")).collect():
+    flat = keep(rows.select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(
+        F.avg("v").alias("mean"), (F.min("v") == F.max("v")).alias("constant")))
+    for place, mean, constant in flat.select("i", "mean", "constant").collect():
         center[place] = mean
-    up_i, up_j = np.triu_indices(n)
 
     def products(batches):
         total, count = np.zeros((n, n)), 0
@@ -101,11 +107,13 @@ def _partial_products(snaps: DataFrame, known: Sequence[str] | None = None) -> D
             x = np.stack(batch["v"].to_numpy()) - center
             total += x.T @ x
             count += len(x)
+        up_i, up_j = np.triu_indices(n)
         yield pd.DataFrame({"i": up_i.astype("int32"), "j": up_j.astype("int32"), "s": total[up_i, up_j], "n": count})
 
     sums = settle(rows.mapInPandas(products, "i int, j int, s double, n long")
                   .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).where(F.col("n") >= 2))
-    spread = small_side(sums.where("i = j").select(F.col("i").alias("k"), F.sqrt("s").alias("sd")))
+    spread = small_side(sums.where("i = j").join(flat.select("i", "constant"), "i").select(
+        F.col("i").alias("k"), F.when(F.col("constant"), F.lit(0.0)).otherwise(F.sqrt("s")).alias("sd")))
     def sd_of(side: str) -> DataFrame:
         return spread.select(F.col("k").alias(side), F.col("sd").alias(f"sd_{side}"))
     upper = (sums.join(sd_of("i"), "i").join(sd_of("j"), "j")

@@ -52,11 +52,13 @@ def wide(rows: DataFrame, hourly: bool = False) -> DataFrame:
     the files only ever add, one hash aggregate gives the same as a sum per file, an outer
     join and a second sum.
 
-    `hourly=True` averages the points of an hour first, for sources with 15 or 30 minute points.
+    `hourly=True` averages the points of an hour within each file first, for sources with 15 or 30 minute points; it needs `file_id`.
     """
     if hourly:
+        if "file_id" not in rows.columns:
+            raise ValueError("hourly means are taken per file: file_id is missing")
         rows = (rows.withColumn("timestamp", hour_of(F.col("timestamp")))
-                .groupBy(*KEY, "variable").agg(F.avg("value_mwh").alias("value_mwh")))
+                .groupBy("file_id", *KEY, "variable").agg(F.avg("value_mwh").alias("value_mwh")))
     kind = F.col("variable")
     def total(code: str) -> Column:
         return F.coalesce(F.sum(F.when(kind == code, F.col("value_mwh"))), F.lit(0.0))

@@ -1,10 +1,13 @@
 """Exact order statistics, quantiles and ranks inside groups of any size.
 
 A group may hold a third of all rows, so no group is ever sorted whole in one task. Where
-every group is known to be small the plain aggregates are used. Beyond that each group's
-range is cut into equal buckets and counted, which tells exactly which bucket holds a wanted
-rank; only the values of that bucket are looked at again. All passes are hash aggregates
-that combine before the shuffle.
+every group is known to be small the plain aggregates are used. Beyond that each group is cut
+at sampled quantiles of its own values and counted, which tells exactly which bucket holds a
+wanted rank; only the values of that bucket are looked at again, and cut again until a task can
+order what is left. All passes are aggregates that combine before the shuffle.
+
+Both ways follow one rule: rows with a missing key, a NULL or a NaN value are left out before
+anything is counted, and infinite values count as the largest or smallest ones.
 """
 
 from collections.abc import Callable, Mapping, Sequence
@@ -18,12 +21,13 @@ from windrisk.session import keep, small_side
 
 # Groups up to this size may be held in memory by an aggregate.
 IN_MEMORY_ROWS = 50_000
-BUCKETS = 1024
-# Buckets are cut again while one holds more distinct places than a task should order ...
+# A bracket is cut into so many buckets of about equal counts.
+BUCKETS = 64
+# Buckets are cut again while one holds more rows than a task should order.
 BUCKET_ROWS = 1_000_000
-# ... but not for ever: a sort with spilling handles whatever is left.
-MAX_CUTS = 4
 RANK_BUCKETS = 64
+# Ranks are counted in buckets of about so many rows.
+RANK_BUCKET_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 # A group's cut points are RANK_BUCKETS numbers, so this bounds the broadcast to a few MB.
 CUT_GROUPS = 10_000
@@ -41,7 +45,11 @@ class Pick:
 
 def _values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Keys and value; rows with a missing key, a NULL or a NaN are left out."""
-    return df.select(*keys, F.col(value).cast("double").alias("v")).dropna()
+    return _ranked_rows(df, keys, value).select(*keys, F.col(value).cast("double").alias("v"))
+
+
+def _ranked_rows(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return df.dropna(subset=[*keys, value]).where(~F.isnan(F.col(value).cast("double")))
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -59,14 +67,19 @@ def _narrowed(rows: DataFrame, by: Sequence[str], keys: Sequence[str], brackets:
     """Brackets reduced to the bucket, or the few buckets, that hold their ranks.
 
     `by` is the key of a histogram: the group as long as all its brackets are the same,
-    then group and pick. Buckets follow the value monotonically, so the counts are exact
-    whatever the rounding; the new ends are values that occur.
+    then group and pick. Buckets end at sampled quantiles of the bracket, so each holds about
+    an equal share of its rows however the values are spread; a value more frequent than that has a
+    bucket to itself or nearly so. Buckets follow the value, so the counts are exact; the
+    new ends are values that occur.
     """
     bounds = small_side(brackets.groupBy(*by).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    width = F.col("hi") - F.col("lo")
-    bucket = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1))).otherwise(F.lit(0))
-    histogram = (rows.join(bounds, list(keys)).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                 .groupBy(*by, bucket.alias("bucket"))
+    within = (rows.join(bounds, list(keys)).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select(*by, "v"))
+    fractions = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = small_side(within.groupBy(*by).agg(F.percentile_approx("v", fractions, SKETCH_ACCURACY).alias("cuts")), CUT_GROUPS)
+    # A cut value is a bucket of its own: twice the number of cuts below, plus one on the cut.
+    below = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
+    bucket = 2 * below + F.array_contains("cuts", F.col("v")).cast("int")
+    histogram = (within.join(cuts, list(by)).groupBy(*by, bucket.alias("bucket"))
                  .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("last")))
     running = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     placed = histogram.withColumn("upto", F.sum("c").over(running))
@@ -87,12 +100,12 @@ def _picked(rows: DataFrame, keys: Sequence[str], sizes: DataFrame, picks: Seque
                              n.alias("inside"), F.explode(wanted).alias("w"))
                 .select(*keys, "lo", "hi", "below", "inside", "w.*"))
     by = list(keys)
-    for _ in range(MAX_CUTS):
+    widest = None
+    while widest is None or widest > BUCKET_ROWS:
+        # Every cut leaves a small share of the rows or a single value, so this ends.
         brackets = keep(_narrowed(rows, by, keys, brackets))
         by = [*keys, "pick"]
         widest = brackets.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside")))).first()[0] or 0
-        if widest <= BUCKET_ROWS:
-            break
     # The shuffle key holds the value, so a hot group spreads over all tasks; equal values fold.
     inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
     counts = (rows.join(small_side(brackets), list(keys)).where(inside)
@@ -140,19 +153,21 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Seq
     more = [column.alias(name) for name, column in (extra or {}).items()]
     more_names = list(extra or {})
     sizes, largest = _sizes(rows, keys, more)
-    if largest <= in_memory_rows:
-        packed = rows.groupBy(*keys).agg(
-            F.percentile("v", F.array(*[F.lit(float(q)) for q in probabilities])).alias("q"), *more)
-        return packed.select(*keys, *[F.col("q")[i].alias(name) for i, name in enumerate(names)], *more_names)
     def position(q: float) -> Column:
         return (F.col("n") - 1) * F.lit(float(q))
     def at(q: float, rounded) -> Rank:
         return lambda n: rounded((n - 1) * F.lit(float(q)))
     picks = [Pick(name, at(q, F.floor), at(q, F.ceil)) for q, name in zip(probabilities, names)]
-    ends = _picked(rows, keys, sizes, picks).join(sizes.select(*keys, "n", *more_names), list(keys))
+    if largest <= in_memory_rows:
+        ordered = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("v")).alias("vs"), *more)
+        ends = ordered.select(*keys, "n", *[F.element_at("vs", (rank(F.col("n")) + 1).cast("int")).alias(f"{p.name}_{side}")
+                                            for p in picks for side, rank in (("lo", p.low), ("hi", p.high))], *more_names)
+    else:
+        ends = _picked(rows, keys, sizes, picks).join(sizes.select(*keys, "n", *more_names), list(keys))
     def blended(q: float, name: str) -> Column:
         low, high, spot = F.col(f"{name}_lo"), F.col(f"{name}_hi"), position(q)
-        return (low + (high - low) * (spot - F.floor(spot))).alias(name)
+        part = spot - F.floor(spot)
+        return F.when((part == 0) | (low == high), low).otherwise((F.lit(1.0) - part) * low + part * high).alias(name)
     return ends.select(*keys, *[blended(q, name) for q, name in zip(probabilities, names)], *more_names)
 
 
@@ -172,7 +187,8 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     bucket and shifted by the sizes of the buckets below, so no task orders a whole group.
     """
     rows = _values(df, keys, value)
-    fractions = [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]
+    buckets = max(RANK_BUCKETS, -(-largest_group(rows, keys) // RANK_BUCKET_ROWS))
+    fractions = [i / buckets for i in range(1, buckets)]
     cuts = small_side(rows.groupBy(*keys).agg(F.percentile_approx("v", fractions, SKETCH_ACCURACY).alias("cuts")), CUT_GROUPS)
     bucket = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
     counts = (rows.join(cuts, list(keys))
@@ -192,7 +208,8 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def with_average_ranks(df: DataFrame, keys: Sequence[str], value: str, in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
-    """`df` with the average rank of the value in its group, and the group's size `n`."""
+    """`df` with the average rank of the value in its group, and the group's size `n`; rows without key or number are left out."""
+    df = _ranked_rows(df, keys, value)
     if largest_group(df, keys) > in_memory_rows:
         return df.join(average_ranks(df, keys, value), [*keys, value])
     order, ties, group = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys, value), Window.partitionBy(*keys)

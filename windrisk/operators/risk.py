@@ -1,6 +1,7 @@
 """Predictive draws to tail risk, CVaR, quantiles, forecasts and alerts.
 
-`draws` is long: (horizon_h, sample_id, region_id, value).
+`draws` is long: (horizon_h, sample_id, region_id, value). A NaN value is a missing draw, as NULL is:
+it counts in no share, mean or quantile, and a zone with missing draws only keeps its row with NULL measures.
 """
 
 from collections.abc import Sequence
@@ -8,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from windrisk.functions.timefn import not_nan
 from windrisk.operators import ranks
 from windrisk.schemas import ALERT_PROBABILITY, AT_RISK_PROBABILITY, CVAR_ALPHA, FORECAST, QUANTILES, THRESHOLD_MPS
 from windrisk.session import settle, small_side
@@ -21,15 +23,19 @@ def shortfall(value: Column, threshold: float = THRESHOLD_MPS) -> Column:
     return F.when(value < F.lit(threshold), F.lit(threshold) - value).when(value.isNotNull(), F.lit(0.0))
 
 
+def _known(draws: DataFrame) -> DataFrame:
+    return draws.withColumn("value", not_nan(F.col("value")))
+
+
 def tail_risk(draws: DataFrame, threshold: float = THRESHOLD_MPS) -> DataFrame:
     """Share of draws strictly below the threshold, per horizon and zone."""
-    return draws.groupBy(*ZONE).agg(
+    return _known(draws).groupBy(*ZONE).agg(
         F.avg((F.col("value") < F.lit(threshold)).cast("double")).alias("p_shortfall"))
 
 
 def scenario_totals(draws: DataFrame, threshold: float = THRESHOLD_MPS) -> DataFrame:
     """Shortfall of one draw summed over all zones."""
-    return draws.groupBy(*SCENARIO).agg(F.sum(shortfall(F.col("value"), threshold)).alias("total"))
+    return _known(draws).groupBy(*SCENARIO).agg(F.sum(shortfall(F.col("value"), threshold)).alias("total"))
 
 
 def tail_scenarios(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: float = CVAR_ALPHA,
@@ -51,7 +57,7 @@ def cvar(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: float = CVAR
     """Mean zone shortfall over the tail scenarios."""
     # A short tail is broadcast, and the draws are only scanned; a long one is shuffled.
     tail = small_side(tail_scenarios(draws, threshold, alpha, in_memory_rows).select(*SCENARIO))
-    return (draws.join(tail, SCENARIO, "left_semi")
+    return (_known(draws).join(tail, SCENARIO, "left_semi")
             .groupBy(*ZONE)
             .agg(F.avg(shortfall(F.col("value"), threshold)).alias("cvar_shortfall")))
 
@@ -70,7 +76,8 @@ def forecasts(draws: DataFrame, threshold: float = THRESHOLD_MPS, alpha: float =
     # Tail risk rides along on the pass for the quantiles.
     below = F.avg((F.col("v") < F.lit(threshold)).cast("double"))
     bands = ranks.quantiles(draws, ZONE, "value", QUANTILES, "wind_p", extra={"p_shortfall": below})
-    out = bands.join(cvar(draws, threshold, alpha), ZONE)
+    zones = draws.select(*ZONE).dropna().distinct()
+    out = zones.join(bands, ZONE, "left").join(cvar(draws, threshold, alpha), ZONE, "left")
     stamp = F.lit(None).cast("timestamp") if issued_for is None else issued_for
     typed = out.withColumn("timestamp", stamp)
     return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST])
@@ -101,6 +108,6 @@ def at_risk(table: DataFrame, threshold: float = AT_RISK_PROBABILITY) -> DataFra
 
 def joint_drought(draws: DataFrame, min_zones: int, threshold: float = THRESHOLD_MPS) -> DataFrame:
     """Share of draws in which at least `min_zones` zones are below the threshold together."""
-    below = draws.groupBy(*SCENARIO).agg(F.count_if(F.col("value") < F.lit(threshold)).alias("n_below"))
+    below = _known(draws).groupBy(*SCENARIO).agg(F.count_if(F.col("value") < F.lit(threshold)).alias("n_below"))
     return below.groupBy("horizon_h").agg(
         F.avg((F.col("n_below") >= F.lit(min_zones)).cast("double")).alias("p_joint"))

@@ -24,7 +24,7 @@ def assign_zone(grid: DataFrame, zones: Mapping[str, tuple[float, float]] = ZONE
     names, columns = list(zones), grid.columns
     lat, lon = F.col("latitude"), F.col("longitude")
     distances = [d.alias(f"__d{i}") for i, d in enumerate(geo.zone_distances(lat, lon, zones, metric))]
-    placed = grid.where(lat.isNotNull() & lon.isNotNull()).select("*", *distances)
+    placed = grid.where(not_nan(lat).isNotNull() & not_nan(lon).isNotNull()).select("*", *distances)
     closest = F.least(*[F.col(f"__d{i}") for i in range(len(names))]) if len(names) > 1 else F.col("__d0")
     placed = placed.select("*", closest.alias("__closest"))
     zone = F.lit(names[-1])

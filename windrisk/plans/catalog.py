@@ -576,11 +576,14 @@ def a4_energy_wide(spark, sf_dir):
 
 @query("a4_energy_wide_hourly", places=8)
 def a4_energy_wide_hourly(spark, sf_dir):
-    """Points of an hour averaged before they are set side by side."""
-    docs = adapters.xml_docs(spark, sf_dir)
-    named = F.when(F.col("region_id") == "view", "SE1").when(F.col("region_id") == "click", "SE3").otherwise("NO1")
-    points = market_xml.points(docs.where("kind = 'generation'"), "generation").withColumn("region_id", named)
-    return energy.wide(energy.normalise(points), hourly=True)
+    """Points of an hour averaged per file, then added over seven files with both wind kinds and load.
+
+    A date's rows are spread over four quarters of an hour by their value.
+    """
+    rows = adapters.energy(spark, sf_dir)
+    quarter = F.pmod(F.col("value_mwh").cast("long"), F.lit(4)) * 15
+    spread = rows.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(mins=quarter.cast("int")))
+    return energy.wide(energy.normalise(spread), hourly=True)
 
 
 @query("a5_snapshots", places=8)
@@ -938,3 +941,43 @@ def f10_o3_first_match(spark, sf_dir):
     """A table without horizons: the newest row of the region is taken."""
     table = _zone_forecasts(spark, sf_dir).drop("horizon_h")
     return serve.scenario(spark, table, "no2", 24)
+
+
+# --- One rule for every size ----------------------------------------------------------
+
+@query("a12_quantiles_wide_range")
+def a12_quantiles_wide_range(spark, sf_dir):
+    """Values from 1e-130 to 1e130 by the way of large groups, as decimal logarithms."""
+    power = F.pow(F.lit(10.0), F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13, F.lit(261)) - 130)
+    rows = adapters.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), (power * F.col("l_quantity")).alias("value"))
+    bands = ranks.quantiles(rows, ["flag"], "value", in_memory_rows=0)
+    return bands.select("flag", *[F.log10(c).alias(c) for c in ("p10", "p50", "p90")])
+
+
+@query("a17_average_ranks_nulls")
+def a17_average_ranks_nulls(spark, sf_dir):
+    """NULL and NaN values are left out before ranks are counted."""
+    tenth = F.col("event_id") % 10
+    value = F.when(tenth == 0, F.lit(None)).when(tenth == 1, F.lit(float("nan"))).otherwise(F.col("value"))
+    rows = adapters.table(spark, sf_dir, "events").select(F.col("event_type").alias("param"), "event_id", value.alias("x"))
+    return ranks.with_average_ranks(rows, ["param"], "x", in_memory_rows=0).select("param", "event_id", "rank", "n")
+
+
+@query("a18_constant_zone")
+def a18_constant_zone(spark, sf_dir):
+    """A zone that stays at 0.1 has NULL correlations, whatever its mean rounds to; by the way of many zones."""
+    hourly = _hourly(spark, sf_dir)
+    constant = hourly.select("timestamp").distinct().select(
+        "timestamp", F.lit("constant").alias("region_id"), F.lit(0.1).alias("wind_speed_mps"))
+    snaps = hourly.select("timestamp", "region_id", "wind_speed_mps").unionByName(constant)
+    return correlation.correlation_matrix(snaps, pivot_zones=1)
+
+
+@query("a27_missing_draws")
+def a27_missing_draws(spark, sf_dir):
+    """Every fifth draw and a whole zone are NaN: both ways to the tail risk agree, and the zone keeps its rows."""
+    rows = adapters.draws(spark, sf_dir)
+    gone = (F.col("region_id") == "d0") | (F.col("sample_id") % 5 == 0)
+    holed = rows.withColumn("value", F.when(gone, F.lit(float("nan"))).otherwise(F.col("value")))
+    tail = risk.tail_risk(holed).withColumnRenamed("p_shortfall", "p_tail")
+    return risk.forecasts(holed).select("horizon_h", "region_id", "p_shortfall").join(tail, ["horizon_h", "region_id"])

@@ -244,11 +244,12 @@ ORACLES = {
     "a2_silver_weather": f"WITH {NEAREST} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps')} FROM silver",
     "a3_energy_sums": f"WITH {MAPPED} SELECT file_id, timestamp, region_id, variable, {r('sum(value_mwh)', 'value_mwh')} FROM energy GROUP BY ALL",
     "a4_energy_wide": f"WITH {WIDE} SELECT timestamp, region_id, {r('wind_onshore_mwh', 'wind_onshore_mwh')}, {r('wind_offshore_mwh', 'wind_offshore_mwh')}, {r('total_load_mwh', 'total_load_mwh')} FROM wide",
-    "a4_energy_wide_hourly": f"""WITH {POINTS}, per_hour AS (SELECT date_trunc('hour', timestamp) AS timestamp,
-            CASE region_id WHEN 'view' THEN 'SE1' WHEN 'click' THEN 'SE3' ELSE 'NO1' END AS region_id, variable, avg(value_mwh) AS v
-            FROM points WHERE variable <> 'load_mwh' GROUP BY ALL)
-        SELECT timestamp, region_id, {r("coalesce(sum(v) FILTER (variable = 'B19'), 0)", 'wind_onshore_mwh', 8)},
-        {r("coalesce(sum(v) FILTER (variable = 'B18'), 0)", 'wind_offshore_mwh', 8)}, CAST(NULL AS DOUBLE) AS total_load_mwh FROM per_hour GROUP BY ALL""",
+    "a4_energy_wide_hourly": f"""WITH {MAPPED}, per_hour AS (SELECT file_id, timestamp, region_id, variable, avg(value_mwh) AS v FROM energy GROUP BY ALL)
+        SELECT timestamp, region_id,
+        {r("CASE WHEN count(*) FILTER (variable IN ('B18', 'B19')) > 0 THEN coalesce(sum(v) FILTER (variable = 'B19'), 0) END", 'wind_onshore_mwh', 8)},
+        {r("CASE WHEN count(*) FILTER (variable IN ('B18', 'B19')) > 0 THEN coalesce(sum(v) FILTER (variable = 'B18'), 0) END", 'wind_offshore_mwh', 8)},
+        {r("CASE WHEN count(*) FILTER (variable = 'load_mwh') > 0 THEN coalesce(sum(v) FILTER (variable = 'load_mwh'), 0) END", 'total_load_mwh', 8)}
+        FROM per_hour GROUP BY ALL""",
     "a5_snapshots": f"WITH {OBS} SELECT timestamp, region_id, {r('avg(wind_speed_mps)', 'wind_speed_mps', 8)} FROM obs GROUP BY ALL",
     "a5_snapshots_hourly": f"WITH {HOURLY} SELECT timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps', 8)} FROM hourly",
     "a6_extent": f"WITH {OBS} SELECT count(*) AS n_rows, count(DISTINCT region_id) AS n_zones, count(DISTINCT timestamp) AS n_timesteps FROM obs",
@@ -335,3 +336,20 @@ ORACLES = {
 }
 ORACLES["a11_cvar_any_size"] = ORACLES["a11_cvar"]
 ORACLES["a12_quantiles_any_size"] = ORACLES["a12_quantiles"]
+ORACLES["a12_quantiles_wide_range"] = f"""WITH v AS (SELECT l_returnflag AS flag,
+        round(power(10.0, ((l_orderkey * 7 + l_linenumber * 13) % 261) - 130) * l_quantity, 140) AS value FROM lineitem)
+    SELECT flag, {r('log10(quantile_cont(value, 0.1))', 'p10')}, {r('log10(quantile_cont(value, 0.5))', 'p50')}, {r('log10(quantile_cont(value, 0.9))', 'p90')}
+    FROM v GROUP BY flag"""
+ORACLES["a17_average_ranks_nulls"] = """WITH v AS (SELECT event_type AS param, event_id, value AS x FROM events WHERE event_id % 10 NOT IN (0, 1))
+    SELECT param, event_id, rank() OVER (PARTITION BY param ORDER BY x) + (count(*) OVER (PARTITION BY param, x) - 1) / 2.0 AS rank,
+        count(*) OVER (PARTITION BY param) AS n FROM v"""
+ORACLES["a18_constant_zone"] = f"""WITH {HOURLY}, z AS (SELECT * FROM hourly UNION ALL SELECT DISTINCT timestamp, 'constant', 0.1 FROM hourly),
+    whole AS (SELECT timestamp FROM z WHERE wind_speed_mps IS NOT NULL GROUP BY timestamp HAVING count(*) = (SELECT count(DISTINCT region_id) FROM z)),
+    k AS (SELECT z.* FROM z JOIN whole USING (timestamp))
+    SELECT a.region_id AS zone_a, b.region_id AS zone_b,
+        CASE WHEN a.region_id <> 'constant' AND b.region_id <> 'constant' THEN round(corr(a.wind_speed_mps, b.wind_speed_mps), 6) END AS value
+    FROM k a JOIN k b USING (timestamp) GROUP BY a.region_id, b.region_id"""
+ORACLES["a27_missing_draws"] = f"""WITH {DRAWS}, known AS (SELECT horizon_h, region_id,
+        CASE WHEN region_id <> 'd0' AND sample_id % 5 <> 0 THEN value END AS value FROM draws)
+    SELECT horizon_h, region_id, {r('avg(CASE WHEN value IS NOT NULL THEN (value < 3.0)::INT END)', 'p_shortfall')},
+        {r('avg(CASE WHEN value IS NOT NULL THEN (value < 3.0)::INT END)', 'p_tail')} FROM known GROUP BY ALL"""

@@ -27,11 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the cluster names none (unit tests) a temporary one is made.
+    Only a local master that names none (unit tests) gets a temporary one; a cluster must name a folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="windrisk-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

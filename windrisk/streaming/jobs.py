@@ -76,7 +76,9 @@ def _correlate(windows: pd.Series) -> pd.DataFrame:
             continue
         centred = values - values.mean(axis=0)
         products = centred.T @ centred
-        spread = np.sqrt(np.diag(products))
+        # A constant zone is told by its values; its rounded mean may leave noise in the products.
+        constant = values.min(axis=0) == values.max(axis=0)
+        spread = np.where(constant, 0.0, np.sqrt(np.diag(products)))
         scale = np.outer(spread, spread)
         with np.errstate(invalid="ignore", divide="ignore"):
             ratio = np.clip(products / scale, -1.0, 1.0)
