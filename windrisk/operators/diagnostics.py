@@ -1,7 +1,6 @@
 """Convergence, calibration and matrix diagnostics, as (key, value) metric rows."""
 
 from collections.abc import Sequence
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -9,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrisk.functions.normal import normal_quantile
 from windrisk.operators import ranks
 from windrisk.operators.spatial import frobenius
 from windrisk.session import keep, small_side, store
@@ -96,16 +96,10 @@ def _rhat(split: DataFrame, name: str) -> DataFrame:
     return pooled.select("param", F.sqrt(F.try_divide(estimate, F.col("within"))).alias(name))
 
 
-@F.pandas_udf(T.DoubleType())
-def _normal_score(p: pd.Series) -> pd.Series:
-    inverse = NormalDist().inv_cdf
-    return p.map(inverse)
-
-
 def normal_scores(values: DataFrame, in_memory_rows: int = ranks.IN_MEMORY_ROWS) -> DataFrame:
     """`value` replaced by the normal quantile of its pooled average rank within the param."""
     ranked = ranks.with_average_ranks(values, ["param"], "value", in_memory_rows)
-    score = _normal_score((F.col("rank") - 0.375) / (F.col("n") + 0.25))
+    score = normal_quantile((F.col("rank") - 0.375) / (F.col("n") + 0.25))
     return ranked.select(*[score.alias("value") if c == "value" else c for c in values.columns])
 
 
@@ -275,6 +269,18 @@ def median_error(observed: DataFrame, samples: DataFrame) -> DataFrame:
             .agg(F.avg(F.abs(F.col("y") - F.col("p50"))).alias("crps_median_mae")))
 
 
+def crps(observed: DataFrame, samples: DataFrame, in_memory_rows: int = ranks.IN_MEMORY_ROWS) -> DataFrame:
+    """Mean continuous ranked probability score of sample forecasts. `observed` (obs_id, y), `samples` (obs_id, value).
+
+    For n samples E|X - y| - E|X - X'| / 2, the second mean by the ranks: sum of (2 rank - n - 1) x over n^2.
+    """
+    ranked = ranks.with_average_ranks(samples, ["obs_id"], "value", in_memory_rows)
+    spread = ranked.groupBy("obs_id").agg(
+        (F.sum((2 * F.col("rank") - F.col("n") - 1) * F.col("value")) / F.first("n") / F.first("n")).alias("spread"))
+    error = (samples.join(observed, "obs_id").groupBy("obs_id").agg(F.avg(F.abs(F.col("value") - F.col("y"))).alias("error")))
+    return error.join(spread, "obs_id").agg(F.avg(F.col("error") - F.col("spread")).alias("crps"))
+
+
 # --- Bundle ---------------------------------------------------------------------------
 
 def run_diagnostics(spark: SparkSession, chains: DataFrame | None = None, sampler_stats: DataFrame | None = None,
@@ -292,6 +298,7 @@ def run_diagnostics(spark: SparkSession, chains: DataFrame | None = None, sample
         parts.append(_metric(frobenius(correlation), F.col("frobenius"), "spatial_corr_norm"))
     if observed is not None and samples is not None:
         parts.append(_metric(median_error(observed, samples), F.col("crps_median_mae"), "crps"))
+        parts.append(_metric(crps(observed, samples), F.col("crps"), "crps_full"))
     if not parts:
         return spark.createDataFrame([], "key string, value double")
     out = parts[0]

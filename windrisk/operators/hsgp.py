@@ -37,7 +37,6 @@ PARAMS = list(PRIORS)
 # root mean square of the data, but never beyond what the priors allow.
 FIRST_BOX = {"ell_spatial": (0.02, 8.0), "ell_temporal": (0.02, 16.0), "eta": (0.05, 16.0), "sigma": (0.02, 2.0)}
 GRID_POINTS = 16
-MAX_ROUNDS = 10
 # A dimension is resolved once this many of its grid values carry visible weight.
 RESOLVED_VALUES = 5
 VISIBLE = 1e-3
@@ -251,34 +250,35 @@ def _profiles(spark: SparkSession, model: Fit, box: dict[str, tuple[float, float
     return {p: {r.x: r.log_post for r in rows if r.param == p} for p in PARAMS}
 
 
-def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS,
-                 max_rounds: int = MAX_ROUNDS) -> tuple[dict[str, tuple[float, float]], float]:
+def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS) -> tuple[dict[str, tuple[float, float]], float]:
     """Bounds in which the posterior spans several grid values in every dimension, and its top there.
 
     A precise posterior falls between the nodes of a wide grid, so the box is moved to the
-    visible weight until it is resolved. Each round brings back one profile per parameter.
+    visible weight until it is resolved; a box that comes back unresolved raises. Each round brings back one profile per parameter.
     """
     scale = max(math.sqrt(model.yy / max(model.n, 1)), 1e-6)
     box = dict(FIRST_BOX)
     box["sigma"] = tuple(min(b * scale, 12.0 * b) for b in FIRST_BOX["sigma"])
     box["eta"] = tuple(min(b * scale, b) for b in FIRST_BOX["eta"])
-    for attempt in range(max_rounds):
+    seen_boxes = set()
+    while True:
+        seen_boxes.add(tuple(box[p] for p in PARAMS))
         profiles = _profiles(spark, model, box, points)
         top = max(v for profile in profiles.values() for v in profile.values())
         seen = {p: [x for x, v in profiles[p].items() if v >= top + math.log(VISIBLE)] for p in PARAMS}
         kept = {p: [x for x, v in profiles[p].items() if v >= top + math.log(KEEP)] for p in PARAMS}
         step = {p: (box[p][1] / box[p][0]) ** (1.0 / (points - 1)) for p in PARAMS}
         moved = {p: (min(kept[p]) / step[p], max(kept[p]) * step[p]) for p in PARAMS}
-        resolved = all(len(xs) >= RESOLVED_VALUES for xs in seen.values())
-        if resolved or moved == box or attempt == max_rounds - 1:
+        if all(len(xs) >= RESOLVED_VALUES for xs in seen.values()):
             return box, top
+        if tuple(moved[p] for p in PARAMS) in seen_boxes:
+            raise ValueError(f"a grid of {points} points does not resolve the posterior; use more")
         box = moved
-    raise ValueError("max_rounds must be at least 1")
 
 
-def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS) -> DataFrame:
     """Weighted grid over the hyper-parameters, one row per node; weights sum to one."""
-    box, top = resolved_box(spark, model, points, max_rounds)
+    box, top = resolved_box(spark, model, points)
     nodes = store(_pairs(spark, points).mapInPandas(
         _node_batches(model, box, points),
         "pair long, node long, ell_spatial double, ell_temporal double, eta double, sigma double, log_post double"), "nodes")

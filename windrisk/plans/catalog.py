@@ -9,6 +9,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -981,3 +982,59 @@ def a27_missing_draws(spark, sf_dir):
     holed = rows.withColumn("value", F.when(gone, F.lit(float("nan"))).otherwise(F.col("value")))
     tail = risk.tail_risk(holed).withColumnRenamed("p_shortfall", "p_tail")
     return risk.forecasts(holed).select("horizon_h", "region_id", "p_shortfall").join(tail, ["horizon_h", "region_id"])
+
+
+@query("a14_crps")
+def a14_crps(spark, sf_dir):
+    rows = adapters.draws(spark, sf_dir)
+    observed = rows.where("region_id = 'd0'").select(F.col("sample_id").alias("obs_id"), F.col("value").alias("y"))
+    return diagnostics.crps(observed, rows.select(F.col("sample_id").alias("obs_id"), "value"))
+
+
+# --- Nothing is lost unseen -----------------------------------------------------------
+
+@query("s1_skipped_files")
+def s1_skipped_files(spark, sf_dir):
+    """Three grid files of all rows: one whole, one with a footer but broken pages, one that is no Parquet."""
+    path = work_path(spark, "grid")
+    adapters.grid(spark, sf_dir).drop("file_id").coalesce(1).write.option("compression", "none").parquet(f"{path}/whole")
+    file = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/whole").select("content")
+
+    def damaged(batches):
+        for batch in batches:
+            for content in batch["content"]:
+                middle = len(content) // 2
+                yield pd.DataFrame({"name": ["broken", "unreadable"],
+                                    "content": [content[:4] + bytes(middle - 4) + content[middle:], b"no grid at all"]})
+    for row in file.mapInPandas(damaged, "name string, content binary").collect():
+        _write_bytes(spark, f"{path}/{row.name}/part-0.parquet", bytes(row.content))
+    return files.skipped_files(spark, path).groupBy("why").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def _write_bytes(spark, path: str, content: bytes) -> None:
+    """One small file through the file system that Spark itself uses."""
+    jvm, target = spark.sparkContext._jvm, None
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(content))
+    stream.close()
+
+
+@query("s4_unreadable_documents")
+def s4_unreadable_documents(spark, sf_dir):
+    """One document per event, every third cut off."""
+    whole = "<GL_MarketDocument><TimeSeries></TimeSeries></GL_MarketDocument>"
+    events = adapters.table(spark, sf_dir, "events")
+    docs = events.select(F.col("event_type").alias("region_id"), F.when(F.col("event_id") % 3 == 0, F.lit(whole[:40])).otherwise(F.lit(whole)).alias("xml"))
+    return market_xml.unreadable(docs).groupBy("region_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+@query("k5_recomputed_means")
+def k5_recomputed_means(spark, sf_dir):
+    """Zone means computed again from differently dealt rows are the same content."""
+    folder = work_path(spark, "silver")
+    grid = adapters.grid(spark, sf_dir)
+    first = sinks.write_if_changed(spatial.silver_weather(grid.repartition(3)), folder, "weather")
+    again = sinks.write_if_changed(spatial.silver_weather(grid.repartition(11)), folder, "weather")
+    rows = spark.read.parquet(f"{folder}/weather").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select("n_rows", F.lit(first).alias("first"), F.lit(again).alias("again"))

@@ -1,5 +1,7 @@
 """SQL that gives, on the shared test tables, what each registered query must return."""
 
+from windrisk.functions import normal
+
 OBS = "obs AS (SELECT ts AS timestamp, event_type AS region_id, value / 10.0 AS wind_speed_mps, event_id FROM events)"
 HOURLY = OBS + """,
 hourly AS (SELECT date_trunc('hour', timestamp) AS timestamp, region_id, avg(wind_speed_mps) AS wind_speed_mps
@@ -353,3 +355,40 @@ ORACLES["a27_missing_draws"] = f"""WITH {DRAWS}, known AS (SELECT horizon_h, reg
         CASE WHEN region_id <> 'd0' AND sample_id % 5 <> 0 THEN value END AS value FROM draws)
     SELECT horizon_h, region_id, {r('avg(CASE WHEN value IS NOT NULL THEN (value < 3.0)::INT END)', 'p_shortfall')},
         {r('avg(CASE WHEN value IS NOT NULL THEN (value < 3.0)::INT END)', 'p_tail')} FROM known GROUP BY ALL"""
+ORACLES["a14_crps"] = f"""WITH {DRAWS}, y AS (SELECT sample_id, value AS y FROM draws WHERE region_id = 'd0'),
+    error AS (SELECT sample_id, avg(abs(value - y)) AS e FROM draws JOIN y USING (sample_id) GROUP BY ALL),
+    spread AS (SELECT a.sample_id, avg(abs(a.value - b.value)) AS s FROM draws a JOIN draws b USING (sample_id) GROUP BY ALL)
+    SELECT {r('avg(e - s / 2)', 'crps')} FROM error JOIN spread USING (sample_id)"""
+
+
+def _normal_quantile(p: str) -> str:
+    """SQL of the normal quantile by the same published coefficients."""
+    def ratio(parts, x: str) -> str:
+        def polynomial(coefficients) -> str:
+            value = f"CAST({coefficients[0]!r} AS DOUBLE)"
+            for coefficient in coefficients[1:]:
+                value = f"({value} * ({x}) + CAST({coefficient!r} AS DOUBLE))"
+            return value
+        return f"{polynomial(parts[0])} / {polynomial(parts[1])}"
+    tail = f"sqrt(-ln(least({p}, 1 - {p})))"
+    outer = f"CASE WHEN {tail} <= 5 THEN {ratio(normal.MIDDLE, f'{tail} - 1.6')} ELSE {ratio(normal.FAR, f'{tail} - 5')} END"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(normal.CENTRAL, f'0.180625 - ({p} - 0.5) * ({p} - 0.5)')} "
+            f"WHEN {p} < 0.5 THEN -({outer}) ELSE {outer} END")
+
+
+def _rank_rhat(name: str, source: str) -> str:
+    return f"""{name}_r AS (SELECT param, chain, half, (rank() OVER (PARTITION BY param ORDER BY x) + (count(*) OVER (PARTITION BY param, x) - 1) / 2.0 - 0.375)
+            / (count(*) OVER (PARTITION BY param) + 0.25) AS p FROM {source}),
+        {name}_z AS (SELECT param, chain, half, {_normal_quantile('p')} AS z FROM {name}_r),
+        {name}_s AS (SELECT param, chain, half, count(*) AS n, avg(z) AS m, var_samp(z) AS v FROM {name}_z GROUP BY ALL),
+        {name} AS (SELECT param, sqrt((avg(v) * (avg(n) - 1) / avg(n) + var_samp(m)) / avg(v)) AS r FROM {name}_s GROUP BY param)"""
+
+
+ORACLES["a17_rank_rhat"] = f"""WITH {RHAT}, halves AS (SELECT param, chain, half, value AS x FROM split WHERE half IS NOT NULL),
+    med AS (SELECT param, quantile_cont(x, 0.5) AS m FROM halves GROUP BY param),
+    folds AS (SELECT param, chain, half, abs(x - m) AS x FROM halves JOIN med USING (param)),
+    {_rank_rhat('bulk', 'halves')}, {_rank_rhat('folded', 'folds')}
+    SELECT param, {r('greatest(bulk.r, folded.r)', 'r_hat')} FROM bulk JOIN folded USING (param)"""
+ORACLES["s1_skipped_files"] = "SELECT 'broken' AS why, 1 AS n_files UNION ALL SELECT 'unreadable', 1"
+ORACLES["s4_unreadable_documents"] = "SELECT event_type AS region_id, count(*) AS n_documents FROM events WHERE event_id % 3 = 0 GROUP BY ALL"
+ORACLES["k5_recomputed_means"] = f"WITH {NEAREST} SELECT count(*) AS n_rows, true AS first, false AS again FROM silver"

@@ -44,13 +44,27 @@ def weather_grid(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 
 
 def skipped_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """Files under the prefix that gave no row, so a skip never goes unseen."""
+    """(file_id, why): files under the prefix that `weather_grid` could not read, so a skip never goes unseen.
+
+    `unreadable` files have no usable footer; `broken` ones give fewer rows than their footer says once
+    all needed columns are read.
+    """
+    def name(column: str):
+        return F.regexp_replace(column, "^file:/+", "/").alias("file_id")
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-              .option("recursiveFileLookup", True).load(path)
-              .select(F.regexp_replace("path", "^file:/+", "/").alias("file_id")))
-    seen = weather_grid(spark, path, pattern).select(
-        F.regexp_replace("file_id", "^file:/+", "/").alias("file_id")).distinct()
-    return listed.join(seen, "file_id", "left_anti")
+              .option("recursiveFileLookup", True).load(path).select(name("path")))
+    grid = weather_grid(spark, path, pattern)
+    # Without a data column a scan counts rows by the footers.
+    promised = (spark.read.schema("latitude double").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+                .option("ignoreCorruptFiles", True).parquet(path).select(name("_metadata.file_path"))
+                .groupBy("file_id").agg(F.count(F.lit(1)).alias("promised")))
+    used = F.struct(*[F.col(c) for c in grid.columns if c != "file_id"])
+    # The condition holds for every row, but only the values tell.
+    read = grid.select(name("file_id"), F.xxhash64(used).alias("h")).groupBy("file_id").agg(
+        F.count_if(F.col("h").cast("string") != "").alias("got"))
+    counted = listed.join(promised, "file_id", "left").join(read, "file_id", "left")
+    why = F.when(F.col("promised").isNull(), F.lit("unreadable")).when(F.coalesce("got", F.lit(0)) < F.col("promised"), F.lit("broken"))
+    return counted.select("file_id", why.alias("why")).where(F.col("why").isNotNull())
 
 
 def energy_csv(spark: SparkSession, *paths: str) -> DataFrame:

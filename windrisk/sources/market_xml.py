@@ -16,6 +16,7 @@ DOCUMENT = """
             Point: array<struct<position: string, quantity: string>>>>>>
 """
 ACKNOWLEDGEMENT = "Reason array<struct<code: string, text: string>>"
+CORRUPT = "_corrupt_record"
 ACKNOWLEDGEMENT_MARK = "Acknowledgement_MarketDocument"
 
 
@@ -55,6 +56,13 @@ def points(docs: DataFrame, kind: str) -> DataFrame:
         "region_id", "variable", "value_mwh")
 
 
+def unreadable(docs: DataFrame) -> DataFrame:
+    """Documents that are no well-formed XML; neither `points` nor `acknowledgements` can read them."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_xml("xml", f"{DOCUMENT.strip()}, {CORRUPT} string", options)
+    return docs.where(F.col("xml").isNull() | parsed[CORRUPT].isNotNull())
+
+
 def acknowledgements(docs: DataFrame) -> DataFrame:
     """Error documents with their reason; "no matching data" only means there is nothing to read."""
     read = docs.where(_is_acknowledgement()).select(

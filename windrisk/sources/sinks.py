@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrisk.schemas import ENERGY_LONG, RUN_METRICS
+from windrisk.session import store
 from windrisk.sources.gates import content_hash, path_exists
 
 HASHES = "content_hashes"
+FILE_ROWS = 2_000_000
 
 
 def overwrite_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = ("timestamp", "region_id")) -> None:
@@ -22,10 +24,15 @@ def overwrite_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = ("times
 def write_by_year(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Range-partitioned by year of the timestamp.
 
-    Rows are not gathered per year first: a year would be one task. Each task writes its
-    own files, clustered by a sort.
+    A year is dealt to as many tasks as its counted rows need (FILE_ROWS a file), so a year is neither one
+    task nor a file from every task.
     """
     with_year = df.withColumn("year", F.year("timestamp"))
+    files = (with_year.groupBy(F.col("year").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+             .select("y", F.ceil(F.col("n") / F.lit(FILE_ROWS)).alias("files")))
+    salt = F.pmod(F.xxhash64("timestamp"), F.col("files"))
+    dealt = with_year.join(F.broadcast(files), F.col("year").eqNullSafe(F.col("y"))).withColumn("__salt", salt).drop("y", "files")
+    with_year = dealt.repartition("year", "__salt").drop("__salt")
     with_year.sortWithinPartitions("year", "timestamp").write.mode(mode).partitionBy("year").parquet(path)
 
 
@@ -81,13 +88,15 @@ def _remember(spark: SparkSession, folder: str, name: str, digest: str) -> None:
 
 
 def write_if_changed(df: DataFrame | None, folder: str, name: str) -> bool:
-    """Write `folder/name` unless the same content is already there. Row order does not count.
+    """Write `folder/name` unless the same content is already there. Neither row order nor rounding noise counts.
 
-    The digest is stored after the data, so a run lost in between writes again.
+    The table is computed once, into the work folder; its hash and its content come from there. The digest is
+    stored after the data, so a run lost in between writes again.
     """
     if df is None:
         return False
     spark, path = df.sparkSession, f"{folder}/{name}"
+    df = store(df, "staged")
     digest = str(content_hash(df))
     if stored_hash(spark, folder, name) == digest and path_exists(spark, path):
         return False
