@@ -6,6 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from windrisk.operators import diagnostics as diag
 
 
@@ -161,3 +163,10 @@ def test_median_error_and_bundle(spark, arrays):
     assert table["n_divergences"].value == 1.0 and table["n_divergences"].label == "warn"
     assert table["crps"].label is None
     assert diag.run_diagnostics(spark).count() == 0
+
+
+def test_normal_quantile_column(spark):
+    from windrisk.functions.normal import normal_quantile
+    ps = [1e-300, 1e-12, 1e-4, 0.02, 0.075, 0.3, 0.5, 0.7, 0.97, 1 - 1e-9]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p")).alias("z")).collect()
+    assert np.allclose([r.z for r in got], [NormalDist().inv_cdf(p) for p in ps], rtol=1e-12)

@@ -123,15 +123,41 @@ def test_shared_labels_are_refused(spark):
 
 
 def test_narrow_buckets_and_outliers_are_cut_again(spark, monkeypatch):
-    """Far outliers put nearly all values into one bucket; it is cut until small, or sorted as it is."""
+    """Far outliers do not keep a bucket from being cut until it is small."""
     values = np.concatenate([np.random.default_rng(5).normal(0, 1, 20_000), [1e9, -1e12, 1e15]])
     df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": values})).repartition(4)
     want = np.quantile(values, [0.0, 0.3, 0.5, 0.99, 1.0])
-    for limit, cuts in ((100, 6), (100, 1)):
-        monkeypatch.setattr(ranks, "BUCKET_ROWS", limit)
-        monkeypatch.setattr(ranks, "MAX_CUTS", cuts)
-        got = ranks.quantiles(df, ["k"], "v", [0.0, 0.3, 0.5, 0.99, 1.0], in_memory_rows=0).drop("k").first()
-        assert np.allclose(list(got)[:4], want[:4], rtol=1e-12) and got[4] == want[4]
+    monkeypatch.setattr(ranks, "BUCKET_ROWS", 100)
+    got = ranks.quantiles(df, ["k"], "v", [0.0, 0.3, 0.5, 0.99, 1.0], in_memory_rows=0).drop("k").first()
+    assert np.allclose(list(got)[:4], want[:4], rtol=1e-12) and got[4] == want[4]
+
+
+def test_wide_ranges_are_cut_at_their_own_quantiles(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    values = 10.0 ** rng.uniform(-131, 130, 20_000)
+    df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": values})).repartition(4)
+    monkeypatch.setattr(ranks, "BUCKET_ROWS", 100)
+    got = ranks.quantiles(df, ["k"], "v", [0.1, 0.5, 0.9], in_memory_rows=0).drop("k").first()
+    assert np.allclose(list(got), np.quantile(values, [0.1, 0.5, 0.9]), rtol=1e-9)
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_missing_and_infinite_values_follow_one_rule(spark, limit):
+    rows = [("a", v) for v in (1.0, 2.0, None, float("nan"), 3.0)] + [("b", v) for v in (float("-inf"), 0.0, 1.0, float("inf"))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {(r.k, r.v): (r["rank"], r.n) for r in ranks.with_average_ranks(df, ["k"], "v", limit).collect()}
+    assert got[("a", 1.0)] == (1.0, 3) and got[("a", 3.0)] == (3.0, 3) and len(got) == 7
+    bands = {r.k: r for r in ranks.quantiles(df, ["k"], "v", [0.0, 0.1, 0.5], in_memory_rows=limit).collect()}
+    assert bands["a"].p50 == 2.0 and bands["b"].p0 == bands["b"].p10 == float("-inf") and bands["b"].p50 == 0.5
+
+
+def test_zone_of_missing_draws_keeps_its_row(spark):
+    nan = float("nan")
+    rows = [(24, i, "a", v) for i, v in enumerate([1.0] * 2 + [9.0] * 6 + [nan] * 2)] + [(24, i, "b", nan) for i in range(10)]
+    df = spark.createDataFrame(rows, "horizon_h int, sample_id int, region_id string, value double")
+    got = {r.region_id: r for r in risk.forecasts(df).collect()}
+    assert got["a"].p_shortfall == 0.25 == {r.region_id: r.p_shortfall for r in risk.tail_risk(df).collect()}["a"]
+    assert got["b"].p_shortfall is None and got["b"].wind_p50 is None
 
 
 def test_average_ranks_with_ties(spark):

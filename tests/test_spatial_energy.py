@@ -187,3 +187,24 @@ def test_nested_round_trip(spark):
     nested = correlation.nested(matrix).first()
     assert nested.zone_ids == ["A", "B"] and nested.correlation_matrix[0][0] == 1.0
     assert rows(correlation.unnested(correlation.nested(matrix))) == rows(matrix)
+
+
+@pytest.mark.parametrize("value", [0.1, 7.1])
+@pytest.mark.parametrize("pivot", [1, 24])
+def test_a_constant_zone_has_no_correlation_whatever_its_mean_rounds_to(spark, value, pivot):
+    from windrisk.operators import correlation
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), z, v) for h in range(70)
+            for z, v in (("a", float(h % 7)), ("b", float(h % 5)), ("c", value))]
+    df = spark.createDataFrame(rows, "timestamp timestamp, region_id string, wind_speed_mps double")
+    got = {(r.zone_a, r.zone_b): r.value for r in correlation.correlation_matrix(df, pivot_zones=pivot).collect()}
+    assert all(v is None for k, v in got.items() if "c" in k) and got[("a", "a")] == 1.0
+
+
+def test_hourly_energy_adds_files_up(spark):
+    from windrisk.operators import energy
+    at = dt.datetime(2024, 1, 1)
+    rows = [(f, at + dt.timedelta(minutes=m), "SE1", "B19", 10.0) for f in (1, 2) for m in (0, 30)]
+    df = spark.createDataFrame(rows, "file_id int, timestamp timestamp, region_id string, variable string, value_mwh double")
+    assert energy.wide(df, hourly=True).first().wind_onshore_mwh == 20.0
+    with pytest.raises(ValueError):
+        energy.wide(df.drop("file_id"), hourly=True)

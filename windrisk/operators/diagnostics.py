@@ -298,7 +298,6 @@ def run_diagnostics(spark: SparkSession, chains: DataFrame | None = None, sample
         parts.append(_metric(frobenius(correlation), F.col("frobenius"), "spatial_corr_norm"))
     if observed is not None and samples is not None:
         parts.append(_metric(median_error(observed, samples), F.col("crps_median_mae"), "crps"))
-        parts.append(_metric(crps(observed, samples), F.col("crps"), "crps_full"))
     if not parts:
         return spark.createDataFrame([], "key string, value double")
     out = parts[0]
