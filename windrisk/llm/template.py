@@ -1,6 +1,6 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its start tags, told apart by their path of tags and classes, and the text runs outside of articles. A token's
+Tokens of a page are its start tags, told apart by their path of tags, classes and ids, and the text runs outside of articles. A token's
 occurrence vector holds its count on every page of a host. Vectors are never built: a token's vector is
 summed into one 64-bit number, the sum over pages of a hash of page and count, by grouped aggregates that a hot host does not crowd
 into one task; pages with equal html count once. Tokens of a host with equal vectors form an equivalence class. A class is valid if
@@ -112,7 +112,8 @@ def walk(source: str) -> Iterator[tuple]:
         if rest and not rest.isspace():
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(name.lower(), a or b or c)
-        key = xxhash.xxh3_64_intdigest(f"{parent.key}>{tag}.{attributes.get('class', '')}") >> 1
+        name = re.sub(r"\d+", "", attributes.get("id", ""))
+        key = xxhash.xxh3_64_intdigest(f"{parent.key}>{tag}.{attributes.get('class', '')}#{name}") >> 1
         yield "tag", key, parent.key
         if tag == "br":
             yield "text", " ", parent
