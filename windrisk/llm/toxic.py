@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrisk.llm.common import remainder, stored, table
+from windrisk.llm.common import remainder, small_or_shuffled, stored, table
 
 LEXICON, FIT_ROWS = 3000, 50_000
 LEAST_BOUND, STRONG_BOUND = 3.0, 4.2
@@ -56,22 +56,22 @@ class Trie:
     def __init__(self, terms):
         self.root: dict = {}
         self.terms = set(terms)
-        # One edit leaves the first or the second half of a term as it is: halves by the term's length.
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        # Words within one edit share a spelling once a letter is left out of either, or of both.
+        self.close = set(self.terms)
         for term in self.terms:
-            node, n = self.root, len(term)
+            node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = term
-            self.heads.setdefault(n, set()).add(term[:n // 2])
-            self.tails.setdefault(n, set()).add(term[n // 2:])
+            self.close.update(term[:i] + term[i + 1:] for i in range(len(term)))
 
     def possible(self, word: str) -> bool:
-        """False only if no term is within one edit: one half of a term must begin or end the word."""
-        m = len(word)
-        for n in (m, m - 1, m + 1):
-            if n in self.heads and (word[:n // 2] in self.heads[n] or word[n // 2 - n:] in self.tails[n]):
+        """False only if no term is within one edit."""
+        close = self.close
+        if word in close:
+            return True
+        for i in range(len(word)):
+            if word[:i] + word[i + 1:] in close:
                 return True
         return False
 
@@ -100,37 +100,41 @@ class Lexicon:
     def __init__(self, terms: dict[str, tuple[int, int]], exceptions: dict[str, int], n_toxic: int, n_clean: int):
         self.terms, self.exceptions, self.n = terms, exceptions, (n_toxic, n_clean)
         self.trie = Trie(t for t, c in terms.items() if bound(*c, *self.n) >= STRONG_BOUND and len(t) >= SHORTEST)
-        self._known: dict[str, tuple[str, int] | None] = {}
+        self._hits: dict[str, tuple[str, int]] = {}
+        self._clean: set[str] = set()  # recent words without a hit; emptied when full
 
     def misspelled(self, word: str) -> tuple[str, int] | None:
         """The strong term that a word misspells, and the distance."""
         plain = word.translate(_LOOKALIKES)
         if plain != word and plain in self.trie.terms:
-            return plain, 0
-        return self.trie.nearest(plain, 1) if len(plain) >= SHORTEST and self.trie.possible(plain) else None
-
-    def hit(self, raw: str) -> tuple[str, int] | None:
-        """(term, distance) for a lower-case word as it stands; the distance of a misspelled one is 1."""
-        known = self._known
-        if raw not in known:
-            if len(known) > 400_000:
-                known.clear()
-            word = bare(raw)
-            found = (word, 0) if word in self.terms else self.misspelled(word)
-            known[raw] = found and (found[0], 0 if found[0] == word else 1)
-        return known[raw]
+            return plain, 1
+        found = self.trie.nearest(plain, 1) if len(plain) >= SHORTEST and self.trie.possible(plain) else None
+        return found and (found[0], 1)
+
+    def hits(self, words: set[str]) -> dict[str, tuple[str, int]]:
+        """(term, distance) of those lower-case words, as they stand, that hit; the distance of a misspelled one is 1."""
+        found = {}
+        if len(self._clean) > 600_000:
+            self._clean.clear()
+        for raw in words - self._clean:
+            hit = self._hits.get(raw)
+            if hit is None:
+                word = bare(raw)
+                hit = (word, 0) if word in self.terms else self.misspelled(word)
+                if hit is None:
+                    self._clean.add(raw)
+                    continue
+                self._hits[raw] = hit
+            found[raw] = hit
+        return found
 
     def sums(self, text: str | None, own: int | None = None) -> list[float]:
         """Six sums over the hits of a text; `own` is the text's label if that was counted in the lexicon."""
         words = text.lower().split() if text else []
-        distinct = {}
-        for raw in set(words):
-            found = self.hit(raw)
-            if found is not None:
-                distinct[raw] = found
+        distinct = self.hits(set(words))
         if not distinct:
             return [0.0] * FEATURES
-        seen: dict[str, float] = {}
+        seen: dict[str, tuple[bool, float]] = {}
         fuzzy = total = 0.0
         for i, raw in enumerate(words):
             found = distinct.get(raw)
@@ -149,14 +153,13 @@ class Lexicon:
             if distance:
                 fuzzy += weight
             if worth >= LEAST_BOUND:
-                seen[term] = max(seen.get(term, 0.0), weight * worth * (0.7 if distance else 1.0))
-                if worth >= STRONG_BOUND:
+                is_strong = worth >= STRONG_BOUND
+                seen[term] = max(seen.get(term, (is_strong, 0.0)), (is_strong, weight * worth * (0.7 if distance else 1.0)))
+                if is_strong:
                     total += weight
-        ranked = sorted(seen.values(), reverse=True)
-        strong = sum(v for v in ranked if v >= STRONG_BOUND)
-        return [math.log1p(strong), float(sum(1 for v in ranked if v >= STRONG_BOUND) >= 2),
-                math.log1p(sum(v for v in ranked if v < STRONG_BOUND)), math.log1p(fuzzy), math.log1p(total),
-                min(1.0, 50.0 * len(ranked) / len(words))]
+        strong = [v for is_strong, v in seen.values() if is_strong]
+        return [math.log1p(sum(strong)), float(len(strong) >= 2), math.log1p(sum(v for is_strong, v in seen.values() if not is_strong)),
+                math.log1p(fuzzy), math.log1p(total), min(1.0, 50.0 * len(seen) / len(words))]
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
@@ -184,10 +187,8 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> Lexicon:
-    """The lexicon of `text, toxic` rows: at most `size` terms and the clean words near the strong ones."""
-    n = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
-    n_toxic, n_clean = int(n.t), int(n.n - n.t)
+def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int, size: int = LEXICON) -> Lexicon:
+    """The lexicon of `text, toxic` rows, so many of either class: at most `size` terms and the clean words near the strong ones."""
     counts = stored(word_counts(labelled), "toxic-words")
     t, c = F.col("toxic"), F.col("clean")
     low = (F.log((t + 0.5) / F.lit(n_toxic + 1.0)) - F.log((c + 0.5) / F.lit(n_clean + 1.0))
@@ -252,13 +253,16 @@ def learn(docs: DataFrame, labels: DataFrame, trained_on=None, id_col: str = "do
     if trained_on is not None:
         marks = marks.where(trained_on(F.col("l_id")))
     marks = stored(marks.groupBy("l_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
-    # Copies would make any word of theirs look like evidence.
-    labelled = (texts.join(marks, F.col("id") == F.col("l_id")).select("text", "toxic")
-                .withColumn("digest", F.xxhash64("text")).dropDuplicates(["digest", "toxic"]).drop("digest"))
-    lexicon = learn_lexicon(stored(labelled, "toxic-rows"), size)
-    sample = marks.orderBy(F.xxhash64("l_id"), "l_id").limit(fit_rows)
-    taught = _sums(texts.join(sample, F.col("id") == F.col("l_id")).select(F.col("id").alias("row"), F.col("toxic").alias("own"), "text"),
-                   lexicon).select("own", *_NAMES).toPandas()
+
+    def marked(some: DataFrame) -> DataFrame:
+        return texts.join(small_or_shuffled(some, 32), F.col("id") == F.col("l_id"))
+
+    # Copies would make any word of theirs look like evidence, so one document of equal texts is counted.
+    chosen = stored(marked(marks).groupBy(F.xxhash64("text"), "toxic").agg(F.min("l_id").alias("l_id")).select("l_id", "toxic"), "toxic-chosen")
+    n = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    lexicon = learn_lexicon(marked(chosen).select("text", "toxic"), n.get(1, 0), n.get(0, 0), size)
+    sample = stored(marks.orderBy(F.xxhash64("l_id"), "l_id").limit(fit_rows), "toxic-sample")
+    taught = _sums(marked(sample).select(F.col("id").alias("row"), F.col("toxic").alias("own"), "text"), lexicon).select("own", *_NAMES).toPandas()
     y = taught["own"].to_numpy(dtype=float)
     return lexicon, fit(taught[_NAMES].to_numpy(dtype=float), y) if y.sum() else None
 
