@@ -372,10 +372,8 @@ def p7_matern(spark, sf_dir):
 
 @query("p7_matern_any_nu")
 def p7_matern_any_nu(spark, sf_dir):
-    """General smoothness by numerical integration; at 3/2 it must give the closed form."""
-    distances = spatial.distance_matrix(adapters.zones25(spark, sf_dir))
-    value = F.when(F.col("km") == 0.0, F.lit(1.0)).otherwise(geo._bessel_kernel(1.5)(F.col("km") / F.lit(500.0 + 1e-9)))
-    return distances.select("zone_a", "zone_b", value.alias("value"))
+    """General smoothness by numerical integration; 7/2 has a closed form to compare with."""
+    return spatial.matern_matrix(spatial.distance_matrix(adapters.zones25(spark, sf_dir)), 500.0, 3.5)
 
 
 @query("p8_elapsed_hours", places=4)
@@ -690,10 +688,11 @@ def a17_ess(spark, sf_dir):
 
 @query("a17_divergences")
 def a17_divergences(spark, sf_dir):
-    """Draws flagged divergent: here those whose first component is extreme."""
-    chains = adapters.chains(spark, sf_dir)
-    stats = chains.where("param = 'd0'").select("chain", "draw", (F.abs("value") > 0.25).alias("diverging"))
-    return stats.agg(F.count_if("diverging").alias("n_divergences"))
+    """Draws flagged divergent: here those with an extreme component; among the metrics of all chains and parameters."""
+    chains = store(adapters.chains(spark, sf_dir))
+    stats = chains.groupBy("chain", "draw").agg((F.max(F.abs("value")) > 0.25).alias("diverging"))
+    metrics = diagnostics.chain_metrics(chains, stats)
+    return metrics.where("key = 'n_divergences'").select(F.col("value").cast("bigint").alias("n_divergences"))
 
 
 @query("a18_zone_correlation")
@@ -1038,3 +1037,17 @@ def k5_recomputed_means(spark, sf_dir):
     again = sinks.write_if_changed(spatial.silver_weather(grid.repartition(11)), folder, "weather")
     rows = spark.read.parquet(f"{folder}/weather").agg(F.count(F.lit(1)).alias("n_rows"))
     return rows.select("n_rows", F.lit(first).alias("first"), F.lit(again).alias("again"))
+
+
+@query("i2_saved_model")
+def i2_saved_model(spark, sf_dir):
+    """Fitted and saved at first, loaded for the same snapshots; forecasts of both are the same."""
+    folder = work_path(spark, "gold")
+    snaps = store(_hourly(spark, sf_dir))
+    fresh, fitted = forecasting.train_or_load(snaps, folder, n_samples=50)
+    loaded, again = forecasting.train_or_load(snaps.repartition(5), folder, n_samples=50)
+    left = forecasting.forecast_table(snaps, fresh).select("region_id", "horizon_h", "p_shortfall", "wind_p50")
+    right = forecasting.forecast_table(snaps, loaded).select("region_id", "horizon_h", F.col("p_shortfall").alias("p"), F.col("wind_p50").alias("w"))
+    gap = F.greatest(F.abs(F.col("p_shortfall") - F.col("p")), F.abs(F.col("wind_p50") - F.col("w")))
+    return left.join(right, ["region_id", "horizon_h"]).select(
+        "region_id", "horizon_h", F.lit(fitted).alias("fitted"), F.lit(again).alias("fitted_again"), gap.alias("gap"))

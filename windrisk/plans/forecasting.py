@@ -1,8 +1,9 @@
 """From raw inputs to forecasts and alerts, each step a DataFrame job."""
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrisk.operators import features as feat
@@ -10,6 +11,11 @@ from windrisk.operators import hsgp, risk, snapshots
 from windrisk.schemas import HORIZONS
 from windrisk.session import keep, small_side, store
 from windrisk.sources.files import empty_forecasts
+from windrisk.sources.gates import path_exists
+from windrisk.sources.sinks import mark_trained, retrain_needed
+
+FIT = ("m_spatial int, m_temporal int, center_s double, length_s double, center_t double, length_t double, gram array<double>, "
+       "proj array<double>, yy double, n long, y_mean double")
 
 
 @dataclass(frozen=True)
@@ -32,6 +38,42 @@ def train(snaps: DataFrame, n_samples: int = 500, m_spatial: int = hsgp.M_SPATIA
     return Trained(model, keep(hsgp.hyper_draws(posterior, n_samples, seed)), index)
 
 
+def save_model(trained: Trained, path: str) -> None:
+    """Write a fitted model: its sums in one row, hyper-parameter draws and zone index as tables."""
+    model, spark = trained.model, trained.draws.sparkSession
+    row = asdict(model.domain) | {"gram": model.gram.ravel().tolist(), "proj": model.proj.ravel().tolist(), "yy": float(model.yy),
+                                  "n": int(model.n), "y_mean": float(model.y_mean)}
+    spark.createDataFrame([row], FIT).coalesce(1).write.mode("overwrite").parquet(f"{path}/fit")
+    trained.index.write.mode("overwrite").parquet(f"{path}/index")
+    # The draws come last: a model without them was not saved whole.
+    trained.draws.write.mode("overwrite").parquet(f"{path}/draws")
+
+
+def load_model(spark: SparkSession, path: str) -> Trained | None:
+    """A saved model, or None if there is none or it was not saved whole."""
+    if not path_exists(spark, f"{path}/draws"):
+        return None
+    row = spark.read.parquet(f"{path}/fit").first().asDict()
+    size = row["m_spatial"] * row["m_temporal"]
+    domain = hsgp.Domain(**{f.name: row[f.name] for f in fields(hsgp.Domain)})
+    model = hsgp.Fit(domain, np.array(row["gram"]).reshape(size, size), np.array(row["proj"]), row["yy"], row["n"], row["y_mean"])
+    return Trained(model, spark.read.parquet(f"{path}/draws"), spark.read.parquet(f"{path}/index"))
+
+
+def train_or_load(snaps: DataFrame, folder: str, name: str = "model", **options) -> tuple[Trained | None, bool]:
+    """The saved model if the snapshots are unchanged since its fit, else a new one that is saved; and whether it was fitted."""
+    spark = snaps.sparkSession
+    if not retrain_needed(snaps, folder, name):
+        found = load_model(spark, f"{folder}/{name}")
+        if found is not None:
+            return found, False
+    trained = train(snaps, **options)
+    if trained is not None:
+        save_model(trained, f"{folder}/{name}")
+        mark_trained(snaps, folder, name)
+    return trained, True
+
+
 def predictive_draws(snaps: DataFrame, trained: Trained, horizons=HORIZONS, seed: int = 42) -> DataFrame:
     """Draws (timestamp, region_id, horizon_h, sample_id, value) for every zone and horizon."""
     points = feat.horizon_points(snaps, horizons, index=trained.index)

@@ -392,3 +392,9 @@ ORACLES["a17_rank_rhat"] = f"""WITH {RHAT}, halves AS (SELECT param, chain, half
 ORACLES["s1_skipped_files"] = "SELECT 'broken' AS why, 1 AS n_files UNION ALL SELECT 'unreadable', 1"
 ORACLES["s4_unreadable_documents"] = "SELECT event_type AS region_id, count(*) AS n_documents FROM events WHERE event_id % 3 = 0 GROUP BY ALL"
 ORACLES["k5_recomputed_means"] = f"WITH {NEAREST} SELECT count(*) AS n_rows, true AS first, false AS again FROM silver"
+ORACLES["i2_saved_model"] = """SELECT region_id, horizon_h, true AS fitted, false AS fitted_again, CAST(0 AS DOUBLE) AS gap
+    FROM (SELECT DISTINCT event_type AS region_id FROM events), (SELECT unnest([24, 48, 72]) AS horizon_h)"""
+ORACLES["p7_matern_any_nu"] = f"""WITH {ZONES25}, s AS (SELECT zone_a, zone_b, sqrt(CAST(7 AS DOUBLE)) * km / CAST(500.000000001 AS DOUBLE) AS s FROM km)
+    SELECT zone_a, zone_b, {r('(1 + s + 0.4 * s * s + s * s * s / 15) * exp(-s)', 'value')} FROM s"""
+ORACLES["a17_divergences"] = f"""WITH {CHAINS} SELECT count(*) AS n_divergences FROM
+    (SELECT chain, draw FROM chains GROUP BY ALL HAVING max(abs(value)) > 0.25)"""

@@ -109,7 +109,8 @@ def retrain_needed(snaps: DataFrame, folder: str, model_name: str) -> bool:
     """False only if the snapshots are unchanged since the last fit and its result is still there."""
     spark = snaps.sparkSession
     same = stored_hash(spark, folder, f"{model_name}_input") == str(content_hash(snaps))
-    return not (same and path_exists(spark, f"{folder}/{model_name}"))
+    there = any(path_exists(spark, f"{folder}/{model_name}{part}") for part in ("", "/draws"))
+    return not (same and there)
 
 
 def mark_trained(snaps: DataFrame, folder: str, model_name: str) -> None:
