@@ -109,10 +109,8 @@ def s3_bad_lines(spark, sf_dir):
 
 @query("s4_market_xml")
 def s4_market_xml(spark, sf_dir):
-    docs = adapters.xml_docs(spark, sf_dir)
-    generation = market_xml.points(docs.where("kind = 'generation'"), "generation")
-    load = market_xml.points(docs.where("kind = 'load'"), "load")
-    return generation.unionByName(load)
+    """Generation and load documents in one scan, told apart by their production type."""
+    return market_xml.points(adapters.xml_docs(spark, sf_dir))
 
 
 @query("s5_acknowledgements")
@@ -450,7 +448,7 @@ def f1_f2_known_regions(spark, sf_dir):
 @query("f3_f4_readable_points")
 def f3_f4_readable_points(spark, sf_dir):
     docs = adapters.xml_docs(spark, sf_dir).where("kind = 'generation'")
-    return market_xml.points(docs, "generation").groupBy("region_id", "variable").agg(F.count(F.lit(1)).alias("n_points"))
+    return market_xml.points(adapters.xml_docs(spark, sf_dir)).groupBy("region_id", "variable").agg(F.count(F.lit(1)).alias("n_points"))
 
 
 @query("f5_alerts")
@@ -858,24 +856,30 @@ def _event_stream(spark, sf_dir):
         (F.col("value") / 10.0).alias("wind_speed_mps"), "event_id")
 
 
-def _streamed(spark, df, name):
+def _streamed(spark, df, name, batch=None, keys=()):
+    """The stream run to its end, with the windows that it left open if their batch form is given."""
     path, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
     run = jobs.run_to_files(df, path, checkpoint)
     run.awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+    if batch is None:
+        return spark.read.schema(df.schema).parquet(path)
+    return jobs.finish(batch, path, work_path(spark, f"{name}-rest"), keys)
 
 
 @query("t1_hourly_snapshots")
 def t1_hourly_snapshots(spark, sf_dir):
-    snaps = jobs.hourly_snapshots(_event_stream(spark, sf_dir), ("timestamp", "event_id"))
-    rows = _streamed(spark, snaps.select(F.col("window.start").alias("hour"), "timestamp", "regions"), "snapshots")
+    def snaps(obs):
+        found = jobs.hourly_snapshots(obs, ("timestamp", "event_id"))
+        return found.select(F.col("window.start").alias("hour"), "timestamp", "regions")
+    rows = _streamed(spark, snaps(_event_stream(spark, sf_dir)), "snapshots", snaps(_ordered_obs(spark, sf_dir)), ("hour",))
     return rows.select("hour", "timestamp", F.explode("regions").alias("region_id", "wind_speed_mps"))
 
 
 @query("t2_t4_window_correlations")
 def t2_t4_window_correlations(spark, sf_dir):
-    snaps = jobs.hourly_snapshots(_event_stream(spark, sf_dir), ("timestamp", "event_id"))
-    rows = _streamed(spark, jobs.window_correlations(snaps), "correlations")
+    def events(obs):
+        return jobs.window_correlations(jobs.hourly_snapshots(obs, ("timestamp", "event_id")))
+    rows = _streamed(spark, events(_event_stream(spark, sf_dir)), "correlations", events(_ordered_obs(spark, sf_dir)), ("window_start",))
     return rows.select("window_start", "window_end", "timestamp", F.explode("mean_wind_per_region").alias("region_id", "mean_wind"))
 
 

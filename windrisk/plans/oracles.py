@@ -110,8 +110,7 @@ points AS (SELECT hour + (position - 1) * (CASE event_type WHEN 'view' THEN 15 W
 LAST = """last_values AS (SELECT hour, region_id, wind_speed_mps, first_seen FROM (
     SELECT date_trunc('hour', ts) AS hour, event_type AS region_id, value / 10.0 AS wind_speed_mps,
         min(ts) OVER (PARTITION BY date_trunc('hour', ts), event_type) AS first_seen,
-        row_number() OVER (PARTITION BY date_trunc('hour', ts), event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1),
-watermark AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm FROM events)"""
+        row_number() OVER (PARTITION BY date_trunc('hour', ts), event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1)"""
 WINDOWS = LAST + """,
 hours AS (SELECT hour, min(first_seen) AS timestamp FROM last_values GROUP BY hour),
 windowed AS (SELECT l.hour - k * INTERVAL 1 HOUR AS window_start, l.hour, l.region_id, l.wind_speed_mps
@@ -211,7 +210,7 @@ ORACLES = {
         p_shortfall, CAST(NULL AS DOUBLE) AS wind_p10, true AS has_null_field FROM stamped""",
     "p17_verdicts": f"WITH {RHAT} SELECT 'max_r_hat' AS key, {r('max(r_hat)', 'value')}, CASE WHEN max(r_hat) < 1.01 THEN 'pass' ELSE 'warn' END AS label FROM rhat",
     "f1_f2_known_regions": f"WITH {MAPPED} SELECT region_id, variable, count(*) AS n_rows, {r('sum(value_mwh)', 'value_mwh')} FROM energy GROUP BY ALL",
-    "f3_f4_readable_points": f"WITH {POINTS} SELECT region_id, variable, count(*) AS n_points FROM points WHERE variable <> 'load_mwh' GROUP BY ALL",
+    "f3_f4_readable_points": f"WITH {POINTS} SELECT region_id, variable, count(*) AS n_points FROM points GROUP BY ALL",
     "f5_alerts": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall', 'p_shortfall')} FROM tail_risk WHERE p_shortfall >= 0.2",
     "f6_at_risk": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall', 'p_shortfall')}, region_id || ' @ +' || horizon_h || 'h' AS label FROM tail_risk WHERE p_shortfall > 0.1",
     "f8_minimum_rows": "SELECT count(*) AS n_rows, count(*) >= 10 AS enough, false AS empty_is_enough FROM events",
@@ -321,9 +320,9 @@ ORACLES = {
     "m2_map_lookup": f"WITH {LAST} SELECT hour, {r("max(wind_speed_mps) FILTER (region_id = 'view')", 'view')}, CAST(NULL AS DOUBLE) AS absent FROM last_values GROUP BY hour",
     "m3_nested_matrix": f"WITH {HOURLY}{PAIRS} SELECT zone_a, zone_b, {r('value', 'value')} FROM corr",
     "t1_hourly_snapshots": f"""WITH {LAST} SELECT hour, min(first_seen) OVER (PARTITION BY hour) AS timestamp, region_id, {r('wind_speed_mps', 'wind_speed_mps')}
-        FROM last_values, watermark WHERE hour + INTERVAL 1 HOUR <= wm""",
+        FROM last_values""",
     "t2_t4_window_correlations": f"""WITH {WINDOWS} SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end, h.timestamp, c.region_id, {r('c.mean_wind', 'mean_wind')}
-        FROM counted c JOIN valid v USING (window_start) JOIN hours h ON h.hour = v.last_hour, watermark WHERE c.window_start + INTERVAL 6 HOUR <= wm""",
+        FROM counted c JOIN valid v USING (window_start) JOIN hours h ON h.hour = v.last_hour""",
     "t3_window_correlation_cells": f"WITH {WINDOWS} SELECT window_start, zone_a, zone_b, {r('value', 'value')} FROM cells",
     "t5_alert_stream": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall * 5', 'p_shortfall')} FROM tail_risk WHERE p_shortfall * 5 >= 0.9",
     "t6_early_warnings": f"""WITH {WINDOWS}, warned AS (SELECT window_start FROM cells WHERE zone_a < zone_b GROUP BY window_start HAVING bool_and(coalesce(value > -0.6, false)))

@@ -24,22 +24,23 @@ def _is_acknowledgement():
     return F.col("xml").contains(ACKNOWLEDGEMENT_MARK)
 
 
-def points(docs: DataFrame, kind: str) -> DataFrame:
+def points(docs: DataFrame, kind: str | None = None) -> DataFrame:
     """(timestamp, region_id, variable, value_mwh) of every readable point.
 
-    `kind` is 'generation' (wind series only, named by production type) or 'load'. All
+    `kind` is 'generation' (wind series only, named by production type) or 'load'; without it, series with a
+    production type are generation and those without are load. All
     periods of a series are read. Points without a whole position or a numeric quantity,
     and periods without a readable start, are dropped; explicit offsets are converted to UTC.
     """
-    if kind not in ("generation", "load"):
+    if kind not in ("generation", "load", None):
         raise ValueError(f"kind must be 'generation' or 'load', got {kind!r}")
     series = (docs.where(~_is_acknowledgement())
               .select("region_id", F.explode(F.from_xml("xml", DOCUMENT)["TimeSeries"]).alias("s")))
-    if kind == "generation":
-        variable = F.trim(F.col("s.MktPSRType.psrType"))
-        series = series.where(variable.isin(OFFSHORE, ONSHORE))
-    else:
-        variable = F.lit(LOAD)
+    production = F.trim(F.col("s.MktPSRType.psrType"))
+    variable = {"generation": production, "load": F.lit(LOAD), None: F.coalesce(production, F.lit(LOAD))}[kind]
+    if kind != "load":
+        wanted = [OFFSHORE, ONSHORE] if kind else [OFFSHORE, ONSHORE, LOAD]
+        series = series.where(variable.isin(wanted))
     periods = series.select("region_id", variable.alias("variable"), F.explode("s.Period").alias("p"))
     opened = periods.select(
         "region_id", "variable",

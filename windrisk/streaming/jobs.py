@@ -119,6 +119,18 @@ def alert_stream(forecasts: DataFrame) -> DataFrame:
 
 
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process all that is there, append to Parquet, stop."""
+    """Process all that is there, append to Parquet, stop; `finish` adds what a finite input leaves open."""
     return (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start())
+
+
+def finish(result: DataFrame, path: str, rest: str, keys: tuple[str, ...]) -> DataFrame:
+    """All windows of a bounded stream that has ended: those it emitted to `path`, and those that still waited for the watermark.
+
+    `result` is the batch form of the same plan over the same input; what was not emitted is written to `rest`,
+    since the files of a stream's folder are listed by its own log.
+    """
+    spark = result.sparkSession
+    emitted = spark.read.schema(result.schema).parquet(path)
+    result.join(emitted.select(*keys), list(keys), "left_anti").select(*result.columns).write.parquet(rest)
+    return emitted.unionByName(spark.read.schema(result.schema).parquet(rest))
