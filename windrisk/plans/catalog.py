@@ -447,7 +447,6 @@ def f1_f2_known_regions(spark, sf_dir):
 
 @query("f3_f4_readable_points")
 def f3_f4_readable_points(spark, sf_dir):
-    docs = adapters.xml_docs(spark, sf_dir).where("kind = 'generation'")
     return market_xml.points(adapters.xml_docs(spark, sf_dir)).groupBy("region_id", "variable").agg(F.count(F.lit(1)).alias("n_points"))
 
 
