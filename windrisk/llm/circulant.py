@@ -7,11 +7,13 @@ coordinates. 32 bands of 4 coordinates miss a pair of similarity 0.75 with chanc
 1. Documents with equal shingle sets fold into one class, keyed by a 128-bit hash of the set.
 2. Classes meet in buckets (equal band). The smallest class of a bucket is its centre; a class proposes one edge, to the
    centre that it shares most bands with. Edges are verified on full shingle sets and joined to components.
-3. Only buckets that still hold several components go on. There, in blocks of bounded size, signatures of classes
-   of different components are compared with each other; pairs that agree in at least `LEAST_AGREEING` of 128 coordinates
-   (a linked pair stays below with chance under 1e-8) are verified too. Members of the largest component are never compared
-   with each other. Where more than BLOCK other members are left, a bucket is first cut by a further band, which keeps linked
-   pairs together with chance 1 - 8e-6, and after three cuts compared in blocks as it is. No pair is ever dropped.
+3. Only buckets that still hold several components go on. Their classes form clusters (classes that share such buckets); a cluster
+of at most CLUSTER classes is compared as a whole, a larger one bucket by bucket, and a bucket with more than BLOCK classes outside of its
+largest component is cut by further bands, which keep linked pairs together with chance 1 - 8e-6, at last compared as it is. All comparing is done
+in block pairs of bounded size, where an inverted index over the shingles (24 bits of each) counts the intersections of all
+pairs of different components. Members of the largest component are never compared with each other. A block pair
+returns the edges that join components, at most one for each join besides those too close to call at 24 bits. They are verified
+on full sets as well. No pair is ever dropped.
 
 So a group of a million near copies costs a million edges, not their square. No bucket, component or shingle set of
 the corpus is collected; all joins on hot keys are between stored tables, which AQE can split.
@@ -38,9 +40,9 @@ from windrisk.llm.shingles import mix64, shingle_set
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 STEP = np.uint32(0x9E3779B1)
-LEAST_AGREEING = 66
 SHARE = (3, 4)  # similarity of at least 3 / 4
-BLOCK, CUTS = 1024, 3
+CLUSTER, BLOCK, CUTS = 8192, 1024, 3
+FOLD_BITS = 24
 
 
 def _pi(x: np.ndarray) -> np.ndarray:
@@ -77,9 +79,9 @@ def _groups(lengths: list[int], most: int = 1 << 16) -> Iterator[tuple[int, int]
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, node (hash of the shingle set, NULL for an empty one), signature."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([source.schema["id"], T.StructField("n_shingles", T.LongType()),
+    """Per row: id, text_hash, n_shingles, node (hash of the shingle set, NULL for an empty one), signature."""
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    schema = T.StructType([source.schema["id"], source.schema["text_hash"], T.StructField("n_shingles", T.LongType()),
                            T.StructField("node", T.BinaryType()), T.StructField("signature", T.BinaryType())])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,8 +94,8 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 marks = [next(rows).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(nodes, pa.binary()), pa.array(marks, pa.binary())], names=["id", "n_shingles", "node", "signature"])
+                    [batch.column("id").slice(a, b - a), batch.column("text_hash").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(nodes, pa.binary()), pa.array(marks, pa.binary())], names=schema.names)
 
     return source.mapInArrow(sketch, schema)
 
@@ -125,10 +127,9 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(explode, "bucket long, node binary")
 
 
-def _verified(edges: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The edges (a, b) whose full shingle sets are similar enough."""
-    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-    needed = stored(ends.join(classes.select("node", "rep_id"), "node"), "needed")
+def _shingle_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles) of the given nodes, from one text of each class."""
+    needed = stored(nodes.join(classes.select("node", "rep_id"), "node"), "needed")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(needed.select("rep_id").distinct(), F.col("id").eqNullSafe(F.col("rep_id")), "left_semi")
 
@@ -142,9 +143,12 @@ def _verified(edges: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str
                      pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     # A node may come from several rows with one id; only needed nodes go on, each once.
-    sets = (texts.select("text").mapInArrow(shingled, "node binary, shingles binary")
-            .join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    sets = stored(sets, "shingle-sets")
+    return stored(texts.select("text").mapInArrow(shingled, "node binary, shingles binary")
+                  .join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "shingle-sets")
+
+
+def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The edges (a, b) whose full shingle sets are similar enough."""
     left = sets.withColumnsRenamed({"node": "a", "shingles": "x"})
     right = sets.withColumnsRenamed({"node": "b", "shingles": "y"})
     top, bottom = SHARE
@@ -168,92 +172,157 @@ def _verified(edges: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str
     return edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a binary, b binary")
 
 
-def _compare(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in one block pair that agree in enough coordinates.
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingle sets folded to 24 bits a shingle, three bytes each."""
+    for batch in batches:
+        sizes, folded = [], []
+        for raw in batch.column("shingles"):
+            shingles = np.frombuffer(raw.as_py(), dtype=np.uint64)
+            short = np.unique((shingles >> np.uint64(64 - FOLD_BITS)).astype("<u4"))
+            sizes.append(len(shingles))
+            folded.append(np.ascontiguousarray(short.view(np.uint8).reshape(-1, 4)[:, :3]).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int64()), pa.array(folded, pa.binary())],
+                                         names=["s_node", "size", "folded"])
+
+
+def _unfold(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 3, 4), dtype=np.uint8)
+    wide[:, :3] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3)
+    return wide.view("<u4").ravel()
 
-    `part` tells the two sides of a block pair; one side is compared with itself.
-    """
+
+def _compare(members: pd.DataFrame) -> pd.DataFrame:
+    """Edges between different components of one block pair; `part` tells its sides, one side is compared with itself."""
     members = members.drop_duplicates(["node", "part"])
+    members["kind"] = pd.factorize(members["component"])[0]
     sides = [members[members["part"] == p] for p in sorted(members["part"].unique())]
     left, right = sides[0], sides[-1]
-    x = np.frombuffer(b"".join(left["signature"]), dtype=np.uint32).reshape(len(left), COORDINATES)
-    y = np.frombuffer(b"".join(right["signature"]), dtype=np.uint32).reshape(len(right), COORDINATES)
-    sizes, others = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-    comps = pd.factorize(pd.concat([left["component"], right["component"]]))[0]
-    comps, theirs = comps[:len(left)], comps[len(left):]
+    root = list(range(int(members["kind"].max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    ours, theirs = left["kind"].to_numpy(), right["kind"].to_numpy()
+    sizes, others = left["size"].to_numpy(), right["size"].to_numpy()
+    sets = [_unfold(raw) for raw in right["folded"]]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    elements = np.concatenate(sets)
+    turn = np.argsort(elements, kind="stable")
+    owner = owner[turn]
+    known, begins, counts = np.unique(elements[turn], return_index=True, return_counts=True)
     top, bottom = SHARE
     a, b = [], []
-    for i in range(len(left)):
-        near = (theirs != comps[i]) & (bottom * np.minimum(sizes[i], others) >= top * np.maximum(sizes[i], others))
+    for i, raw in enumerate(left["folded"]):
+        roots = np.array([find(k) for k in range(len(root))])
+        near = (roots[theirs] != roots[ours[i]]) & (bottom * np.minimum(sizes[i], others) >= top * np.maximum(sizes[i], others))
         if len(sides) == 1:
             near[:i + 1] = False
-        at = np.flatnonzero(near)
-        if len(at):
-            at = at[np.count_nonzero(y[at] == x[i], axis=1) >= LEAST_AGREEING]
-            a += [left["node"].iat[i]] * len(at)
-            b += [right["node"].iat[j] for j in at]
+        if not near.any():
+            continue
+        own = _unfold(raw)
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        at = at[known[at] == own]
+        ends = np.cumsum(counts[at])
+        spread = np.repeat(begins[at] - ends + counts[at], counts[at]) + np.arange(ends[-1] if len(ends) else 0)
+        both = np.bincount(owner[spread], minlength=len(sets))
+        linked = np.flatnonzero(near & (bottom * both >= top * (sizes[i] + others - both)))
+        if not len(linked):
+            continue
+        # Shingles that only agree in 24 bits might lift a pair over the limit; such a pair is returned, but joins nothing here.
+        slack = 1 + (8 * sizes[i] * others[linked] >> FOLD_BITS)
+        less = np.maximum(both[linked] - slack, 0)
+        sure = bottom * less >= top * (sizes[i] + others[linked] - less)
+        for j, safe in sorted(zip(linked.tolist(), sure.tolist()), key=lambda js: (not js[1], js[0])):
+            mine, its = find(int(ours[i])), find(int(theirs[j]))
+            if mine != its:
+                a.append(left["node"].iat[i])
+                b.append(right["node"].iat[j])
+                if safe:
+                    root[max(mine, its)] = min(mine, its)
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _tail_pairs(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame | None:
-    """Candidate pairs in buckets of several components, or None if there is no such bucket."""
+def _shapes(placed: DataFrame) -> DataFrame:
+    """Per group of several components: its largest component, the number of members in it (`most`) and outside of it (`rest`)."""
+    counts = placed.groupBy("group", "component").agg(F.count("*").alias("n"))
+    return stored(counts.groupBy("group").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("kinds"))
+                  .where("kinds > 1").select(F.col("group").alias("s_group"), (F.col("all") - F.col("largest.n")).alias("rest"),
+                                             F.col("largest.n").alias("most"), F.col("largest.component").alias("main")), "tail-groups")
+
+
+def _block_edges(placed: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges between the components of each group, found in pairs of blocks."""
+    is_main = F.col("component") == F.col("main")
+    # The rest is cut into blocks of its own, and so is the largest component, which never meets itself.
+    block_of = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / F.lit(BLOCK)))
+    n_rest, n_main = F.ceil(F.col("rest") / F.lit(BLOCK)), F.ceil(F.col("most") / F.lit(BLOCK))
+    own = F.when(is_main, block_of(F.col("most")) + n_rest).otherwise(block_of(F.col("rest"))).cast("long")
+    zero = F.lit(0).cast("long")
+    met = F.when(is_main, F.sequence(zero, n_rest - 1)).otherwise(F.sequence(zero, n_rest + n_main - 1))
+    crowd = placed.join(shapes, F.col("group") == F.col("s_group")).withColumn("own", own)
+    folded = sets.mapInArrow(_folded, "s_node binary, size long, folded binary")
+    dealt = crowd.select("group", "node", "component", "own", F.explode(met).alias("other")).join(folded, F.col("node") == F.col("s_node"))
+    return dealt.select("group", "node", "component", "size", "folded", F.least("own", "other").alias("low"),
+                        F.greatest("own", "other").alias("high"), F.col("own").alias("part")).groupBy(
+        "group", "low", "high").applyInPandas(_compare, "a binary, b binary")
+
+
+def _cut(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of each group dealt out to groups that agree in one more band."""
+    def cut_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                keys = _band_keys(_matrix(batch.column("signature"))).view(np.uint64)
+                old = batch.column("group").to_numpy().view(np.uint64)
+                with np.errstate(over="ignore"):
+                    keys = mix64(keys ^ (old[:, None] * np.uint64(0xD6E8FEB86659FD93))).view(np.int64)
+                at = pa.array(np.repeat(np.arange(len(batch)), BANDS))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column("node").take(at), batch.column("component").take(at)],
+                                                 names=["group", "node", "component"])
+
+    marks = classes.select(F.col("node").alias("c_node"), "signature")
+    return placed.join(marks, F.col("node") == F.col("c_node")).select("group", "node", "component", "signature").mapInArrow(
+        cut_again, "group long, node binary, component binary")
+
+
+def _tail_edges(members: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Edges between components that share buckets, or None if no bucket has several components."""
     labels = found.select(F.col("node").alias("f_node"), "component")
-    placed = stored(members.join(labels, F.col("node") == F.col("f_node"), "left")
-                    .select("bucket", "node", F.coalesce("component", "node").alias("component")), "placed")
-    pairs = None
-    for cut in range(CUTS + 1):
-        counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        shape = (counts.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("largest"),
-                                              F.count("*").alias("kinds"))
-                 .where("kinds > 1").select(F.col("bucket").alias("s_bucket"), (F.col("all") - F.col("largest.n")).alias("rest"),
-                                            F.col("largest.n").alias("most"), F.col("largest.component").alias("main")))
-        shape = stored(shape, "tail-buckets")
-        if shape.isEmpty():
-            return pairs
-        last = cut == CUTS
-        crowd = stored(placed.join(shape, F.col("bucket") == F.col("s_bucket")).drop("s_bucket")
-                       .join(classes.select(F.col("node").alias("c_node"), "n_shingles", "signature"), F.col("node") == F.col("c_node"))
-                       .drop("c_node"), "tail-members")
-        ready = crowd if last else crowd.where(F.col("rest") <= BLOCK)
-        is_main = F.col("component") == F.col("main")
-        # The rest is cut into blocks of its own, and so is the largest component, which never meets itself.
-        block_of = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / F.lit(BLOCK)))
-        n_rest, n_main = F.ceil(F.col("rest") / F.lit(BLOCK)), F.ceil(F.col("most") / F.lit(BLOCK))
-        own = F.when(is_main, block_of(F.col("most")) + n_rest).otherwise(block_of(F.col("rest")))
-        blocked = ready.withColumn("own", own.cast("long"))
-        met = F.when(is_main, F.sequence(F.lit(0).cast("long"), n_rest - 1)).otherwise(
-            F.sequence(F.lit(0).cast("long"), n_rest + n_main - 1))
-        dealt = blocked.select("bucket", "node", "component", "n_shingles", "signature", "own", F.explode(met).alias("other")).select(
-            "bucket", "node", "component", "n_shingles", "signature",
-            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.col("own").alias("part"))
-        some = dealt.groupBy("bucket", "low", "high").applyInPandas(_compare, "a binary, b binary")
-        some = stored(some.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "tail-pairs")
-        pairs = some if pairs is None else pairs.unionByName(some)
-        if last:
-            break
-        crowded = crowd.where(F.col("rest") > BLOCK)
-        if crowded.isEmpty():
-            break
-
-        def cut_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if len(batch):
-                    keys = _band_keys(_matrix(batch.column("signature"))).view(np.uint64)
-                    old = batch.column("bucket").to_numpy().view(np.uint64)
-                    with np.errstate(over="ignore"):
-                        keys = mix64(keys ^ (old[:, None] * np.uint64(0xD6E8FEB86659FD93))).view(np.int64)
-                    at = pa.array(np.repeat(np.arange(len(batch)), BANDS))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.ravel()), batch.column("node").take(at), batch.column("component").take(at)],
-                        names=["bucket", "node", "component"])
-
-        placed = stored(crowded.select("bucket", "node", "component", "signature")
-                        .mapInArrow(cut_again, "bucket long, node binary, component binary"), "placed")
-    return pairs
+    placed = stored(members.join(labels, F.col("node") == F.col("f_node"), "left").select(
+        F.col("bucket").alias("group"), "node", F.coalesce("component", "node").alias("component"), "centre"), "placed")
+    buckets = _shapes(placed)
+    if buckets.isEmpty():
+        return None
+    tail = stored(placed.join(buckets.select("s_group"), F.col("group") == F.col("s_group"), "left_semi"), "tail")
+    clusters = components(tail.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
+    clusters = clusters.select(F.col("node").alias("k_node"), F.col("component").alias("cluster"))
+    whole = stored(tail.select("node", "component").distinct().join(clusters, F.col("node") == F.col("k_node"), "left").select(
+        F.xxhash64(F.coalesce("cluster", "node")).alias("group"), "node", "component"), "clusters")
+    shapes = _shapes(whole)
+    small = F.col("rest") + F.col("most") <= CLUSTER
+    edges = _block_edges(whole, shapes.where(small), sets)
+    large = shapes.where(~small)
+    if not large.isEmpty():
+        wide = whole.join(large, F.col("group") == F.col("s_group"), "left_semi").select(F.col("node").alias("w_node"))
+        parts = stored(tail.join(wide, F.col("node") == F.col("w_node"), "left_semi").select("group", "node", "component"), "wide")
+        for cut in range(CUTS + 1):
+            shapes = _shapes(parts)
+            if cut == CUTS:
+                edges = edges.unionByName(_block_edges(parts, shapes, sets))
+                break
+            edges = edges.unionByName(_block_edges(parts, shapes.where(F.col("rest") <= BLOCK), sets))
+            crowded = shapes.where(F.col("rest") > BLOCK)
+            if crowded.isEmpty():
+                break
+            parts = stored(_cut(parts.join(crowded, F.col("group") == F.col("s_group"), "left_semi"), classes), "cut")
+    return stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "tail-edges")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+    """One row per input row: id, text_hash (xxhash64), n_shingles, component_id, kept."""
     rows = stored(sketches(docs, id_col, text_col), "sketches")
     classes = stored(rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "classes")
@@ -264,11 +333,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     best = F.max(F.struct(F.col("n"), F.col("b")))
     edges = stored(members.where("node <> centre").groupBy(F.col("node").alias("a"), F.col("centre").alias("b"))
                    .agg(F.count("*").alias("n")).groupBy("a").agg(best.alias("best")).select("a", F.col("best.b").alias("b")), "star-edges")
-    links = stored(_verified(edges, docs, classes, id_col, text_col), "links")
+    # Every class that shares a bucket is an end of some edge.
+    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    sets = _shingle_sets(ends, docs, classes, id_col, text_col)
+    links = stored(_verified(edges, sets), "links")
     found = components(links)
-    pairs = _tail_pairs(members, classes, found)
-    if pairs is not None:
-        more = stored(_verified(stored(pairs.distinct(), "pairs"), docs, classes, id_col, text_col), "links")
+    more = _tail_edges(members, classes, sets, found)
+    if more is not None:
+        more = stored(_verified(more, sets), "links")
         if not more.isEmpty():
             found = components(links.unionByName(more))
     labels = found.select(F.col("node").alias("f_node"), "component")
@@ -276,11 +348,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     .select("node", "rep_id", F.coalesce("component", "node").alias("component")), "placed-classes")
     least = stored(placed.groupBy(F.col("component").alias("l_component")).agg(F.min("rep_id").alias("component_id")), "least")
     named = stored(placed.join(least, F.col("component") == F.col("l_component")).select(F.col("node").alias("p_node"), "component_id"), "named")
-    joined = rows.select("id", "n_shingles", "node").join(named, F.col("node") == F.col("p_node"), "left")
+    joined = rows.select("id", "text_hash", "n_shingles", "node").join(named, F.col("node") == F.col("p_node"), "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return joined.select("id", "n_shingles", component.alias("component_id")).withColumn(
+    return joined.select("id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def op4_circulant_minhash(spark, sf_dir):
-    return near_groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return near_groups(table(spark, sf_dir, "documents")).drop("text_hash").withColumnRenamed("id", "doc_id")
