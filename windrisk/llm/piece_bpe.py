@@ -58,7 +58,7 @@ class PieceVocabulary:
                 self.bytes[int(piece.piece[3:5], 16)] = number
         apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$" if apart else "(?s).+").findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[list[int], str]] = {}
 
     def agenda(self, segment: str) -> list[int]:
         """Ids of one segment by the score-ordered agenda."""
@@ -101,22 +101,27 @@ class PieceVocabulary:
                 out.append(self.unk)
         return out
 
-    def encode(self, text: str, add_eos: bool = False) -> list[int]:
+    def encode(self, text: str, add_eos: bool = False) -> tuple[list[int], str]:
+        """Ids of a text, and the same in decimal, joined by spaces."""
         out: list[int] = []
+        spelled: list[str] = []
         if text:
             known = self.known
             for segment in self.segments((self.prefix + text).replace(" ", SPACE)):
-                ids = known.get(segment)
-                if ids is None:
+                found = known.get(segment)
+                if found is None:
                     ids = self.agenda(segment)
+                    found = ids, " ".join(map(str, ids))
                     if len(segment) <= 64:
                         if len(known) >= MEMORY:
                             known.clear()
-                        known[segment] = ids
-                out += ids
+                        known[segment] = found
+                out += found[0]
+                spelled.append(found[1])
         if add_eos:
             out.append(self.eos)
-        return out
+            spelled.append(str(self.eos))
+        return out, " ".join(spelled)
 
 
 @lru_cache(maxsize=2)
@@ -141,43 +146,40 @@ def _slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+#: What `pieces` can return for a row.
+OUTPUTS = {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(), "n_tokens": T.LongType(), "ids_sha256": T.StringType(),
+           "decoded_sha256": T.StringType()}
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None,
-           add_eos: bool = True, digests: bool = False) -> DataFrame:
-    """Per row: id, token ids and the text that they decode to; with `digests` their number and SHA-256 instead.
+           add_eos: bool = True, outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """Per row: id and the chosen OUTPUTS: token ids, the text that they decode to, their number, and digests of both.
 
     `model_file` is a path on every executor; by default the public 32k vocabulary is looked up there.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_field = source.schema["id"]
-    if digests:
-        rest = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                T.StructField("decoded_sha256", T.StringType())]
-    else:
-        rest = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    schema = T.StructType([id_field, *rest])
+    schema = T.StructType([source.schema["id"], *[T.StructField(name, OUTPUTS[name]) for name in outputs]])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model_file or default_model())
-        text_of = [str(i) for i in range(len(vocab.library))]
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in _slices(texts):
                 part = texts[a:b]
-                ids = [vocab.encode(t, add_eos) for t in part]
+                found = [vocab.encode(t, add_eos) for t in part]
+                ids = [x for x, _ in found]
                 if ids != vocab.library.encode(part, add_eos=add_eos, num_threads=1):
                     raise AssertionError("the agenda and the sentencepiece library disagree")
-                decoded = [vocab.library.decode(x) for x in ids]
-                if digests:
-                    columns = [pa.array([len(x) for x in ids], pa.int64()),
-                               pa.array([hashlib.sha256(" ".join([text_of[i] for i in x]).encode()).hexdigest() for x in ids]),
-                               pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded])]
-                else:
-                    columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), *columns],
-                                                 names=[f.name for f in schema.fields])
+                decoded = vocab.library.decode(ids, num_threads=1)
+                values = {"ids": lambda: pa.array(ids, pa.list_(pa.int32())), "decoded": lambda: pa.array(decoded, pa.string()),
+                          "n_tokens": lambda: pa.array([len(x) for x in ids], pa.int64()),
+                          "ids_sha256": lambda: pa.array([sha(x) for _, x in found]), "decoded_sha256": lambda: pa.array([sha(x) for x in decoded])}
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), *[values[name]() for name in outputs]], names=schema.names)
 
     return source.mapInArrow(encode, schema)
 
 
 def op9_agenda_pieces(spark, sf_dir):
-    return pieces(table(spark, sf_dir, "documents"), digests=True).withColumnRenamed("id", "doc_id")
+    found = pieces(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+    return found.withColumnRenamed("id", "doc_id")
