@@ -8,11 +8,11 @@ them.
 
 The tree is never held in one place: leaves, positions and templates are keys of grouped aggregates. Equal lines fold into one row
 before anything else, so a line in a third of all documents is one row for each task; positions are only looked at in leaves of several
-different lines. Texts are written once with the leaf and key of each line and read again for the result.
+different lines. What is stored for a line is its leaf and key; texts are read again for samples of the lines and for the result.
 
 Defined results: NULL and empty texts have no lines and stay as they are (NULL as NULL). Lines without a word are never dropped and do
-not count. A text of which all lines are dropped becomes empty. Lines of one document count once for it; repeated rows count
-as documents of their own.
+not count. A text of which all lines are dropped becomes empty. Lines of one document count once for it; repeated rows (same
+id and text) count as one document and get equal results.
 """
 
 import re
@@ -44,10 +44,10 @@ def _leaf(tokens: list[str]) -> int:
 
 
 def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: row (unique), id, text, and for each line its leaf and key (0 for lines without a word)."""
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """Per row: id, text_hash, and for each line its leaf and key (0 for lines without a word). Texts stay where they are."""
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([*source.schema.fields, T.StructField("leaves", longs), T.StructField("keys", longs)])
+    schema = T.StructType([*source.schema.fields[:2], T.StructField("leaves", longs), T.StructField("keys", longs)])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,11 +57,18 @@ def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 leaves.append([_leaf(t) if t else 0 for t in tokens])
                 keys.append([_hash(" ".join(t)) if t else 0 for t in tokens])
             kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, kind), pa.array(keys, kind)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(leaves, kind), pa.array(keys, kind)], names=schema.names)
 
     return source.mapInArrow(parse, schema)
 
 
+def _with_texts(docs: DataFrame, side: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
+    """`id`, `text` joined with a table by `s_id` and `s_hash`; what is joined grows with the corpus, so both sides are shuffled."""
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    match = F.col("text_hash").eqNullSafe(F.col("s_hash")) & F.col("id").eqNullSafe(F.col("s_id"))
+    return texts.hint("merge").join(side, match, how).drop("text_hash", "s_hash", "s_id")
+
+
 def _tokens(samples: DataFrame) -> DataFrame:
     """(leaf, key, docs, length, pos, token) of the sample lines of each text."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,45 +86,50 @@ def _tokens(samples: DataFrame) -> DataFrame:
     return samples.mapInArrow(explode, "leaf long, key long, docs long, length long, pos long, token long")
 
 
-def recurring_lines(texts: DataFrame, least_docs: int = LEAST_DOCS, similar: float = SIMILAR) -> DataFrame:
-    """(row, lines): the numbers of the lines of each row of `parsed` that belong to recurring templates."""
-    lines = texts.select("row", F.posexplode(F.arrays_zip("leaves", "keys")).alias("line", "at")).select(
-        "row", "line", F.col("at.leaves").alias("leaf"), F.col("at.keys").alias("key")).where("key <> 0")
-    once = stored(lines.groupBy("leaf", "key", "row").agg(F.min("line").alias("line")), "lines-once")
-    kinds = stored(once.groupBy("leaf", "key").agg(F.count("*").alias("docs"), F.min(F.struct("row", "line")).alias("sample")), "line-kinds")
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS,
+                    similar: float = SIMILAR) -> DataFrame:
+    """(s_id, s_hash, lines): by id and hash of a text the numbers of its lines that belong to recurring templates."""
+    lines = stored(parsed(docs, id_col, text_col), "parsed-lines").select(
+        "id", "text_hash", F.posexplode(F.arrays_zip("leaves", "keys")).alias("line", "at")).select(
+        "id", "text_hash", "line", F.col("at.leaves").alias("leaf"), F.col("at.keys").alias("key")).where("key <> 0")
+    once = stored(lines.groupBy("leaf", "key", "id", "text_hash").agg(F.min("line").alias("line")), "lines-once")
+    kinds = stored(once.groupBy("leaf", "key").agg(F.count("*").alias("docs"), F.min(F.struct("id", "text_hash", "line")).alias("sample")), "line-kinds")
     several = kinds.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("kinds")).where((F.col("n") >= least_docs) & (F.col("kinds") > 1))
-    samples = (kinds.join(several.select("leaf"), "leaf")
-               .groupBy(F.col("sample.row").alias("s_row")).agg(F.collect_list(F.struct(F.col("sample.line").alias("line"), "leaf", "key", "docs")).alias("wanted")))
-    tokens = stored(_tokens(texts.select("row", "text").join(samples, F.col("row") == F.col("s_row")).select("text", "wanted")), "line-tokens")
+    samples = kinds.join(several.select("leaf"), "leaf").groupBy(F.col("sample.id").alias("s_id"), F.col("sample.text_hash").alias("s_hash")).agg(
+        F.collect_list(F.struct(F.col("sample.line").alias("line"), "leaf", "key", "docs")).alias("wanted"))
+    sampled = _with_texts(docs, stored(samples, "line-samples"), "inner", id_col, text_col)
+    # Repeated rows give their tokens once.
+    tokens = stored(_tokens(sampled.select("text", "wanted")).distinct(), "line-tokens")
     fixed = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= least_docs).drop("n")
     templates = stored(tokens.join(fixed, ["leaf", "pos", "token"]).groupBy("leaf", "key").agg(
         F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("fixed"), F.first("length").alias("length"))
         .where(F.size("fixed") >= F.col("length") * similar).select("leaf", "key", F.xxhash64("leaf", "fixed").alias("template")), "line-templates")
-    shared = (once.join(templates, ["leaf", "key"]).select("template", "row").distinct()
+    shared = (once.join(templates, ["leaf", "key"]).select("template", "id", "text_hash").distinct()
               .groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs).select("template"))
     dropped = stored(kinds.where(F.col("docs") >= least_docs).select("leaf", "key")
                      .union(templates.join(shared, "template").select("leaf", "key")).distinct(), "lines-dropped")
-    return lines.join(dropped, ["leaf", "key"]).groupBy(F.col("row").alias("d_row")).agg(F.collect_list("line").alias("lines"))
+    return lines.join(dropped, ["leaf", "key"]).groupBy(F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash")).agg(
+        F.collect_set("line").alias("lines"))
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS,
                    similar: float = SIMILAR) -> DataFrame:
     """Per row: id, n_lines (with a word), n_dropped, text without the dropped lines."""
-    texts = stored(parsed(docs, id_col, text_col), "parsed-lines")
-    found = stored(recurring_lines(texts, least_docs, similar), "lines-of-rows")
-    joined = texts.select("row", "id", "text", F.size(F.filter("keys", lambda k: k != 0)).cast("long").alias("n_lines")).join(
-        found, F.col("row") == F.col("d_row"), "left").select("id", "n_lines", "text", "lines")
-    schema = T.StructType([texts.schema["id"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
+    found = stored(recurring_lines(docs, id_col, text_col, least_docs, similar), "lines-of-rows")
+    joined = _with_texts(docs, found, "left", id_col, text_col)
+    schema = T.StructType([joined.schema["id"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
                            T.StructField("text", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, numbers = [], []
+            kept, numbers, sizes = [], [], []
             for text, gone in zip(batch.column("text"), batch.column("lines").to_pylist()):
                 text, gone = text.as_py(), set(gone or ())
+                lines = (text or "").split("\n")
+                sizes.append(sum(1 for line in lines if line and not line.isspace()))
                 numbers.append(len(gone))
-                kept.append("\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone) if gone else text)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_lines"), pa.array(numbers, pa.int64()), pa.array(kept, pa.string())],
+                kept.append("\n".join(line for i, line in enumerate(lines) if i not in gone) if gone else text)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()), pa.array(kept, pa.string())],
                                              names=schema.names)
 
     return joined.mapInArrow(cut, schema)
