@@ -188,6 +188,20 @@ def test_line_templates(make_docs):
     assert line_templates.drop_recurring(make_docs(rows).limit(0)).count() == 0
 
 
+def test_long_lines_recur_from_two_texts_on(make_docs):
+    rng = random.Random(12)
+    plain = lambda n: prose(rng, n).translate(str.maketrans("0123456789", "abcdefghij"))
+    twice, thrice, near, copied, short = plain(60), plain(60), plain(60).split(), plain(60), plain(20)
+    other = near[:30] + ["changed"] + near[31:]
+    own = [plain(60) for _ in range(10)]
+    shared = [[twice], [twice, thrice], [thrice], [thrice], [" ".join(near)], [" ".join(other)], [short], [short]]
+    rows = [(i, "\n".join([own[i], *lines])) for i, lines in enumerate(shared)]
+    rows += [(i, f"{own[8]}\n{copied}") for i in (8, 9)]  # copies of a document keep its lines
+    got = {r.id: r for r in line_templates.drop_recurring(make_docs(rows)).collect()}
+    assert all(got[i].text == own[i] and got[i].n_dropped == len(shared[i]) for i in range(6))
+    assert all(got[i].n_dropped == 0 and got[i].text == rows[i][1] for i in range(6, 10))
+
+
 def test_pipeline_stages(spark, make_docs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns

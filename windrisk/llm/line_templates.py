@@ -1,10 +1,12 @@
 """Line deduplication by a log-template tree.
 
 Every line with a word is parsed to a leaf of fixed depth: number of tokens, then its DEPTH leading tokens. Tokens with digits, addresses
-and links are variable from the start (`<*>`). Within a leaf a position is fixed for a token if at least `least_docs` documents have
+and links are variable from the start (`<*>`). Within a leaf a position is fixed for a token if enough documents have
 that token there; other positions are variable. A line with enough fixed positions (SIMILAR of its tokens) gets the template of its fixed
-tokens, any other line is its own template. Templates that recur in at least `least_docs` documents are dropped from all of
-them.
+tokens, any other line is its own template. Templates that recur in enough documents are dropped from all of them.
+
+Enough is one rule: `least_docs` documents for a line of at most LONG tokens, which may recur by chance, and `long_docs` different texts for a longer
+one, which does not. Rows of equal text are one text there, or else copies of a document would lose all their long lines.
 
 The tree is never held in one place: leaves, positions and templates are keys of grouped aggregates. Equal lines fold into one row
 before anything else, so a line in a third of all documents is one row for each task; positions are only looked at in leaves of several
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 from windrisk.llm.common import stored, table
 
 DEPTH, SIMILAR, LEAST_DOCS = 3, 0.6, 10
+LONG, LONG_DOCS = 20, 2
 VARIABLE = "<*>"
 _VARIABLE = re.compile(r"\d|://|@.+\.|^www\.")
 
@@ -40,7 +43,19 @@ def _hash(text: str) -> int:
 
 
 def _leaf(tokens: list[str]) -> int:
-    return _hash(f"{len(tokens)} {' '.join(tokens[:DEPTH])}")
+    """Hash of the leaf; odd for long lines."""
+    return _hash(f"{len(tokens)} {' '.join(tokens[:DEPTH])}") & ~1 | (len(tokens) > LONG)
+
+
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """`keys`, docs, sample: documents of distinct rows with `leaf`, `id`, `text_hash`, `line`; equal texts are one for long lines."""
+    texts = rows.groupBy(*keys, "text_hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "text_hash", "line")).alias("sample"))
+    docs = F.when(_is_long(), F.count("*")).otherwise(F.sum("n"))
+    return texts.groupBy(*keys).agg(docs.alias("docs"), F.min("sample").alias("sample"))
+
+
+def _is_long():
+    return F.col("leaf").bitwiseAND(1) == 1
 
 
 def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,35 +102,36 @@ def _tokens(samples: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS,
-                    similar: float = SIMILAR) -> DataFrame:
+                    similar: float = SIMILAR, long_docs: int = LONG_DOCS) -> DataFrame:
     """(s_id, s_hash, lines): by id and hash of a text the numbers of its lines that belong to recurring templates."""
+    enough = F.when(_is_long(), F.lit(long_docs)).otherwise(F.lit(least_docs))
     lines = stored(parsed(docs, id_col, text_col), "parsed-lines").select(
         "id", "text_hash", F.posexplode(F.arrays_zip("leaves", "keys")).alias("line", "at")).select(
         "id", "text_hash", "line", F.col("at.leaves").alias("leaf"), F.col("at.keys").alias("key")).where("key <> 0")
     once = stored(lines.groupBy("leaf", "key", "id", "text_hash").agg(F.min("line").alias("line")), "lines-once")
-    kinds = stored(once.groupBy("leaf", "key").agg(F.count("*").alias("docs"), F.min(F.struct("id", "text_hash", "line")).alias("sample")), "line-kinds")
-    several = kinds.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("kinds")).where((F.col("n") >= least_docs) & (F.col("kinds") > 1))
+    kinds = stored(_counted(once, "leaf", "key"), "line-kinds")
+    several = kinds.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("kinds")).where((F.col("n") >= enough) & (F.col("kinds") > 1))
     samples = kinds.join(several.select("leaf"), "leaf").groupBy(F.col("sample.id").alias("s_id"), F.col("sample.text_hash").alias("s_hash")).agg(
         F.collect_list(F.struct(F.col("sample.line").alias("line"), "leaf", "key", "docs")).alias("wanted"))
     sampled = _with_texts(docs, stored(samples, "line-samples"), "inner", id_col, text_col)
     # Repeated rows give their tokens once.
     tokens = stored(_tokens(sampled.select("text", "wanted")).distinct(), "line-tokens")
-    fixed = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= least_docs).drop("n")
+    fixed = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= enough).drop("n")
     templates = stored(tokens.join(fixed, ["leaf", "pos", "token"]).groupBy("leaf", "key").agg(
         F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("fixed"), F.first("length").alias("length"))
         .where(F.size("fixed") >= F.col("length") * similar).select("leaf", "key", F.xxhash64("leaf", "fixed").alias("template")), "line-templates")
-    shared = (once.join(templates, ["leaf", "key"]).select("template", "id", "text_hash").distinct()
-              .groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs).select("template"))
-    dropped = stored(kinds.where(F.col("docs") >= least_docs).select("leaf", "key")
-                     .union(templates.join(shared, "template").select("leaf", "key")).distinct(), "lines-dropped")
+    shared = once.join(templates, ["leaf", "key"]).groupBy("leaf", "template", "id", "text_hash").agg(F.min("line").alias("line"))
+    shared = _counted(shared, "leaf", "template").where(F.col("docs") >= enough).select("leaf", "template")
+    dropped = stored(kinds.where(F.col("docs") >= enough).select("leaf", "key")
+                     .union(templates.join(shared, ["leaf", "template"]).select("leaf", "key")).distinct(), "lines-dropped")
     return lines.join(dropped, ["leaf", "key"]).groupBy(F.col("id").alias("s_id"), F.col("text_hash").alias("s_hash")).agg(
         F.collect_set("line").alias("lines"))
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS,
-                   similar: float = SIMILAR) -> DataFrame:
+                   similar: float = SIMILAR, long_docs: int = LONG_DOCS) -> DataFrame:
     """Per row: id, n_lines (with a word), n_dropped, text without the dropped lines."""
-    found = stored(recurring_lines(docs, id_col, text_col, least_docs, similar), "lines-of-rows")
+    found = stored(recurring_lines(docs, id_col, text_col, least_docs, similar, long_docs), "lines-of-rows")
     joined = _with_texts(docs, found, "left", id_col, text_col)
     schema = T.StructType([joined.schema["id"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
                            T.StructField("text", T.StringType())])
