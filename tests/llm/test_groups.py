@@ -92,6 +92,30 @@ def test_blocks_cuts_and_small_limits_lose_nothing(make_docs, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_a_centre_that_all_its_mates_pass_over_keeps_its_links(make_docs):
+    rng = random.Random(1733)  # the first document is the centre of the second one's buckets, which proposes to the third
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(200)]]
+    for _ in range(2):
+        words = list(texts[-1])
+        for at in rng.sample(range(200), 5):
+            words[at] = "edit" + str(rng.randrange(10**6))
+        texts.append(words)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    got = {r.id: r.component_id for r in circulant.near_groups(make_docs(rows)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0} == {i: c for i, (_, c) in brute_components(rows).items()}
+
+
+def test_shingles_that_fold_together_do_not_hide_a_link():
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    x = np.array([1, 2, 3 << 40, 5 << 40], dtype=np.uint64)  # the first two agree in 24 bits
+    sets = pa.RecordBatch.from_arrays([pa.array([b"a", b"b"]), pa.array([x[:3].tobytes(), x.tobytes()])], names=["node", "shingles"])
+    rows = next(circulant._folded(iter([sets]))).to_pandas().rename(columns={"s_node": "node"})
+    got = circulant._compare(pd.DataFrame(rows).assign(component=[b"a", b"b"], part=0))
+    assert list(zip(got["a"], got["b"])) == [(b"a", b"b")]
+
+
 def test_near_groups_edges(make_docs):
     got = circulant.near_groups(make_docs([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, "q r s"), (None, None)])).collect()
     assert Counter((r.id, r.component_id, r.kept) for r in got) == Counter({(3, 3, True): 2, (None, 3, False): 1, (None, None, True): 2})

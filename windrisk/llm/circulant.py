@@ -208,6 +208,7 @@ def _compare(members: pd.DataFrame) -> pd.DataFrame:
     ours, theirs = left["kind"].to_numpy(), right["kind"].to_numpy()
     sizes, others = left["size"].to_numpy(), right["size"].to_numpy()
     sets = [_unfold(raw) for raw in right["folded"]]
+    lost = others - np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     elements = np.concatenate(sets)
     turn = np.argsort(elements, kind="stable")
@@ -228,7 +229,9 @@ def _compare(members: pd.DataFrame) -> pd.DataFrame:
         ends = np.cumsum(counts[at])
         spread = np.repeat(begins[at] - ends + counts[at], counts[at]) + np.arange(ends[-1] if len(ends) else 0)
         both = np.bincount(owner[spread], minlength=len(sets))
-        linked = np.flatnonzero(near & (bottom * both >= top * (sizes[i] + others - both)))
+        # Common shingles that fold together count once in `both`; at most so many are lost.
+        most = both + np.minimum(sizes[i] - len(own), lost)
+        linked = np.flatnonzero(near & (bottom * most >= top * (sizes[i] + others - most)))
         if not len(linked):
             continue
         # Shingles that only agree in 24 bits might lift a pair over the limit; such a pair is returned, but joins nothing here.
@@ -333,9 +336,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     best = F.max(F.struct(F.col("n"), F.col("b")))
     edges = stored(members.where("node <> centre").groupBy(F.col("node").alias("a"), F.col("centre").alias("b"))
                    .agg(F.count("*").alias("n")).groupBy("a").agg(best.alias("best")).select("a", F.col("best.b").alias("b")), "star-edges")
-    # Every class that shares a bucket is an end of some edge.
-    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    # Every class that shares a bucket: it proposes an edge or is a centre, maybe one that all its mates pass over for another.
+    ends = edges.select(F.col("a").alias("node")).unionByName(crowds.select(F.col("centre").alias("node"))).distinct()
     sets = _shingle_sets(ends, docs, classes, id_col, text_col)
+    if not ends.join(sets.select("node"), "node", "left_anti").isEmpty():
+        raise RuntimeError("classes without a shingle set")
     links = stored(_verified(edges, sets), "links")
     found = components(links)
     more = _tail_edges(members, classes, sets, found)
