@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions.basis import phase
+from windrisk.operators import quadrature
 from windrisk.session import keep, small_side, store
 
 # Basis size, boundary factor, minimum rows, and the priors
@@ -33,14 +34,11 @@ PRIORS = {
 }
 PARAMS = list(PRIORS)
 
-# First quadrature box; later rounds move and shrink it. eta and sigma are scaled by the
-# root mean square of the data, but never beyond what the priors allow.
+# Box of the first scan; eta and sigma are scaled by the root mean square of the data, but never beyond what the priors allow.
 FIRST_BOX = {"ell_spatial": (0.02, 8.0), "ell_temporal": (0.02, 16.0), "eta": (0.05, 16.0), "sigma": (0.02, 2.0)}
+# The posterior counts inside these limits only; data without noise would pull sigma to 0.
+LIMITS = {"ell_spatial": (1e-3, 1e4), "ell_temporal": (1e-3, 1e4), "eta": (1e-4, 60.0), "sigma": (1e-4, 60.0)}
 GRID_POINTS = 16
-# A dimension is resolved once this many of its grid values carry visible weight.
-RESOLVED_VALUES = 5
-VISIBLE = 1e-3
-KEEP = 1e-6
 
 
 @dataclass(frozen=True)
@@ -208,83 +206,42 @@ def log_evidence(model: Fit, ell_s: float, ell_t: float, eta: np.ndarray, sigma:
                    + 2.0 * model.n * np.log(sigma) + model.n * math.log(2.0 * math.pi))
 
 
-def _node_batches(model: Fit, box: dict[str, tuple[float, float]], points: int):
-    """Function from batches of lengthscale pairs to frames of grid nodes with their log posterior."""
-    axes = {p: np.exp(np.linspace(math.log(box[p][0]), math.log(box[p][1]), points)) for p in PARAMS}
-    # Nodes are equally spaced in log scale, hence the Jacobian x of each parameter.
-    weight = {p: _log_prior(p, axes[p]) + np.log(axes[p]) for p in PARAMS}
+def _log_posterior(model: Fit) -> quadrature.LogDensity:
+    """Log posterior density in log space, hence the Jacobian x of each parameter."""
+    def value(z1: float, z2: float, z3: np.ndarray, z4: np.ndarray) -> np.ndarray:
+        ell_s, ell_t, eta, sigma = np.exp(z1), np.exp(z2), np.exp(z3), np.exp(z4)
+        prior = (_log_prior("ell_spatial", ell_s) + z1 + _log_prior("ell_temporal", ell_t) + z2
+                 + _log_prior("eta", eta) + z3 + _log_prior("sigma", sigma) + z4)
+        return log_evidence(model, ell_s, ell_t, eta, sigma) + prior
 
-    def evaluate(batches):
-        eta, sigma = (g.ravel() for g in np.meshgrid(axes["eta"], axes["sigma"], indexing="ij"))
-        scales = (weight["eta"][:, None] + weight["sigma"][None, :]).ravel()
-        for batch in batches:
-            s, t = batch["id"].to_numpy() // points, batch["id"].to_numpy() % points
-            log_post = [log_evidence(model, axes["ell_spatial"][a], axes["ell_temporal"][b], eta, sigma)
-                        + scales + weight["ell_spatial"][a] + weight["ell_temporal"][b] for a, b in zip(s, t)]
-            nodes, pairs = len(eta), len(batch)
-            yield pd.DataFrame({
-                "pair": np.repeat(batch["id"].to_numpy(), nodes), "node": np.tile(np.arange(nodes), pairs),
-                "ell_spatial": np.repeat(axes["ell_spatial"][s], nodes),
-                "ell_temporal": np.repeat(axes["ell_temporal"][t], nodes),
-                "eta": np.tile(eta, pairs), "sigma": np.tile(sigma, pairs), "log_post": np.concatenate(log_post)})
-
-    return evaluate
-
-
-def _pairs(spark: SparkSession, points: int) -> DataFrame:
-    slices = max(1, min(points * points, spark.sparkContext.defaultParallelism))
-    return spark.range(0, points * points, 1, slices)
-
-
-def _profiles(spark: SparkSession, model: Fit, box: dict[str, tuple[float, float]], points: int) -> dict[str, dict[float, float]]:
-    """Best log posterior at every grid value of every parameter: 4 * points numbers."""
-    evaluate = _node_batches(model, box, points)
+    return value
 
-    def best(batches):
-        for nodes in evaluate(batches):
-            yield pd.concat([nodes.groupby(p)["log_post"].max().rename_axis("x").reset_index().assign(param=p)
-                             for p in PARAMS])[["param", "x", "log_post"]]
 
-    rows = (_pairs(spark, points).mapInPandas(best, "param string, x double, log_post double")
-            .groupBy("param", "x").agg(F.max("log_post").alias("log_post")).collect())
-    return {p: {r.x: r.log_post for r in rows if r.param == p} for p in PARAMS}
-
-
-def resolved_box(spark: SparkSession, model: Fit, points: int = GRID_POINTS) -> tuple[dict[str, tuple[float, float]], float]:
-    """Bounds in which the posterior spans several grid values in every dimension, and its top there.
-
-    A precise posterior falls between the nodes of a wide grid, so the box is moved to the
-    visible weight until it is resolved; a box that comes back unresolved raises. Each round brings back one profile per parameter.
-    """
-    scale = max(math.sqrt(model.yy / max(model.n, 1)), 1e-6)
+def _boxes(model: Fit) -> tuple[quadrature.Limits, quadrature.Limits]:
+    """Box of the first scan and outer limits, in log space; eta and sigma in units of the data's root mean square."""
+    scale = math.sqrt(model.yy / max(model.n, 1)) or 1.0
     box = dict(FIRST_BOX)
     box["sigma"] = tuple(min(b * scale, 12.0 * b) for b in FIRST_BOX["sigma"])
     box["eta"] = tuple(min(b * scale, b) for b in FIRST_BOX["eta"])
-    seen_boxes = set()
-    while True:
-        seen_boxes.add(tuple(box[p] for p in PARAMS))
-        profiles = _profiles(spark, model, box, points)
-        top = max(v for profile in profiles.values() for v in profile.values())
-        seen = {p: [x for x, v in profiles[p].items() if v >= top + math.log(VISIBLE)] for p in PARAMS}
-        kept = {p: [x for x, v in profiles[p].items() if v >= top + math.log(KEEP)] for p in PARAMS}
-        step = {p: (box[p][1] / box[p][0]) ** (1.0 / (points - 1)) for p in PARAMS}
-        moved = {p: (min(kept[p]) / step[p], max(kept[p]) * step[p]) for p in PARAMS}
-        if all(len(xs) >= RESOLVED_VALUES for xs in seen.values()):
-            return box, top
-        if tuple(moved[p] for p in PARAMS) in seen_boxes:
-            raise ValueError(f"a grid of {points} points does not resolve the posterior; use more")
-        box = moved
+    limits = dict(LIMITS)
+    for p in ("eta", "sigma"):
+        limits[p] = (LIMITS[p][0] * min(1.0, scale), max(LIMITS[p][1], 10.0 * scale))
+    return [tuple(np.log(box[p])) for p in PARAMS], [tuple(np.log(limits[p])) for p in PARAMS]
 
 
 def hyper_posterior(spark: SparkSession, model: Fit, points: int = GRID_POINTS) -> DataFrame:
-    """Weighted grid over the hyper-parameters, one row per node; weights sum to one."""
-    box, top = resolved_box(spark, model, points)
-    nodes = store(_pairs(spark, points).mapInPandas(
-        _node_batches(model, box, points),
-        "pair long, node long, ell_spatial double, ell_temporal double, eta double, sigma double, log_post double"), "nodes")
-    weight = F.exp(F.col("log_post") - F.lit(top))
-    total = nodes.agg(F.sum(weight)).first()[0]
-    return nodes.withColumn("weight", weight / F.lit(total))
+    """Weighted nodes over the hyper-parameters, one row per node; weights sum to one.
+
+    `points` nodes an axis to begin with; cells are refined where weight lies, in a bounded number of rounds. `error` is the
+    estimated relative error of the integral, the same in every row.
+    """
+    box, limits = _boxes(model)
+    log_post = _log_posterior(model)
+    found = quadrature.integrate(spark, log_post, box, limits, points)
+    rows = store(quadrature.nodes(spark, found, log_post, limits, PARAMS), "nodes")
+    weight = F.exp(F.col("log_post") + F.col("log_share") - F.lit(found.top))
+    total = rows.agg(F.sum(weight)).first()[0]
+    return rows.withColumn("weight", weight / F.lit(total)).drop("log_share").withColumn("error", F.lit(found.error))
 
 
 def hyper_draws(posterior: DataFrame, n_samples: int, seed: int = 42) -> DataFrame:
