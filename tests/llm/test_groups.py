@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
     sys.path.insert(0, f"{ROOT}/tools")
     from check import compare
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     assert compare(QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()) == ""
 

@@ -1,6 +1,7 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import circulant, digest_merge, langid, line_templates, mixing, piece_bpe, repetition, revisits, template, toxic
+from windrisk.llm import (circulant, digest_merge, langid, line_templates, mixing, piece_bpe, prefix_trie, repetition, revisits,
+                          template, toxic)
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -14,10 +15,12 @@ QUERIES: dict[str, Query] = {
     "op8_automata_toxicity": toxic.op8_automata_toxicity,
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
     "op10_kneser_ney": langid.op10_kneser_ney,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op3_tree_merge_dedup": digest_merge.OP3_SQL,
     "op5_revisits": revisits.OP5_SQL,
     "op7_epoch_mix": mixing.OP7_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }
