@@ -1,7 +1,7 @@
 """The registered corpus queries, by name, and SQL for those that SQL can express."""
 
-from windrisk.llm import (circulant, digest_merge, divergence, langid, line_templates, mixing, piece_bpe, prefix_trie, repetition,
-                          revisits, template, toxic)
+from windrisk.llm import (circulant, digest_merge, divergence, langid, line_templates, mixing, phrase_automata, piece_bpe,
+                          prefix_trie, repetition, revisits, template, toxic)
 from windrisk.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op9_agenda_pieces": piece_bpe.op9_agenda_pieces,
     "op10_kneser_ney": langid.op10_kneser_ney,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_phrase_automata": phrase_automata.op12_phrase_automata,
     "op13_hash_recount": divergence.op13_hash_recount,
 }
 
@@ -24,5 +25,6 @@ ORACLES: dict[str, str] = {
     "op5_revisits": revisits.OP5_SQL,
     "op7_epoch_mix": mixing.OP7_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_phrase_automata": phrase_automata.OP12_SQL,
     "op13_hash_recount": divergence.OP13_SQL,
 }
