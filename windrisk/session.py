@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 LOCAL_ROWS = 10_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -59,11 +60,26 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     A lost executor costs no recompute, every reader sees the same bits, and the planner
-    knows the true size.
+    knows the true size. The shuffle files behind it go as soon as it is written.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more; all that was derived from them must be stored itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _kept(df: DataFrame, local_rows: int) -> tuple[DataFrame, bool]:
