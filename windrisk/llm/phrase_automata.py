@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from windrisk.llm.common import stored, table
 from windrisk.llm.shingles import _MULTIPLIER, mix64, word_hashes
+from windrisk.session import discard
 
 WINDOW, GRAM = 13, 8
 PIECE_WINDOWS = 64
@@ -72,9 +73,11 @@ def recurring_grams(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                 pa.array(np.repeat(batch.column("doc").to_numpy(), sizes), pa.int64())], names=["gram", "r", "doc"])
 
     grams = stored(texts.select("r", "doc", "text").mapInArrow(spell, "gram long, r long, doc long"), "phrase-grams")
-    several = (grams.groupBy("gram").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-               .where(F.col("first") < F.col("last")).select("gram"))
-    return grams.join(several, "gram", "left_semi").groupBy("r").agg(F.collect_list("gram").alias("grams"))
+    several = stored(grams.groupBy("gram").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                     .where(F.col("first") < F.col("last")).select("gram"), "phrase-several")
+    found = stored(grams.join(several, "gram", "left_semi").groupBy("r").agg(F.collect_list("gram").alias("grams")), "phrase-recurring")
+    discard(grams, several)
+    return found
 
 
 def pieces_of(texts: DataFrame, grams: DataFrame, window: int = WINDOW, gram: int = GRAM, longest: int = PIECE_WINDOWS) -> DataFrame:
@@ -173,10 +176,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = stored(by_gram.where(F.col("windows") > shard_windows).select("gram"), "phrase-crowded")
     if not crowded.isEmpty():
         single = _single_windows(pieces.join(crowded, "gram", "left_semi"), window)
+        whole = pieces, distinct
         pieces = stored(pieces.join(crowded, "gram", "left_anti").select(*single.columns).unionByName(single), "phrase-pieces")
         distinct = stored(_distinct(pieces), "phrase-distinct")
+        discard(*whole)
     total = distinct.agg(F.sum("n")).first()[0] or 0
     found = stored(occurrences(distinct, 1 + 2 * total // shard_windows, window), "phrase-found")
+    discard(distinct)
 
     hits = pieces.select("r", "doc", "pos", *_keys()).join(found, ["k1", "k2"])
     repeated = F.filter(F.transform("repeats", lambda low, i: F.when(low < F.col("doc"), F.col("pos") + i)), lambda p: p.isNotNull())
