@@ -167,8 +167,11 @@ def occurrences(distinct: DataFrame, shards: int, window: int = WINDOW) -> DataF
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-                    shard_windows: int = SHARD_WINDOWS, longest: int = PIECE_WINDOWS) -> DataFrame:
-    """(id, n_words, n_removed, kept): every row with the words that stay, joined by one space."""
+                    shard_windows: int = SHARD_WINDOWS, longest: int = PIECE_WINDOWS, digest: bool = False) -> DataFrame:
+    """(id, n_words, n_removed, kept): every row with the words that stay, joined by one space.
+
+    `digest` gives the SHA-256 of `kept` in its place, so that no text moves after the words are out.
+    """
     heads, texts = folded(docs, id_col, text_col)
     pieces = stored(pieces_of(texts, recurring_grams(texts, window, gram), window, gram, longest), "phrase-pieces")
     distinct = stored(_distinct(pieces), "phrase-distinct")
@@ -186,8 +189,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     hits = pieces.select("r", "doc", "pos", *_keys()).join(found, ["k1", "k2"])
     repeated = F.filter(F.transform("repeats", lambda low, i: F.when(low < F.col("doc"), F.col("pos") + i)), lambda p: p.isNotNull())
-    starts = (hits.select("r", repeated.alias("starts")).where(F.size("starts") > 0)
-              .groupBy("r").agg(F.flatten(F.collect_list("starts")).alias("starts")))
+    starts = stored(hits.select("r", repeated.alias("starts")).where(F.size("starts") > 0)
+                    .groupBy("r").agg(F.flatten(F.collect_list("starts")).alias("starts")), "phrase-starts")
+    discard(pieces, found)
+    shown = (lambda words: hashlib.sha256(words).hexdigest()) if digest else bytes.decode
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +207,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 gone = np.cumsum(gone)[:len(words)] > 0
                 numbers.append(len(words))
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
+                kept.append(shown(b" ".join(w for w, g in zip(words, gone.tolist()) if not g)))
             yield pa.RecordBatch.from_arrays([
                 batch.column("sha"), batch.column("doc"), pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
                 names=["sha", "doc", "n_words", "n_removed", "kept"])
@@ -212,12 +217,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copy = (F.col("own") > F.col("doc")) & (F.col("n_words") >= window)
     return heads.join(judged, "sha").select(
         "id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"))
+        F.when(copy, F.lit(shown(b""))).otherwise(F.col("kept")).alias("kept"))
 
 
 def op12_phrase_automata(spark, sf_dir):
-    found = without_repeats(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return without_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
 
 
 OP12_SQL = """
