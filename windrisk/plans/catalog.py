@@ -10,14 +10,14 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions import basis, geo, timefn
 from windrisk.operators import correlation, diagnostics, energy, features, hsgp, ranks, risk, snapshots, spatial
 from windrisk.plans import adapters, forecasting, serve
 from windrisk.session import configure, store, work_path
-from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks
+from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic
 from windrisk.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +156,22 @@ def s9_decode_messages(spark, sf_dir):
     return kafka.decode(messages).select("timestamp", "region_id", "wind_speed_mps")
 
 
+@query("s9_replayed_topic")
+def s9_replayed_topic(spark, sf_dir):
+    """A stream that copies a topic, stopped half-way and started again: each row once, offsets without gaps."""
+    source, copy, checkpoint = (work_path(spark, n) for n in ("topic", "topic-copy", "topic-checkpoint"))
+    rows = _ordered_obs(spark, sf_dir)
+    for half in (0, 1):
+        topic.append(rows.where(F.col("event_id") % 2 == half), source, "region_id")
+        found = topic.rows_of(topic.stream(spark, source), EVENT).drop("partition", "offset")
+        topic.publish(found, copy, checkpoint, "region_id", "copy").awaitTermination()
+    found = topic.rows_of(topic.read(spark, copy), EVENT)
+    ends = Window.partitionBy("partition")
+    dense = found.withColumn("dense", F.max("offset").over(ends) + 1 == F.count("*").over(ends))
+    return dense.groupBy("region_id").agg(F.count("*").alias("n_rows"), F.countDistinct("partition", "offset").alias("n_offsets"),
+                                          F.bool_and("dense").alias("dense"), F.round(F.sum(F.col("wind_speed_mps")), 4).alias("total"))
+
+
 @query("s10_gold_forecasts")
 def s10_gold_forecasts(spark, sf_dir):
     path = work_path(spark, "gold")
@@ -847,38 +863,46 @@ def _ordered_obs(spark, sf_dir):
         (F.col("value") / 10.0).alias("wind_speed_mps"), "event_id")
 
 
+EVENT = "timestamp timestamp, region_id string, wind_speed_mps double, event_id long"
+
+
+def _event_topic(spark, sf_dir):
+    """All events on a topic, in two commits, then an end mark two days after the last one."""
+    path, rows = work_path(spark, "event-topic"), _ordered_obs(spark, sf_dir)
+    topic.append(rows.where("event_id % 2 = 0"), path, "region_id")
+    topic.append(rows.where("event_id % 2 = 1"), path, "region_id")
+    end = rows.agg((F.max("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("timestamp")).withColumn("region_id", F.lit(None).cast("string"))
+    topic.append(end, path, "region_id")
+    return path
+
+
 def _event_stream(spark, sf_dir):
-    schema = adapters.table(spark, sf_dir, "events").schema
-    stream = jobs.file_stream(spark, sf_dir, schema, "events.parquet")
-    return stream.select(
-        F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("region_id"),
-        (F.col("value") / 10.0).alias("wind_speed_mps"), "event_id")
+    return topic.rows_of(topic.stream(spark, _event_topic(spark, sf_dir)), EVENT)
 
 
-def _streamed(spark, df, name, batch=None, keys=()):
-    """The stream run to its end, with the windows that it left open if their batch form is given."""
+def _streamed(spark, df, name):
+    """What the stream itself gives when run to its end."""
     path, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
     run = jobs.run_to_files(df, path, checkpoint)
     run.awaitTermination()
-    if batch is None:
-        return spark.read.schema(df.schema).parquet(path)
-    return jobs.finish(batch, path, work_path(spark, f"{name}-rest"), keys)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _correlation_stream(spark, sf_dir):
+    return jobs.window_correlations(jobs.hourly_snapshots(_event_stream(spark, sf_dir), ("timestamp", "event_id")))
 
 
 @query("t1_hourly_snapshots")
 def t1_hourly_snapshots(spark, sf_dir):
-    def snaps(obs):
-        found = jobs.hourly_snapshots(obs, ("timestamp", "event_id"))
-        return found.select(F.col("window.start").alias("hour"), "timestamp", "regions")
-    rows = _streamed(spark, snaps(_event_stream(spark, sf_dir)), "snapshots", snaps(_ordered_obs(spark, sf_dir)), ("hour",))
+    """Hours closed by timers, the last ones by the end mark."""
+    found = jobs.hourly_snapshots(_event_stream(spark, sf_dir), ("timestamp", "event_id"))
+    rows = _streamed(spark, found.select(F.col("window.start").alias("hour"), "timestamp", "regions"), "snapshots")
     return rows.select("hour", "timestamp", F.explode("regions").alias("region_id", "wind_speed_mps"))
 
 
 @query("t2_t4_window_correlations")
 def t2_t4_window_correlations(spark, sf_dir):
-    def events(obs):
-        return jobs.window_correlations(jobs.hourly_snapshots(obs, ("timestamp", "event_id")))
-    rows = _streamed(spark, events(_event_stream(spark, sf_dir)), "correlations", events(_ordered_obs(spark, sf_dir)), ("window_start",))
+    rows = _streamed(spark, _correlation_stream(spark, sf_dir), "correlations")
     return rows.select("window_start", "window_end", "timestamp", F.explode("mean_wind_per_region").alias("region_id", "mean_wind"))
 
 
@@ -908,6 +932,19 @@ def t6_early_warnings(spark, sf_dir):
     return jobs.early_warnings(events, -0.6).select("window_start", "window_end", "timestamp")
 
 
+@query("t6_warning_episodes")
+def t6_warning_episodes(spark, sf_dir):
+    """Two streams with a topic between them: correlations to warnings, warnings to episodes."""
+    path = work_path(spark, "warning-topic")
+    warned = jobs.warning_strengths(_correlation_stream(spark, sf_dir), -0.6)
+    topic.publish(warned, path, work_path(spark, "warnings-checkpoint"), "zones", "warnings", "window_end").awaitTermination()
+    end = _ordered_obs(spark, sf_dir).agg((F.max("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("window_end"))
+    topic.append(end.withColumn("zones", F.lit(None).cast("string")), path, "zones", "window_end")
+    warnings = topic.rows_of(topic.stream(spark, path), "zones string, window_start timestamp, window_end timestamp, strength double")
+    rows = _streamed(spark, jobs.warning_episodes(warnings.drop("partition", "offset")), "episodes")
+    return rows.withColumn("peak", F.round("peak", 6))
+
+
 # --- Look-ups -------------------------------------------------------------------------
 
 @query("q1_forecast")

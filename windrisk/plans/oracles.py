@@ -327,6 +327,16 @@ ORACLES = {
     "t5_alert_stream": f"WITH {DRAWS}{RISK} SELECT horizon_h, region_id, {r('p_shortfall * 5', 'p_shortfall')} FROM tail_risk WHERE p_shortfall * 5 >= 0.9",
     "t6_early_warnings": f"""WITH {WINDOWS}, warned AS (SELECT window_start FROM cells WHERE zone_a < zone_b GROUP BY window_start HAVING bool_and(coalesce(value > -0.6, false)))
         SELECT w.window_start, w.window_start + INTERVAL 6 HOUR AS window_end, h.timestamp FROM warned w JOIN valid v USING (window_start) JOIN hours h ON h.hour = v.last_hour""",
+    "t6_warning_episodes": f"""WITH {WINDOWS}, warned AS (
+            SELECT window_start, string_agg(zone_a, ',' ORDER BY zone_a) FILTER (WHERE zone_a = zone_b) AS zones, min(value) FILTER (WHERE zone_a < zone_b) AS strength
+            FROM cells GROUP BY window_start HAVING bool_and(coalesce(value > -0.6, false)) FILTER (WHERE zone_a < zone_b)),
+        marked AS (SELECT *, coalesce(window_start < max(window_start) OVER (PARTITION BY zones ORDER BY window_start
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + INTERVAL 6 HOUR, false) AS joins FROM warned),
+        numbered AS (SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY zones ORDER BY window_start) AS episode FROM marked)
+        SELECT zones, min(window_start) AS episode_start, max(window_start) + INTERVAL 6 HOUR AS episode_end, {r('max(strength)', 'peak')}, count(*) AS windows
+        FROM numbered GROUP BY zones, episode""",
+    "s9_replayed_topic": f"""WITH {OBS} SELECT region_id, count(*) AS n_rows, count(*) AS n_offsets, true AS dense, {r('sum(wind_speed_mps)', 'total', 4)}
+        FROM obs GROUP BY region_id""",
     "q1_forecast": f"WITH {STAMPED} SELECT region_id, horizon_h, p_shortfall, 'ok' AS status FROM stamped WHERE region_id = 'SE1' AND horizon_h = 24 UNION ALL SELECT 'FI', 48, 0.0, 'stub'",
     "q2_scenario": f"""WITH {STAMPED} SELECT region_id, horizon_h, p_shortfall, cvar_shortfall, wind_p10, wind_p50, wind_p90, 'ok' AS status
         FROM stamped WHERE region_id = 'DK1' AND horizon_h = 48 UNION ALL SELECT 'FI', 72, NULL, NULL, NULL, NULL, NULL, 'unavailable'""",

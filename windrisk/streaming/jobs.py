@@ -4,6 +4,8 @@ Windows are aligned to the clock. Rows later than the watermark are dropped; res
 appended once the watermark has passed a window, so each window is emitted once.
 """
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from windrisk.functions.timefn import not_nan
 from windrisk.operators.risk import alerts
+from windrisk.streaming import state
 
 # Window lengths.
 SNAPSHOT_WINDOW = "1 hour"
@@ -36,15 +39,14 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
             .option("maxFilesPerTrigger", max_files).parquet(path))
 
 
-def last_values(obs: DataFrame, order: tuple[str, ...] = ("timestamp",), delay: str = DELAY) -> DataFrame:
-    """Last value of each zone in each hour, NULL included; one small state row per (hour, zone).
+def last_values(obs: DataFrame, order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
+    """Last value of each zone in each hour of a table, NULL included.
 
     `order` breaks ties among equal timestamps, e.g. by partition and offset of the topic.
     `first_seen` is the timestamp of the zone's first observation in the hour.
     """
     newest = F.struct(*order)
-    rows = obs.withWatermark("timestamp", delay) if obs.isStreaming else obs
-    return (rows.where(F.col("region_id").isNotNull())
+    return (obs.where(F.col("region_id").isNotNull())
             .groupBy(F.window("timestamp", SNAPSHOT_WINDOW), "region_id")
             .agg(F.max_by("wind_speed_mps", newest).alias("wind_speed_mps"), F.min("timestamp").alias("first_seen")))
 
@@ -53,9 +55,13 @@ def hourly_snapshots(obs: DataFrame, order: tuple[str, ...] = ("timestamp",), de
     """(hour, timestamp, regions MAP): all zones of an hour in one row. An hour without rows gives none.
 
     Each zone is reduced first, so the collected list is one entry per zone, however many
-    observations an hour or a zone has.
+    observations an hour or a zone has. On a stream, event-time timers close the zone-hours.
     """
-    per_zone = last_values(obs, order, delay)
+    if obs.isStreaming:
+        closed = state.last_values(obs, order, delay)
+        per_zone = closed.withColumn("window", F.window("closed_at", SNAPSHOT_WINDOW))
+    else:
+        per_zone = last_values(obs, order)
     entry = F.struct("region_id", not_nan(F.col("wind_speed_mps")).alias("v"))
     return (per_zone.groupBy("window")
             .agg(F.min("first_seen").alias("timestamp"), F.map_from_entries(F.collect_list(entry)).alias("regions")))
@@ -113,24 +119,24 @@ def early_warnings(events: DataFrame, threshold: float = WARNING_CORRELATION) ->
     return events.where((size >= 2) & above)
 
 
+def warning_strengths(events: DataFrame, threshold: float = WARNING_CORRELATION) -> DataFrame:
+    """(zones, window_start, window_end, strength) of the warnings; strength is the lowest correlation of two zones."""
+    lowest = F.array_min(F.flatten(F.transform("correlation_matrix", lambda row, i: F.slice(row, i + 2, F.size("zone_ids")))))
+    return early_warnings(events, threshold).select(
+        F.array_join("zone_ids", ",").alias("zones"), "window_start", "window_end", lowest.alias("strength"))
+
+
+def warning_episodes(warnings: DataFrame) -> DataFrame:
+    """Overlapping warnings of a stream as episodes with start, end and peak."""
+    return state.episodes(warnings, dt.timedelta(hours=6))
+
+
 def alert_stream(forecasts: DataFrame) -> DataFrame:
     """Forecast rows at or above the alert probability, as they arrive."""
     return alerts(forecasts)
 
 
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process all that is there, append to Parquet, stop; `finish` adds what a finite input leaves open."""
+    """Process all that is there, append to Parquet, stop. An end mark in the input closes what is open."""
     return (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start())
-
-
-def finish(result: DataFrame, path: str, rest: str, keys: tuple[str, ...]) -> DataFrame:
-    """All windows of a bounded stream that has ended: those it emitted to `path`, and those that still waited for the watermark.
-
-    `result` is the batch form of the same plan over the same input; what was not emitted is written to `rest`,
-    since the files of a stream's folder are listed by its own log.
-    """
-    spark = result.sparkSession
-    emitted = spark.read.schema(result.schema).parquet(path)
-    result.join(emitted.select(*keys), list(keys), "left_anti").select(*result.columns).write.parquet(rest)
-    return emitted.unionByName(spark.read.schema(result.schema).parquet(rest))
