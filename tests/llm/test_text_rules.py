@@ -1,6 +1,7 @@
 """Repetition, tokens, toxicity and language: against brute force, round trips and held-out rows."""
 
 import random
+import time
 import re
 from collections import defaultdict
 
@@ -159,3 +160,16 @@ def test_kneser_ney_sums_to_one_and_hashes_as_sql_does(spark, make_docs):
     packed = (context << np.uint64(12)) | letters
     total = (2.0 ** -model.bits(packed, langid.hash_arrays(packed))).sum()
     assert 0.7 < total <= 1.0 + 1e-9  # the rest is kept for characters never seen
+
+
+@pytest.mark.parametrize("unit", ["word ", "a b ", "x y z x "])
+def test_repetition_of_very_repetitive_texts_is_not_quadratic(unit):
+    text = unit * (400_000 // len(unit.split()))
+    start = time.process_time()
+    words, in_windows, covered_words, longest, _ = repetition.measure([text])[0].tolist()
+    assert time.process_time() - start < 8
+    assert (words, in_windows, covered_words) == (400_000, 400_000, 400_000) and longest == 400_000 - len(unit.split())
+
+
+def test_repetition_of_an_empty_table(make_docs):
+    assert repetition.repetition(make_docs([(1, "a")]).limit(0)).count() == 0

@@ -3,14 +3,14 @@
 The suffix array is built over words (word ids as symbols) by prefix doubling, for many texts at once: a word's id is its own in
 each text, so no suffix compares equal across texts. Positions whose prefix is already unique drop out of the doubling. The rank arrays of all
 doublings give the LCP of neighbouring suffixes by descent over powers of two. LCP intervals of at least `least` words whose
-occurrences differ in the word before are the maximal repeats. The union of their spans equals the union, over positions,
-of the longest repeated prefix there, since a repeat that can be extended to the left lies inside a longer one.
+occurrences differ in the word before are the maximal repeats; the spans of their occurrences are united.
 
 A text is rejected if maximal repeats cover more than `most_covered` of its words or the longest has more than `most_longest`
 words, besides the base rule (fewer than 10 words, or more than 20 % of words in repeated 5-word windows).
 
 Defined results: a NULL or empty text has no words, fails the base rule and is not kept. Overlapping occurrences count. Repeated rows get
-equal results, NULL ids pass through.
+equal results, NULL ids pass through, an empty table gives an empty result. Very long texts take n log n time and, while they are
+measured, one array of ranks for each doubling of the longest repeat.
 """
 
 from collections.abc import Iterator
@@ -125,19 +125,49 @@ def measure(texts: list[str], least: int = LEAST) -> np.ndarray:
     deepest[order] = np.maximum(lcp[:-1], lcp[1:])
     windows = np.flatnonzero(deepest >= WINDOW)
     out[:, 1] = np.bincount(doc[_covered(windows, np.full(len(windows), WINDOW), n)], minlength=len(texts))
-    long = np.flatnonzero(deepest >= least)
-    if len(long):
-        out[:, 2] = np.bincount(doc[_covered(long, deepest[long], n)], minlength=len(texts))
-        np.maximum.at(out[:, 3], doc[long], deepest[long])
-        before = np.concatenate([[-1], ranks[0][:n - 1]])
-        before[np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0]] = -1
-        for _, first, last in lcp_intervals(lcp, least):
-            ahead = before[order[first:last + 1]]
-            if ahead[0] < 0 or (ahead != ahead[0]).any():
-                out[doc[order[first]], 4] += 1
+    before = np.concatenate([[-1], ranks[0][:n - 1]])
+    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0]] = -1
+    longest, tops = _innermost(order, before, lcp, least)
+    repeated = np.flatnonzero(longest)
+    if len(repeated):
+        starts, lengths = order[repeated], longest[repeated]
+        out[:, 2] = np.bincount(doc[_covered(starts, lengths, n)], minlength=len(texts))
+        np.maximum.at(out[:, 3], doc[starts], lengths)
+        out[:, 4] = np.bincount(doc[order[tops]], minlength=len(texts))
     return out
 
 
+def _innermost(order: np.ndarray, before: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np.ndarray, list[int]]:
+    """Length of the innermost maximal repeat at every place of the suffix array (0: none), and the first place of each maximal repeat.
+
+    An interval is maximal if the symbol before its suffixes changes inside it, told by a running count of changes. Intervals come
+    innermost first; each place is set once, and set places are stepped over, so nested intervals cost no more than flat ones.
+    """
+    ahead = before[order]
+    changes = np.concatenate([[0], np.cumsum(ahead[1:] != ahead[:-1])]).tolist()
+    longest = np.zeros(len(order), dtype=np.int64)
+    free: dict[int, int] = {}  # from a set place towards the next one that is not
+    tops = []
+    for length, first, last in lcp_intervals(lcp, least):
+        if changes[first] == changes[last]:
+            continue
+        tops.append(first)
+        place = first
+        while place <= last:
+            step, path = place, []
+            while step in free:
+                path.append(step)
+                step = free[step]
+            for p in path:
+                free[p] = step
+            if step > last:
+                break
+            longest[step] = length
+            free[step] = step + 1
+            place = step + 1
+    return longest, tops
+
+
 def repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
                most_covered: float = MOST_COVERED, most_longest: int = MOST_LONGEST) -> DataFrame:
     """Per row: id, base measures, covered_fraction, longest_repeat, n_maximal_repeats, base_failed, kept."""
