@@ -217,6 +217,18 @@ def _log_posterior(model: Fit) -> quadrature.LogDensity:
     return value
 
 
+def log_posterior(params: DataFrame, model: Fit) -> DataFrame:
+    """`params` (one column per hyper-parameter) with `log_post`, the log posterior density in log space up to a constant."""
+    value = _log_posterior(model)
+
+    def evaluate(batches):
+        for batch in batches:
+            logs = np.log(batch[PARAMS].to_numpy(dtype=float))
+            yield batch.assign(log_post=[float(value(a, b, np.array([c]), np.array([d]))[0]) for a, b, c, d in logs])
+
+    return params.select(*PARAMS).mapInPandas(evaluate, ", ".join(f"{p} double" for p in PARAMS) + ", log_post double")
+
+
 def _boxes(model: Fit) -> tuple[quadrature.Limits, quadrature.Limits]:
     """Box of the first scan and outer limits, in log space; eta and sigma in units of the data's root mean square."""
     scale = math.sqrt(model.yy / max(model.n, 1)) or 1.0

@@ -751,6 +751,17 @@ def a24_hyper_posterior(spark, sf_dir):
     return nodes.agg(*[F.sum(F.col(p) * F.col("weight")).alias(p) for p in hsgp.PARAMS], F.sum("weight").alias("weight"))
 
 
+@query("a24_log_posterior", places=4)
+def a24_log_posterior(spark, sf_dir):
+    """The density that the quadrature integrates, with two basis functions, at a lattice of hyper-parameters."""
+    model = hsgp.fit(store(features.features(_hourly(spark, sf_dir))), 1, 2)
+    axes = {"ell_spatial": (0.1, 0.5, 2.0), "ell_temporal": (0.2, 1.0, 5.0), "eta": (0.5, 4.0), "sigma": (1.0, 3.0)}
+    lattice = spark.range(1)
+    for name, values in axes.items():
+        lattice = lattice.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    return hsgp.log_posterior(lattice, model)
+
+
 @query("a25_predictive_draws")
 def a25_predictive_draws(spark, sf_dir):
     snaps = store(_hourly(spark, sf_dir))

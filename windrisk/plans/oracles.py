@@ -292,6 +292,24 @@ ORACLES = {
         UNION ALL SELECT 'proj', j, 0, {r('sum(v * y)', 'value', 4)} FROM phi GROUP BY j
         UNION ALL SELECT 'yy', 0, 0, {r('sum(y * y)', 'value', 4)} FROM features
         UNION ALL SELECT 'n', 0, 0, CAST(count(*) AS DOUBLE) FROM features""",
+    "a24_log_posterior": f"""WITH {FEATURES}, box AS (SELECT (min(x_s) + max(x_s)) / 2 AS cs, 1.5 * (max(x_s) - min(x_s)) / 2 AS ls,
+            (min(x_t) + max(x_t)) / 2 AS ct, 1.5 * (max(x_t) - min(x_t)) / 2 AS lt FROM features),
+        phi AS (SELECT y, sin(pi() * (x_s - cs + ls) / (2 * ls)) / sqrt(ls) * sin(pi() * (x_t - ct + lt) / (2 * lt)) / sqrt(lt) AS v,
+            sin(pi() * (x_s - cs + ls) / (2 * ls)) / sqrt(ls) * sin(pi() * 2 * (x_t - ct + lt) / (2 * lt)) / sqrt(lt) AS w FROM features, box),
+        sums AS (SELECT sum(v * v) AS vv, sum(v * w) AS vw, sum(w * w) AS ww, sum(v * y) AS vy, sum(w * y) AS wy, sum(y * y) AS yy, count(*) AS n FROM phi),
+        theta AS (SELECT a.x AS ell_spatial, b.x AS ell_temporal, c.x AS eta, d.x AS sigma
+            FROM (SELECT unnest([0.1::DOUBLE, 0.5, 2.0]) AS x) a, (SELECT unnest([0.2::DOUBLE, 1.0, 5.0]) AS x) b,
+                 (SELECT unnest([0.5::DOUBLE, 4.0]) AS x) c, (SELECT unnest([1.0::DOUBLE, 3.0]) AS x) d),
+        spectral AS (SELECT theta.*, sums.*, eta / sigma AS ratio,
+            sqrt(10 * pi() * pow(5, 2.5) * ell_spatial * ell_temporal * pow(5 + pow(ell_spatial * pi() / (2 * ls), 2) + pow(ell_temporal * pi() / (2 * lt), 2), -3.5)) AS s1,
+            sqrt(10 * pi() * pow(5, 2.5) * ell_spatial * ell_temporal * pow(5 + pow(ell_spatial * pi() / (2 * ls), 2) + pow(ell_temporal * 2 * pi() / (2 * lt), 2), -3.5)) AS s2
+            FROM theta, sums, box),
+        inner_form AS (SELECT *, 1 + pow(ratio * s1, 2) * vv AS a, pow(ratio, 2) * s1 * s2 * vw AS b, 1 + pow(ratio * s2, 2) * ww AS d,
+            ratio * s1 * vy / sigma AS u, ratio * s2 * wy / sigma AS z FROM spectral)
+        SELECT ell_spatial, ell_temporal, eta, sigma, {r("""-0.5 * (yy / (sigma * sigma) - (u * u * d - 2 * u * z * b + z * z * a) / (a * d - b * b) + ln(a * d - b * b)
+                + 2 * n * ln(sigma) + n * ln(2 * pi()))
+            + 3 * ln(0.5) - ln(2) - 3 * ln(ell_spatial) - 0.5 / ell_spatial - ln(2) - 3 * ln(ell_temporal) - 1 / ell_temporal
+            + ln(eta * sigma) + ln(2 / pi()) - ln(3) - ln(2) - eta * eta / 18 - sigma * sigma / 8""", "log_post", 4)} FROM inner_form""",
     "a26_fixed_count": f"""WITH {DRAWS}, numbered AS (SELECT *, dense_rank() OVER (PARTITION BY horizon_h ORDER BY sample_id) AS k FROM draws)
         SELECT horizon_h, CAST(k - 1 AS INTEGER) AS sample_id, region_id, {r('value', 'value')} FROM numbered WHERE k <= 30""",
     "a27_forecasts": f"""WITH {DRAWS}{RISK} SELECT region_id, horizon_h, {r('p_shortfall', 'p_shortfall')}, {r('cvar_shortfall', 'cvar_shortfall')},
