@@ -231,6 +231,11 @@ def _metric(df: DataFrame, value: Column, key: str) -> DataFrame:
     return df.select(F.lit(key).alias("key"), value.cast("double").alias("value"))
 
 
+def divergences(sampler_stats: DataFrame) -> DataFrame:
+    """Number of divergent draws as one (key, value) row; needs no chain."""
+    return _metric(sampler_stats.agg(F.count_if("diverging").alias("v")), F.col("v"), "n_divergences")
+
+
 def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None,
                   params: Sequence[str] | None = None) -> DataFrame:
     """Number of divergent draws, worst R-hat, smallest ESS, as (key, value) rows.
@@ -245,8 +250,7 @@ def chain_metrics(chains: DataFrame, sampler_stats: DataFrame | None = None,
     for name in ("ess_bulk", "ess_tail"):
         out = out.unionByName(_metric(sizes.agg(F.min(name).alias("v")), F.col("v"), f"min_{name}"))
     if sampler_stats is not None:
-        count = sampler_stats.agg(F.count_if("diverging").alias("v"))
-        out = out.unionByName(_metric(count, F.col("v"), "n_divergences"))
+        out = out.unionByName(divergences(sampler_stats))
     return out
 
 

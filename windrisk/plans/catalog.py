@@ -701,11 +701,9 @@ def a17_ess(spark, sf_dir):
 
 @query("a17_divergences")
 def a17_divergences(spark, sf_dir):
-    """Draws flagged divergent: here those with an extreme component; among the metrics of all chains and parameters."""
-    chains = store(adapters.chains(spark, sf_dir))
-    stats = chains.groupBy("chain", "draw").agg((F.max(F.abs("value")) > 0.25).alias("diverging"))
-    metrics = diagnostics.chain_metrics(chains, stats)
-    return metrics.where("key = 'n_divergences'").select(F.col("value").cast("bigint").alias("n_divergences"))
+    """Draws flagged divergent: here those with an extreme component."""
+    stats = adapters.chains(spark, sf_dir).groupBy("chain", "draw").agg((F.max(F.abs("value")) > 0.25).alias("diverging"))
+    return diagnostics.divergences(stats).select(F.col("value").cast("bigint").alias("n_divergences"))
 
 
 @query("a18_zone_correlation")
