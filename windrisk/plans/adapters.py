@@ -97,6 +97,14 @@ def zones25(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(-10.0) + F.col("n_nationkey") * F.lit(1.75)).alias("lon"))
 
 
+def many_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zone per customer; positions are multiples of 1/256 degree, so squared distances are exact."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("region_id"), F.col("c_custkey").cast("long").alias("zone_idx"),
+        (F.lit(54.0) + (F.col("c_custkey").cast("long") * 7919 % 4608) / F.lit(256.0)).alias("lat"),
+        (F.lit(-10.0) + (F.col("c_custkey").cast("long") * 104729 % 11520) / F.lit(256.0)).alias("lon"))
+
+
 def xml_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per hour, event type and hundred of event ids; `kind` says generation or load.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions import basis, geo, timefn
-from windrisk.operators import correlation, diagnostics, energy, features, hsgp, ranks, risk, snapshots, spatial
+from windrisk.operators import correlation, diagnostics, energy, features, hsgp, ranks, risk, snapshots, spatial, zone_search
 from windrisk.plans import adapters, forecasting, serve
 from windrisk.session import configure, store, work_path
 from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic
@@ -505,6 +505,13 @@ def j1_nearest_zone_km(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("latitude").alias("latitude")))
 
 
+@query("j1_nearest_zone_list")
+def j1_nearest_zone_list(spark, sf_dir):
+    """A zone list that grows with the customers."""
+    placed = zone_search.assign_zone_list(adapters.grid(spark, sf_dir), adapters.many_zones(spark, sf_dir))
+    return placed.groupBy("latitude", "longitude", "region_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("j2_wind_outer_join")
 def j2_wind_outer_join(spark, sf_dir):
     return energy.generation_rows(energy.normalise(adapters.energy(spark, sf_dir))).drop("total_load_mwh")

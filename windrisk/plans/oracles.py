@@ -221,6 +221,11 @@ ORACLES = {
             + cos(radians(c.latitude)) * cos(radians(z.lat)) * pow(sin(radians(z.lon - c.longitude) / 2), 2) AS h FROM cells c, zones z),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY h, idx) AS rn FROM halves)
         SELECT region_id, count(*) AS n_rows, {r('sum(latitude)', 'latitude')} FROM grid JOIN (SELECT * FROM ranked WHERE rn = 1) USING (latitude, longitude) GROUP BY ALL""",
+    "j1_nearest_zone_list": f"""WITH {GRID}, zones AS (SELECT c_custkey AS idx, CAST(c_custkey AS VARCHAR) AS region_id,
+            54 + (c_custkey * 7919 % 4608) / 256.0::DOUBLE AS lat, -10 + (c_custkey * 104729 % 11520) / 256.0::DOUBLE AS lon FROM customer),
+        cells AS (SELECT latitude, longitude, count(*) AS n_rows FROM grid GROUP BY ALL)
+        SELECT latitude, longitude, min(struct_pack(gap := pow(latitude - lat, 2) + pow(longitude - lon, 2), idx := idx, region_id := region_id)).region_id AS region_id,
+            any_value(n_rows) AS n_rows FROM cells, zones GROUP BY ALL""",
     "j2_wind_outer_join": f"WITH {GENERATION} SELECT file_id, timestamp, region_id, {r('wind_onshore_mwh', 'wind_onshore_mwh')}, {r('wind_offshore_mwh', 'wind_offshore_mwh')} FROM generation",
     "j3_zone_distances": f"WITH {ZONES25} SELECT zone_a, zone_b, {r('km', 'km')} FROM km",
     "j4_zones_by_horizon": """SELECT region_id, CAST(horizon_h AS INTEGER) AS horizon_h FROM (SELECT DISTINCT CASE event_type WHEN 'view' THEN 'SE1' WHEN 'click' THEN 'SE3'
