@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions.timefn import hours_between
@@ -23,7 +23,8 @@ def zone_index(snaps: DataFrame) -> DataFrame:
         F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("n_zones")))
 
 
-def _spatial():
+def spatial_coordinate() -> Column:
+    """Zone index scaled to [0, 1]."""
     return F.col("zone_idx") / F.greatest(F.col("n_zones") - 1, F.lit(1)).cast("double")
 
 
@@ -38,7 +39,7 @@ def features(snaps: DataFrame, temporal_scale_h: float = TEMPORAL_SCALE_H, index
     index = zone_index(snaps) if index is None else index
     return (elapsed_hours(snaps).join(index, "region_id")
             .select("timestamp", "region_id",
-                    _spatial().alias("x_s"),
+                    spatial_coordinate().alias("x_s"),
                     (F.col("hours") / F.lit(temporal_scale_h)).alias("x_t"),
                     F.col("wind_speed_mps").alias("y")))
 
@@ -54,5 +55,5 @@ def horizon_points(snaps: DataFrame, horizons: Sequence[int] = HORIZONS,
     ahead = F.make_dt_interval(F.lit(0), F.col("horizon_h"))
     return spread.select(
         (last + ahead).alias("timestamp"), "region_id", "horizon_h",
-        _spatial().alias("x_s"),
+        spatial_coordinate().alias("x_s"),
         ((hours_between(first, last) + F.col("horizon_h")) / F.lit(temporal_scale_h)).alias("x_t"))

@@ -89,19 +89,22 @@ def enough_rows(snaps: DataFrame, minimum: int = MIN_ROWS) -> bool:
     return snaps.limit(minimum).count() >= minimum
 
 
+def interval(low: float, high: float, c: float = BOUNDARY) -> tuple[float, float]:
+    """Centre and half-length of a basis interval, `c` times as long as the data."""
+    half = (high - low) / 2.0
+    return (low + high) / 2.0, c * (half if half > 0 else 1.0)
+
+
 def domain_of(features: DataFrame, m_spatial: int = M_SPATIAL, m_temporal: int = M_TEMPORAL,
               c: float = BOUNDARY) -> Domain:
     """Interval around the data: centred at mid-range, `c` times the half-range long."""
     ends = features.agg(F.min("x_s").alias("s0"), F.max("x_s").alias("s1"),
                         F.min("x_t").alias("t0"), F.max("x_t").alias("t1")).first()
-    def interval(low: float, high: float) -> tuple[float, float]:
-        half = (high - low) / 2.0
-        return (low + high) / 2.0, c * (half if half > 0 else 1.0)
-    return Domain(m_spatial, m_temporal, *interval(ends.s0, ends.s1), *interval(ends.t0, ends.t1))
+    return Domain(m_spatial, m_temporal, *interval(ends.s0, ends.s1, c), *interval(ends.t0, ends.t1, c))
 
 
-def zone_sums(features: DataFrame, domain: Domain, y: Column | None = None) -> DataFrame:
-    """The only pass over the observations: trigonometric sums per spatial coordinate.
+def zone_sums(features: DataFrame, domain: Domain, y: Column | None = None, by: Sequence[str] = ("x_s",)) -> DataFrame:
+    """The only pass over the observations: trigonometric sums per spatial coordinate, or per other keys.
 
     The basis is a product, and sin(bu) sin(du) = (cos((b-d)u) - cos((b+d)u)) / 2, so the
     m^2 Gram sums of a zone follow from 2 m_t cosine sums and m_t sine sums. All are plain
@@ -109,19 +112,24 @@ def zone_sums(features: DataFrame, domain: Domain, y: Column | None = None) -> D
     """
     y = F.col("y") if y is None else y
     angle = phase(F.col("x_t"), domain.center_t, domain.length_t)
-    rows = features.select("x_s", angle.alias("u"), y.alias("y")).dropna()
+    rows = features.select(*by, angle.alias("u"), y.alias("y")).dropna()
     cosines = [F.sum(F.cos(F.col("u") * F.lit(float(k)))).alias(f"c{k}") for k in range(1, 2 * domain.m_temporal + 1)]
     sines = [F.sum(F.col("y") * F.sin(F.col("u") * F.lit(float(k)))).alias(f"s{k}")
              for k in range(1, domain.m_temporal + 1)]
-    return rows.groupBy("x_s").agg(
+    return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("y_sum"), F.sum(F.col("y") * F.col("y")).alias("yy"),
         *cosines, *sines)
 
 
 def sufficient_statistics(features: DataFrame, domain: Domain, y: Column | None = None) -> DataFrame:
-    """Long form (part, i, j, value): 'gram' (upper triangle), 'proj', 'yy', 'n'.
+    """Long form (part, i, j, value): 'gram' (upper triangle), 'proj', 'yy', 'n'."""
+    return expand_sums(zone_sums(features, domain, y), domain)
+
 
-    Zone sums are expanded by the spatial basis task by task; what is shuffled is m^2 numbers per task.
+def expand_sums(sums: DataFrame, domain: Domain) -> DataFrame:
+    """Sufficient statistics from zone sums.
+
+    They are expanded by the spatial basis task by task; what is shuffled is m^2 numbers per task.
     """
     m, mt = domain.size, domain.m_temporal
     up_i, up_j = np.triu_indices(m)
@@ -147,8 +155,7 @@ def sufficient_statistics(features: DataFrame, domain: Domain, y: Column | None
             "j": np.concatenate([up_j, np.zeros(m + 2, dtype=int)]).astype("int32"),
             "value": np.concatenate([gram[up_i, up_j], proj, [yy, n]])})
 
-    return (zone_sums(features, domain, y)
-            .mapInPandas(expand, "part string, i int, j int, value double")
+    return (sums.mapInPandas(expand, "part string, i int, j int, value double")
             .groupBy("part", "i", "j").agg(F.sum("value").alias("value")))
 
 
@@ -161,9 +168,14 @@ def fit(features: DataFrame, m_spatial: int = M_SPATIAL, m_temporal: int = M_TEM
     domain = domain_of(features, m_spatial, m_temporal, c)
     mean = features.agg(F.avg("y")).first()[0] if center_y else 0.0
     y = F.col("y") - F.lit(float(mean)) if center_y else None
+    return fit_of(sufficient_statistics(features, domain, y), domain, mean)
+
+
+def fit_of(statistics: DataFrame, domain: Domain, mean: float = 0.0) -> Fit:
+    """The sufficient statistics, collected."""
     m = domain.size
     gram, proj, scalars = np.zeros((m, m)), np.zeros(m), {}
-    for part, i, j, value in sufficient_statistics(features, domain, y).collect():
+    for part, i, j, value in statistics.collect():
         if part == "gram":
             gram[i, j] = gram[j, i] = value
         elif part == "proj":

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrisk.functions import basis, geo, timefn
-from windrisk.operators import correlation, diagnostics, energy, features, hsgp, ranks, risk, snapshots, spatial, zone_search
+from windrisk.operators import correlation, diagnostics, energy, features, fit_ledger, hsgp, ranks, risk, snapshots, spatial, zone_search
 from windrisk.plans import adapters, forecasting, serve
 from windrisk.session import configure, store, work_path
 from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic
@@ -749,6 +749,22 @@ def a23_sufficient_statistics(spark, sf_dir):
     return stats
 
 
+@query("a23_incremental_fit", places=4)
+def a23_incremental_fit(spark, sf_dir):
+    """A ledger of one file a day, filled in two updates: the second adds a third of the days, replaces another third and withdraws a file."""
+    folder = work_path(spark, "ledger")
+    snaps = store(_hourly(spark, sf_dir)).withColumn("file_id", F.date_format("timestamp", "yyyy-MM-dd"))
+    turn = F.pmod(F.crc32("file_id"), F.lit(3))
+    ends = snaps.agg(F.min("file_id").alias("low"), F.max("file_id").alias("high")).first()
+    early = snaps.where((turn != 0) | F.col("file_id").isin(ends.low, ends.high)).withColumn(
+        "wind_speed_mps", F.when(turn == 1, F.col("wind_speed_mps") * 2.0).otherwise(F.col("wind_speed_mps")))
+    stray = snaps.where(turn == 2).withColumn("file_id", F.lit("withdrawn"))
+    fit_ledger.update(early.unionByName(stray), folder)
+    fit_ledger.update(snaps, folder)
+    sums, domain, _ = fit_ledger.zone_totals(spark, folder)
+    return hsgp.expand_sums(sums, domain)
+
+
 @query("a24_hyper_posterior")
 def a24_hyper_posterior(spark, sf_dir):
     model = hsgp.fit(store(features.features(_hourly(spark, sf_dir))))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrisk.operators import features as feat
-from windrisk.operators import hsgp, risk, snapshots
+from windrisk.operators import fit_ledger, hsgp, risk, snapshots
 from windrisk.schemas import HORIZONS
 from windrisk.session import keep, small_side, store
 from windrisk.sources.files import empty_forecasts
@@ -38,6 +38,16 @@ def train(snaps: DataFrame, n_samples: int = 500, m_spatial: int = hsgp.M_SPATIA
     return Trained(model, keep(hsgp.hyper_draws(posterior, n_samples, seed)), index)
 
 
+def train_ledger(spark: SparkSession, folder: str, n_samples: int = 500, seed: int = 42, grid_points: int = hsgp.GRID_POINTS) -> Trained | None:
+    """Fit from the totals of a ledger of files (`fit_ledger.update`), without reading any observations."""
+    found = fit_ledger.fit(spark, folder)
+    if found is None:
+        return None
+    model, index = found
+    posterior = hsgp.hyper_posterior(spark, model, points=grid_points)
+    return Trained(model, keep(hsgp.hyper_draws(posterior, n_samples, seed)), index)
+
+
 def save_model(trained: Trained, path: str) -> None:
     """Write a fitted model: its sums in one row, hyper-parameter draws and zone index as tables."""
     model, spark = trained.model, trained.draws.sparkSession

@@ -297,6 +297,16 @@ ORACLES = {
         UNION ALL SELECT 'proj', j, 0, {r('sum(v * y)', 'value', 4)} FROM phi GROUP BY j
         UNION ALL SELECT 'yy', 0, 0, {r('sum(y * y)', 'value', 4)} FROM features
         UNION ALL SELECT 'n', 0, 0, CAST(count(*) AS DOUBLE) FROM features""",
+    "a23_incremental_fit": f"""WITH {FEATURES}, box AS (SELECT (min(x_s) + max(x_s)) / 2 AS cs, 1.5 * (max(x_s) - min(x_s)) / 2 AS ls,
+            0.75 * max(x_t) AS ct, 1.5 * 0.75 * max(x_t) AS lt FROM features),
+        phi AS MATERIALIZED (SELECT timestamp, region_id, y, CAST((a - 1) * 10 + b - 1 AS INTEGER) AS j,
+            sin(pi() * a * (x_s - cs + ls) / (2 * ls)) / sqrt(ls) * sin(pi() * b * (x_t - ct + lt) / (2 * lt)) / sqrt(lt) AS v
+            FROM features, box, range(1, 6) s(a), range(1, 11) t(b))
+        SELECT 'gram' AS part, p.j AS i, q.j AS j, {r('sum(p.v * q.v)', 'value', 4)} FROM phi p JOIN phi q
+            ON p.timestamp = q.timestamp AND p.region_id = q.region_id AND p.j <= q.j GROUP BY ALL
+        UNION ALL SELECT 'proj', j, 0, {r('sum(v * y)', 'value', 4)} FROM phi GROUP BY j
+        UNION ALL SELECT 'yy', 0, 0, {r('sum(y * y)', 'value', 4)} FROM features
+        UNION ALL SELECT 'n', 0, 0, CAST(count(*) AS DOUBLE) FROM features""",
     "a24_log_posterior": f"""WITH {FEATURES}, box AS (SELECT (min(x_s) + max(x_s)) / 2 AS cs, 1.5 * (max(x_s) - min(x_s)) / 2 AS ls,
             (min(x_t) + max(x_t)) / 2 AS ct, 1.5 * (max(x_t) - min(x_t)) / 2 AS lt FROM features),
         phi AS (SELECT y, sin(pi() * (x_s - cs + ls) / (2 * ls)) / sqrt(ls) * sin(pi() * (x_t - ct + lt) / (2 * lt)) / sqrt(lt) AS v,
