@@ -9,17 +9,24 @@ that each of its tokens stands in belongs to a class on at least as many pages;
 the nested classes are the host's template. What the template does not fix are its slots.
 
 Extraction: text runs of the template are dropped, other text falls into the slot of the innermost template tag around it. Slots inside
-menus, footers, sidebars, notices, adverts, forms, scripts, styles and comments are dropped (by element, role, and the words of
-class and id), and so are blocks outside of articles that are mostly links. If a page has articles (or else a main element), only slots within
-them remain. Text inside articles is never taken for template text, so pages that copy each other keep it. Hosts with few pages have
-an empty template; their slots are judged in the same way.
-
-Defined results: NULL or empty html gives an empty text. A NULL url has the host of all pages without one. Repeated rows get equal
-texts. Unclosed elements end where an enclosing one ends or, for paragraphs and list items, where the next begins.
+menus, footers, sidebars, notices, adverts, forms, scripts, styles and comments are dropped (by element, role, and landmark names in
+class and id), and so are blocks outside of articles that are mostly links. A name counts only whole: each of its words must be a
+landmark or a word of position or shape, so `site-footer` is one and `no-sidebar`, `has-comments` and `share-price` are not. If the main element
+has text, slots outside of it go; if articles hold at least half of what is left, the rest of it goes. Text inside articles is never taken for template text, so pages
+that copy each other keep it. Hosts with few pages have an empty template; their slots are judged in the same way.
+
+Pages are scanned once from front to back, in time linear in their length whatever is left unclosed: a quote opens only after `=` and only if it
+is closed further on, and a tag that does not end outside of quotes ends at the next `>`. Elements nested deeper than MAX_DEPTH count as
+part of the one around them, as in browsers.
+
+Defined results: NULL or empty html gives an empty text; an empty table gives none. A NULL url has the host of all pages without one. Repeated
+rows get equal texts. Unclosed elements end where an enclosing one ends or, for paragraphs and list items, where the next begins. Without
+any further `>`, the rest of a page is text. Ties do not occur: slots keep page order.
 """
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +39,8 @@ from windrisk.llm.common import stored, table
 
 LEAST_TOKENS, LEAST_PAGES = 3, 3
 BROADCAST_TOKENS = 500_000
+MAX_DEPTH = 512
+MAIN, ARTICLE = 1, 2  # bits of an element's level
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset",
@@ -42,18 +51,25 @@ DROPPED = {"aside", "button", "canvas", "dialog", "footer", "form", "head", "ifr
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
 ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"}
 WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
-         "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "hidden", "login", "menu", "modal", "nav", "navbar", "navigation",
+         "consent", "cookie", "cookies", "discussion", "disqus", "footer", "gdpr", "hidden", "login", "menu", "modal", "nav", "navbar", "navigation",
          "newsletter", "notice", "notices", "notification", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended",
          "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe",
          "toolbar", "widget"}
 OUTER_WORDS = {"header", "masthead", "topbar"}  # only outside of articles, which have headers of their own
+# Words that leave a landmark name one: positions, shapes and sizes.
+PLAIN_WORDS = {"", "area", "article", "bar", "block", "bottom", "box", "button", "buttons", "center", "column", "container", "content", "fixed",
+               "form", "global", "group", "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "outer", "page", "panel",
+               "post", "posts", "primary", "right", "row", "secondary", "section", "site", "slot", "thread", "top", "unit", "user", "wrap",
+               "wrapper"}
 CLOSES_P = BLOCK - {"body", "html"}
 AGAIN = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}}
 LISTS = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "main"}
 
-_PART = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_OPEN = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_STOP = re.compile(r">|=\s*+([\"'])")
+_ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in RAW}
 _CUT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -69,49 +85,102 @@ def _is_dropped(tag: str, attributes: dict, level: int) -> bool:
         return True
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    words = {w.lower() for name in ("class", "id") for w in _CUT.split(attributes.get(name, ""))}
-    return not WORDS.isdisjoint(words) or (level == 0 and not OUTER_WORDS.isdisjoint(words))
+    if tag in ("html", "body", "main"):
+        return False
+    for name in (n for key in ("class", "id") for n in attributes.get(key, "").split()):
+        words = {w.lower() for w in _CUT.split(name)}
+        landmarks = words & WORDS if level else words & (WORDS | OUTER_WORDS)
+        if landmarks and words - landmarks <= PLAIN_WORDS:
+            return True
+    return False
+
+
+class _Scanner:
+    """Tags and text runs of a page, in one pass; each kind of missing end is searched for once."""
+
+    def __init__(self, source: str):
+        self.source, self.quotes, self.unclosed = source, True, set()
+
+    def tag_end(self, at: int) -> int:
+        """Index of the `>` that ends the tag whose name ends at `at`, -1 if the page has no more."""
+        source, k = self.source, at
+        while self.quotes:
+            stop = _STOP.search(source, k)
+            if stop is None:
+                self.quotes = False
+            elif stop.group(1) is None:
+                return stop.start()
+            else:
+                k, quote = stop.end(), stop.group(1)
+                end = -1 if quote in self.unclosed else source.find(quote, k)
+                if end < 0:
+                    self.unclosed.add(quote)
+                else:
+                    k = end + 1
+        return source.find(">", at)
+
+    def parts(self, at: int = 0) -> Iterator[tuple[str, str, str, str, int]]:
+        """(text before, "/" of an end tag, tag name, attributes, index after it); the name is empty for comments and at the end.
+
+        The caller may send an index to go on from.
+        """
+        source, n = self.source, len(self.source)
+        while at < n:
+            found = _OPEN.search(source, at)
+            if found is None:
+                break
+            start, (close, tag) = found.start(), found.groups()
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                end = n if end < 0 else end + 3
+            else:
+                end = (source.find(">", start) if tag is None else self.tag_end(found.end())) + 1
+                if end == 0:
+                    break
+            moved = yield source[at:start], close or "", (tag or "").lower(), source[found.end():end - 1] if tag else "", end
+            at = end if moved is None else moved
+            if moved is not None:
+                yield "", "", "", "", at
+        if at < n:
+            yield source[at:], "", "", "", n
 
 
 def walk(source: str) -> Iterator[tuple]:
     """("tag", key, parent key) for start tags and ("text", text, element) for text; ("block",) where a block ends."""
     stack = [_Element("", 0, False, 0, False)]
-    at, n = 0, len(source)
-    while at < n:
-        match = _PART.search(source, at)
-        if match is None:
-            yield "text", source[at:], stack[-1]
-            return
-        if match.start() > at:
-            yield "text", source[at:match.start()], stack[-1]
-        at = match.end()
-        close, tag, rest = match.groups()
-        if tag is None:
+    depths: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
+    lists = [0]  # depths of open elements that end the search for what a block closes
+    parts = _Scanner(source).parts()
+
+    def cut(depth: int) -> None:
+        for element in stack[depth:]:
+            depths[element.tag].pop()
+        while lists[-1] >= depth:
+            lists.pop()
+        del stack[depth:]
+
+    for text, close, tag, rest, at in parts:
+        if text:
+            yield "text", text, stack[-1]
+        if not tag:
             continue
-        tag = tag.lower()
         if close:
             if tag in BLOCK:
                 yield ("block",)
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if depths[tag]:
+                cut(depths[tag][-1])
             continue
         if tag in BLOCK:
             yield ("block",)
-            if tag in CLOSES_P or tag in AGAIN:
-                ends = AGAIN.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag in ends:
-                        del stack[depth:]
-                        break
-                    if stack[depth].tag in LISTS:
-                        break
+            ends = AGAIN.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+            last = max((depths[end][-1] for end in ends if depths[end]), default=0)
+            if last > lists[-1]:
+                cut(last)
         parent = stack[-1]
         attributes = {}
         if rest and not rest.isspace():
-            for name, a, b, c in _ATTRIBUTE.findall(rest):
-                attributes.setdefault(name.lower(), a or b or c)
+            for attribute, a, b, c in _ATTRIBUTE.findall(rest):
+                attributes.setdefault(attribute.lower(), a or b or c)
         name = re.sub(r"\d+", "", attributes.get("id", ""))
         key = xxhash.xxh3_64_intdigest(f"{parent.key}>{tag}.{attributes.get('class', '')}#{name}") >> 1
         yield "tag", key, parent.key
@@ -122,13 +191,16 @@ def walk(source: str) -> Iterator[tuple]:
         dropped = parent.dropped or _is_dropped(tag, attributes, parent.level)
         if tag == "body":
             dropped = False
-        level = 2 if tag == "article" else max(parent.level, 1) if tag == "main" or attributes.get("role") == "main" else parent.level
+        level = parent.level | (ARTICLE if tag == "article" else MAIN if tag == "main" or attributes.get("role") == "main" else 0)
         element = _Element(tag, key, dropped, level, parent.link or tag == "a")
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-            at = end.end() if end else n
-            continue
-        stack.append(element)
+            end = _RAW_END[tag].search(source, at)
+            parts.send(end.end() if end else len(source))
+        elif len(stack) < MAX_DEPTH:
+            depths[tag].append(len(stack))
+            if tag in LISTS:
+                lists.append(len(stack))
+            stack.append(element)
 
 
 def text_key(text: str) -> int:
@@ -141,7 +213,7 @@ def page_tokens(source: str) -> list[tuple[int, int, int]]:
     for item in walk(source):
         if item[0] == "tag":
             counts.setdefault(item[1], [item[2], 0])[1] += 1
-        elif item[0] == "text" and item[2].level < 2 and not item[1].isspace():
+        elif item[0] == "text" and item[2].level < ARTICLE and not item[1].isspace():
             counts.setdefault(text_key(item[1]), [item[2].key, 0])[1] += 1
     return [(token, parent, n) for token, (parent, n) in counts.items()]
 
@@ -156,7 +228,7 @@ def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> l
         nonlocal linked, size
         if held:
             block = " ".join(html.unescape("".join(held)).split())
-            if block and (level == 2 or size == 0 or linked * 10 < size * 7):
+            if block and (level >= ARTICLE or size == 0 or linked * 10 < size * 7):
                 blocks.append((level, slot, block))
             held.clear()
         linked = size = 0
@@ -170,7 +242,7 @@ def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> l
                 inner = item[1]
         elif not item[2].dropped:
             element = item[2]
-            if element.level < 2 and template and text_key(item[1]) in template:
+            if element.level < ARTICLE and template and text_key(item[1]) in template:
                 continue
             if held and element.level != level:
                 close()
@@ -179,8 +251,13 @@ def extract(source: str, template: frozenset[int] | set[int] = frozenset()) -> l
             size += len(item[1])
             linked += len(item[1]) * element.link
     close()
-    top = max((b[0] for b in blocks), default=0)
-    return [(slot, block) for level, slot, block in blocks if level == top]
+    # Of the main element, if it has text; of articles, if they hold half of that or more.
+    if any(level & MAIN for level, _, _ in blocks):
+        blocks = [b for b in blocks if b[0] & MAIN]
+    in_articles = sum(len(block) for level, _, block in blocks if level & ARTICLE)
+    if in_articles and 2 * in_articles >= sum(len(block) for _, _, block in blocks):
+        blocks = [b for b in blocks if b[0] & ARTICLE]
+    return [(slot, block) for _, slot, block in blocks]
 
 
 def host(url):
