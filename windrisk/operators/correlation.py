@@ -12,6 +12,8 @@ from windrisk.session import keep, settle, small_side, store
 
 # Up to this many zones one aggregate holds all pairs; beyond, partial products per task.
 PIVOT_ZONES = 24
+# Up to this many zones a task holds the products of all pairs; beyond, a tile of TILE_ZONES by TILE_ZONES and about BLOCK_STEPS timesteps.
+ARRAY_ZONES, TILE_ZONES, BLOCK_STEPS = 512, 256, 4096
 
 
 def complete_timesteps(snaps: DataFrame, zones: Sequence[str]) -> DataFrame:
@@ -39,7 +41,7 @@ def _cell(i: Column, j: Column, covariance: Column, sd_a: Column, sd_b: Column)
 
 
 def correlation_matrix(snaps: DataFrame, zones: Sequence[str] | None = None,
-                       pivot_zones: int = PIVOT_ZONES) -> DataFrame:
+                       pivot_zones: int = PIVOT_ZONES, array_zones: int = ARRAY_ZONES, tile: int = TILE_ZONES) -> DataFrame:
     """(zone_a, zone_b, value) for all ordered pairs, over timesteps where every zone reports.
 
     Fewer than two such timesteps give no rows. No self-join on the timestamp: a row holds
@@ -53,7 +55,7 @@ def correlation_matrix(snaps: DataFrame, zones: Sequence[str] | None = None,
         known = list(zones)
         snaps = snaps.where(F.col("region_id").isin(known))
     if len(zones) > pivot_zones:
-        return _partial_products(snaps, known)
+        return _many_zones(snaps, known, array_zones, tile)
     if not zones:
         return snaps.sparkSession.createDataFrame([], "zone_a string, zone_b string, value double")
     upper = _pivoted(complete_timesteps(snaps, zones), len(zones))
@@ -81,20 +83,58 @@ def _pivoted(rows: DataFrame, n: int) -> DataFrame:
     return sums.where(F.col("n") >= 2).select(F.inline(cells))
 
 
-def _partial_products(snaps: DataFrame, known: Sequence[str] | None = None) -> DataFrame:
-    """Many zones (all in the data, or the known ones): a timestep is one array, each task adds up products of centred arrays.
-
-    What is shuffled is one zone-by-zone triangle per task, the size of the result.
-    """
+def _many_zones(snaps: DataFrame, known: Sequence[str] | None, array_zones: int, tile: int) -> DataFrame:
+    """All zones in the data, or the known ones; a known zone without data leaves no complete timestep."""
     index = zone_index(snaps)
-    present = index.agg(F.count(F.lit(1))).first()[0]
-    n = present if known is None else len(set(known))
+    n = index.agg(F.count(F.lit(1))).first()[0] if known is None else len(set(known))
     per_zone = (snaps.join(index.select("region_id", "zone_idx"), "region_id")
                 .groupBy("timestamp", "zone_idx").agg(F.avg("wind_speed_mps").alias("v")).dropna())
+    sums, flat = _partial_products(per_zone, n) if n <= array_zones else _tiled_products(per_zone, n, tile)
+    return _from_sums(sums, flat, index)
+
+
+def _tiled_products(per_zone: DataFrame, n: int, tile: int, block: int = BLOCK_STEPS) -> tuple[DataFrame, DataFrame]:
+    """Sums of products by pair, tile by tile: zones are cut into slices, timesteps into blocks, and the two slices of a tile meet by block.
+
+    A task holds one tile and the rows of one block, however many zones there are. Each value is sent once to each tile of its slice.
+    """
+    cells = store(per_zone, "cells")
+    complete = store(cells.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n).select("timestamp"), "complete")
+    steps = complete.count()
+    rows = store(cells.join(complete, "timestamp", "left_semi"), "timesteps")
+    flat = store(rows.groupBy(F.col("zone_idx").alias("i")).agg(F.avg("v").alias("mean"), (F.min("v") == F.max("v")).alias("constant")), "means")
+    centred = rows.join(small_side(flat.select(F.col("i").alias("zone_idx"), "mean")), "zone_idx")
+    # Blocks are dealt by hash; their size is near `block`, whatever the number of timesteps.
+    of_block = F.pmod(F.xxhash64("timestamp"), F.lit(max(1, -(-steps // block))))
+    sliced = store(
+        centred.groupBy("timestamp", F.floor(F.col("zone_idx") / tile).cast("int").alias("slice"))
+        .agg(F.array_sort(F.collect_list(F.struct("zone_idx", (F.col("v") - F.col("mean")).alias("v")))).alias("cells"))
+        .select(of_block.alias("block"), "timestamp", "slice", F.transform("cells", lambda c: c["v"]).alias("v")), "slices")
+    last = F.lit(-(-n // tile) - 1)
+    left = sliced.select("block", F.col("slice").alias("a"), F.explode(F.sequence("slice", last)).alias("b"), "timestamp", "v")
+    right = sliced.select("block", F.explode(F.sequence(F.lit(0), "slice")).alias("a"), F.col("slice").alias("b"), "timestamp", "v")
+
+    def products(key, x, y):
+        # Both sides hold the complete timesteps of the block.
+        x, y = (np.stack(side.sort_values("timestamp")["v"].to_numpy()) for side in (x, y))
+        i, j = np.indices((x.shape[1], y.shape[1]))
+        out = pd.DataFrame({"i": (i + int(key[1]) * tile).ravel().astype("int32"), "j": (j + int(key[2]) * tile).ravel().astype("int32"),
+                            "s": (x.T @ y).ravel()})
+        return out[out.i <= out.j]
+
+    keys = ["block", "a", "b"]
+    tiles = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(products, "i int, j int, s double")
+    return store(tiles.groupBy("i", "j").agg(F.sum("s").alias("s")).where(F.lit(steps) >= 2), "sums"), flat
+
+
+def _partial_products(per_zone: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Sums of products by pair, and flat zones: a timestep is one array, each task adds up products of centred arrays.
+
+    What is shuffled is one zone-by-zone triangle per task, the size of the result.
+    """
     cells = F.array_sort(F.collect_list(F.struct("zone_idx", "v")))
     rows = store(per_zone.groupBy("timestamp").agg(cells.alias("cells")).where(F.size("cells") == n)
                  .select(F.transform("cells", lambda c: c["v"]).alias("v")), "timesteps")
-    # A known zone without data leaves no complete timestep.
     center = np.zeros(n)
     flat = keep(rows.select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(
         F.avg("v").alias("mean"), (F.min("v") == F.max("v")).alias("constant")))
@@ -112,6 +152,11 @@ def _partial_products(snaps: DataFrame, known: Sequence[str] | None = None) -> D
 
     sums = settle(rows.mapInPandas(products, "i int, j int, s double, n long")
                   .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).where(F.col("n") >= 2))
+    return sums, flat
+
+
+def _from_sums(sums: DataFrame, flat: DataFrame, index: DataFrame) -> DataFrame:
+    """Correlations from the sums of centred products (i <= j); `flat` tells the constant zones."""
     spread = small_side(sums.where("i = j").join(flat.select("i", "constant"), "i").select(
         F.col("i").alias("k"), F.when(F.col("constant"), F.lit(0.0)).otherwise(F.sqrt("s")).alias("sd")))
     def sd_of(side: str) -> DataFrame:

@@ -726,6 +726,14 @@ def a18_zone_correlation_many(spark, sf_dir):
     return correlation.correlation_matrix(rows)
 
 
+@query("a18_zone_correlation_tiled")
+def a18_zone_correlation_tiled(spark, sf_dir):
+    """The path for thousands of zones, tile by tile, over all 64 components."""
+    rows = adapters.draws(spark, sf_dir).select(
+        F.col("sample_id").alias("timestamp"), "region_id", F.col("value").alias("wind_speed_mps"))
+    return correlation.correlation_matrix(rows, array_zones=24, tile=24)
+
+
 @query("a19_zone_means")
 def a19_zone_means(spark, sf_dir):
     means = correlation.zone_means(_hourly(spark, sf_dir))

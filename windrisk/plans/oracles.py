@@ -282,6 +282,10 @@ ORACLES = {
             covar_pop(a.value, b.value) / nullif(stddev_pop(a.value) * stddev_pop(b.value), 0) AS v
             FROM draws a JOIN draws b ON a.sample_id = b.sample_id GROUP BY ALL)
         SELECT zone_a, zone_b, {r('v', 'value')} FROM pairs""",
+    "a18_zone_correlation_tiled": f"""WITH {DRAWS}, pairs AS (SELECT a.region_id AS zone_a, b.region_id AS zone_b,
+            covar_pop(a.value, b.value) / nullif(stddev_pop(a.value) * stddev_pop(b.value), 0) AS v
+            FROM draws a JOIN draws b ON a.sample_id = b.sample_id GROUP BY ALL)
+        SELECT zone_a, zone_b, {r('v', 'value')} FROM pairs""",
     "a19_zone_means": f"WITH {HOURLY} SELECT region_id, {r('avg(wind_speed_mps)', 'mean_wind')} FROM hourly GROUP BY ALL",
     "a20_parameter_correlation": f"""WITH {CHAINS}, p AS (SELECT * FROM chains WHERE param IN ('d0', 'd1', 'd2'))
         SELECT a.param AS param_a, b.param AS param_b, {r('covar_pop(a.value, b.value) / (stddev_pop(a.value) * stddev_pop(b.value))', 'value')}
