@@ -17,7 +17,7 @@ from windrisk.functions import basis, geo, timefn
 from windrisk.operators import correlation, diagnostics, energy, features, fit_ledger, hsgp, ranks, risk, snapshots, spatial, zone_search
 from windrisk.plans import adapters, forecasting, serve
 from windrisk.session import configure, store, work_path
-from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic
+from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic, versions
 from windrisk.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1131,3 +1131,30 @@ def i2_saved_model(spark, sf_dir):
     gap = F.greatest(F.abs(F.col("p_shortfall") - F.col("p")), F.abs(F.col("wind_p50") - F.col("w")))
     return left.join(right, ["region_id", "horizon_h"]).select(
         "region_id", "horizon_h", F.lit(fitted).alias("fitted"), F.lit(again).alias("fitted_again"), gap.alias("gap"))
+
+
+@query("k5_changed_parts")
+def k5_changed_parts(spark, sf_dir):
+    """Second version without the first day and with the last hour's wind raised: the hash tree names the parts of these two days."""
+    folder = work_path(spark, "versioned")
+    rows = store(adapters.obs(spark, sf_dir))
+    ends = rows.agg(F.date_trunc("day", F.min("timestamp")).alias("low"), F.date_trunc("hour", F.max("timestamp")).alias("high"))
+    versions.commit(rows, folder, slot_days=1)
+    edited = rows.join(F.broadcast(ends)).where(F.date_trunc("day", "timestamp") > F.col("low")).withColumn(
+        "wind_speed_mps", F.col("wind_speed_mps") + F.when(F.col("timestamp") >= F.col("high"), 1.0).otherwise(0.0)).drop("low", "high")
+    versions.commit(edited, folder, slot_days=1)
+    return versions.changes(spark, folder, 0, 1)
+
+
+@query("k1_table_versions")
+def k1_table_versions(spark, sf_dir):
+    """Two versions of a table, each read as it was committed; the same rows in another order are none."""
+    folder = work_path(spark, "versioned")
+    rows = store(adapters.obs(spark, sf_dir))
+    versions.commit(rows, folder, slot_days=7)
+    versions.commit(rows.where("region_id <> 'view'"), folder, slot_days=7)
+    again = versions.commit(rows.where("region_id <> 'view'").repartition(5), folder, slot_days=7)
+    read = [versions.read(spark, folder, v).withColumn("version", F.lit(v)) for v in range(versions.newest(spark, folder) + 1)]
+    whole = read[0].unionByName(read[1])
+    return whole.groupBy("version", "region_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("wind_speed_mps").alias("wind_sum")).withColumn(
+        "written_again", F.lit(again is not None))

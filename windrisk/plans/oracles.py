@@ -444,3 +444,11 @@ ORACLES["p7_matern_any_nu"] = f"""WITH {ZONES25}, s AS (SELECT zone_a, zone_b, s
     SELECT zone_a, zone_b, {r('(1 + s + 0.4 * s * s + s * s * s / 15) * exp(-s)', 'value')} FROM s"""
 ORACLES["a17_divergences"] = f"""WITH {CHAINS} SELECT count(*) AS n_divergences FROM
     (SELECT chain, draw FROM chains GROUP BY ALL HAVING max(abs(value)) > 0.25)"""
+ORACLES["k5_changed_parts"] = f"""WITH {OBS}, ends AS (SELECT date_trunc('day', min(timestamp)) AS low, date_trunc('hour', max(timestamp)) AS high FROM obs)
+    SELECT CAST(year(timestamp) AS INTEGER) AS year, CAST(dayofyear(timestamp) - 1 AS INTEGER) AS slot, min(timestamp) AS first, max(timestamp) AS last,
+    CASE WHEN date_trunc('day', timestamp) = low THEN 'removed' ELSE 'changed' END AS kind,
+    CAST(count(*) FILTER (date_trunc('day', timestamp) <> low) AS BIGINT) AS n_rows, count(*) AS n_rows_before
+    FROM obs, ends WHERE date_trunc('day', timestamp) IN (low, date_trunc('day', high)) GROUP BY ALL"""
+ORACLES["k1_table_versions"] = f"""WITH {OBS}, v AS (SELECT 0 AS version UNION ALL SELECT 1)
+    SELECT version, region_id, count(*) AS n_rows, {r('sum(wind_speed_mps)', 'wind_sum')}, false AS written_again
+    FROM obs, v WHERE version = 0 OR region_id <> 'view' GROUP BY ALL"""

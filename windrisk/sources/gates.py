@@ -4,12 +4,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Our choice: decimals of floating numbers that make a difference to a table's content.
-HASH_PLACES = 6
+# Our choice: significant digits of floating numbers that make a difference to a table's content.
+SIGNIFICANT = 10
 
 
 @dataclass(frozen=True)
@@ -23,16 +23,34 @@ class ContentHash:
         return f"{self.n_rows}-{self.xor & 0xFFFFFFFFFFFFFFFF:016x}-{self.total}"
 
 
+def _significant(number: Column) -> list[Column]:
+    """A floating number as columns to hash: its leading SIGNIFICANT digits and its exponent; zero, NaN and sizes beyond 1e290 or below 1e-290 as they are."""
+    x = number.cast("double")
+    size = F.abs(x)
+    # log10 alone can be off by one next to a power of ten; the digits tell.
+    guess = F.when((size > 1e-290) & (size < 1e290), F.floor(F.log10(size)))
+    digits = F.round(x * F.pow(F.lit(10.0), -guess) * F.lit(10.0 ** (SIGNIFICANT - 1)))
+    over, under = F.abs(digits) >= 10.0 ** SIGNIFICANT, F.abs(digits) < 10.0 ** (SIGNIFICANT - 1)
+    exact = F.when(over, F.round(digits / 10.0)).when(under, F.round(digits * 10.0)).otherwise(digits).cast("long")
+    exponent = guess + F.when(over, 1).when(under, -1).otherwise(0)
+    return [exact, exponent, F.when(guess.isNull(), x + F.lit(0.0))]
+
+
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """64-bit hash of a row's columns in the given order."""
+    kinds = dict(df.dtypes)
+    parts = [p for c in columns for p in (_significant(F.col(f"`{c}`")) if kinds[c] in ("double", "float") else [F.col(f"`{c}`")])]
+    return F.xxhash64(*parts)
+
+
 def hash_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, xor and sum of the row hashes: one pass, map-side combined, no sort.
 
     Columns are hashed in the given order, so reordering those of the table changes nothing.
-    Xor alone would miss pairs of equal rows; the sum does not. Floating numbers count to HASH_PLACES decimals:
-    the last bits of a recomputed sum depend on the order of its rows.
+    Xor alone would miss pairs of equal rows; the sum does not. Floating numbers count to SIGNIFICANT digits, whatever their
+    size: the last bits of a recomputed sum depend on the order of its rows.
     """
-    kinds = dict(df.dtypes)
-    row = F.xxhash64(*[F.round(F.col(c), HASH_PLACES) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c) for c in columns])
-    return df.select(row.alias("h")).agg(
+    return df.select(row_hash(df, columns).alias("h")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.bit_xor("h").alias("xor"),
         F.sum(F.col("h").cast("decimal(38,0)")).alias("total"))
 
