@@ -1,5 +1,6 @@
 """Repetition, tokens, toxicity and language: against brute force, round trips and held-out rows."""
 
+import math
 import random
 import time
 import re
@@ -173,3 +174,70 @@ def test_repetition_of_very_repetitive_texts_is_not_quadratic(unit):
 
 def test_repetition_of_an_empty_table(make_docs):
     assert repetition.repetition(make_docs([(1, "a")]).limit(0)).count() == 0
+
+
+def brute_bits(teaching, text):
+    """Interpolated Kneser-Ney by its definition: cross-entropy of the cleaned text, per character and end."""
+    order = langid.ORDER
+    pad = lambda t: " " * (order - 1) + langid.letters(t) + " "
+    top = defaultdict(int)
+    for t in teaching:
+        s = pad(t)
+        for i in range(len(s) - order + 1):
+            top[s[i:i + order]] += 1
+    counts = {order: top}
+    for n in range(order - 1, 0, -1):
+        counts[n] = defaultdict(int)
+        for g in counts[n + 1]:
+            counts[n][g[1:]] += 1
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1.0 / (len(counts[1]) + 1)
+        table = counts[n]
+        few = [sum(1 for c in table.values() if c == k) for k in (1, 2)]
+        d = few[0] / (few[0] + 2 * few[1]) if all(few) else 0.5
+        after = [c for g, c in table.items() if g[:-1] == gram[:-1]]
+        lower = p(gram[1:])
+        return lower if not after else max(table.get(gram, 0) - d, 0.0) / sum(after) + d * len(after) / sum(after) * lower
+    s = pad(text)
+    each = [-math.log2(max(p(s[i:i + order]), 1e-12)) for i in range(len(s) - order + 1)]
+    return sum(each) / len(each)
+
+
+def language_rows(rng, languages, texts):
+    for i in range(languages):
+        stems = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüéñ") for _ in range(rng.randrange(2, 5))) for _ in range(6)]
+        for k in range(texts):
+            yield i * 100 + k, " ".join("".join(rng.choice(stems) for _ in range(rng.randrange(1, 3))) for _ in range(12)), f"l{i:02d}"
+
+
+def test_entropies_equal_brute_force(make_docs):
+    rows = list(language_rows(random.Random(7), 3, 5))
+    teaching = {lang: [t for i, t, own in rows if own == lang and i % 100 < 4] for lang in ("l00", "l01", "l02")}
+    got = {r.id: r for r in langid.cross_entropies(make_docs(rows), langid.train(make_docs(rows).where("doc_id % 100 < 4"))).collect()}
+    for i, text, _ in rows:
+        near = sorted((brute_bits(texts, text), lang) for lang, texts in teaching.items())
+        assert got[i].lang == near[0][1]
+        assert got[i].bits == pytest.approx(near[0][0], abs=1e-5) and got[i].gap == pytest.approx(near[1][0] - near[0][0], abs=1e-5)
+
+
+def test_shares_of_any_size_give_the_same_rows(make_docs):
+    rows = [*language_rows(random.Random(8), 4, 8), *[(1000 + (i or 0), t, None) for i, t in EDGES]]
+    docs = make_docs(rows)
+    key = lambda r: tuple((v is None, v) for v in r)
+    whole = sorted(langid.identify(docs, lambda c: c % 4 != 2).collect(), key=key)
+    assert len(whole) == len(rows)
+    plans = set()
+    for size in (16_000, 60_000):
+        models = langid.train(docs.where("doc_id % 4 <> 2"), model_bytes=size)
+        plans.add((len(models.shares) > 1, any(parts > 1 for _, parts in models.shares)))
+        assert sorted(langid.identify(docs, lambda c: c % 4 != 2, model_bytes=size).collect(), key=key) == whole
+    assert plans == {(True, True), (True, False)}, plans
+
+
+def test_sixty_languages(make_docs):
+    rows = list(language_rows(random.Random(9), 60, 4))
+    got = {r.id: r.lang_pred for r in langid.identify(make_docs(rows), lambda c: c % 4 != 2).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
