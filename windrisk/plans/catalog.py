@@ -17,7 +17,7 @@ from windrisk.functions import basis, geo, timefn
 from windrisk.operators import correlation, diagnostics, energy, features, fit_ledger, hsgp, ranks, risk, snapshots, spatial, zone_search
 from windrisk.plans import adapters, forecasting, serve
 from windrisk.session import configure, store, work_path
-from windrisk.sources import calendar, files, gates, kafka, market_xml, sinks, topic, versions
+from windrisk.sources import binary_grid, calendar, files, gates, kafka, market_xml, sinks, topic, versions
 from windrisk.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1158,3 +1158,27 @@ def k1_table_versions(spark, sf_dir):
     whole = read[0].unionByName(read[1])
     return whole.groupBy("version", "region_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("wind_speed_mps").alias("wind_sum")).withColumn(
         "written_again", F.lit(again is not None))
+
+
+def _yearly_binary_grids(spark, sf_dir):
+    """The grid on cells of 5 by 10 degrees, one binary file a year."""
+    folder = work_path(spark, "binary-grid")
+    cell = {"latitude": F.floor(F.col("latitude") / 5) * 5.0, "longitude": F.floor(F.col("longitude") / 10) * 10.0}
+    coarse = adapters.grid(spark, sf_dir).groupBy("timestamp", *[c.alias(n) for n, c in cell.items()]).agg(
+        F.sum("u10").alias("u10"), F.max("v10").alias("v10"))
+    binary_grid.write_binary_grid(coarse.withColumn("year", F.year("timestamp")), folder, "year")
+    return folder
+
+
+@query("s1_binary_grid")
+def s1_binary_grid(spark, sf_dir):
+    """Written as binary grids and read back over a range of times that cuts two files."""
+    folder = _yearly_binary_grids(spark, sf_dir)
+    read = binary_grid.binary_grid(spark, folder, start=dt.datetime(1994, 3, 1), end=dt.datetime(1996, 10, 15), split_bytes=100_000)
+    return read.where("u10 IS NOT NULL").select("timestamp", "latitude", "longitude", "u10", "v10")
+
+
+@query("s1_binary_grid_report")
+def s1_binary_grid_report(spark, sf_dir):
+    report = binary_grid.grid_report(spark, _yearly_binary_grids(spark, sf_dir))
+    return report.select(F.regexp_extract("file_id", r"(\d+)\.nc$", 1).cast("int").alias("year"), "n_times", "n_cells", F.col("why").isNull().alias("readable"))

@@ -452,3 +452,9 @@ ORACLES["k5_changed_parts"] = f"""WITH {OBS}, ends AS (SELECT date_trunc('day',
 ORACLES["k1_table_versions"] = f"""WITH {OBS}, v AS (SELECT 0 AS version UNION ALL SELECT 1)
     SELECT version, region_id, count(*) AS n_rows, {r('sum(wind_speed_mps)', 'wind_sum')}, false AS written_again
     FROM obs, v WHERE version = 0 OR region_id <> 'view' GROUP BY ALL"""
+COARSE = f"""WITH {GRID}, coarse AS (SELECT timestamp, floor(latitude / 5) * CAST(5 AS DOUBLE) AS latitude, floor(longitude / 10) * CAST(10 AS DOUBLE) AS longitude,
+    sum(u10) AS u10, max(v10) AS v10 FROM grid GROUP BY ALL)"""
+ORACLES["s1_binary_grid"] = f"""{COARSE} SELECT CAST(timestamp AS TIMESTAMP) AS timestamp, latitude, longitude, {r('CAST(u10 AS DOUBLE)', 'u10')}, {r('CAST(v10 AS DOUBLE)', 'v10')}
+    FROM coarse WHERE timestamp >= DATE '1994-03-01' AND timestamp < DATE '1996-10-15'"""
+ORACLES["s1_binary_grid_report"] = f"""{COARSE} SELECT CAST(year(timestamp) AS INTEGER) AS year, count(DISTINCT timestamp) AS n_times,
+    count(DISTINCT latitude) * count(DISTINCT longitude) AS n_cells, true AS readable FROM coarse GROUP BY ALL"""
