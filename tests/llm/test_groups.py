@@ -170,6 +170,23 @@ def test_archives_edges(spark, make_docs):
     assert revisits.read_archive(spark, empty).count() == 0
 
 
+def test_archives_keep_payloads_with_separators(spark):
+    ends = ["", "\r", "\n", "\r\n", "\r\n\r", "\r\n\r\n", "\r\n\r\n\r\n", "\n\r\n\r\n\r"]
+    rows = [(i, "u", a + "x" * n + b + "WARC/1.1\r\n" + c) for n in (0, 200_000) for i, (a, b, c) in
+            enumerate(((a, b, c) for a in ends for b in ends for c in ends), n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    path = work_path(spark, "warc")
+    revisits.write_archive(revisits.page_records(pages), path, file_records=100)
+    got = {r.page_id: bytes(r.payload).decode() for r in revisits.read_archive(spark, path).collect()}
+    assert got == {i: text for i, _, text in rows}
+    cutter = revisits._Cutter()
+    assert list(cutter.add(b"WARC/1.1\r\nContent-Length: 9")) == [] and list(cutter.add(b"abc")) == []
+    with pytest.raises(ValueError):
+        cutter.close()
+    with pytest.raises(ValueError):
+        list(revisits._Cutter().add(b"no record"))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header><a href="/">Home</a></header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
 %s

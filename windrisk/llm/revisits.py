@@ -2,8 +2,8 @@
 
 Records are laid out by DataFrame functions and written by Spark's text sink, whose line separator is the
 blank line pair that ends a WARC record; so archives go through any file system that Spark reaches, and a lost
-task's output is never committed. Archives are gzip files as a whole. They are read as binary files and cut by
-Content-Length in Arrow batches, decompressed in pieces.
+task's output is never committed. Archives are gzip files as a whole. They are read as text between those same line pairs, so
+a file passes a task as a stream, whatever its size, and cut by Content-Length in Arrow batches: a task holds one record and the batch it gives.
 
 Resolution shuffles headers only: the smallest page of each payload digest is found by a grouped minimum (a
 task sends one row for each digest), joined back to the headers, and the decision is joined to the records by
@@ -15,7 +15,6 @@ against every id. Of repeated rows one is the response. Payloads under `least_by
 a url are written as spaces. An empty table writes empty archives and gives an empty result. A cut-off archive raises.
 """
 
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -74,47 +73,52 @@ def page_records(pages: DataFrame, page_col: str = "page_id", url_col: str = "ur
         F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("payload_bytes"), "payload")
 
 
-def _records(content: bytes) -> Iterator[tuple]:
-    """Records of one archive file, decompressed piece by piece."""
-    unzip, buffer, at = zlib.decompressobj(31), bytearray(), 0
-
-    def more() -> bool:
-        nonlocal at, unzip
-        if at >= len(content):
-            return False
-        piece = content[at:at + (1 << 20)]
-        at += len(piece)
-        while piece:
-            buffer.extend(unzip.decompress(piece))
-            piece = unzip.unused_data
-            if piece:
-                unzip = zlib.decompressobj(31)
-        return True
+class _Cutter:
+    """Cuts the text of one archive file, given piece by piece without the separators, into records."""
+
+    def __init__(self):
+        self.buffer, self.fields, self.start = bytearray(), None, 0
 
-    while True:
-        while (split := buffer.find(b"\r\n\r\n")) < 0:
-            if not more():
-                if buffer.strip():
-                    raise ValueError("an archive ends within a record's headers")
+    def add(self, piece: bytes) -> Iterator[tuple]:
+        """The records that end with this piece."""
+        self.buffer += piece
+        self.buffer += END.encode()
+        while self._headers():
+            end = self.start + int(self.fields["Content-Length"])
+            if len(self.buffer) < end + len(END):
                 return
-        lines = buffer[:split].decode().split("\r\n")
-        if lines[0] != VERSION:
-            raise ValueError("a record does not begin with the version line")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        length = int(fields["Content-Length"])
-        end = split + 4 + length
-        while len(buffer) < end + 4:
-            if not more():
-                raise ValueError("an archive ends within a record")
-        block = bytes(buffer[split + 4:end])
-        del buffer[:end + 4]
-        page, other = fields.get("WARC-Page-ID"), fields.get("WARC-Refers-To-Page-ID")
-        kind = fields["WARC-Type"]
-        refers = fields.get("WARC-Refers-To")
-        yield (kind, fields["WARC-Record-ID"][1:-1], None if page is None else int(page), fields.get("WARC-Target-URI"),
-               refers and refers[1:-1], None if other is None else int(other),
-               fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(fields["WARC-Payload-Length"]),
-               None if kind == "revisit" else block[block.index(b"\r\n\r\n") + 4:])
+            block = bytes(self.buffer[self.start:end])
+            del self.buffer[:end + len(END)]
+            fields, self.fields = self.fields, None
+            yield _record(fields, block)
+
+    def _headers(self) -> bool:
+        """True if the next record's headers are there."""
+        if self.fields is None:
+            # A record never begins with a line break; one is left if the last payload of a file ends with it.
+            while self.buffer.startswith(b"\r\n"):
+                del self.buffer[:2]
+            split = self.buffer.find(END.encode())
+            if split < 0:
+                return False
+            lines = self.buffer[:split].decode().split("\r\n")
+            if lines[0] != VERSION:
+                raise ValueError("a record does not begin with the version line")
+            self.fields, self.start = dict(line.split(": ", 1) for line in lines[1:]), split + len(END)
+        return True
+
+    def close(self) -> None:
+        if self.fields is not None or self.buffer.strip():
+            raise ValueError("an archive ends within a record")
+
+
+def _record(fields: dict[str, str], block: bytes) -> tuple:
+    page, other = fields.get("WARC-Page-ID"), fields.get("WARC-Refers-To-Page-ID")
+    kind, refers = fields["WARC-Type"], fields.get("WARC-Refers-To")
+    return (kind, fields["WARC-Record-ID"][1:-1], None if page is None else int(page), fields.get("WARC-Target-URI"),
+            refers and refers[1:-1], None if other is None else int(other),
+            fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(fields["WARC-Payload-Length"]),
+            None if kind == "revisit" else block[block.index(END.encode()) + len(END):])
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -122,24 +126,29 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
         names = [part.split()[0] for part in SCHEMA.split(",")]
+        cutter, file, rows, size = _Cutter(), None, [], 0
 
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            for content in batch.column(0):
-                rows, size = [], 0
-                for record in _records(content.as_py()):
+            for own, piece in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own != file:
+                    cutter.close()
+                    cutter, file = _Cutter(), own
+                for record in cutter.add(piece.as_py()):
                     rows.append(record)
                     size += len(record[-1] or b"")
                     if size > 1 << 22:
                         yield batch_of(rows)
                         rows, size = [], 0
-                if rows:
-                    yield batch_of(rows)
+        cutter.close()
+        if rows:
+            yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(parse, SCHEMA)
+    # A gzip file is one split, so its pieces come to one task in their order.
+    pieces = spark.read.option("lineSep", END).text(path).select(F.col("_metadata.file_path"), F.col("value").cast("binary"))
+    return pieces.mapInArrow(parse, SCHEMA)
 
 
 def resolve(records: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
