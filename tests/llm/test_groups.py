@@ -149,6 +149,15 @@ def test_mix_edges(make_docs):
     assert [r.taken for r in mixing.mix(make_docs([(1, None)])).collect()] == [0]
 
 
+def test_mix_takes_ties_in_the_same_order_for_any_partitioning(make_docs):
+    rng = random.Random(13)
+    # No symbols, so all have the same quality; no id or one id, so all have the same draw.
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 40))), "en", rng.choice("ab")) for i in [None] * 60 + [7] * 60]
+    runs = [sorted((str(r.id), r.text_hash, r.source, r.taken) for r in mixing.mix(make_docs(some, parts=n)).collect())
+            for some, n in ((rows, 1), (rows[::-1], 4), (rng.sample(rows, len(rows)), 7))]
+    assert runs[0] == runs[1] == runs[2] and len({taken for *_, taken in runs[0]}) > 2
+
+
 def test_archives_edges(spark, make_docs):
     body = "<p>" + "é" * 60 + "\r\n\r\nWARC/1.1\r\n</p>"
     rows = [(5, "http://a/5", body), (3, "http://a/3\r\nX: y", body), (4, None, body), (4, "http://a/4", body), (None, "u", body), (6, "u", "short"),

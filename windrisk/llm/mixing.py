@@ -15,8 +15,8 @@ partial sums first), and slots prefix-summed; documents of slots wholly inside o
 that, and only the slot in which the budget ends is ordered. The number of slots follows from the counted rows.
 
 Defined results: NULL text has size 0 and takes 0. NULL sources form one source, last in order. NULL ids draw like the
-empty text. Repeated rows count as documents of their own; their order among each other does not change any
-sum but is not fixed. A source without words has target 0; an empty table gives an empty result.
+empty text. Documents of one key and id are taken in the order of their text hashes. Repeated rows count as documents of their
+own; which of them is taken first is not fixed, what they take together is. A source without words has target 0; an empty table gives an empty result.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     room = F.col("left") - F.col("before")
     ends = (room > 0) & (room < F.col("slot_size"))
     settled = placed.where(~ends).withColumn("drawn", F.when(room > 0, F.col("size")).otherwise(F.lit(0)))
-    in_slot = Window.partitionBy("source").orderBy("key", "id", "row").rowsBetween(Window.unboundedPreceding, -1)
+    in_slot = Window.partitionBy("source").orderBy("key", "id", "text_hash", "row").rowsBetween(Window.unboundedPreceding, -1)
     cut = (placed.where(ends).withColumn("ahead", F.coalesce(F.sum("size").over(in_slot), F.lit(0)))
            .withColumn("drawn", F.least(F.col("size"), F.greatest(F.lit(0), room - F.col("ahead")))).drop("ahead"))
     return settled.unionByName(cut).select(
