@@ -9,7 +9,6 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -1072,21 +1071,31 @@ def a14_crps(spark, sf_dir):
 
 # --- Nothing is lost unseen -----------------------------------------------------------
 
+# Rows of a grid file, and of a dealt part of the grid: what one task reads stays the same however many rows there are.
+GRID_FILE_ROWS = 500_000
+GRID_PART_ROWS = 1_000_000
+
+
+def _grid_files(spark, sf_dir, path):
+    """The grid of all rows in whole files of bounded size, and beside it one of these with broken pages, and one that is no Parquet."""
+    (adapters.grid(spark, sf_dir).drop("file_id").write.option("compression", "none").option("maxRecordsPerFile", GRID_FILE_ROWS)
+     .parquet(f"{path}/whole"))
+
+    def binary(folder):
+        return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    # A list of names reads no content; then a single file is opened.
+    first = binary(f"{path}/whole").agg(F.min("path")).first()[0]
+    content = bytes(binary(first).select("content").first()[0])
+    middle = len(content) // 2
+    _write_bytes(spark, f"{path}/broken/part-0.parquet", content[:4] + bytes(middle - 4) + content[middle:])
+    _write_bytes(spark, f"{path}/unreadable/part-0.parquet", b"no grid at all")
+
+
 @query("s1_skipped_files")
 def s1_skipped_files(spark, sf_dir):
-    """Three grid files of all rows: one whole, one with a footer but broken pages, one that is no Parquet."""
+    """Grid files of all rows, one more with a footer but broken pages, one that is no Parquet."""
     path = work_path(spark, "grid")
-    adapters.grid(spark, sf_dir).drop("file_id").coalesce(1).write.option("compression", "none").parquet(f"{path}/whole")
-    file = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/whole").select("content")
-
-    def damaged(batches):
-        for batch in batches:
-            for content in batch["content"]:
-                middle = len(content) // 2
-                yield pd.DataFrame({"name": ["broken", "unreadable"],
-                                    "content": [content[:4] + bytes(middle - 4) + content[middle:], b"no grid at all"]})
-    for row in file.mapInPandas(damaged, "name string, content binary").collect():
-        _write_bytes(spark, f"{path}/{row.name}/part-0.parquet", bytes(row.content))
+    _grid_files(spark, sf_dir, path)
     return files.skipped_files(spark, path).groupBy("why").agg(F.count(F.lit(1)).alias("n_files"))
 
 
