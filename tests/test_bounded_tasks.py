@@ -16,3 +16,11 @@ def test_grid_files_are_of_bounded_size_and_hold_all_rows(spark, tmp_path, monke
     sizes = [spark.read.parquet(f).count() for f in glob.glob(f"{path}/whole/*.parquet")]
     assert max(sizes) <= 700 and sum(sizes) == n and len(sizes) >= n // 700
     assert sorted(r.why for r in files.skipped_files(spark, path).collect()) == ["broken", "unreadable"]
+
+
+def test_dealt_rows_get_more_tasks_as_they_grow(spark, monkeypatch):
+    rows = adapters.grid(spark, SF)
+    assert catalog._dealt(rows, 3).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(catalog, "GRID_PART_ROWS", 1000)
+    assert catalog._dealt(rows, 3).rdd.getNumPartitions() == 3 + rows.count() // 1000 > 8
+    assert catalog.QUERIES["k5_recomputed_means"](spark, SF).first()["again"] is False

@@ -227,7 +227,7 @@ def k5_write_if_changed(spark, sf_dir):
     folder = work_path(spark, "gold")
     rows = adapters.obs(spark, sf_dir)
     first = sinks.write_if_changed(rows, folder, "obs")
-    again = sinks.write_if_changed(rows.select("wind_speed_mps", "region_id", "timestamp").repartition(5), folder, "obs")
+    again = sinks.write_if_changed(_dealt(rows.select("wind_speed_mps", "region_id", "timestamp"), 5), folder, "obs")
     changed = sinks.write_if_changed(rows.unionByName(rows), folder, "obs")
     nothing = sinks.write_if_changed(None, folder, "obs")
     content = spark.read.parquet(f"{folder}/obs").groupBy("region_id").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -295,7 +295,7 @@ def i2_content_gate(spark, sf_dir):
     sinks.mark_trained(snaps, folder, "model")
     no_result = sinks.retrain_needed(snaps, folder, "model")
     sinks.overwrite_parquet(snaps, f"{folder}/model")
-    unchanged = sinks.retrain_needed(snaps.repartition(7), folder, "model")
+    unchanged = sinks.retrain_needed(_dealt(snaps, 7), folder, "model")
     changed = sinks.retrain_needed(snaps.where("region_id <> 'view'"), folder, "model")
     hashed = gates.hash_columns(snaps, ["timestamp", "region_id", "wind_speed_mps"])
     return hashed.select("n_rows", F.lit(first).alias("first"), F.lit(no_result).alias("no_result"),
@@ -1117,13 +1117,18 @@ def s4_unreadable_documents(spark, sf_dir):
     return market_xml.unreadable(docs).groupBy("region_id").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+def _dealt(rows: DataFrame, least: int) -> DataFrame:
+    """Rows dealt out to `least` tasks, and one more for every GRID_PART_ROWS rows."""
+    return rows.repartition(least + rows.count() // GRID_PART_ROWS)
+
+
 @query("k5_recomputed_means")
 def k5_recomputed_means(spark, sf_dir):
     """Zone means computed again from differently dealt rows are the same content."""
     folder = work_path(spark, "silver")
-    grid = adapters.grid(spark, sf_dir)
-    first = sinks.write_if_changed(spatial.silver_weather(grid.repartition(3)), folder, "weather")
-    again = sinks.write_if_changed(spatial.silver_weather(grid.repartition(11)), folder, "weather")
+    few, many = (_dealt(adapters.grid(spark, sf_dir), least) for least in (3, 11))
+    first = sinks.write_if_changed(spatial.silver_weather(few), folder, "weather")
+    again = sinks.write_if_changed(spatial.silver_weather(many), folder, "weather")
     rows = spark.read.parquet(f"{folder}/weather").agg(F.count(F.lit(1)).alias("n_rows"))
     return rows.select("n_rows", F.lit(first).alias("first"), F.lit(again).alias("again"))
 
@@ -1134,7 +1139,7 @@ def i2_saved_model(spark, sf_dir):
     folder = work_path(spark, "gold")
     snaps = store(_hourly(spark, sf_dir))
     fresh, fitted = forecasting.train_or_load(snaps, folder, n_samples=50)
-    loaded, again = forecasting.train_or_load(snaps.repartition(5), folder, n_samples=50)
+    loaded, again = forecasting.train_or_load(_dealt(snaps, 5), folder, n_samples=50)
     left = forecasting.forecast_table(snaps, fresh).select("region_id", "horizon_h", "p_shortfall", "wind_p50")
     right = forecasting.forecast_table(snaps, loaded).select("region_id", "horizon_h", F.col("p_shortfall").alias("p"), F.col("wind_p50").alias("w"))
     gap = F.greatest(F.abs(F.col("p_shortfall") - F.col("p")), F.abs(F.col("wind_p50") - F.col("w")))
@@ -1162,7 +1167,7 @@ def k1_table_versions(spark, sf_dir):
     rows = store(adapters.obs(spark, sf_dir))
     versions.commit(rows, folder, slot_days=7)
     versions.commit(rows.where("region_id <> 'view'"), folder, slot_days=7)
-    again = versions.commit(rows.where("region_id <> 'view'").repartition(5), folder, slot_days=7)
+    again = versions.commit(_dealt(rows.where("region_id <> 'view'"), 5), folder, slot_days=7)
     read = [versions.read(spark, folder, v).withColumn("version", F.lit(v)) for v in range(versions.newest(spark, folder) + 1)]
     whole = read[0].unionByName(read[1])
     return whole.groupBy("version", "region_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("wind_speed_mps").alias("wind_sum")).withColumn(
