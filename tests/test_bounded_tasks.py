@@ -1,12 +1,18 @@
 """What one task reads or holds stays the same however many rows there are."""
 
+import datetime as dt
 import glob
 
+import pandas as pd
+import pyarrow as pa
+
 from conftest import TESTDATA
 from windrisk.plans import adapters, catalog
-from windrisk.sources import files
+from windrisk.sources import files, topic
+from windrisk.streaming import jobs, state
 
 SF = f"{TESTDATA}/sf0.001"
+T0 = dt.datetime(2024, 1, 1)
 
 
 def test_grid_files_are_of_bounded_size_and_hold_all_rows(spark, tmp_path, monkeypatch):
@@ -24,3 +30,28 @@ def test_dealt_rows_get_more_tasks_as_they_grow(spark, monkeypatch):
     monkeypatch.setattr(catalog, "GRID_PART_ROWS", 1000)
     assert catalog._dealt(rows, 3).rdd.getNumPartitions() == 3 + rows.count() // 1000 > 8
     assert catalog.QUERIES["k5_recomputed_means"](spark, SF).first()["again"] is False
+
+
+def test_a_writing_task_holds_one_batch(tmp_path, monkeypatch):
+    """Batches come from a generator that sees how many earlier ones are still held."""
+    monkeypatch.setattr(topic, "SEGMENT_ROWS", 10_000)
+    alive, most = [], 0
+
+    def batches():
+        nonlocal most
+        for i in range(40):
+            batch = pa.table({"timestamp": pa.array([T0] * 1000, pa.timestamp("us", tz="UTC")), "key": ["A", "B"] * 500,
+                              "value": [f"{i}-{j}-{'x' * 1000}" for j in range(1000)]}).to_batches()[0]
+            alive.append(pa.total_allocated_bytes())
+            most = max(most, alive[-1] - alive[0])
+            yield batch
+    path = str(tmp_path / "topic")
+    writer = topic.TopicWriter(path, "q", 2)
+    writer.commit([writer.write(batches())])
+    segments = topic.Log(path).segments()
+    assert sum(s["rows"] for s in segments) == 40_000 and max(s["rows"] for s in segments) == 10_000
+    assert most < 16_000_000  # all batches are 40 MB, and Arrow keeps pages of two open segments
+    for s in segments:
+        values = [v for part in topic._slices(path, {}, topic.Log(path).ends()) if part.file == s["file"]
+                  for b in topic._read(path, part) for v in b.column("value").to_pylist()]
+        assert values == sorted(values, key=lambda v: tuple(map(int, v.split("-")[:2])))

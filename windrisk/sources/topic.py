@@ -19,17 +19,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStreamReader, DataSourceStreamWriter, DataSourceWriter,
-                                    InputPartition, WriterCommitMessage)
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter,
+                                    DataSourceStreamReader, InputPartition, WriterCommitMessage)
 
 FORMAT = "replay_topic"
 SCHEMA = "partition int, offset long, timestamp timestamp, key string, value string"
 PARTITIONS = 4
 SEGMENT_ROWS = 1 << 16
+# Rows of a segment that a reading task holds at once.
+READ_ROWS = 1 << 13
 # Spark's JSON writer cuts timestamps to milliseconds unless told otherwise.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _SEGMENT = pa.schema([("timestamp", pa.timestamp("us", tz="UTC")), ("key", pa.string()), ("value", pa.string())])
@@ -102,12 +105,15 @@ class Written(WriterCommitMessage):
 
 
 def _read(path: str, part: Slice) -> Iterator[pa.RecordBatch]:
-    log = Log(path)
-    table = pq.read_table(f"{log.root}/segments/{part.file}", filesystem=log.files).slice(part.low, part.high - part.low)
-    n = table.num_rows
-    offsets = pa.array(range(part.first + part.low, part.first + part.low + n), pa.int64())
-    whole = pa.table({"partition": pa.array([part.partition] * n, pa.int32()), "offset": offsets, **{c: table.column(c) for c in _SEGMENT.names}})
-    yield from whole.to_batches()
+    log, at = Log(path), 0
+    with log.files.open_input_file(f"{log.root}/segments/{part.file}") as handle:
+        for batch in pq.ParquetFile(handle).iter_batches(READ_ROWS, use_threads=False):
+            kept = batch.slice(max(part.low - at, 0), max(min(part.high - at, batch.num_rows) - max(part.low - at, 0), 0))
+            if n := kept.num_rows:
+                start = part.first + max(part.low, at)
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(part.partition, pa.int32()), n), pa.array(range(start, start + n), pa.int64()),
+                                                  *[kept.column(c) for c in _SEGMENT.names]], ["partition", "offset", *_SEGMENT.names])
+            at += batch.num_rows
 
 
 def _slices(path: str, start: dict[str, int], end: dict[str, int]) -> list[Slice]:
@@ -153,30 +159,51 @@ class TopicStreamReader(DataSourceStreamReader):
         """The topic keeps its rows; other readers may still want them."""
 
 
-class TopicWriter(DataSourceStreamWriter, DataSourceWriter):
+class TopicWriter(DataSourceStreamArrowWriter, DataSourceArrowWriter):
+    """Takes Arrow batches, or single rows. Each batch goes to the open segments at once, so a task never holds more than a batch."""
+
     def __init__(self, path: str, writer: str, partitions: int):
         self.path, self.writer, self.n = path, writer, partitions
 
+    def _partition(self, key: str | None) -> int:
+        return zlib.crc32(key.encode()) % self.n if key is not None else 0
+
+    def _dealt(self, batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table]]:
+        """The rows of a batch by partition, in their order."""
+        table = pa.table([batch.column(f.name).cast(f.type) for f in _SEGMENT], schema=_SEGMENT)
+        keys = pc.dictionary_encode(table.column("key").combine_chunks(), null_encoding="encode")
+        of_key = pa.array([self._partition(k) for k in keys.dictionary.to_pylist()], pa.int32())
+        partition = of_key.take(keys.indices)
+        for p in sorted(set(of_key.to_pylist())):
+            yield p, table.filter(pc.equal(partition, p))
+
     def write(self, iterator: Iterator) -> Written:
         log = Log(self.path)
         log.files.create_dir(f"{log.root}/segments", recursive=True)
-        held: dict[int, list] = {}
+        opened: dict[int, tuple[str, pq.ParquetWriter]] = {}
+        counts: dict[int, int] = {}
         done: list[dict] = []
 
-        def flush(p: int) -> None:
-            rows = held.pop(p)
-            name = f"{uuid.uuid4().hex}.parquet"
-            table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), _SEGMENT)], schema=_SEGMENT)
-            pq.write_table(table, f"{log.root}/segments/{name}", filesystem=log.files)
-            done.append({"partition": p, "file": name, "rows": len(rows)})
-
-        for row in iterator:
-            p = zlib.crc32(row["key"].encode()) % self.n if row["key"] is not None else 0
-            held.setdefault(p, []).append((row["timestamp"], row["key"], row["value"]))
-            if len(held[p]) >= SEGMENT_ROWS:
-                flush(p)
-        for p in list(held):
-            flush(p)
+        def close(p: int) -> None:
+            name, segment = opened.pop(p)
+            segment.close()
+            done.append({"partition": p, "file": name, "rows": counts.pop(p)})
+
+        for item in iterator:
+            batch = item if isinstance(item, pa.RecordBatch) else pa.RecordBatch.from_pylist([item], schema=_SEGMENT)
+            for p, rows in self._dealt(batch):
+                while rows.num_rows:
+                    if p not in opened:
+                        name = f"{uuid.uuid4().hex}.parquet"
+                        opened[p] = name, pq.ParquetWriter(f"{log.root}/segments/{name}", _SEGMENT, filesystem=log.files)
+                    now = rows.slice(0, SEGMENT_ROWS - counts.get(p, 0))
+                    opened[p][1].write_table(now)
+                    counts[p] = counts.get(p, 0) + now.num_rows
+                    if counts[p] >= SEGMENT_ROWS:
+                        close(p)
+                    rows = rows.slice(now.num_rows)
+        for p in list(opened):
+            close(p)
         return Written(done)
 
     def commit(self, messages, batchId: int = 0) -> None:
