@@ -32,6 +32,17 @@ def test_dealt_rows_get_more_tasks_as_they_grow(spark, monkeypatch):
     assert catalog.QUERIES["k5_recomputed_means"](spark, SF).first()["again"] is False
 
 
+def test_streams_before_their_topic_need_no_python(spark, tmp_path):
+    """Hours and correlations are column functions; Python reads and writes the topic only."""
+    rows = catalog._ordered_obs(spark, SF)
+    rows.write.parquet(str(tmp_path / "rows"))
+    stream = jobs.file_stream(spark, str(tmp_path / "rows"), rows.schema)
+    plan = jobs.window_correlations(jobs.hourly_snapshots(stream, ("timestamp", "event_id")))._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" in plan
+    plan += jobs.window_correlations(jobs.hourly_snapshots(rows, ("timestamp", "event_id")))._jdf.queryExecution().executedPlan().toString()
+    assert not [name for name in ("Python", "Pandas", "ArrowEval", "MapIn") if name in plan]
+
+
 def test_a_writing_task_holds_one_batch(tmp_path, monkeypatch):
     """Batches come from a generator that sees how many earlier ones are still held."""
     monkeypatch.setattr(topic, "SEGMENT_ROWS", 10_000)

@@ -6,8 +6,6 @@ appended once the watermark has passed a window, so each window is emitted once.
 
 import datetime as dt
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +23,6 @@ DELAY = "1 hour"
 # Our choice: correlation above which a whole window counts as a warning.
 WARNING_CORRELATION = 0.7
 
-CORRELATION_EVENT = T.StructType([
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("zone_ids", T.ArrayType(T.StringType())),
-    T.StructField("correlation_matrix", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    T.StructField("mean_wind_per_region", T.MapType(T.StringType(), T.DoubleType())),
-])
-
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet",
                 max_files: int = 1000) -> DataFrame:
@@ -51,47 +42,65 @@ def last_values(obs: DataFrame, order: tuple[str, ...] = ("timestamp",)) -> Data
             .agg(F.max_by("wind_speed_mps", newest).alias("wind_speed_mps"), F.min("timestamp").alias("first_seen")))
 
 
+def closed_values(obs: DataFrame, order: tuple[str, ...] = ("timestamp",), delay: str = DELAY) -> DataFrame:
+    """`last_values` of a stream, each zone-hour given out once the watermark has passed it.
+
+    Tasks reduce their rows to one per zone and hour before they are sent; the state is one row for each open zone-hour. An
+    hour closes when a row `delay` past its end is seen, counted from the start of that row's hour; rows of closed hours are
+    dropped. A row without zone (the end mark of a bounded stream) only moves the watermark.
+    """
+    state.with_state(obs.sparkSession)
+    # Counted from the end of the hour: what this adds to `delay` is the hour itself.
+    closes = F.date_trunc("hour", "timestamp") + F.expr("INTERVAL '59:59.999' MINUTE TO SECOND")
+    timed = obs.where(F.col("timestamp").isNotNull()).withColumn("closes", closes).withWatermark(
+        "closes", f"{delay} 59 minutes 59 seconds 999 milliseconds")
+    # Rows without zone go by a count: a condition on the zone itself would be pushed below the watermark, which they must move.
+    return (timed.groupBy(F.window("closes", SNAPSHOT_WINDOW), "region_id")
+            .agg(F.max_by("wind_speed_mps", F.struct(*order)).alias("wind_speed_mps"), F.min("timestamp").alias("first_seen"),
+                 F.count("region_id").alias("seen")).where(F.col("seen") > 0).drop("seen"))
+
+
 def hourly_snapshots(obs: DataFrame, order: tuple[str, ...] = ("timestamp",), delay: str = DELAY) -> DataFrame:
     """(hour, timestamp, regions MAP): all zones of an hour in one row. An hour without rows gives none.
 
     Each zone is reduced first, so the collected list is one entry per zone, however many
-    observations an hour or a zone has. On a stream, event-time timers close the zone-hours.
+    observations an hour or a zone has. On a stream, the watermark closes the zone-hours.
     """
-    if obs.isStreaming:
-        closed = state.last_values(obs, order, delay)
-        per_zone = closed.withColumn("window", F.window("closed_at", SNAPSHOT_WINDOW))
-    else:
-        per_zone = last_values(obs, order)
+    per_zone = closed_values(obs, order, delay) if obs.isStreaming else last_values(obs, order)
     entry = F.struct("region_id", not_nan(F.col("wind_speed_mps")).alias("v"))
     return (per_zone.groupBy("window")
             .agg(F.min("first_seen").alias("timestamp"), F.map_from_entries(F.collect_list(entry)).alias("regions")))
 
 
-@F.pandas_udf(CORRELATION_EVENT)
-def _correlate(windows: pd.Series) -> pd.DataFrame:
-    """At most six snapshots per row, sorted by time; NULL if fewer than two or any value is missing.
+def _correlations(windows: DataFrame) -> DataFrame:
+    """Correlation event of each row's `snapshots`, at most six, sorted by time; none if fewer than two or any value is missing.
 
-    The zones are those of the first snapshot. A constant zone has NULL correlations.
+    The zones are those of the first snapshot. A constant zone has NULL correlations: it is told by its values, since its
+    rounded mean may leave noise in the products. Only column functions, so a task holds one window at a time.
     """
-    out = []
-    for snapshots in windows:
-        zones = sorted(dict(snapshots[0]["regions"])) if len(snapshots) >= 2 else []
-        values = np.array([[dict(s["regions"]).get(z, np.nan) for z in zones] for s in snapshots], dtype=float)
-        if not zones or np.isnan(values).any():
-            out.append((None, None, None, None))
-            continue
-        centred = values - values.mean(axis=0)
-        products = centred.T @ centred
-        # A constant zone is told by its values; its rounded mean may leave noise in the products.
-        constant = values.min(axis=0) == values.max(axis=0)
-        spread = np.where(constant, 0.0, np.sqrt(np.diag(products)))
-        scale = np.outer(spread, spread)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            ratio = np.clip(products / scale, -1.0, 1.0)
-        np.fill_diagonal(ratio, np.where(spread > 0, 1.0, np.nan))
-        matrix = [[None if np.isnan(c) else float(c) for c in row] for row in np.where(scale > 0, ratio, np.nan)]
-        out.append((snapshots[-1]["timestamp"], zones, matrix, dict(zip(zones, values.mean(axis=0).tolist()))))
-    return pd.DataFrame(out, columns=CORRELATION_EVENT.names)
+    first = F.element_at("snapshots", 1)
+    zoned = windows.where(F.size("snapshots") >= 2).withColumn("zone_ids", F.array_sort(F.map_keys(first["regions"])))
+    series = F.transform("zone_ids", lambda z: F.transform("snapshots", lambda s: not_nan(F.element_at(s["regions"], z))))
+    whole = zoned.withColumn("series", series).where(
+        (F.size("zone_ids") > 0) & F.forall("series", lambda values: F.forall(values, lambda v: v.isNotNull())))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    means = whole.withColumn("means", F.transform("series", lambda values: total(values) / F.size(values)))
+    centred = means.withColumn("centred", F.transform(F.arrays_zip("series", "means"), lambda z: F.transform(
+        z["series"], lambda v: v - z["means"])))
+    squares = F.transform(F.arrays_zip("series", "centred"), lambda z: F.when(
+        F.array_min(z["series"]) == F.array_max(z["series"]), F.lit(0.0)).otherwise(F.sqrt(total(F.transform(z["centred"], lambda c: c * c)))))
+    spread = centred.withColumn("spread", squares)
+
+    def cell(a, i, b, j):
+        scale = not_nan(a["spread"] * b["spread"])
+        product = total(F.zip_with(a["centred"], b["centred"], lambda x, y: x * y))
+        ratio = F.when(i == j, F.lit(1.0)).otherwise(not_nan(product / scale))
+        # A NULL would be stepped over by `least` and `greatest`.
+        return F.when((scale > 0) & ratio.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
+    zones = F.arrays_zip("centred", "spread")
+    matrix = F.transform(zones, lambda a, i: F.transform(zones, lambda b, j: cell(a, i, b, j)))
+    return spread.select("window_start", "window_end", F.element_at("snapshots", -1)["timestamp"].alias("timestamp"), "zone_ids",
+                         matrix.alias("correlation_matrix"), F.map_from_arrays("zone_ids", "means").alias("mean_wind_per_region"))
 
 
 def _by_time(a, b):
@@ -105,9 +114,7 @@ def window_correlations(snapshots: DataFrame) -> DataFrame:
     gathered = (snapshots.withColumn("at", hour_end)
                 .groupBy(F.window(hour_end, CORRELATION_WINDOW, CORRELATION_SLIDE).alias("w6"))
                 .agg(F.array_sort(F.collect_list(entry), _by_time).alias("snapshots")))
-    events = gathered.select(F.col("w6.start").alias("window_start"), F.col("w6.end").alias("window_end"),
-                             _correlate("snapshots").alias("event"))
-    return events.select("window_start", "window_end", "event.*").where(F.col("zone_ids").isNotNull())
+    return _correlations(gathered.select(F.col("w6.start").alias("window_start"), F.col("w6.end").alias("window_end"), "snapshots"))
 
 
 def early_warnings(events: DataFrame, threshold: float = WARNING_CORRELATION) -> DataFrame:
