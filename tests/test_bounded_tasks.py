@@ -66,3 +66,52 @@ def test_a_writing_task_holds_one_batch(tmp_path, monkeypatch):
         values = [v for part in topic._slices(path, {}, topic.Log(path).ends()) if part.file == s["file"]
                   for b in topic._read(path, part) for v in b.column("value").to_pylist()]
         assert values == sorted(values, key=lambda v: tuple(map(int, v.split("-")[:2])))
+
+
+def test_many_episodes_of_one_key_cost_one_state_entry_each():
+    """Timers read their own episodes; the state of a key is never read whole for one of them."""
+    calls = {"iterator": 0, "read": 0}
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = {}, set()
+
+        def getMapState(self, name, key, value):
+            return self
+
+        def iterator(self):
+            calls["iterator"] += 1
+            return iter(list(self.state.items()))
+
+        def containsKey(self, key):
+            return key in self.state
+
+        def getValue(self, key):
+            calls["read"] += 1
+            return self.state[key]
+
+        def updateValue(self, key, value):
+            self.state[key] = value
+
+        def removeKey(self, key):
+            self.state.pop(key, None)
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class Fired:
+        def __init__(self, at):
+            self.at = at
+
+        def getExpiryTimeInMs(self):
+            return self.at
+
+    handle, episodes = Handle(), state.Episodes(dt.timedelta(hours=6))
+    episodes.init(handle)
+    starts = [T0 + dt.timedelta(hours=10 * i + j) for i in range(300) for j in (0, 1)]
+    frame = pd.DataFrame({"window_start": starts, "window_end": [s + dt.timedelta(hours=6) for s in starts], "strength": 0.5})
+    for part in (frame.iloc[::2], frame.iloc[1::2]):
+        list(episodes.handleInputRows(("A,B",), iter([part.iloc[:100], part.iloc[100:]]), None))
+    out = pd.concat([f for at in sorted(handle.timers) for f in episodes.handleExpiredTimer(("A,B",), None, Fired(at))])
+    assert len(out) == 300 and set(out.windows) == {2} and not handle.state
+    assert calls == {"iterator": 2, "read": 300}

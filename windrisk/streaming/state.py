@@ -1,4 +1,4 @@
-"""Stateful processors with event-time timers: hours that close themselves, and warnings joined into episodes.
+"""A stateful processor with event-time timers: warnings joined into episodes that close themselves.
 
 A bounded stream ends with an end mark: a row without zone, timed after all others. It only moves the watermark; timers then close
 whatever is open, so every result comes from the stream itself. State lies in RocksDB with the checkpoint, so a restarted query
@@ -6,6 +6,7 @@ goes on where it stood.
 """
 
 import datetime as dt
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,10 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from windrisk.functions.timefn import not_nan
-
-HOUR = dt.timedelta(hours=1)
-TICK = dt.timedelta(milliseconds=1)  # what watermarks are counted in
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
@@ -35,74 +32,16 @@ def _millis(moment: dt.datetime) -> int:
     return int(moment.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
 
 
-class LastValues(StatefulProcessor):
-    """Last value of one zone in one hour, given out when the watermark has passed the hour."""
-
-    def __init__(self, n_order: int):
-        self.n = n_order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", ", ".join(f"o{i} long" for i in range(self.n)) + ", value double, first_seen timestamp")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        zone, hour = key
-        kept = self.last.get() if zone is not None else None
-        if zone is not None and kept is None:
-            self.handle.registerTimer(_millis(_naive(hour) + HOUR))
-        for frame in rows if zone is not None else ():
-            for row in frame.itertuples(index=False):
-                order = tuple(int(getattr(row, f"o{i}")) for i in range(self.n))
-                first, value = _naive(row.first_seen), None if pd.isna(row.value) else float(row.value)
-                if kept is not None:
-                    first = min(first, _naive(kept[self.n + 1]))
-                    if order < tuple(kept[:self.n]):
-                        order, value = tuple(kept[:self.n]), kept[self.n]
-                kept = (*order, value, first)
-        if kept is not None:
-            self.last.update(kept)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        kept = self.last.get()
-        if kept is not None:
-            self.last.clear()
-            yield pd.DataFrame({"closed_at": [_naive(key[1]) + HOUR - TICK], "region_id": [key[0]],
-                                "wind_speed_mps": pd.array([kept[self.n]], dtype="Float64"), "first_seen": [_naive(kept[self.n + 1])]})
-
-    def close(self) -> None:
-        pass
-
-
-def last_values(obs: DataFrame, order: tuple[str, ...] = ("timestamp",), delay: str = "1 hour") -> DataFrame:
-    """(closed_at, region_id, wind_speed_mps, first_seen) of every zone-hour of a stream; `closed_at` is its last instant.
-
-    Each task reduces its batches to one row per zone and hour before they are sent, so a crowded hour costs a few rows a
-    task; the state is one row for each open zone-hour. An hour closes when a row `delay` past its end is seen, counted
-    from the start of that row's hour; rows of closed hours are dropped. `order` breaks ties among equal timestamps, its columns are whole
-    numbers or timestamps, NULL before all numbers.
-    """
-    with_state(obs.sparkSession)
-    kinds, names = dict(obs.dtypes), [f"o{i}" for i in range(len(order))]
-    number = [F.unix_micros(F.col(c)) if kinds[c].startswith("timestamp") else F.col(c).cast("long") for c in order]
-    hour = F.date_trunc("hour", "timestamp")
-    rows = obs.where(F.col("timestamp").isNotNull()).select(
-        "region_id", hour.alias("hour"), *[F.coalesce(c, F.lit(-(1 << 63))).alias(n) for c, n in zip(number, names)],
-        not_nan(F.col("wind_speed_mps")).alias("value"), F.col("timestamp").alias("first_seen"))
-
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch.sort_values(names, kind="stable")
-            groups = batch.groupby(["region_id", "hour"], dropna=False, sort=False)
-            # `last` would step over a missing value.
-            yield batch.assign(first_seen=groups["first_seen"].transform("min")).loc[groups.tail(1).index]
-
-    few = rows.mapInPandas(reduce, rows.schema)
-    # Counted from the end of the hour: what this adds to `delay` is the hour itself.
-    closes = few.withColumn("closes", F.col("hour") + F.expr("INTERVAL '59:59.999' MINUTE TO SECOND"))
-    return closes.withWatermark("closes", f"{delay} 59 minutes 59 seconds 999 milliseconds").groupBy("region_id", "hour").transformWithStateInPandas(
-        LastValues(len(order)), "closed_at timestamp, region_id string, wind_speed_mps double, first_seen timestamp",
-        outputMode="Append", timeMode="EventTime", eventTimeColumnName="closed_at")
+def _merged(episodes: list[tuple]) -> list[tuple]:
+    """(start, end, peak, windows) with overlapping ones joined."""
+    out: list[tuple] = []
+    for start, end, peak, n in sorted(episodes):
+        if out and start < out[-1][1]:
+            first, last, top, m = out[-1]
+            out[-1] = (first, max(last, end), max(top, peak), m + n)
+        else:
+            out.append((start, end, peak, n))
+    return out
 
 
 class Episodes(StatefulProcessor):
@@ -113,37 +52,44 @@ class Episodes(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "start timestamp, end timestamp, peak double, windows long")
+        # By the time of their timer, so that a timer reads its own episodes only.
+        self.open = handle.getMapState("open", "fires long", "episodes string")
+
+    def _fires(self, end: dt.datetime) -> int:
+        return _millis(end + self.longest)
+
+    def _by_timer(self, episodes: list[tuple]) -> dict[int, str]:
+        out: dict[int, list] = {}
+        for start, end, peak, n in episodes:
+            out.setdefault(self._fires(end), []).append([start.isoformat(), end.isoformat(), peak, n])
+        return {fires: json.dumps(found) for fires, found in out.items()}
+
+    @staticmethod
+    def _episodes(text: str) -> list[tuple]:
+        return [(dt.datetime.fromisoformat(s), dt.datetime.fromisoformat(e), p, n) for s, e, p, n in json.loads(text)]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if key[0] is not None:
-            found = [(_naive(s), _naive(e), p, n) for s, e, p, n in self.open.get()]
+            before = {k[0]: v[0] for k, v in self.open.iterator()}
+            merged = [e for text in before.values() for e in self._episodes(text)]
+            # Frame by frame: what is held is the open episodes and one frame, not all rows of the key.
             for frame in rows:
-                found += [(_naive(r.window_start), _naive(r.window_end), float(r.strength), 1) for r in frame.itertuples(index=False)]
-            merged: list[tuple] = []
-            for start, end, peak, n in sorted(found):
-                if merged and start < merged[-1][1]:
-                    first, last, top, m = merged[-1]
-                    merged[-1] = (first, max(last, end), max(top, peak), m + n)
-                else:
-                    merged.append((start, end, peak, n))
-            self._keep(merged)
+                merged = _merged(merged + [(_naive(r.window_start), _naive(r.window_end), float(r.strength), 1) for r in frame.itertuples(index=False)])
+            after = self._by_timer(merged)
+            for fires in before.keys() - after.keys():
+                self.open.removeKey((fires,))
+            for fires, text in after.items():
+                if before.get(fires) != text:
+                    self.open.updateValue((fires,), (text,))
+                    self.handle.registerTimer(fires)
         yield from ()
 
-    def _keep(self, episodes: list[tuple]) -> None:
-        if episodes:
-            self.open.put(episodes)
-            for _, end, _, _ in episodes:
-                self.handle.registerTimer(_millis(end + self.longest))
-        else:
-            self.open.clear()
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        found = [(_naive(s), _naive(e), p, n) for s, e, p, n in self.open.get()]
-        ended = [e for e in found if _millis(e[1] + self.longest) <= now]
-        if ended:
-            self._keep([e for e in found if e not in ended])
+        fires = (expiredTimerInfo.getExpiryTimeInMs(),)
+        # No episode if it has grown since: then it has a later timer.
+        if self.open.containsKey(fires):
+            ended = self._episodes(self.open.getValue(fires)[0])
+            self.open.removeKey(fires)
             yield pd.DataFrame(ended, columns=["episode_start", "episode_end", "peak", "windows"]).assign(zones=key[0])[
                 ["zones", "episode_start", "episode_end", "peak", "windows"]]
 
