@@ -241,3 +241,20 @@ def test_sixty_languages(make_docs):
     rows = list(language_rows(random.Random(9), 60, 4))
     got = {r.id: r.lang_pred for r in langid.identify(make_docs(rows), lambda c: c % 4 != 2).collect()}
     assert sum(got[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
+
+
+def test_agendas_never_see_characters_that_no_piece_holds_side_by_side():
+    """A word and what is stuck to it are encoded apart, and remembered apart; list and heap agree with the library."""
+    vocab = piece_bpe.PieceVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    seen = []
+    agenda = vocab.agenda
+    vocab.agenda = lambda segment: seen.append(segment) or agenda(segment)
+    words = ["with", "each", "tre"]
+    text = " ".join(f"{w}{mark}Qx{w}" for w in words for mark in (".\n", "&&&\n", "\u4e2d\n", "\n\n"))
+    texts = [text, "", " ", "ab" * 100 + "\n" + "the" * 40, "a\u2581b \u2581\u2581 c", "\U0001f600\U0001f600x" * 30]
+    for t in texts:
+        assert vocab.encode(t, True)[0] == vocab.library.encode(t, add_eos=True)
+    assert len(seen) == len(set(seen)) and not any("\n" in s.strip("\n") for s in seen)
+    assert max(map(len, seen)) > piece_bpe.SHORT
+    for part in seen:
+        assert agenda(part) == vocab._ids(vocab._joined(list(part)))

@@ -1,12 +1,14 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
-Spaces become U+2581 and one is put in front, then every character is a symbol and an agenda (a heap) holds
+Spaces become U+2581 and one is put in front, then every character is a symbol and an agenda holds
 the adjacent pairs whose join is a piece, best score first, the leftmost of equal ones first. The top pair is joined, the pairs
-with its new neighbours enter, until the agenda is empty; a symbol that is no piece is spelled in bytes.
+with its new neighbours enter, until the agenda is empty; a symbol that is no piece is spelled in bytes. The agenda is a
+list of costs in text order for few symbols, and a heap for many.
 
 If no piece has U+2581 behind another character, no pair across the start of a run of U+2581 can ever be
 joined, so a text falls into segments that the agenda treats apart; the ids of recent segments are remembered. Otherwise the
-whole text is one segment. Whole texts are encoded, in Arrow batches, and every batch is compared with the
+whole text is one segment. A new segment falls apart once more between two characters that stand side by side in no piece,
+and its parts are remembered like segments. Whole texts are encoded, in Arrow batches, and every batch is compared with the
 sentencepiece library: any difference raises.
 
 Defined results: a NULL text counts as empty; an empty text has the end id only (nothing without `add_eos`) and decodes to
@@ -18,6 +20,8 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +32,8 @@ from windrisk.llm.common import table
 
 SPACE = "▁"
 MEMORY = 400_000  # remembered segments; the memory is emptied when full
+SHORT = 48  # symbols up to which the agenda is a list
+NEVER = float("inf")  # cost of a pair that is no piece
 
 
 class PieceVocabulary:
@@ -56,12 +62,16 @@ class PieceVocabulary:
                 self.ids[piece.piece], self.score[piece.piece] = number, piece.score
             elif piece.type == kinds.BYTE:
                 self.bytes[int(piece.piece[3:5], 16)] = number
+        self.cost = {piece: -score for piece, score in self.score.items()}
+        self.beside = {a + b for piece in self.ids for a, b in zip(piece, piece[1:])}
         apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$" if apart else "(?s).+").findall
-        self.known: dict[str, tuple[list[int], str]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def agenda(self, segment: str) -> list[int]:
         """Ids of one segment by the score-ordered agenda."""
+        if len(segment) <= SHORT:
+            return self._ids(self._joined(list(segment)))
         symbols = list(segment)
         n, score = len(symbols), self.score
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -88,10 +98,26 @@ class PieceVocabulary:
                 joined = symbols[lead] + pair
                 if joined in score:
                     heapq.heappush(agenda, (-score[joined], lead, left, joined))
+        return self._ids([symbol for symbol in symbols if symbol is not None])
+
+    def _joined(self, symbols: list[str]) -> list[str]:
+        """Few symbols joined by the same rule, with the agenda as a list: the cost of every pair at the place of its left symbol."""
+        cost = self.cost.get
+        agenda = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (least := min(agenda)) < NEVER:
+            left = agenda.index(least)
+            symbols[left] = joined = symbols[left] + symbols.pop(left + 1)
+            del agenda[left]
+            if left < len(agenda):
+                agenda[left] = cost(joined + symbols[left + 1], NEVER)
+            if left:
+                agenda[left - 1] = cost(symbols[left - 1] + joined, NEVER)
+        return symbols
+
+    def _ids(self, symbols: list[str]) -> list[int]:
+        """Ids of joined symbols."""
         out = []
         for symbol in symbols:
-            if symbol is None:
-                continue
             number = self.ids.get(symbol)
             if number is not None:
                 out.append(number)
@@ -101,23 +127,43 @@ class PieceVocabulary:
                 out.append(self.unk)
         return out
 
+    def _parts(self, segment: str) -> list[str]:
+        """A segment cut between characters that stand side by side in no piece. Without byte pieces unknown characters fold, so it stays whole."""
+        if not self.bytes or self.beside.issuperset(map(add, segment, segment[1:])):
+            return [segment]
+        cuts = [i for i, pair in enumerate(map(add, segment, segment[1:]), 1) if pair not in self.beside]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+
+    def _found(self, segment: str) -> tuple[tuple[int, ...], str]:
+        """Ids of a segment that is not remembered, and the same in decimal."""
+        known, ids = self.known, []
+        parts = self._parts(segment)
+        for part in parts:
+            of_part = known.get(part)
+            if of_part is None:
+                # Tuples of numbers and texts cost the garbage collector nothing.
+                new = tuple(self.agenda(part))
+                of_part = self._remembered(part, (new, " ".join(map(str, new))))
+            ids.append(of_part)
+        if len(parts) == 1:
+            return ids[0]
+        return self._remembered(segment, (tuple(chain.from_iterable([i for i, _ in ids])), " ".join([text for _, text in ids])))
+
+    def _remembered(self, segment: str, found: tuple[tuple[int, ...], str]) -> tuple[tuple[int, ...], str]:
+        if len(segment) <= 64:
+            if len(self.known) >= MEMORY:
+                self.known.clear()
+            self.known[segment] = found
+        return found
+
     def encode(self, text: str, add_eos: bool = False) -> tuple[list[int], str]:
         """Ids of a text, and the same in decimal, joined by spaces."""
-        out: list[int] = []
-        spelled: list[str] = []
+        found: list[tuple[tuple[int, ...], str]] = []
         if text:
-            known = self.known
-            for segment in self.segments((self.prefix + text).replace(" ", SPACE)):
-                found = known.get(segment)
-                if found is None:
-                    ids = self.agenda(segment)
-                    found = ids, " ".join(map(str, ids))
-                    if len(segment) <= 64:
-                        if len(known) >= MEMORY:
-                            known.clear()
-                        known[segment] = found
-                out += found[0]
-                spelled.append(found[1])
+            known = self.known.get
+            found = [known(segment) or self._found(segment) for segment in self.segments((self.prefix + text).replace(" ", SPACE))]
+        out = list(chain.from_iterable([ids for ids, _ in found]))
+        spelled = [decimal for _, decimal in found]
         if add_eos:
             out.append(self.eos)
             spelled.append(str(self.eos))
