@@ -254,6 +254,11 @@ def test_agendas_never_see_characters_that_no_piece_holds_side_by_side():
     texts = [text, "", " ", "ab" * 100 + "\n" + "the" * 40, "a\u2581b \u2581\u2581 c", "\U0001f600\U0001f600x" * 30]
     for t in texts:
         assert vocab.encode(t, True)[0] == vocab.library.encode(t, add_eos=True)
+    assert vocab.apart and len(vocab.fresh) > 10
+    vocab.verify([], [], True)
+    vocab.fresh.append(("\u2581with", (5, 6)))
+    with pytest.raises(AssertionError, match="disagree"):
+        vocab.verify([], [], True)
     assert len(seen) == len(set(seen)) and not any("\n" in s.strip("\n") for s in seen)
     assert max(map(len, seen)) > piece_bpe.SHORT
     for part in seen:

@@ -8,13 +8,14 @@ list of costs in text order for few symbols, and a heap for many.
 If no piece has U+2581 behind another character, no pair across the start of a run of U+2581 can ever be
 joined, so a text falls into segments that the agenda treats apart; the ids of recent segments are remembered. Otherwise the
 whole text is one segment. A new segment falls apart once more between two characters that stand side by side in no piece,
-and its parts are remembered like segments. Whole texts are encoded, in Arrow batches, and every batch is compared with the
-sentencepiece library: any difference raises.
+and its parts are remembered like segments. Whole texts are encoded, in Arrow batches; every new segment is compared with the
+sentencepiece library (whole texts, where they do not fall into segments): any difference raises.
 
 Defined results: a NULL text counts as empty; an empty text has the end id only (nothing without `add_eos`) and decodes to
 an empty text. Repeated rows and NULL ids pass through, one row out for each row in.
 """
 
+import gc
 import hashlib
 import heapq
 import re
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from windrisk.llm.common import table
 
 SPACE = "▁"
-MEMORY = 400_000  # remembered segments; the memory is emptied when full
+MEMORY = 800_000  # remembered segments; the memory is emptied when full
 SHORT = 48  # symbols up to which the agenda is a list
 NEVER = float("inf")  # cost of a pair that is no piece
 
@@ -65,6 +66,9 @@ class PieceVocabulary:
         self.cost = {piece: -score for piece, score in self.score.items()}
         self.beside = {a + b for piece in self.ids for a, b in zip(piece, piece[1:])}
         apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
+        # What the library makes of a segment alone tells only if it starts a text in the same way.
+        self.apart = apart and self.prefix == SPACE
+        self.fresh: list[tuple[str, tuple[int, ...]]] = []
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$" if apart else "(?s).+").findall
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
 
@@ -145,9 +149,19 @@ class PieceVocabulary:
                 new = tuple(self.agenda(part))
                 of_part = self._remembered(part, (new, " ".join(map(str, new))))
             ids.append(of_part)
-        if len(parts) == 1:
-            return ids[0]
-        return self._remembered(segment, (tuple(chain.from_iterable([i for i, _ in ids])), " ".join([text for _, text in ids])))
+        found = ids[0] if len(parts) == 1 else self._remembered(segment, (tuple(chain.from_iterable([i for i, _ in ids])), " ".join([text for _, text in ids])))
+        if self.apart:
+            self.fresh.append((segment, found[0]))
+        return found
+
+    def verify(self, texts: list[str], ids: list[list[int]], add_eos: bool) -> None:
+        """Raise if the library differs on the segments that are new since the last call, or on whole texts that have none."""
+        if self.apart:
+            # The library puts U+2581 in front itself, but not of an empty text: a U+2581 alone is a single symbol anyway.
+            new = [(segment[1:], list(found)) for segment, found in self.fresh if segment != SPACE]
+            texts, ids, add_eos, self.fresh = [s for s, _ in new], [found for _, found in new], False, []
+        if texts and ids != self.library.encode(texts, add_eos=add_eos, num_threads=1):
+            raise AssertionError("the agenda and the sentencepiece library disagree")
 
     def _remembered(self, segment: str, found: tuple[tuple[int, ...], str]) -> tuple[tuple[int, ...], str]:
         if len(segment) <= 64:
@@ -213,10 +227,14 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in _slices(texts):
                 part = texts[a:b]
-                found = [vocab.encode(t, add_eos) for t in part]
-                ids = [x for x, _ in found]
-                if ids != vocab.library.encode(part, add_eos=add_eos, num_threads=1):
-                    raise AssertionError("the agenda and the sentencepiece library disagree")
+                # Nothing here makes cycles, and the collector would walk the remembered segments again and again.
+                gc.disable()
+                try:
+                    found = [vocab.encode(t, add_eos) for t in part]
+                    ids = [x for x, _ in found]
+                    vocab.verify(part, ids, add_eos)
+                finally:
+                    gc.enable()
                 decoded = vocab.library.decode(ids, num_threads=1)
                 values = {"ids": lambda: pa.array(ids, pa.list_(pa.int32())), "decoded": lambda: pa.array(decoded, pa.string()),
                           "n_tokens": lambda: pa.array([len(x) for x in ids], pa.int64()),
