@@ -263,3 +263,33 @@ def test_agendas_never_see_characters_that_no_piece_holds_side_by_side():
     assert max(map(len, seen)) > piece_bpe.SHORT
     for part in seen:
         assert agenda(part) == vocab._ids(vocab._joined(list(part)))
+
+
+def test_remembered_segments_are_bounded_and_small():
+    """Two generations hold at most 400 000 segments; those met again outlive the others."""
+    vocab = piece_bpe.PieceVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    text = "with each tree"
+    want = vocab.library.encode(text, add_eos=True)
+    assert vocab.encode(text, True)[0] == want
+    agenda, seen, most = vocab.agenda, [], 0
+    vocab.agenda = lambda segment: seen.append(segment) or agenda(segment)
+    found = vocab.known["\u2581with"]
+    for i in range(900_000):
+        vocab._remembered(str(i), found)
+        if i % 100_000 == 0:
+            most = max(most, len(vocab.known) + len(getattr(vocab, "older", ())))
+            assert vocab.encode(text, True) == (want, " ".join(map(str, want)))
+    assert most <= 400_000 and not seen
+
+
+def test_batches_for_workers_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from windrisk.session import BATCH_BYTES, configure
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    texts = configure(spark).range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    assert max(r.size for r in texts.mapInArrow(sizes, "size long").collect()) < 2 * BATCH_BYTES

@@ -6,8 +6,8 @@ with its new neighbours enter, until the agenda is empty; a symbol that is no pi
 list of costs in text order for few symbols, and a heap for many.
 
 If no piece has U+2581 behind another character, no pair across the start of a run of U+2581 can ever be
-joined, so a text falls into segments that the agenda treats apart; the ids of recent segments are remembered. Otherwise the
-whole text is one segment. A new segment falls apart once more between two characters that stand side by side in no piece,
+joined, so a text falls into segments that the agenda treats apart; the ids of recent segments are remembered, as bytes, in two
+generations of bounded size. Otherwise the whole text is one segment. A new segment falls apart once more between two characters that stand side by side in no piece,
 and its parts are remembered like segments. Whole texts are encoded, in Arrow batches; every new segment is compared with the
 sentencepiece library (whole texts, where they do not fall into segments): any difference raises.
 
@@ -19,12 +19,13 @@ import gc
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from operator import add
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from windrisk.llm.common import table
 
 SPACE = "▁"
-MEMORY = 800_000  # remembered segments; the memory is emptied when full
+GENERATION = 200_000  # segments of a generation; a full one replaces the older one, which is forgotten
 SHORT = 48  # symbols up to which the agenda is a list
 NEVER = float("inf")  # cost of a pair that is no piece
 
@@ -68,9 +69,12 @@ class PieceVocabulary:
         apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         # What the library makes of a segment alone tells only if it starts a text in the same way.
         self.apart = apart and self.prefix == SPACE
-        self.fresh: list[tuple[str, tuple[int, ...]]] = []
+        self.fresh: list[tuple[str, list[int]]] = []
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$" if apart else "(?s).+").findall
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        # Ids as bytes of int32; segments that are met again move from the older generation to the newer one.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.spelled = [str(number) for number in range(len(model.pieces))]
 
     def agenda(self, segment: str) -> list[int]:
         """Ids of one segment by the score-ordered agenda."""
@@ -138,22 +142,26 @@ class PieceVocabulary:
         cuts = [i for i, pair in enumerate(map(add, segment, segment[1:]), 1) if pair not in self.beside]
         return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
 
-    def _found(self, segment: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a segment that is not remembered, and the same in decimal."""
-        known, ids = self.known, []
+    def _found(self, segment: str) -> bytes:
+        """Ids of a segment that is not in the newer generation."""
+        found = self.older.get(segment)
+        if found is not None:
+            return self._remembered(segment, found)
         parts = self._parts(segment)
-        for part in parts:
-            of_part = known.get(part)
-            if of_part is None:
-                # Tuples of numbers and texts cost the garbage collector nothing.
-                new = tuple(self.agenda(part))
-                of_part = self._remembered(part, (new, " ".join(map(str, new))))
-            ids.append(of_part)
-        found = ids[0] if len(parts) == 1 else self._remembered(segment, (tuple(chain.from_iterable([i for i, _ in ids])), " ".join([text for _, text in ids])))
+        if len(parts) == 1:
+            ids = self.agenda(segment)
+            found = self._remembered(segment, array("i", ids).tobytes())
+        else:
+            found = self._remembered(segment, b"".join([self.known.get(part) or self._of_part(part) for part in parts]))
+            ids = memoryview(found).cast("i").tolist()
         if self.apart:
-            self.fresh.append((segment, found[0]))
+            self.fresh.append((segment, ids))
         return found
 
+    def _of_part(self, part: str) -> bytes:
+        found = self.older.get(part)
+        return self._remembered(part, array("i", self.agenda(part)).tobytes() if found is None else found)
+
     def verify(self, texts: list[str], ids: list[list[int]], add_eos: bool) -> None:
         """Raise if the library differs on the segments that are new since the last call, or on whole texts that have none."""
         if self.apart:
@@ -163,25 +171,22 @@ class PieceVocabulary:
         if texts and ids != self.library.encode(texts, add_eos=add_eos, num_threads=1):
             raise AssertionError("the agenda and the sentencepiece library disagree")
 
-    def _remembered(self, segment: str, found: tuple[tuple[int, ...], str]) -> tuple[tuple[int, ...], str]:
+    def _remembered(self, segment: str, found: bytes) -> bytes:
         if len(segment) <= 64:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
+            if len(self.known) >= GENERATION:
+                self.known, self.older = {}, self.known
             self.known[segment] = found
         return found
 
     def encode(self, text: str, add_eos: bool = False) -> tuple[list[int], str]:
         """Ids of a text, and the same in decimal, joined by spaces."""
-        found: list[tuple[tuple[int, ...], str]] = []
+        found = b""
         if text:
-            known = self.known.get
-            found = [known(segment) or self._found(segment) for segment in self.segments((self.prefix + text).replace(" ", SPACE))]
-        out = list(chain.from_iterable([ids for ids, _ in found]))
-        spelled = [decimal for _, decimal in found]
+            found = b"".join([self.known.get(segment) or self._found(segment) for segment in self.segments((self.prefix + text).replace(" ", SPACE))])
+        out = memoryview(found).cast("i").tolist()
         if add_eos:
             out.append(self.eos)
-            spelled.append(str(self.eos))
-        return out, " ".join(spelled)
+        return out, " ".join(map(self.spelled.__getitem__, out))
 
 
 @lru_cache(maxsize=2)
@@ -194,11 +199,11 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Slices of a batch of about `most` characters, so that ids in memory do not grow with the batch."""
+def _slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Slices of a batch of about `most` characters, so that texts and ids in memory do not grow with the batch."""
     start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
+    for i, length in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
+        size += length
         if size >= most:
             yield start, i + 1
             start, size = i + 1, 0
@@ -224,15 +229,15 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         vocab = vocabulary(model_file or default_model())
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in _slices(texts):
-                part = texts[a:b]
+            column = batch.column("text")
+            for a, b in _slices(column):
+                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
                 # Nothing here makes cycles, and the collector would walk the remembered segments again and again.
                 gc.disable()
                 try:
-                    found = [vocab.encode(t, add_eos) for t in part]
+                    found = [vocab.encode(t, add_eos) for t in texts]
                     ids = [x for x, _ in found]
-                    vocab.verify(part, ids, add_eos)
+                    vocab.verify(texts, ids, add_eos)
                 finally:
                     gc.enable()
                 decoded = vocab.library.decode(ids, num_threads=1)

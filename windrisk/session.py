@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 LOCAL_ROWS = 10_000
+BATCH_BYTES = 4 << 20
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Timestamps are UTC instants everywhere; AQE splits skewed joins."""
+    """Timestamps are UTC instants everywhere; AQE splits skewed joins; batches for Python workers are bounded by bytes too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Ranking filters `rn <= n` drop surplus rows before the shuffle for n up to this.
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
+    # 10 000 long texts, the default batch, are held twice by the worker and once or twice by the executor.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
