@@ -285,3 +285,20 @@ def test_pipeline_edges(spark, make_docs):
             docs = spark.read.parquet(path)
             if name == "exact dedup":
                 assert docs.count() == (0 if rows is not edges else 5)
+
+
+def test_lines_are_counted_without_sorting_them(spark):
+    rows = spark.createDataFrame([(7, 1, 5, 9, 2), (7, 1, 3, 9, 2), (7, 1, 4, 8, 0), (7, 1, None, 8, 0), (6, 2, 5, 9, 1)],
+                                 "leaf long, key long, id long, text_hash long, line long")
+    counted = line_templates._counted(rows, "leaf", "key")
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+    got = {(r.leaf, r.key): (r.docs, tuple(r["sample"])) for r in counted.collect()}
+    assert got == {(7, 1): (2, (4, 8, 0)), (6, 2): (1, (5, 9, 1))}
+
+
+def test_masked_tokens_of_whole_lines():
+    tokens = ["a", "www.b", "xwww.b", "a://b", "a:", "@b.c", "@bc", "b.@", "x7", "\u0663", "\u00b2", "w", "www"]
+    for a in tokens:
+        for b in tokens:
+            want = [line_templates.VARIABLE if line_templates._VARIABLE.search(t) else t for t in (a, b)]
+            assert line_templates.masked(f" {a}\t{b} ") == want

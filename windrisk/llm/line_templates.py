@@ -32,9 +32,13 @@ DEPTH, SIMILAR, LEAST_DOCS = 3, 0.6, 10
 LONG, LONG_DOCS = 20, 2
 VARIABLE = "<*>"
 _VARIABLE = re.compile(r"\d|://|@.+\.|^www\.")
+_MAYBE = re.compile(r"[\d@]").search
 
 
 def masked(line: str) -> list[str]:
+    # Most lines have nothing that makes any token variable.
+    if not (_MAYBE(line) or "://" in line or "www." in line):
+        return line.split()
     return [VARIABLE if _VARIABLE.search(token) else token for token in line.split()]
 
 
@@ -48,10 +52,14 @@ def _leaf(tokens: list[str]) -> int:
 
 
 def _counted(rows: DataFrame, *keys: str) -> DataFrame:
-    """`keys`, docs, sample: documents of distinct rows with `leaf`, `id`, `text_hash`, `line`; equal texts are one for long lines."""
-    texts = rows.groupBy(*keys, "text_hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "text_hash", "line")).alias("sample"))
+    """`keys`, docs, sample: documents of distinct rows with `leaf`, `id`, `text_hash`, `line`; equal texts are one for long lines.
+
+    The sample is the text with the smallest hash, in plain columns until the end: the least of structs would sort all rows.
+    """
+    texts = rows.groupBy(*keys, "text_hash").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("line").alias("line"))
     docs = F.when(_is_long(), F.count("*")).otherwise(F.sum("n"))
-    return texts.groupBy(*keys).agg(docs.alias("docs"), F.min("sample").alias("sample"))
+    return texts.groupBy(*keys).agg(docs.alias("docs"), F.min("text_hash").alias("text_hash"), F.min_by("id", "text_hash").alias("id"),
+                                    F.min_by("line", "text_hash").alias("line")).select(*keys, "docs", F.struct("id", "text_hash", "line").alias("sample"))
 
 
 def _is_long():
