@@ -20,22 +20,25 @@ FAR = ([2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.2426609473880784
         1.48753612908506148525e-2, 0.136929880922735805310, 0.599832206555887937690, 1.0])
 
 
-def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
-    value = F.lit(coefficients[0])
-    for coefficient in coefficients[1:]:
-        value = value * x + F.lit(coefficient)
+def _polynomial(choices: Sequence[Sequence[float]], region: Column, x: Column) -> Column:
+    """The polynomial of the region; the choices have equal degrees."""
+    value, *rest = [F.get(F.array(*map(F.lit, coefficients)), region) for coefficients in zip(*choices)]
+    for coefficient in rest:
+        value = value * x + coefficient
     return value
 
 
-def _ratio(parts, x: Column) -> Column:
-    return _polynomial(parts[0], x) / _polynomial(parts[1], x)
-
-
 def normal_quantile(p: Column) -> Column:
-    """The z with P(Z <= z) = p; NULL outside of (0, 1)."""
+    """The z with P(Z <= z) = p; NULL outside of (0, 1).
+
+    One ratio with the coefficients of the region, not one ratio per region: code for all of them is too long for the JVM to compile.
+    """
     q = p - F.lit(0.5)
-    near = F.lit(0.180625) - q * q
     tail = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
-    outer = F.when(tail <= 5.0, _ratio(MIDDLE, tail - 1.6)).otherwise(_ratio(FAR, tail - 5.0))
-    inside = (p > 0.0) & (p < 1.0)
-    return F.when(inside, F.when(F.abs(q) <= 0.425, q * _ratio(CENTRAL, near)).when(q < 0, -outer).otherwise(outer))
+    central = F.abs(q) <= 0.425
+    region = F.when(central, F.lit(0)).when(tail <= 5.0, F.lit(1)).otherwise(F.lit(2))
+    x = F.when(central, F.lit(0.180625) - q * q).when(tail <= 5.0, tail - 1.6).otherwise(tail - 5.0)
+    numerators, denominators = zip(CENTRAL, MIDDLE, FAR)
+    ratio = _polynomial(numerators, region, x) / _polynomial(denominators, region, x)
+    # Not the ratio is conditional but its factor, q or the sign of q: what only some rows need is not shared by the generated code.
+    return ratio * F.when((p > 0.0) & (p < 1.0), F.when(central, q).when(q < 0, F.lit(-1.0)).otherwise(F.lit(1.0)))

@@ -63,6 +63,17 @@ def _sizes(rows: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -
     return sizes, sizes.agg(F.max("n")).first()[0] or 0
 
 
+def _bucket(v: Column, n_cuts: int, cuts: str = "cuts") -> Column:
+    """Twice the number of ascending cuts below `v`, plus one on a cut: a cut value is a bucket of its own. Found by halving."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n_cuts.bit_length()))])
+    def step(found: Column, size: Column) -> Column:
+        return found + F.when(F.get(F.col(cuts), found + size - 1) < v, size).otherwise(F.lit(0))
+    def doubled(below: Column) -> Column:
+        return 2 * below + F.when(F.get(F.col(cuts), below) == v, F.lit(1)).otherwise(F.lit(0))
+    # Never NULL, or joins by bucket would compute it twice, to look for NULLs first.
+    return F.coalesce(F.reduce(steps, F.lit(0), step, doubled), F.lit(0))
+
+
 def _narrowed(rows: DataFrame, by: Sequence[str], keys: Sequence[str], brackets: DataFrame) -> DataFrame:
     """Brackets reduced to the bucket, or the few buckets, that hold their ranks.
 
@@ -76,10 +87,7 @@ def _narrowed(rows: DataFrame, by: Sequence[str], keys: Sequence[str], brackets:
     within = (rows.join(bounds, list(keys)).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select(*by, "v"))
     fractions = [i / BUCKETS for i in range(1, BUCKETS)]
     cuts = small_side(within.groupBy(*by).agg(F.percentile_approx("v", fractions, SKETCH_ACCURACY).alias("cuts")), CUT_GROUPS)
-    # A cut value is a bucket of its own: twice the number of cuts below, plus one on the cut.
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
-    bucket = 2 * below + F.array_contains("cuts", F.col("v")).cast("int")
-    histogram = (within.join(cuts, list(by)).groupBy(*by, bucket.alias("bucket"))
+    histogram = (within.join(cuts, list(by)).groupBy(*by, _bucket(F.col("v"), len(fractions)).alias("bucket"))
                  .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("last")))
     running = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     placed = histogram.withColumn("upto", F.sum("c").over(running))
@@ -180,38 +188,57 @@ def kth_largest(df: DataFrame, keys: Sequence[str], value: str, fraction: float,
     return found.select(*keys, "n", F.col(f"{name}_lo").alias(name))
 
 
+def _placed(rows: DataFrame, keys: Sequence[str], value: str, largest: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their `_bucket`, and per bucket its size `_inside`, the rows below it `_shift`, and the group's size `n`.
+
+    Each group is cut at approximate quantiles, so a bucket between cuts holds a small share of it; equal values share a
+    bucket, and those on a cut, among them all frequent ones, have it to themselves. The counts are exact.
+    """
+    buckets = max(RANK_BUCKETS, -(-largest // RANK_BUCKET_ROWS))
+    fractions = [i / buckets for i in range(1, buckets)]
+    cuts = small_side(rows.groupBy(*keys).agg(F.percentile_approx(value, fractions, SKETCH_ACCURACY).alias("_cuts")), CUT_GROUPS)
+    placed = rows.join(cuts, list(keys)).withColumn("_bucket", _bucket(F.col(value), len(fractions), "_cuts")).drop("_cuts")
+    below = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_inside"))
+              .withColumn("_shift", F.coalesce(F.sum("_inside").over(below), F.lit(0)))
+              .withColumn("n", F.sum("_inside").over(Window.partitionBy(*keys))))
+    return placed, small_side(shifts)
+
+
 def average_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values of each group with their 1-based rank; equal values share their mean rank.
 
-    Each group is cut at approximate quantiles into buckets; ranks are counted inside a
-    bucket and shifted by the sizes of the buckets below, so no task orders a whole group.
+    Equal values fold before the shuffle; ranks are counted inside a bucket and shifted by the sizes of the
+    buckets below, so no task orders a whole group.
     """
     rows = _values(df, keys, value)
-    buckets = max(RANK_BUCKETS, -(-largest_group(rows, keys) // RANK_BUCKET_ROWS))
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = small_side(rows.groupBy(*keys).agg(F.percentile_approx("v", fractions, SKETCH_ACCURACY).alias("cuts")), CUT_GROUPS)
-    bucket = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
-    counts = (rows.join(cuts, list(keys))
-              .groupBy(*keys, bucket.alias("bucket"), "v").agg(F.count(F.lit(1)).alias("c")))
-    inside = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    below = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    shifts = (counts.groupBy(*keys, "bucket").agg(F.sum("c").alias("in_bucket"))
-              .withColumn("shift", F.coalesce(F.sum("in_bucket").over(below), F.lit(0)))
-              .withColumn("n", F.sum("in_bucket").over(whole))
-              .drop("in_bucket"))
+    placed, shifts = _placed(rows, keys, "v", largest_group(rows, keys))
+    counts = placed.groupBy(*keys, "_bucket", "v").agg(F.count(F.lit(1)).alias("c"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return (counts.withColumn("upto", F.sum("c").over(inside))
-            .join(shifts, [*keys, "bucket"])
+            .join(shifts, [*keys, "_bucket"])
             .select(*keys, F.col("v").alias(value),
-                    (F.col("shift") + F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0).alias("rank"),
+                    (F.col("_shift") + F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0).alias("rank"),
                     "n"))
 
 
 def with_average_ranks(df: DataFrame, keys: Sequence[str], value: str, in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
-    """`df` with the average rank of the value in its group, and the group's size `n`; rows without key or number are left out."""
+    """`df` with the average rank of the value in its group, and the group's size `n`; rows without key or number are left out.
+
+    Rows of large groups are ordered bucket by bucket and shuffled once, without a join with their ranks. Rows on a cut need no order: all
+    have the mean rank of their bucket, so they stay apart by the task that read them.
+    """
     df = _ranked_rows(df, keys, value)
-    if largest_group(df, keys) > in_memory_rows:
-        return df.join(average_ranks(df, keys, value), [*keys, value])
-    order, ties, group = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys, value), Window.partitionBy(*keys)
-    shared = (F.count(F.lit(1)).over(ties) - 1) / 2.0
-    return df.select("*", (F.rank().over(order) + shared).alias("rank"), F.count(F.lit(1)).over(group).alias("n"))
+    largest = largest_group(df, keys)
+    def mean_rank(order: Window) -> Column:
+        # The first and the last rank of equal values.
+        return (F.rank().over(order) + F.count(F.lit(1)).over(order)) / 2.0
+    if largest > in_memory_rows:
+        placed, shifts = _placed(df, keys, value, largest)
+        on_cut = F.col("_bucket") % 2 == 1
+        rows = placed.join(shifts, [*keys, "_bucket"]).withColumn("_task", F.when(on_cut, F.spark_partition_id()).otherwise(F.lit(-1)))
+        inside = mean_rank(Window.partitionBy(*keys, "_bucket", "_task").orderBy(value))
+        rank = F.col("_shift") + F.when(on_cut, (F.col("_inside") + 1) / 2.0).otherwise(inside)
+        return rows.select(*df.columns, rank.alias("rank"), "n")
+    group = Window.partitionBy(*keys)
+    return df.select("*", mean_rank(group.orderBy(value)).alias("rank"), F.count(F.lit(1)).over(group).alias("n"))
