@@ -20,7 +20,7 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from operator import add
 
@@ -38,6 +38,16 @@ SHORT = 48  # symbols up to which the agenda is a list
 NEVER = float("inf")  # cost of a pair that is no piece
 
 
+class Generation(dict):
+    """Remembered segments and their ids; what is not there is looked for elsewhere by `find`."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find = find
+
+    def __missing__(self, segment: str) -> bytes:
+        return self.find(segment)
+
+
 class PieceVocabulary:
     """Pieces, scores and ids of a merge-type model file, and the agenda over them."""
 
@@ -72,7 +82,7 @@ class PieceVocabulary:
         self.fresh: list[tuple[str, list[int]]] = []
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$" if apart else "(?s).+").findall
         # Ids as bytes of int32; segments that are met again move from the older generation to the newer one.
-        self.known: dict[str, bytes] = {}
+        self.known = Generation(self._found)
         self.older: dict[str, bytes] = {}
         self.spelled = [str(number) for number in range(len(model.pieces))]
 
@@ -112,19 +122,24 @@ class PieceVocabulary:
         """Few symbols joined by the same rule, with the agenda as a list: the cost of every pair at the place of its left symbol."""
         cost = self.cost.get
         agenda = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        while agenda and (least := min(agenda)) < NEVER:
-            left = agenda.index(least)
-            symbols[left] = joined = symbols[left] + symbols.pop(left + 1)
+        place = agenda.index
+        while agenda and (least := min(agenda)) is not NEVER:
+            left = place(least)
+            right = left + 1
+            symbols[left] = joined = symbols[left] + symbols.pop(right)
             del agenda[left]
-            if left < len(agenda):
-                agenda[left] = cost(joined + symbols[left + 1], NEVER)
+            if right < len(symbols):
+                agenda[left] = cost(joined + symbols[right], NEVER)
             if left:
                 agenda[left - 1] = cost(symbols[left - 1] + joined, NEVER)
         return symbols
 
     def _ids(self, symbols: list[str]) -> list[int]:
         """Ids of joined symbols."""
-        out = []
+        try:
+            return [self.ids[symbol] for symbol in symbols]
+        except KeyError:  # a symbol is no piece
+            out = []
         for symbol in symbols:
             number = self.ids.get(symbol)
             if number is not None:
@@ -137,13 +152,22 @@ class PieceVocabulary:
 
     def _parts(self, segment: str) -> list[str]:
         """A segment cut between characters that stand side by side in no piece. Without byte pieces unknown characters fold, so it stays whole."""
-        if not self.bytes or self.beside.issuperset(map(add, segment, segment[1:])):
+        pairs = list(map(add, segment, segment[1:]))
+        if not self.bytes or self.beside.issuperset(pairs):
             return [segment]
-        cuts = [i for i, pair in enumerate(map(add, segment, segment[1:]), 1) if pair not in self.beside]
-        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+        beside, parts, start = self.beside, [], 0
+        for end, pair in enumerate(pairs, 1):
+            if pair not in beside:
+                parts.append(segment[start:end])
+                start = end
+        parts.append(segment[start:])
+        return parts
 
     def _found(self, segment: str) -> bytes:
-        """Ids of a segment that is not in the newer generation."""
+        """Ids of a segment that is not in the newer generation, or was not in the one that was the newer when its text began."""
+        found = self.known.get(segment)
+        if found is not None:
+            return found
         found = self.older.get(segment)
         if found is not None:
             return self._remembered(segment, found)
@@ -154,7 +178,8 @@ class PieceVocabulary:
         else:
             found = self._remembered(segment, b"".join([self.known.get(part) or self._of_part(part) for part in parts]))
             ids = memoryview(found).cast("i").tolist()
-        if self.apart:
+        # The library puts U+2581 in front itself, but not of an empty text: a U+2581 alone is a single symbol anyway.
+        if self.apart and segment != SPACE:
             self.fresh.append((segment, ids))
         return found
 
@@ -165,25 +190,28 @@ class PieceVocabulary:
     def verify(self, texts: list[str], ids: list[list[int]], add_eos: bool) -> None:
         """Raise if the library differs on the segments that are new since the last call, or on whole texts that have none."""
         if self.apart:
-            # The library puts U+2581 in front itself, but not of an empty text: a U+2581 alone is a single symbol anyway.
-            new = [(segment[1:], list(found)) for segment, found in self.fresh if segment != SPACE]
-            texts, ids, add_eos, self.fresh = [s for s, _ in new], [found for _, found in new], False, []
+            texts, ids, add_eos = [segment[1:] for segment, _ in self.fresh], [found for _, found in self.fresh], False
+            self.fresh = []
         if texts and ids != self.library.encode(texts, add_eos=add_eos, num_threads=1):
             raise AssertionError("the agenda and the sentencepiece library disagree")
 
     def _remembered(self, segment: str, found: bytes) -> bytes:
         if len(segment) <= 64:
             if len(self.known) >= GENERATION:
-                self.known, self.older = {}, self.known
+                self.known, self.older = Generation(self._found), self.known
             self.known[segment] = found
         return found
 
+    def _segmented(self, text: str) -> list[str]:
+        """Segments of a text that is not empty."""
+        if self.apart and "  " not in text and text[0] != " " and SPACE not in text:
+            # Without runs of spaces each space starts a segment.
+            return (SPACE + text).replace(" ", " " + SPACE).split(" ")
+        return self.segments((self.prefix + text).replace(" ", SPACE))
+
     def encode(self, text: str, add_eos: bool = False) -> tuple[list[int], str]:
         """Ids of a text, and the same in decimal, joined by spaces."""
-        found = b""
-        if text:
-            found = b"".join([self.known.get(segment) or self._found(segment) for segment in self.segments((self.prefix + text).replace(" ", SPACE))])
-        out = memoryview(found).cast("i").tolist()
+        out = memoryview(b"".join(map(self.known.__getitem__, self._segmented(text)) if text else [])).cast("i").tolist()
         if add_eos:
             out.append(self.eos)
         return out, " ".join(map(self.spelled.__getitem__, out))
@@ -199,7 +227,7 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Slices of a batch of about `most` characters, so that texts and ids in memory do not grow with the batch."""
     start = size = 0
     for i, length in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
