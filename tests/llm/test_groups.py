@@ -116,6 +116,94 @@ def test_shingles_that_fold_together_do_not_hide_a_link():
     assert list(zip(got["a"], got["b"])) == [(b"a", b"b")]
 
 
+def folded_rows(sets):
+    import numpy as np
+    import pyarrow as pa
+    nodes = pa.array([b"%06d" % i for i in range(len(sets))])
+    batch = pa.RecordBatch.from_arrays([nodes, pa.array([np.unique(np.array(sorted(s), dtype=np.uint64)).tobytes() for s in sets])], names=["node", "shingles"])
+    return next(circulant._folded(iter([batch]))).to_pandas().rename(columns={"s_node": "node"})
+
+
+def test_sets_that_share_only_a_passage_are_not_paired_with_each_other():
+    """Half of each set is common to all: 18 million pairs share it, and none of them is similar."""
+    import time
+    rng = random.Random(5)
+    rows = folded_rows([{k << 40 for k in range(12)} | {rng.randrange(1 << 63) for _ in range(13)} for _ in range(6000)])
+    began = time.process_time()
+    assert not len(circulant._compare(rows.assign(component=rows["node"], part=0)))
+    assert time.process_time() - began < 2
+
+
+@pytest.mark.parametrize("crowd", [2, 64, 10**6])
+def test_block_pairs_compared_together_equal_brute_force(monkeypatch, crowd):
+    """Families of one base with edits, in several block pairs of one frame, one side or two; components known beforehand are kept apart by none."""
+    import pandas as pd
+    import pyarrow as pa
+    monkeypatch.setattr(circulant, "CROWD", crowd)
+    monkeypatch.setattr(circulant, "PAIRS", 50)
+    monkeypatch.setattr(circulant, "TOGETHER", 3000)
+    rng = random.Random(crowd)
+    frames, want = [], set()
+    for group in range(12):
+        sets, n = [], rng.choice([2, 9, 90])
+        base = [rng.randrange(1 << 63) for _ in range(rng.choice([8, 60]))]
+        for _ in range(n):
+            drop = rng.randrange(len(base) // 2)
+            sets.append(set(base[drop:]) | {rng.randrange(1 << 63) for _ in range(rng.randrange(len(base) // 3))})
+        sides = [rng.randrange(2) if group % 2 else 0 for _ in sets]
+        rows = folded_rows(sets)
+        names = [b"%03d-%06d" % (group, i) for i in range(n)]
+        known = [names[i - i % 3] if group % 3 else names[i] for i in range(n)]
+        frames.append(rows.assign(node=names, component=known, group=group, low=0, high=group % 2, part=sides))
+        root = {i: i - i % 3 if group % 3 else i for i in range(n)}
+        for i in range(n):
+            for j in range(i):
+                if (not group % 2 or sides[i] != sides[j]) and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                    x, y = root[i], root[j]
+                    root = {k: min(x, y) if v in (x, y) else v for k, v in root.items()}
+        want |= {frozenset(names[k] for k in root if root[k] == r) for r in set(root.values())}
+    columns = ["group", "low", "high", "part", "node", "component", "size", "folded"]
+    batches = pa.Table.from_pandas(pd.concat(frames)[columns], preserve_index=False).to_batches(max_chunksize=7)
+    edges = [(r["a"], r["b"]) for batch in circulant._block_pairs(iter(batches)) for r in batch.to_pylist()]
+    label = {n: c for f in frames for n, c in zip(f["node"], f["component"])}
+    joined = 0
+    for a, b in edges:
+        x, y = label[a], label[b]
+        joined += x != y
+        label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+    assert {frozenset(k for k in label if label[k] == r) for r in set(label.values())} == want and joined
+
+
+def test_a_bitmap_too_small_for_the_buckets_loses_nothing(make_docs, monkeypatch):
+    monkeypatch.setattr(circulant, "MARK_BITS", 15)
+    monkeypatch.setattr(circulant, "CROWD", 2)
+    monkeypatch.setattr(circulant, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(circulant, "CLUSTER_SHINGLES", 3000)
+    rng = random.Random(11)
+    rows = near_rows()
+    rows += [(len(rows) + k, prose(rng, 40) if k % 2 else rng.choice(rows)[1] + " end" * (k % 3)) for k in range(400)]
+    got = {r.id: (r.n_shingles, r.component_id) for r in circulant.near_groups(make_docs(rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_shingles_of_many_texts_equal_sets_of_words():
+    import numpy as np
+    from windrisk.llm.shingles import shingle_set, shingle_sets
+    rng = random.Random(4)
+    texts = [None, "", " \n\t ", "a", "A b", "a b\x0bc d", "a b c d E", "é x y " + "z" * 300 + " " + "w" * 256 + " " + "q" * 257 + " " + "q" * 258, "w " * 2000,
+             "x\x00 x x\x00\x00 y z q", "no\x1cbreak a b c d"] + [prose(rng, n).replace("1", rng.choice(["1", "Éa", " \r\n"])) for n in range(1, 90)]
+    values, counts = shingle_sets([t.encode() if t is not None else None for t in texts])
+    parts = np.split(values, np.cumsum(counts)[:-1])
+    every = {}
+    for text, part in zip(texts, parts):
+        words = (text or "").encode().lower().split()
+        want = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+        assert len(part) == len(want) and np.array_equal(part, np.unique(part)) and np.array_equal(part, shingle_set(text))
+        for shingle in want:
+            every.setdefault(shingle, len(every))
+    assert len(np.unique(values)) == len(every)
+
+
 def test_near_groups_edges(make_docs):
     got = circulant.near_groups(make_docs([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, "q r s"), (None, None)])).collect()
     assert Counter((r.id, r.component_id, r.kept) for r in got) == Counter({(3, 3, True): 2, (None, 3, False): 1, (None, None, True): 2})
