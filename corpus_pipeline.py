@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrisk.llm import circulant, digest_merge, mixing, piece_bpe, toxic
-from windrisk.llm.common import ship_code, stored, table
+from windrisk.llm.common import ship_code, small_or_shuffled, stored, table
+
+#: An id and a hash.
+DROPPED_BYTES = 16
 
 
 def _named(decisions: DataFrame, name: str) -> DataFrame:
@@ -19,8 +22,8 @@ def _named(decisions: DataFrame, name: str) -> DataFrame:
     return stored(decisions.select(*[F.col(c).alias(f"__p_{c}") for c in decisions.columns]), name)
 
 
-def _rows_of(docs: DataFrame, decisions: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows of `docs` that have a decision with their id and text hash; both sides shuffle by that key."""
+def _rows_of(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """Rows of `docs` that have a decision with their id and text hash, or none if `how` is left_anti."""
     match = F.xxhash64(docs["text"]).eqNullSafe(F.col("__p_text_hash")) & docs["doc_id"].eqNullSafe(F.col("__p_id"))
     return docs.join(decisions, match, how)
 
@@ -34,18 +37,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text the one with the largest id stays."""
     ship_code(spark)
-    kept = _named(digest_merge.exact_groups(docs, smallest=False).where("kept").select("id", "sha"), "exact-kept")
-    keyed = docs.withColumn("__p_own", F.unhex(F.sha2(digest_merge.normalised(F.col("text")), 256)))
-    rows = keyed.join(kept, (F.col("__p_own") == F.col("__p_sha")) & F.col("doc_id").eqNullSafe(F.col("__p_id")), "left_semi")
+    # Those that go are few, so that the texts mostly need no shuffle. Of repeated rows one is kept, and then they all stay for now.
+    pairs = digest_merge.exact_groups(docs, smallest=False).groupBy("id", "check").agg(F.max("kept").alias("kept"))
+    dropped = small_or_shuffled(_named(pairs.where("NOT kept").select("id", "check"), "exact-dropped"), DROPPED_BYTES)
+    text = digest_merge.normalised(docs["text"])
+    rows = docs.join(dropped, (F.xxhash64(text) == F.col("__p_check")) & docs["doc_id"].eqNullSafe(F.col("__p_id")), "left_anti")
     # Only repeated rows, or texts that differ in case under one id, have more than one row left for an id and a digest.
     unique = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    return (rows if unique else rows.dropDuplicates(["doc_id", "__p_own"])).drop("__p_own")
+    return rows if unique else rows.withColumn("__p_own", F.sha2(text, 256)).dropDuplicates(["doc_id", "__p_own"]).drop("__p_own")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
     ship_code(spark)
-    return _rows_of(docs, _named(circulant.near_groups(docs).where("kept").select("id", "text_hash"), "near-kept"))
+    # Rows of one id and text are kept or dropped together; those dropped are few, so that the texts mostly need no shuffle.
+    dropped = _named(circulant.near_groups(docs).where("NOT kept").select("id", "text_hash"), "near-dropped")
+    return _rows_of(docs, small_or_shuffled(dropped, DROPPED_BYTES), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

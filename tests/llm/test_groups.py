@@ -362,6 +362,24 @@ def test_pipeline_stages(spark, make_docs):
     assert corpus_pipeline.encode(spark, docs, SF).count() == docs.count()
 
 
+def test_dedup_stages_shuffle_no_texts_if_few_rows_go(spark, make_docs):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 40)) for i in range(30)]
+    rows += [(100, rows[0][1].upper()), (None, rows[1][1]), (101, rows[2][1] + " end"), (103, None), (104, "")]
+    make_docs(rows).write.parquet(path := work_path(spark, "few"))
+    docs = spark.read.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage, gone in ((corpus_pipeline.exact_dedup, [0, 103, None]), (corpus_pipeline.near_dedup, [100, 101, None])):
+            kept = stage(spark, docs, SF)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            left = Counter(i for i, _ in rows) - Counter(r.doc_id for r in kept.collect())
+            assert left == Counter(gone)
+            assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pipeline_edges(spark, make_docs):
     edges = make_docs([(i, t, "en", None) for i, t in EDGES])
     for rows in (edges, edges.limit(0)):

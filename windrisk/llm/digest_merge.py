@@ -56,7 +56,7 @@ def merge_runs(heads: DataFrame, smallest: bool = True, runs: int = RUNS, bits:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", smallest: bool = True,
                  runs: int = RUNS, bits: int = FAN_IN_BITS) -> DataFrame:
-    """One row per input row: id, sha (binary), keep_id, group_size, kept.
+    """One row per input row: id, sha (binary), check, keep_id, group_size, kept.
 
     Both sides of the last join are stored tables, so that AQE can split a text that a third of all rows share.
     """
@@ -65,7 +65,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = heads.join(survivors.withColumnsRenamed({k: f"s_{k}" for k in _KEY}),
                         (F.col("sha") == F.col("s_sha")) & (F.col("size") == F.col("s_size"))
                         & (F.col("check") == F.col("s_check")))
-    return joined.select("id", "sha", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
+    return joined.select("id", "sha", "check", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
                          (F.col("row") == F.col("best.row")).alias("kept"))
 
 
