@@ -125,15 +125,8 @@ def _band_keys(signature: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _bytes_of(column: pa.Array) -> np.ndarray:
-    """The bytes of all values of a binary column without NULLs, one after another."""
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, dtype=np.int32)[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]] if data is not None else np.empty(0, dtype=np.uint8)
-
-
 def _keys(column: pa.Array) -> np.ndarray:
-    return _bytes_of(column).view(np.int64).reshape(len(column), BANDS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int64).reshape(len(column), BANDS)
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:
@@ -143,7 +136,7 @@ def _shared_buckets(classes: DataFrame) -> DataFrame:
     of marked buckets are dealt out. A full bitmap lets more through, and loses none."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(batch.column("bands")).ravel() if len(batch) else [], pa.int64())], names=["bucket"])
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(batch.column("bands")).ravel(), pa.int64())], names=["bucket"])
 
     crowds = stored(classes.select("bands").mapInArrow(keys, "bucket long").groupBy("bucket").count().where("count > 1").select("bucket"), "crowds")
     bits = min(MARK_BITS, max(15, (16 * crowds.count()).bit_length()))

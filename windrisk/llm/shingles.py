@@ -42,8 +42,8 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return shingle_sets([text.encode() if text else None], size)[0]
 
 
-def _cut_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begins, ends and hashes of the words of lower-cased bytes that begin with a gap and end with nine or more."""
+def _cut_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and hashes of the words of lower-cased bytes that begin with a gap and end with eight or more."""
     data = np.frombuffer(raw, dtype=np.uint8)
     gap = (data == 32) | (data - np.uint8(9) < 5)
     edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
@@ -60,13 +60,13 @@ def _cut_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             long, at, left = long[more], at[more] + 8, left[more] - 8
     for i in np.flatnonzero(ends - begins > _EIGHTS):
         hashes[i] = xxhash.xxh3_64_intdigest(raw[begins[i]:ends[i]])
-    return begins, ends, hashes
+    return begins, hashes
 
 
 def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one after another, and how many each has. All texts are cut at once."""
     raw = b" ".join([b"", *(t or b"" for t in texts), b" " * 8]).lower()
-    begins, _, words = _cut_words(raw)
+    begins, words = _cut_words(raw)
     ends = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), dtype=np.int64, count=len(texts)))
     last = np.searchsorted(begins, ends + 1)
     n = np.diff(last, prepend=0)
